@@ -5,6 +5,8 @@ from __future__ import annotations
 from importlib import import_module
 
 _WHERE = {
+    "op4_subword_quality": "quality",
+    "op8_secret_scan": "secrets",
     "op9_pivotal_mixing": "mixing",
 }
 
