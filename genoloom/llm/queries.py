@@ -5,6 +5,7 @@ from __future__ import annotations
 from importlib import import_module
 
 _WHERE = {
+    "op3_hmm_score": "hmm",
     "op4_subword_quality": "quality",
     "op8_secret_scan": "secrets",
     "op9_pivotal_mixing": "mixing",
