@@ -113,3 +113,61 @@ def batches(it, max_bytes: int = 2 << 20):
             part = batch.slice(at, to - at)
             yield {n: part.column(i).to_pylist() for i, n in enumerate(names)}
             at = to
+
+
+def whole_groups(it, keys: list[str], least: int = 20_000):
+    """pyarrow tables of at least `least` rows that never split a group of equal keys; the input must be sorted by them."""
+    import pyarrow as pa
+
+    held, rows = [], 0
+    for batch in it:
+        if not batch.num_rows:
+            continue
+        held.append(batch)
+        rows += batch.num_rows
+        if rows < least:
+            continue
+        whole = pa.Table.from_batches(held)
+        at = len(whole) - tail_group(whole, keys)
+        if at:
+            yield whole.slice(0, at).combine_chunks()
+        held = whole.slice(at).combine_chunks().to_batches()
+        rows = len(whole) - at
+    if rows:
+        yield pa.Table.from_batches(held).combine_chunks()
+
+
+def tail_group(t, keys: list[str]) -> int:
+    """Rows of the last group."""
+    same = np.ones(len(t), bool)
+    for k in keys:
+        col = t.column(k).to_numpy()
+        same &= col == col[-1]
+    return int(np.argmin(same[::-1])) if not same.all() else len(t)
+
+
+def group_starts(columns: list[np.ndarray]) -> np.ndarray:
+    """Where each group of equal neighbouring rows starts, and the number of rows at the end."""
+    n = len(columns[0])
+    new = np.zeros(n, bool)
+    new[:1] = True
+    for c in columns:
+        new[1:] |= c[1:] != c[:-1]
+    return np.append(np.flatnonzero(new), n)
+
+
+def pairs_in_groups(starts: np.ndarray, most: int = 400_000):
+    """Index pairs (left < right) inside each group, in blocks of about `most` pairs or one row's pairs."""
+    n = int(starts[-1])
+    end = np.repeat(starts[1:], np.diff(starts))
+    later = end - np.arange(n) - 1
+    total = np.concatenate(([0], np.cumsum(later)))
+    at = 0
+    while at < n:
+        to = max(at + 1, int(np.searchsorted(total, total[at] + most, "right")) - 1)
+        count = later[at:to]
+        left = np.repeat(np.arange(at, to), count)
+        right = left + 1 + np.arange(len(left)) - np.repeat(total[at:to] - total[at], count)
+        if len(left):
+            yield left, right
+        at = to

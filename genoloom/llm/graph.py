@@ -1,0 +1,75 @@
+"""Connected components of a distributed edge list, by alternating large-star and small-star steps."""
+
+from __future__ import annotations
+
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from .common import cut
+
+#: Edges that one local contraction holds at a time.
+LOCAL_EDGES = 500_000
+
+
+def roots(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Nodes and the smallest node each is joined with, within these edges."""
+    nodes, inv = np.unique(np.concatenate((a, b)), return_inverse=True)
+    x, y = inv[: len(a)], inv[len(a) :]
+    label = np.arange(len(nodes))
+    while True:
+        low = np.minimum(label[x], label[y])
+        new = label.copy()
+        np.minimum.at(new, label[x], low)
+        np.minimum.at(new, label[y], low)
+        new = new[new]
+        while (new != new[new]).any():
+            new = new[new]
+        if (new == label).all():
+            return nodes, nodes[label]
+        label = new
+
+
+def _contract(it):
+    held, n = [], 0
+
+    def flush():
+        t = pa.Table.from_batches(held)
+        node, root = roots(t.column("u").to_numpy(), t.column("v").to_numpy())
+        keep = node != root
+        return pa.RecordBatch.from_arrays([pa.array(node[keep]), pa.array(root[keep])], names=["u", "v"])
+
+    for batch in it:
+        held.append(batch)
+        n += batch.num_rows
+        if n >= LOCAL_EDGES:
+            yield flush()
+            held, n = [], 0
+    if n:
+        yield flush()
+
+
+def _sign(edges: DataFrame) -> tuple:
+    return tuple(edges.agg(F.count("*"), F.expr("sum(cast(xxhash64(u, v) as decimal(20,0)))")).first())
+
+
+def components(edges: DataFrame) -> DataFrame:
+    """id, component (smallest id reachable) of every id that an edge (a, b) names; ids without edges are not listed. Null ends and loops are left out. Rounds grow with the logarithm of the longest path; each is written to the shared folder."""
+    e = edges.select(F.col("a").cast("bigint").alias("u"), F.col("b").cast("bigint").alias("v")).filter("u <> v")
+    e = cut(e.mapInArrow(_contract, "u bigint, v bigint"), "edges")
+    before = _sign(e)
+    while before[0]:
+        both = e.unionByName(e.select(F.col("v").alias("u"), F.col("u").alias("v")))
+        low = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
+        e = both.join(low, "u").filter("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).filter("u <> v").distinct()
+        down = e.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v"))
+        low = down.groupBy("u").agg(F.min("v").alias("m"))
+        e = down.join(low, "u").filter("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v")).unionByName(low.select("u", F.col("m").alias("v"))).distinct()
+        e = cut(e, "edges")
+        after = _sign(e)
+        if after == before:
+            break
+        before = after
+    member = e.select(F.col("u").alias("id"), F.col("v").alias("component"))
+    return member.unionByName(e.select(F.col("v").alias("id"), F.col("v").alias("component")).distinct())

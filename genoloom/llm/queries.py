@@ -7,6 +7,7 @@ from importlib import import_module
 _WHERE = {
     "op3_hmm_score": "hmm",
     "op4_subword_quality": "quality",
+    "op6_cross_polytope": "embedding",
     "op8_secret_scan": "secrets",
     "op9_pivotal_mixing": "mixing",
 }
