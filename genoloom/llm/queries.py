@@ -5,6 +5,7 @@ from __future__ import annotations
 from importlib import import_module
 
 _WHERE = {
+    "op1_jaccard_join": "jaccard",
     "op3_hmm_score": "hmm",
     "op4_subword_quality": "quality",
     "op6_cross_polytope": "embedding",
