@@ -8,6 +8,7 @@ _WHERE = {
     "op1_jaccard_join": "jaccard",
     "op3_hmm_score": "hmm",
     "op4_subword_quality": "quality",
+    "op5_line_dedup": "lines",
     "op6_cross_polytope": "embedding",
     "op8_secret_scan": "secrets",
     "op9_pivotal_mixing": "mixing",
