@@ -5,7 +5,8 @@ members, so that a vector that a third of all rows hold costs one row. Each clas
 signs and a fast Hadamard transform; a table's bucket is the signed largest coordinate of two such rotations. Besides it,
 both buckets with one second-largest coordinate are entered. Buckets of one row are dropped before any vector moves. A
 bucket of more than BLOCK classes is split into pairs of blocks, so that no task holds a whole large bucket; nothing is
-capped. Every pair in a bucket is verified by its cosine in double precision and reported from one of its common buckets.
+capped. Every pair in a bucket is verified by its cosine in double precision and counts in one of its common buckets;
+what leaves a task is the number of links of each class and a forest of them, not the pairs.
 
 Vectors link when labels are equal and not null and the cosine is at least LEAST. Vectors that are null, empty, zero, or
 hold null or non-finite components link with nothing, as do vectors of different lengths. Repeated vec_ids are vectors of
@@ -20,7 +21,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import cut, group_starts, pairs_in_groups, splitmix, table, whole_groups
-from .graph import components
+from .graph import components, roots
 
 LEAST = 0.98
 TABLES = 8
@@ -96,9 +97,10 @@ def _verify(it):
 
 
 def _links(c: dict, x: np.ndarray):
-    """Verified links of whole cells."""
+    """Of whole cells: for each class with links its linked members (b null), and a forest (a, b) that joins what is linked."""
     x = x / np.linalg.norm(x, axis=1, keepdims=True)
     keys = bucket_keys(x, c["label"])
+    linked, ends = np.zeros(len(x), np.int64), []
     for left, right in pairs_in_groups(group_starts([c["key"], c["i"], c["j"]])):
         ok = (c["i"][left] == c["j"][left]) | (c["b"][left] != c["b"][right])
         ok &= (c["label"][left] == c["label"][right]) & (c["cls"][left] != c["cls"][right])
@@ -107,11 +109,22 @@ def _links(c: dict, x: np.ndarray):
         left, right = left[ok], right[ok]
         for k in range(0, len(left), 20_000):
             p, q = left[k : k + 20_000], right[k : k + 20_000]
+            # A pair counts in the smallest of its common buckets.
             common = keys[p][:, :, None] == keys[q][:, None, :]
-            low = np.where(common.any(2), keys[p], np.iinfo(np.int64).max).min(1)
-            once = low == c["key"][p]
+            once = np.where(common.any(2), keys[p], np.iinfo(np.int64).max).min(1) == c["key"][p]
             p, q = p[once], q[once]
-            yield pa.RecordBatch.from_arrays([pa.array(c["cls"][p]), pa.array(c["cls"][q]), pa.array(c["members"][p]), pa.array(c["members"][q])], names=["a", "b", "in_a", "in_b"])
+            linked += np.bincount(p, c["members"][q], len(x)).astype(np.int64) + np.bincount(q, c["members"][p], len(x)).astype(np.int64)
+            ends.append(np.stack(roots(c["cls"][p], c["cls"][q]), 1))
+    some = np.flatnonzero(linked)
+    if len(some):
+        ends = np.concatenate(ends)
+        node, root = roots(ends[:, 0], ends[:, 1])
+        node, root = node[node != root], root[node != root]
+        a = np.concatenate((c["cls"][some], node))
+        nil = np.concatenate((np.ones(len(some), bool), np.zeros(len(node), bool)))
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(a), pa.array(np.concatenate((c["cls"][some], root)), mask=nil), pa.array(np.concatenate((linked[some], np.zeros(len(node), np.int64))))], names=["a", "b", "linked"]
+        )
 
 
 def _spans(starts: np.ndarray, most: int = 4096):
@@ -137,10 +150,9 @@ def near_vectors(vectors: DataFrame, block: int = BLOCK) -> DataFrame:
     cells = cells.select("key", F.least("b", "o").alias("i"), F.greatest("b", "o").alias("j"), "b", "cls")
     filled = cells.join(classes.drop("least"), "cls")
     n = int(vectors.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    links = cut(filled.repartition(n, "key", "i", "j").sortWithinPartitions("key", "i", "j").mapInArrow(_verify, "a bigint, b bigint, in_a bigint, in_b bigint"), "links")
-    other = links.select(F.col("a").alias("cls"), F.col("in_b").alias("x")).unionByName(links.select(F.col("b").alias("cls"), F.col("in_a").alias("x")))
-    other = other.groupBy("cls").agg(F.sum("x").alias("others"))
-    comp = components(links).withColumnRenamed("id", "cls")
+    links = cut(filled.repartition(n, "key", "i", "j").sortWithinPartitions("key", "i", "j").mapInArrow(_verify, "a bigint, b bigint, linked bigint"), "links")
+    other = links.filter("b IS NULL").groupBy(F.col("a").alias("cls")).agg(F.sum("linked").alias("others"))
+    comp = components(links.filter("b IS NOT NULL")).withColumnRenamed("id", "cls")
     joined = classes.select("cls", "least", "members").join(comp, "cls", "left").withColumn("component", F.coalesce("component", "cls"))
     low = joined.groupBy("component").agg(F.min("least").alias("component_id"))
     known = joined.join(low, "component").join(other, "cls", "left").select("cls", "component_id", (F.col("members") - 1 + F.coalesce("others", F.lit(0))).alias("n_links"))
