@@ -12,6 +12,7 @@ _WHERE = {
     "op6_cross_polytope": "embedding",
     "op8_secret_scan": "secrets",
     "op9_pivotal_mixing": "mixing",
+    "op10_chained_passages": "chains",
 }
 
 
