@@ -6,6 +6,7 @@ from importlib import import_module
 
 _WHERE = {
     "op1_jaccard_join": "jaccard",
+    "op2_latent_decontamination": "decontaminate",
     "op3_hmm_score": "hmm",
     "op4_subword_quality": "quality",
     "op5_line_dedup": "lines",
