@@ -10,11 +10,14 @@ meet in a short segment.
 
 The surplus is what keeps skew out without losing a pair: a document leaves out its empty segments, and entries that more
 than CAP sets share. If either set of a pair leaves out no more than the surplus, the pair still meets in an entry that both
-kept. Only sets that leave out more than half the surplus (members of large groups of near copies, mostly) keep those
-entries, among themselves. There they are compared with one pivot of each entry, the set that shares most entries, and then
-only across the components that are still apart, in blocks; pairs inside a component need no further comparison, as the
-result holds components. Sets that are equal share one class and are entered once by each task.
-
+kept. Only sets that leave out more than half the surplus (members of large groups of near copies, mostly) are compared by a
+second, finer partition: there a similar pair shares at least as many entries as it may differ in, so that each set needs to
+show only its rarest entries, by a global count, and a set with too few common ones shows none (a prefix filter). Entries of
+many sets are compared with one pivot, the set that shows most of them, and then only across the components that are still
+apart, in blocks; pairs inside a component need no further comparison, as the result holds components. Sets that are equal
+share one class and are entered once by each task.
+
+Candidate pairs pass an exact bound first: the numbers of shingles in BINS hash bins may not differ by more than the sets may.
 Every candidate pair is verified with whole sets. Hashes stand for shingles throughout (64 bits after a full mix).
 A null text, or one without words, is the empty set and links with nothing. Fewer words than a shingle are one shingle.
 Repeated rows are members of one class. Other columns are ignored. An empty table gives an empty result.
@@ -24,13 +27,14 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .common import batches, buffer_of, cut, group_starts, pairs_in_groups, small_side, splitmix, table, whole_groups, words_of
 from .graph import components
 
-CAP = 24
+CAP = 12
+BINS = 256
 BLOCK = 512
 #: plan() reckons with unrelated sets that share a passage of so many shingles, and weighs their meeting so many times an entry.
 PASSAGE = 60
@@ -118,15 +122,16 @@ def class_of(x: np.ndarray) -> int:
 
 
 def sizes_of(docs: DataFrame, rule: Rule) -> DataFrame:
-    """doc_id, n (set size), cls."""
+    """doc_id, n (set size), cls, bins (how many shingles fall in each of BINS hash bins, modulo 256)."""
     k = rule.words
 
     def measure(it):
         for block in batches(it):
             sets = shingle_sets(block["text"], k)
-            yield pa.RecordBatch.from_arrays([pa.array(block["doc_id"], pa.int64()), pa.array([len(x) for x in sets], pa.int64()), pa.array([class_of(x) for x in sets], pa.int64())], names=["doc_id", "n", "cls"])
+            bins = [np.bincount((x & np.uint64(BINS - 1)).astype(np.int64), minlength=BINS).astype(np.uint8).tobytes() for x in sets]
+            yield pa.RecordBatch.from_arrays([pa.array(block["doc_id"], pa.int64()), pa.array([len(x) for x in sets], pa.int64()), pa.array([class_of(x) for x in sets], pa.int64()), pa.array(bins, pa.binary())], names=["doc_id", "n", "cls", "bins"])
 
-    return docs.mapInArrow(measure, "doc_id bigint, n bigint, cls bigint")
+    return docs.mapInArrow(measure, "doc_id bigint, n bigint, cls bigint, bins binary")
 
 
 def entries_of_set(x: np.ndarray, band: int, rule: Rule) -> tuple[np.ndarray, bool]:
@@ -214,30 +219,107 @@ def _meet(cap: int, percent: int):
     return meet
 
 
-def verified(pairs: DataFrame, sizes: DataFrame, docs: DataFrame, rule: Rule) -> DataFrame:
-    """The pairs (a, b) of classes whose sets are similar enough."""
-    k, percent = rule.words, rule.percent
-    wanted = pairs.select(F.explode(F.array("a", "b")).alias("cls")).distinct()
-    reps = cut(sizes.join(wanted, "cls").groupBy("cls").agg(F.min("doc_id").alias("doc_id")), "reps")
-    texts = cut(docs.join(small_side(reps, 48), "doc_id").groupBy("cls").agg(F.first("text").alias("text")), "texts")
-    joined = pairs.join(texts.select(F.col("cls").alias("a"), F.col("text").alias("ta")), "a").join(texts.select(F.col("cls").alias("b"), F.col("text").alias("tb")), "b")
+def enter_finely(x: np.ndarray, band: int, rule: Rule) -> tuple[np.ndarray, int]:
+    """Entries of a set in a band of twice as many segments as a pair may differ in, and how many of them it must share with a similar set (besides empty segments)."""
+    hi = int(rule.top(band))
+    differ = (hi + hi * 100 // rule.percent) * (100 - rule.percent) // (100 + rule.percent)
+    m = 2 * differ + 2
+    seg = ((x >> np.uint64(32)) * np.uint64(m)) >> np.uint64(32)
+    at = np.flatnonzero(np.concatenate(([True], seg[1:] != seg[:-1])))
+    least = m - differ - (m - len(at))
+    with np.errstate(over="ignore"):
+        tag = lambda own: splitmix((own + np.uint64(1)) * MIX[5] + np.uint64(band) * MIX[6])
+        out = np.add.reduceat(splitmix(x ^ MIX[7]), at) + tag(seg[at])
+        if least <= 0:
+            gone = np.setdiff1d(np.arange(m, dtype=np.uint64), seg[at])
+            out = np.concatenate((out, tag(gone)))
+    return splitmix(out), least
+
+
+def _fine(rule: Rule):
+    def fine(it):
+        for batch in it:
+            es, cs, ns, bs, ls = [], [], [], [], []
+            for c, text in zip(batch.column("cls").to_pylist(), batch.column("text").to_pylist(), strict=True):
+                x = shingle_sets([text], rule.words)[0]
+                n, band = len(x), int(rule.band(len(x)))
+                for j in (band, band - 1):
+                    if j < 0 or not n or (j < band and n * rule.percent > 100 * int(rule.top(j))):
+                        continue
+                    e, least = enter_finely(x, j, rule)
+                    es.append(e)
+                    cs.append(np.full(len(e), c, np.int64))
+                    ns.append(np.full(len(e), n, np.int32))
+                    bs.append(np.full(len(e), j, np.int16))
+                    ls.append(np.full(len(e), len(e) - max(least, 1) + 1, np.int32))
+            if es:
+                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(es).view(np.int64)), *[pa.array(np.concatenate(v)) for v in (cs, ns, bs, ls)]], names=["entry", "cls", "n", "band", "most"])
+
+    return fine
+
 
-    def check(it):
+def _bound(percent: int):
+    """Drops pairs whose bins differ by more than a similar pair may: an exact bound."""
+
+    def bound(it):
         for batch in it:
-            a, b = batch.column("a"), batch.column("b")
-            ta, tb = batch.column("ta"), batch.column("tb")
-            ok, last, x = [], None, None
-            for i in range(batch.num_rows):
-                if a[i].as_py() != last:
-                    last = a[i].as_py()
-                    x = shingle_sets([ta[i].as_py()], k)[0]
-                y = shingle_sets([tb[i].as_py()], k)[0]
-                both = len(np.intersect1d(x, y, assume_unique=True))
-                ok.append(100 * both >= percent * (len(x) + len(y) - both))
-            keep = np.flatnonzero(ok)
-            yield pa.RecordBatch.from_arrays([a.take(pa.array(keep)), b.take(pa.array(keep))], names=["a", "b"])
-
-    return joined.select("a", "b", "ta", "tb").mapInArrow(check, "a bigint, b bigint")
+            if not batch.num_rows:
+                continue
+            x, y = (np.frombuffer(b"".join(batch.column(c).to_pylist()), np.uint8).reshape(-1, BINS) for c in ("xa", "xb"))
+            total = batch.column("na").to_numpy() + batch.column("nb").to_numpy()
+            keep = []
+            for at in range(0, len(x), 4096):
+                d = x[at : at + 4096] - y[at : at + 4096]
+                keep.append(np.minimum(d, np.negative(d)).sum(1, dtype=np.int64) * (100 + percent) <= total[at : at + 4096] * (100 - percent))
+            yield batch.filter(pa.array(np.concatenate(keep))).select(["a", "b"])
+
+    return bound
+
+
+class Verifier:
+    """Verifies pairs (a, b) of classes with whole sets, after the exact bound by bins."""
+
+    def __init__(self, docs: DataFrame, classes: DataFrame, rule: Rule):
+        self.docs, self.classes, self.rule = docs, classes, rule
+
+    def texts(self, wanted: DataFrame) -> DataFrame:
+        """cls, text of one document of each wanted class."""
+        reps = cut(self.classes.select("cls", "doc_id").join(wanted, "cls"), "reps")
+        # Rows that repeat a doc_id may bring more than one text; that of the class itself is told by its class id.
+        k = self.rule.words
+
+        def own(it):
+            for batch in it:
+                sets = [class_of(x) for x in shingle_sets(batch.column("text").to_pylist(), k)] if batch.num_rows else []
+                yield batch.filter(pa.array(np.array(sets, np.int64) == batch.column("cls").to_numpy()))
+
+        found = self.docs.join(small_side(reps, 48), "doc_id").select("cls", "text").mapInArrow(own, "cls bigint, text string")
+        return cut(found.dropDuplicates(["cls"]), "texts")
+
+    def __call__(self, pairs: DataFrame) -> DataFrame:
+        k, percent = self.rule.words, self.rule.percent
+        side = lambda c: self.classes.select(F.col("cls").alias(c), F.col("bins").alias(f"x{c}"), F.col("n").alias(f"n{c}"))
+        near = pairs.join(side("a"), "a").join(side("b"), "b").filter(F.least("na", "nb") * 100 >= percent * F.greatest("na", "nb"))
+        near = cut(near.mapInArrow(_bound(percent), "a bigint, b bigint"), "near")
+        texts = self.texts(near.select(F.explode(F.array("a", "b")).alias("cls")).distinct())
+        joined = near.join(texts.select(F.col("cls").alias("a"), F.col("text").alias("ta")), "a").join(texts.select(F.col("cls").alias("b"), F.col("text").alias("tb")), "b")
+
+        def check(it):
+            for batch in it:
+                a, b = batch.column("a"), batch.column("b")
+                ta, tb = batch.column("ta"), batch.column("tb")
+                ok, last, x = [], None, None
+                for i in range(batch.num_rows):
+                    if a[i].as_py() != last:
+                        last = a[i].as_py()
+                        x = shingle_sets([ta[i].as_py()], k)[0]
+                    y = shingle_sets([tb[i].as_py()], k)[0]
+                    both = len(np.intersect1d(x, y, assume_unique=True))
+                    ok.append(100 * both >= percent * (len(x) + len(y) - both))
+                keep = np.flatnonzero(ok)
+                yield pa.RecordBatch.from_arrays([a.take(pa.array(keep)), b.take(pa.array(keep))], names=["a", "b"])
+
+        return joined.select("a", "b", "ta", "tb").mapInArrow(check, "a bigint, b bigint")
 
 
 def _cross(it):
@@ -256,44 +338,54 @@ def similar_classes(docs: DataFrame, rule: Rule, cap: int = CAP, block: int = BL
     spark = docs.sparkSession
     docs = docs.selectExpr("cast(doc_id as bigint) doc_id", "cast(text as string) text")
     sizes = cut(sizes_of(docs, rule), "sizes")
+    classes = cut(sizes.filter("n > 0").groupBy("cls").agg(F.min("doc_id").alias("doc_id"), F.first("n").alias("n"), F.first("bins").alias("bins")), "classes")
+    sizes = sizes.drop("bins")
+    verify = Verifier(docs, classes, rule)
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    ordered = entries(docs, rule).repartition(parts, "entry").sortWithinPartitions("entry", "cls")
-    met = cut(ordered.mapInArrow(_meet(cap, rule.percent), "a bigint, b bigint, entry bigint, n int, band smallint"), "met")
-    pairs = cut(met.filter("b IS NOT NULL").select("a", "b").distinct(), "pairs")
-    links = cut(verified(pairs, sizes, docs, rule), "links")
-    hot = met.filter("b IS NULL").select(F.col("a").alias("cls"), "entry", "n", "band")
+    pair_rows = "a bigint, b bigint, entry bigint, n int, band smallint"
+
+    def meet(rows: DataFrame) -> DataFrame:
+        return cut(rows.repartition(parts, "entry").sortWithinPartitions("entry", "cls").mapInArrow(_meet(cap, rule.percent), pair_rows), "met")
+
+    met = meet(entries(docs, rule))
+    links = cut(verify(cut(met.filter("b IS NOT NULL").select("a", "b").distinct(), "pairs")), "links")
+    hot = met.filter("b IS NULL").select(F.col("a").alias("cls"), "n", "band")
 
     def heavy(it):
         for batch in it:
             surplus = {b: rule.plan(b)[2] for b in set(batch.column("band").to_pylist())}
             keep = [s or h > surplus[b] // 2 for b, h, s in zip(batch.column("band").to_pylist(), batch.column("h").to_pylist(), batch.column("sparse").to_pylist(), strict=True)]
-            yield batch.filter(pa.array(keep, pa.bool_())).select(["cls", "band"])
+            yield batch.filter(pa.array(keep, pa.bool_())).select(["cls"])
 
-    loaded = hot.groupBy("cls", "band").agg(F.count("*").alias("h"), (F.min("n") < 0).alias("sparse")).mapInArrow(heavy, "cls bigint, band smallint")
-    hot = cut(hot.join(loaded, ["cls", "band"], "left_semi").withColumn("n", F.abs("n")), "hot")
-    if hot.isEmpty():
+    loaded = hot.groupBy("cls", "band").agg(F.count("*").alias("h"), (F.min("n") < 0).alias("sparse")).mapInArrow(heavy, "cls bigint").distinct()
+    loaded = cut(loaded, "loaded")
+    if loaded.isEmpty():
         return sizes, components(links)
-    fits = lambda x, y: F.least(x, y) * 100 >= rule.percent * F.greatest(x, y)
+    # Heavy sets among themselves: entries by rising frequency, of each set only as many as a similar pair cannot miss.
+    fine = cut(verify.texts(loaded).mapInArrow(_fine(rule), "entry bigint, cls bigint, n int, band smallint, most int"), "fine")
+    count = fine.groupBy("entry").agg(F.count("*").alias("c"))
+    rank = F.row_number().over(Window.partitionBy("cls", "band").orderBy("c", "entry"))
+    prefix = fine.join(count, "entry").withColumn("r", rank).filter("r <= most AND c > 1").select("entry", "cls", "n", "band")
+    met = meet(prefix)
+    found = met.filter("b IS NOT NULL").select("a", "b")
+    hot = cut(met.filter("b IS NULL").select(F.col("a").alias("cls"), "entry", "n"), "hot")
     weight = hot.groupBy("cls").agg(F.count("*").alias("w"))
-    pivots = hot.join(weight, "cls").groupBy("entry").agg(F.max(F.struct("w", "cls", "n")).alias("p"))
-    pivots = cut(pivots.select("entry", F.col("p.cls").alias("pivot"), F.col("p.n").alias("pn")), "pivots")
-    first = hot.join(pivots, "entry").filter(F.col("cls") != F.col("pivot")).filter(fits(F.col("n"), F.col("pn")))
-    first = cut(first.select(F.least("cls", "pivot").alias("a"), F.greatest("cls", "pivot").alias("b")).distinct(), "pairs")
-    links = cut(links.unionByName(verified(first, sizes, docs, rule)), "links")
+    pivots = hot.join(weight, "cls").groupBy("entry").agg(F.max(F.struct("w", "cls")).alias("p"))
+    pivots = cut(pivots.select("entry", F.col("p.cls").alias("pivot")), "pivots")
+    first = hot.join(pivots, "entry").filter(F.col("cls") != F.col("pivot")).select(F.least("cls", "pivot").alias("a"), F.greatest("cls", "pivot").alias("b"))
+    links = cut(links.unionByName(verify(cut(found.unionByName(first).distinct(), "pairs"))), "links")
     comp = cut(components(links), "components")
+    if hot.isEmpty():
+        return sizes, comp
     rest = hot.join(pivots, "entry").filter(F.col("cls") != F.col("pivot")).join(comp.withColumnRenamed("id", "cls"), "cls", "left")
     rest = cut(rest.select("entry", "cls", F.coalesce("component", "cls").alias("component")), "rest")
     apart = rest.groupBy("entry").agg(F.count("*").alias("size"), F.min("component").alias("lo"), F.max("component").alias("hi")).filter("lo <> hi")
     g = F.ceil(F.col("size") / F.lit(float(block))).cast("int")
     cells = rest.join(apart.select("entry", g.alias("g")), "entry").withColumn("blk", F.pmod(F.hash("cls"), "g")).withColumn("o", F.explode(F.sequence(F.lit(0), F.col("g") - 1)))
     cells = cells.select("entry", F.least("blk", "o").alias("i"), F.greatest("blk", "o").alias("j"), "blk", "cls", "component")
-    more = cells.repartition(parts, "entry", "i", "j").sortWithinPartitions("entry", "i", "j").mapInArrow(_cross, "a bigint, b bigint").distinct()
-    n_of = sizes.groupBy("cls").agg(F.first("n").alias("n"))
-    more = cut(more, "pairs")
+    more = cut(cells.repartition(parts, "entry", "i", "j").sortWithinPartitions("entry", "i", "j").mapInArrow(_cross, "a bigint, b bigint").distinct(), "pairs")
     if not more.isEmpty():
-        more = more.join(n_of.select(F.col("cls").alias("a"), F.col("n").alias("na")), "a").join(n_of.select(F.col("cls").alias("b"), F.col("n").alias("nb")), "b").filter(fits(F.col("na"), F.col("nb"))).select("a", "b")
-        links = cut(links.unionByName(verified(cut(more, "pairs"), sizes, docs, rule)), "links")
-        comp = components(links)
+        comp = components(cut(links.unionByName(verify(more)), "links"))
     return sizes, comp
 
 
