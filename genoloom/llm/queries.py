@@ -11,6 +11,7 @@ _WHERE = {
     "op4_subword_quality": "quality",
     "op5_line_dedup": "lines",
     "op6_cross_polytope": "embedding",
+    "op7_suffix_dedup": "suffixes",
     "op8_secret_scan": "secrets",
     "op9_pivotal_mixing": "mixing",
     "op10_chained_passages": "chains",
