@@ -258,6 +258,12 @@ def _fine(rule: Rule):
     return fine
 
 
+def _near(x: np.ndarray, y: np.ndarray, total: np.ndarray, percent: int) -> np.ndarray:
+    """Whether rows of bins differ by no more than similar sets of this total size may."""
+    d = x - y
+    return np.minimum(d, np.negative(d)).sum(1, dtype=np.int64) * (100 + percent) <= total * (100 - percent)
+
+
 def _bound(percent: int):
     """Drops pairs whose bins differ by more than a similar pair may: an exact bound."""
 
@@ -267,10 +273,7 @@ def _bound(percent: int):
                 continue
             x, y = (np.frombuffer(b"".join(batch.column(c).to_pylist()), np.uint8).reshape(-1, BINS) for c in ("xa", "xb"))
             total = batch.column("na").to_numpy() + batch.column("nb").to_numpy()
-            keep = []
-            for at in range(0, len(x), 4096):
-                d = x[at : at + 4096] - y[at : at + 4096]
-                keep.append(np.minimum(d, np.negative(d)).sum(1, dtype=np.int64) * (100 + percent) <= total[at : at + 4096] * (100 - percent))
+            keep = [_near(x[k : k + 4096], y[k : k + 4096], total[k : k + 4096], percent) for k in range(0, len(x), 4096)]
             yield batch.filter(pa.array(np.concatenate(keep))).select(["a", "b"])
 
     return bound
@@ -322,16 +325,26 @@ class Verifier:
         return joined.select("a", "b", "ta", "tb").mapInArrow(check, "a bigint, b bigint")
 
 
-def _cross(it):
-    """Pairs of different components inside cells of sorted entries."""
-    for t in whole_groups(it, ["entry", "i", "j"], 2000):
-        c = {n: t.column(n).to_numpy() for n in ("entry", "i", "j", "blk", "cls", "component")}
-        for p, q in pairs_in_groups(group_starts([c["entry"], c["i"], c["j"]])):
-            ok = (c["component"][p] != c["component"][q]) & ((c["i"][p] == c["j"][p]) | (c["blk"][p] != c["blk"][q]))
-            x, y = c["cls"][p[ok]], c["cls"][q[ok]]
-            pairs = np.unique(np.stack((np.minimum(x, y), np.maximum(x, y)), 1), axis=0)
+def _cross(percent: int):
+    """Pairs of different components inside cells of sorted entries that pass the exact bounds by size and bins."""
+
+    def cross(it):
+        for t in whole_groups(it, ["entry", "i", "j"], 2000):
+            c = {n: t.column(n).to_numpy() for n in ("entry", "i", "j", "blk", "cls", "component", "n")}
+            bins = np.frombuffer(b"".join(t.column("bins").to_pylist()), np.uint8).reshape(-1, BINS)
+            found = [np.zeros((0, 2), np.int64)]
+            for p, q in pairs_in_groups(group_starts([c["entry"], c["i"], c["j"]])):
+                ok = (c["component"][p] != c["component"][q]) & ((c["i"][p] == c["j"][p]) | (c["blk"][p] != c["blk"][q]))
+                ok &= np.minimum(c["n"][p], c["n"][q]) * 100 >= percent * np.maximum(c["n"][p], c["n"][q])
+                p, q = p[ok], q[ok]
+                ok = np.concatenate([np.zeros(0, bool), *(_near(bins[p[k : k + 4096]], bins[q[k : k + 4096]], (c["n"][p] + c["n"][q])[k : k + 4096], percent) for k in range(0, len(p), 4096))])
+                x, y = c["cls"][p[ok]], c["cls"][q[ok]]
+                found.append(np.stack((np.minimum(x, y), np.maximum(x, y)), 1))
+            pairs = np.unique(np.concatenate(found), axis=0)
             yield pa.RecordBatch.from_arrays([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], names=["a", "b"])
 
+    return cross
+
 
 def similar_classes(docs: DataFrame, rule: Rule, cap: int = CAP, block: int = BLOCK) -> tuple[DataFrame, DataFrame]:
     """sizes (doc_id, n, cls) and the components of classes (id, component) under the rule."""
@@ -382,8 +395,8 @@ def similar_classes(docs: DataFrame, rule: Rule, cap: int = CAP, block: int = BL
     apart = rest.groupBy("entry").agg(F.count("*").alias("size"), F.min("component").alias("lo"), F.max("component").alias("hi")).filter("lo <> hi")
     g = F.ceil(F.col("size") / F.lit(float(block))).cast("int")
     cells = rest.join(apart.select("entry", g.alias("g")), "entry").withColumn("blk", F.pmod(F.hash("cls"), "g")).withColumn("o", F.explode(F.sequence(F.lit(0), F.col("g") - 1)))
-    cells = cells.select("entry", F.least("blk", "o").alias("i"), F.greatest("blk", "o").alias("j"), "blk", "cls", "component")
-    more = cut(cells.repartition(parts, "entry", "i", "j").sortWithinPartitions("entry", "i", "j").mapInArrow(_cross, "a bigint, b bigint").distinct(), "pairs")
+    cells = cells.select("entry", F.least("blk", "o").alias("i"), F.greatest("blk", "o").alias("j"), "blk", "cls", "component").join(classes.select("cls", "n", "bins"), "cls")
+    more = cut(cells.repartition(parts, "entry", "i", "j").sortWithinPartitions("entry", "i", "j").mapInArrow(_cross(rule.percent), "a bigint, b bigint").distinct(), "pairs")
     if not more.isEmpty():
         comp = components(cut(links.unionByName(verify(more)), "links"))
     return sizes, comp
