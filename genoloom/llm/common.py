@@ -59,12 +59,24 @@ _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
 
 
+class Scratch(dict):
+    """Arrays worth keeping between blocks of one task; they stay behind when functions travel."""
+
+    def __reduce__(self):
+        return Scratch, ()
+
+
+_KEPT = Scratch()
+
+
 def powers(n: int, base: int = int(_ODD)) -> np.ndarray:
     """base**i mod 2**64 for i < n."""
-    out = np.full(max(n, 1), np.uint64(base), np.uint64)
-    out[0] = 1
-    with np.errstate(over="ignore"):
-        return np.multiply.accumulate(out)[:n]
+    if len(_KEPT.get(base, ())) < n:
+        out = np.full(max(n, 1) * 5 // 4, np.uint64(base), np.uint64)
+        out[0] = 1
+        with np.errstate(over="ignore"):
+            _KEPT[base] = np.multiply.accumulate(out)
+    return _KEPT[base][:n]
 
 
 _INVERSE = pow(int(_ODD), -1, 1 << 64)

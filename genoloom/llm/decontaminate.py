@@ -30,9 +30,9 @@ PIECE = 64
 ITEMS = 2000
 DF_BUCKETS = 1 << 17
 OTHER = 4096
-SKETCH = 16
+SKETCH = 8
 RANK = 256
-COSINE = 0.4
+COSINE = 0.45
 COPY = 0.6
 PARAPHRASE = 0.45
 ANSWER = 4
@@ -53,8 +53,11 @@ def document_frequency(docs: DataFrame) -> tuple[np.ndarray, int]:
             buf, starts = buffer_of(block["text"])
             w, begin, _, first = words_of(buf, starts)
             text = np.searchsorted(starts, begin, "right") - 1
-            pairs = np.unique(text * DF_BUCKETS + _bucket(w))
-            total[:-1] += np.bincount(pairs % DF_BUCKETS, minlength=DF_BUCKETS)
+            for lo in range(0, len(block["text"]), 8192):  # so that text and bucket fit 32 bits
+                own = slice(first[lo], first[min(lo + 8192, len(first) - 1)])
+                pairs = np.sort(((text[own] - lo) * DF_BUCKETS + _bucket(w[own])).astype(np.int32))
+                pairs = pairs[np.flatnonzero(np.diff(pairs, prepend=-1))]
+                total[:-1] += np.bincount(pairs & (DF_BUCKETS - 1), minlength=DF_BUCKETS)
             n += len(block["text"])
         total[-1] = n
         some = np.flatnonzero(total)
@@ -79,6 +82,8 @@ class Space:
                     self.item.append(item_id)
                     self.words.append(w[s : s + PIECE])
         self.vocabulary = np.unique(np.concatenate([np.zeros(0, np.uint64), *self.words]))
+        self.seen = np.zeros(1 << 20, bool)  # of the top 20 bits of a word's hash
+        self.seen[(self.vocabulary >> np.uint64(44)).astype(np.int64)] = True
         self.size = len(self.vocabulary) + OTHER
         rows = np.zeros((len(self.words), self.size), np.float32)
         for i, w in enumerate(self.words):
@@ -90,10 +95,15 @@ class Space:
     def features(self, w: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Feature, whether it is a benchmark word, and weight of each word."""
         n = len(self.vocabulary)
-        at = np.searchsorted(self.vocabulary, w)
-        at[at == n] = 0
-        own = self.vocabulary[at] == w if n else np.zeros(len(w), bool)
-        return np.where(own, at, n + ((w >> np.uint64(20)) % np.uint64(OTHER)).astype(np.int64)), own, self.idf[_bucket(w)]
+        own = self.seen[(w >> np.uint64(44)).astype(np.int64)]
+        out = n + ((w >> np.uint64(20)) & np.uint64(OTHER - 1)).astype(np.int64)
+        maybe = np.flatnonzero(own)
+        if len(maybe):
+            at = np.minimum(np.searchsorted(self.vocabulary, w[maybe]), n - 1)
+            same = self.vocabulary[at] == w[maybe]
+            own[maybe[~same]] = False
+            out[maybe[same]] = at[same]
+        return out, own, self.idf[_bucket(w)]
 
     def omega(self) -> np.ndarray:
         return np.random.default_rng(SEED).normal(size=(self.size, SKETCH)).astype(np.float32)
