@@ -34,9 +34,10 @@ def cut(df: DataFrame, label: str = "t") -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def small_side(df: DataFrame, row_bytes: int) -> DataFrame:
-    """A broadcast hint for df if its counted rows, row_bytes each, stay below BROADCAST_BYTES; else df as it is (a shuffle join). df should be cheap to count: a table that was cut."""
-    return F.broadcast(df) if df.count() * row_bytes <= BROADCAST_BYTES else df
+def small_side(df: DataFrame, row_bytes: int, more=None) -> DataFrame:
+    """A broadcast hint for df if its counted size, row_bytes for each row and what `more` (a column of bytes) adds, stays below BROADCAST_BYTES; else df as it is (a shuffle join). df should be cheap to count: a table that was cut."""
+    n, extra = df.agg(F.count("*"), F.coalesce(F.sum(F.lit(0) if more is None else more), F.lit(0))).first()
+    return F.broadcast(df) if n * row_bytes + extra <= BROADCAST_BYTES else df
 
 
 def splitmix(x: np.ndarray) -> np.ndarray:

@@ -263,7 +263,7 @@ def removed_lines(docs: DataFrame, k: int = DISTANCE, short: int = SHORT, cap: i
 def dedup_lines(docs: DataFrame, k: int = DISTANCE, short: int = SHORT, cap: int = CAP, block: int = BLOCK) -> DataFrame:
     """docs with the repeated lines of text gone, and n_lines and n_removed of each row."""
     gone = cut(removed_lines(docs, k, short, cap, block).groupBy("doc_id").agg(F.sort_array(F.collect_list("no")).alias("gone")), "gone").withColumnRenamed("doc_id", "gone_id")
-    joined = docs.join(small_side(gone, 96), docs["doc_id"].cast("bigint") == F.col("gone_id"), "left")
+    joined = docs.join(small_side(gone, 64, F.size("gone") * 8), docs["doc_id"].cast("bigint") == F.col("gone_id"), "left")
     lines = F.split(F.col("text").cast("string"), "\n")
     gone_ = F.coalesce("gone", F.array().cast("array<bigint>"))
     held = F.filter(lines, lambda x, i: ~F.array_contains(gone_, i.cast("bigint")))

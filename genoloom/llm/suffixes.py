@@ -32,7 +32,7 @@ LENGTH = 100
 GRAM = 24
 HOT = 1500
 #: Pieces (of at most 2 * LENGTH - GRAM bytes) from which on a suffix array takes no further anchor.
-SHARD_ROWS = 20_000
+SHARD_ROWS = 6_000
 SALT = splitmix(np.arange(501, 505, dtype=np.uint64)) | np.uint64(1)
 
 
@@ -154,14 +154,21 @@ def _cut_out(it):
             yield pa.RecordBatch.from_arrays([pa.array(c[0], pa.int64()), pa.array(c[1], pa.int32()), pa.array(c[2], pa.bool_()), pa.array(c[3], pa.int64()), pa.array(c[4], pa.int64()), pa.array(c[5], pa.binary())], names=["h", "salt", "hot", "doc_id", "lo", "bytes"])
 
 
-def suffix_array(data: np.ndarray, depth: int) -> np.ndarray:
-    """Suffixes of data in order of their first `depth` bytes at least (what is behind the end sorts first)."""
+def eight_bytes(data: np.ndarray) -> np.ndarray:
+    """The eight bytes from each place on as one number, zeros behind the end."""
     n = len(data)
     wide = np.concatenate((data, np.zeros(8, np.uint8))).astype(np.uint64)
     key = np.zeros(n, np.uint64)
     for i in range(8):
         key = (key << np.uint64(8)) | wide[i : n + i]
-    sa = np.argsort(key, kind="stable")
+    return key
+
+
+def suffix_array(data: np.ndarray, depth: int) -> np.ndarray:
+    """Suffixes of data in order of their first `depth` bytes at least (what is behind the end sorts first)."""
+    n = len(data)
+    key = eight_bytes(data)
+    sa = np.argsort(key)
     k = key[sa]
     new = np.ones(n, bool)
     new[1:] = k[1:] != k[:-1]
@@ -170,21 +177,25 @@ def suffix_array(data: np.ndarray, depth: int) -> np.ndarray:
     rank[n] = -1
     rank[sa] = group
     h = 8
+    open_ = np.arange(n)
     while h < depth:
-        edge = np.append(np.flatnonzero(new), n)
-        size = np.repeat(np.diff(edge), np.diff(edge))
-        open_ = np.flatnonzero(size > 1)
+        # What stays open is the places of groups of more than one; the others keep their rank.
+        g = group[open_]
+        many = np.zeros(len(open_), bool)
+        many[1:] = g[1:] == g[:-1]
+        many[:-1] |= many[1:]
+        open_, g = open_[many], g[many]
         if not len(open_):
             break
         own = sa[open_]
-        second = rank[np.minimum(own + h, n)]
-        order = np.lexsort((second, group[open_]))
-        own, second, g = own[order], second[order], group[open_][order]
+        both = g * (n + 1) + rank[np.minimum(own + h, n)] + 1
+        order = np.argsort(both)
+        own, both = own[order], both[order]
         sa[open_] = own
         fresh = np.ones(len(open_), bool)
-        fresh[1:] = (g[1:] != g[:-1]) | (second[1:] != second[:-1])
-        new[open_] = fresh
-        group = np.maximum.accumulate(np.where(new, np.arange(n), 0))
+        fresh[1:] = both[1:] != both[:-1]
+        place = np.maximum.accumulate(np.where(fresh, np.arange(len(open_)), 0))
+        group[open_] = open_[place]
         rank[own] = group[open_]
         h *= 2
     return sa
@@ -193,53 +204,59 @@ def suffix_array(data: np.ndarray, depth: int) -> np.ndarray:
 def common_prefixes(data: np.ndarray, sa: np.ndarray, most: int) -> np.ndarray:
     """Common prefix of each suffix in order with the one before it, up to `most` bytes."""
     n = len(data)
+    key = eight_bytes(data)
     before = np.full(n, -1, np.int64)
     before[sa[1:]] = sa[:-1]
     follows = np.zeros(n, bool)
     follows[1:] = (before[1:] == before[:-1] + 1) & (before[:-1] >= 0)
     follows[1:] &= data[:-1] == data[before[:-1]]
-    # A position whose neighbour moves along shares one byte less than the position before it; when that one was cut off at
-    # `most`, it is compared again.
+    # A position whose neighbour moves along shares one byte less than the position before it; where that one was cut off at
+    # `most`, the position is compared itself.
     at = np.flatnonzero(~follows & (before >= 0))
     out = np.zeros(n, np.int64)
-    out[at] = _compare(data, at, before[at], most)
+    out[at] = _compare(key, at, before[at], most)
     head = np.maximum.accumulate(np.where(~follows, np.arange(n), 0))
     value = out[head] - (np.arange(n) - head)
-    cut_off = follows & (out[head] >= most)
-    redo = np.flatnonzero(cut_off)
-    value[redo] = _compare(data, redo, before[redo], most)
+    redo = np.flatnonzero(follows & (out[head] >= most))
+    value[redo] = _compare(key, redo, before[redo], most)
     return np.maximum(value, 0)[sa]
 
 
-def _compare(data: np.ndarray, a: np.ndarray, b: np.ndarray, most: int) -> np.ndarray:
-    n = len(data)
-    out = np.full(len(a), most, np.int64)
+def _compare(key: np.ndarray, a: np.ndarray, b: np.ndarray, most: int) -> np.ndarray:
+    """Common prefixes at places a and b, eight bytes at a time."""
+    n = len(key)
+    room = np.minimum(n - np.maximum(a, b), most)
+    out = room.copy()
     live = np.arange(len(a))
-    for k in range(most):
-        x, y = a[live] + k, b[live] + k
-        inside = (x < n) & (y < n)
-        same = inside.copy()
-        same[inside] = data[x[inside]] == data[y[inside]]
-        out[live[~same]] = k
-        live = live[same]
+    for k in range(0, most, 8):
+        live = live[room[live] > k]
+        x = key[a[live] + k] ^ key[b[live] + k]
+        apart = x != 0
+        if apart.any():
+            bits = x[apart].astype(">u8").view(np.uint8).reshape(-1, 8) != 0
+            out[live[apart]] = np.minimum(room[live[apart]], k + bits.argmax(1))
+        live = live[~apart]
         if not len(live):
             break
     return out
 
 
-def repeated_windows(pieces: list[bytes], doc: np.ndarray, lo: np.ndarray):
-    """Of the windows of these pieces: the piece and start of every one; whether an equal one is earlier in (doc, start)."""
+def repeated_windows(pieces: list[bytes], doc: np.ndarray, lo: np.ndarray, hot: np.ndarray):
+    """Of the windows of these pieces that occur more than once, or are of a hot piece: place in the joined data, piece, start, whether an equal one is earlier in (doc, start), whether it is the earliest; and the data."""
     size = np.array([len(p) for p in pieces], np.int64)
-    begin = np.concatenate(([0], np.cumsum(size)))
+    begin = np.cumsum(size) - size
     data = np.frombuffer(b"".join(pieces), np.uint8)
+    of = np.repeat(np.arange(len(pieces)), size)
     sa = suffix_array(data, LENGTH)
     shared = common_prefixes(data, sa, LENGTH)
-    piece = np.searchsorted(begin, sa, "right") - 1
-    inside = sa + LENGTH <= begin[piece + 1]
+    piece = of[sa]
     new = np.ones(len(sa), bool)
     new[1:] = shared[1:] < LENGTH
-    group = np.cumsum(new)[inside]
-    own, piece = sa[inside], piece[inside]
+    # Neighbours that share LENGTH bytes may lie behind a piece's end; only whole windows count.
+    alone = new & np.append(new[1:], True)
+    want = (sa + LENGTH <= (begin + size)[piece]) & (~alone | hot[piece])
+    group = np.cumsum(new)[want]
+    own, piece = sa[want], piece[want]
     start = lo[piece] + own - begin[piece]
     order = np.lexsort((start, doc[piece], group))
     first = np.ones(len(order), bool)
@@ -257,7 +274,7 @@ def _shard(it):
     """Repeated windows of a shard, as runs of starts (h null); of hot anchors also each group's earliest window (h, content)."""
     for t in whole_groups(it, ["h", "salt"], SHARD_ROWS):
         doc, lo, h, hot = (t.column(c).to_numpy() for c in ("doc_id", "lo", "h", "hot"))
-        own, piece, start, late, once, data = repeated_windows(t.column("bytes").to_pylist(), doc, lo)
+        own, piece, start, late, once, data = repeated_windows(t.column("bytes").to_pylist(), doc, lo, hot)
         order = np.lexsort((start[late], doc[piece[late]]))
         d, s = doc[piece[late]][order], start[late][order]
         new = np.ones(len(d), bool)
@@ -298,25 +315,37 @@ def _merge(it):
         yield pa.RecordBatch.from_arrays([d, s, s], names=["doc_id", "lo", "hi"])
 
 
+def _unite(it):
+    """Of the runs of starts of each document: the removed bytes, as few disjoint runs (lo, end exclusive)."""
+    for batch in it:
+        if not batch.num_rows:
+            continue
+        out = []
+        for ranges in batch.column("ranges"):
+            v = ranges.values
+            lo, end = v.field("lo").to_numpy(), v.field("hi").to_numpy() + LENGTH
+            order = np.argsort(lo, kind="stable")
+            lo, end = lo[order], np.maximum.accumulate(end[order])
+            new = np.ones(len(lo), bool)
+            new[1:] = lo[1:] > end[:-1]
+            at = np.flatnonzero(new)
+            out.append(np.stack((lo[at], end[np.append(at[1:], len(lo)) - 1]), 1).astype(np.int64).tobytes())
+        yield pa.RecordBatch.from_arrays([batch.column("id"), pa.array(out, pa.binary())], names=["id", "gone"])
+
+
 def _apply(it):
     for block in batches(it):
         rows = []
-        for doc, text, ranges in zip(block["doc_id"], block["text"], block["ranges"], strict=True):
+        for doc, text, packed in zip(block["doc_id"], block["text"], block["gone"], strict=True):
             data = (text or "").encode()
-            removed = spans = 0
-            if ranges:
-                step = np.zeros(len(data) + 1, np.int32)
-                r = np.array([(x["lo"], x["hi"] + LENGTH) for x in ranges], np.int64)
-                r = np.minimum(r, len(data))
-                np.add.at(step, r[:, 0], 1)
-                np.add.at(step, r[:, 1], -1)
-                gone = np.cumsum(step[:-1]) > 0
-                removed = int(gone.sum())
-                spans = int((gone & ~np.concatenate(([False], gone[:-1]))).sum())
-                rest = np.frombuffer(data, np.uint8)[~gone].tobytes()
-            else:
-                rest = data
-            rows.append((doc, len(data), removed, spans, hashlib.sha256(rest).hexdigest()))
+            gone = np.minimum(np.frombuffer(packed or b"", np.int64).reshape(-1, 2), len(data))
+            gone = gone[gone[:, 0] < gone[:, 1]]
+            rest, at = [], 0
+            for lo, end in gone.tolist():
+                rest.append(data[at:lo])
+                at = end
+            rest.append(data[at:])
+            rows.append((doc, len(data), int((gone[:, 1] - gone[:, 0]).sum()), len(gone), hashlib.sha256(b"".join(rest)).hexdigest()))
         c = list(zip(*rows, strict=True))
         yield pa.RecordBatch.from_arrays([*[pa.array(v, pa.int64()) for v in c[:4]], pa.array(c[4], pa.string())], names=["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"])
 
@@ -333,7 +362,7 @@ def repeated_ranges(docs: DataFrame, hot: int = HOT) -> DataFrame:
     several = several.join(busy, "h", "left").withColumn("hot", F.col("n").isNotNull())
     salt = F.when(F.col("hot"), F.pmod(F.hash("doc_id"), F.ceil(F.col("n") / F.lit(float(hot))).cast("int"))).otherwise(0)
     asked = cut(several.withColumn("salt", salt.cast("int")).groupBy(F.col("doc_id").alias("id")).agg(F.collect_list(F.struct("h", "salt", "hot", "lo", "hi")).alias("parts")), "asked")
-    pieces = docs.join(small_side(asked, 160), docs["doc_id"] == asked["id"]).select("doc_id", "text", "parts").mapInArrow(_cut_out, "h bigint, salt int, hot boolean, doc_id bigint, lo bigint, bytes binary")
+    pieces = docs.join(small_side(asked, 64, F.size("parts") * 64), docs["doc_id"] == asked["id"]).select("doc_id", "text", "parts").mapInArrow(_cut_out, "h bigint, salt int, hot boolean, doc_id bigint, lo bigint, bytes binary")
     pieces = pieces.repartition(parts, "h", "salt").sortWithinPartitions("h", "salt")
     found = cut(pieces.mapInArrow(_shard, "doc_id bigint, lo bigint, hi bigint, h bigint, content bigint"), "found")
     up = found.filter("h IS NOT NULL").select("h", "content", "doc_id", "lo")
@@ -345,8 +374,8 @@ def dedup_substrings(docs: DataFrame, hot: int = HOT) -> DataFrame:
     """doc_id, n_bytes, n_removed, n_spans, kept_sha256 for every row of docs (doc_id, text)."""
     docs = docs.selectExpr("cast(doc_id as bigint) doc_id", "cast(text as string) text")
     ranges = repeated_ranges(docs, hot).groupBy(F.col("doc_id").alias("id")).agg(F.collect_list(F.struct("lo", "hi")).alias("ranges"))
-    ranges = cut(ranges, "ranges")
-    joined = docs.join(small_side(ranges, 320), docs["doc_id"] == ranges["id"], "left").select("doc_id", "text", "ranges")
+    gone = cut(ranges.mapInArrow(_unite, "id bigint, gone binary"), "gone")
+    joined = docs.join(small_side(gone, 48, F.length("gone")), docs["doc_id"] == gone["id"], "left").select("doc_id", "text", "gone")
     return joined.mapInArrow(_apply, "doc_id bigint, n_bytes bigint, n_removed bigint, n_spans bigint, kept_sha256 string")
 
 
