@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 def fixed(x: Column, digits: int) -> Column:
     """Text with so many decimals, without grouping."""
-    return F.format_number(x, "0." + "0" * digits if digits else "0")
+    return F.call_function("format_number", x.cast("double"), F.lit("0." + "0" * digits if digits else "0"))
 
 
 def rounded(x: Column, digits: int) -> Column:

@@ -53,7 +53,7 @@ def assembly_stats(sequences: DataFrame) -> DataFrame:
     every = Window.partitionBy()
     run = by.withColumn("upto", F.sum("total").over(w)).withColumn("rank", F.sum("k").over(w)).withColumn("all_", F.sum("total").over(every)).withColumn("n", F.sum("k").over(every))
     # The smallest i with twice the running sum at or over the total lies in the first length that gets there.
-    need = F.greatest(F.ceil((F.col("all_") / 2.0 - (F.col("upto") - F.col("total"))) / F.col("len")), F.lit(1))
+    need = F.greatest(F.coalesce(F.ceil(F.try_divide(F.col("all_") / 2.0 - (F.col("upto") - F.col("total")), F.col("len"))), F.lit(1)), F.lit(1))
     hit = run.filter("2 * upto >= all_").withColumn("i", F.col("rank") - F.col("k") + need)
     return hit.agg(F.max("n").alias("n_seqs"), F.max("all_").alias("length"), F.max("len").alias("n50"), F.min_by("i", -F.col("len")).cast("bigint").alias("l50"))
 

@@ -47,12 +47,12 @@ def interval_pairs(spark, d):
     return p.select("tx", F.col("r_tx").alias("other"), F.col("start").alias("start_"), F.col("r_start").alias("other_start"), (F.least("end", "r_end") - F.greatest("start", "r_start") + 1).alias("shared"))
 
 
-_SEMI = f"WITH {ad.EXONS} SELECT tx, seqid, s AS start_, e AS end_ FROM exons a WHERE tx % 4 <> 0 AND {{}} EXISTS (SELECT 1 FROM exons b WHERE b.tx % 4 = 0 AND a.seqid = b.seqid AND a.strand = b.strand AND a.s <= b.e AND b.s <= a.e)"
+_SEMI = f"WITH {ad.EXONS} SELECT tx, seqid, s AS start_, e AS end_ FROM exons a WHERE tx // 20 % 4 <> 0 AND {{}} EXISTS (SELECT 1 FROM exons b WHERE b.tx // 20 % 4 = 0 AND a.seqid = b.seqid AND a.strand = b.strand AND a.s <= b.e AND b.s <= a.e)"
 
 
 def _semi(spark, d, how):
     x = ad.exons(spark, d)
-    return iv.interval_join(x.filter("tx % 4 <> 0"), x.filter("tx % 4 = 0"), ["seqid", "strand"], how, BIN).select("tx", "seqid", F.col("start").alias("start_"), F.col("end").alias("end_"))
+    return iv.interval_join(x.filter("(tx div 20) % 4 <> 0"), x.filter("(tx div 20) % 4 = 0"), ["seqid", "strand"], how, BIN).select("tx", "seqid", F.col("start").alias("start_"), F.col("end").alias("end_"))
 
 
 @query("interval_semi", _SEMI.format(""))
@@ -65,10 +65,10 @@ def interval_anti(spark, d):
     return _semi(spark, d, "left_anti")
 
 
-@query("interval_left", f"""WITH {ad.EXONS} SELECT a.tx, a.s AS start_, COUNT(b.tx) AS hits FROM exons a LEFT JOIN exons b ON b.tx % 4 = 0 AND a.seqid = b.seqid AND a.strand = b.strand AND a.s <= b.e AND b.s <= a.e WHERE a.tx % 9 = 1 GROUP BY ALL""")
+@query("interval_left", f"""WITH {ad.EXONS} SELECT a.tx, a.s AS start_, COUNT(b.tx) AS hits FROM exons a LEFT JOIN exons b ON b.tx // 20 % 4 = 0 AND a.seqid = b.seqid AND a.strand = b.strand AND a.s <= b.e AND b.s <= a.e WHERE a.tx % 9 = 1 GROUP BY ALL""")
 def interval_left(spark, d):
     x = ad.exons(spark, d)
-    p = iv.interval_join(x.filter("tx % 9 = 1"), x.filter("tx % 4 = 0"), ["seqid", "strand"], "left", BIN)
+    p = iv.interval_join(x.filter("tx % 9 = 1"), x.filter("(tx div 20) % 4 = 0"), ["seqid", "strand"], "left", BIN)
     return p.groupBy("tx", F.col("start").alias("start_")).agg(F.count("r_tx").alias("hits"))
 
 
@@ -107,13 +107,13 @@ def nearest_neighbour(spark, d):
     return iv.nearest(x, x.select("contig", "gene", "start", "end"), ["contig"], "gene").select("tx", "left_end", "right_start")
 
 
-@query("relational_division", f"""WITH {ad.INTRONS}, cand AS (SELECT tx, seqid, strand, s, e FROM introns WHERE tx % 2 = 1), st AS (SELECT tx, seqid, strand, s, e FROM introns WHERE tx % 2 = 0),
+@query("relational_division", f"""WITH {ad.INTRONS}, cand AS (SELECT tx, seqid, strand, s, e FROM introns WHERE tx // 20 % 4 = 2), st AS (SELECT tx, seqid, strand, s, e FROM introns WHERE tx // 20 % 4 = 0),
 need AS (SELECT tx, COUNT(*) AS n FROM cand GROUP BY tx),
 got AS (SELECT c.tx, s.tx AS st, COUNT(DISTINCT c.s) AS n FROM cand c JOIN st s ON c.seqid = s.seqid AND c.strand = s.strand AND c.s = s.s AND c.e = s.e GROUP BY ALL)
 SELECT got.tx, got.st AS transcript, got.n AS n_introns FROM got JOIN need ON got.tx = need.tx AND got.n = need.n""")
 def relational_division(spark, d):
     i = ad.tx_introns(spark, d)
-    cand, st = i.filter("tx % 2 = 1"), i.filter("tx % 2 = 0").withColumnRenamed("tx", "transcript")
+    cand, st = i.filter("(tx div 20) % 4 = 2"), i.filter("(tx div 20) % 4 = 0").withColumnRenamed("tx", "transcript")
     need = cand.groupBy("tx").agg(F.count("*").alias("n"))
     got = cand.join(st, ["contig", "strand", "start", "end"]).groupBy("tx", "transcript").agg(F.count_distinct("start").alias("n_introns"))
     return got.join(need, "tx").filter("n_introns = n").select("tx", "transcript", "n_introns")
