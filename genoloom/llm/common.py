@@ -13,7 +13,13 @@ from pyspark.sql import functions as F
 BROADCAST_BYTES = 24 << 20
 
 
+#: Rows in an Arrow batch, where the session has Spark's default: texts are long, and workers share an executor's memory.
+ARROW_ROWS = "1000"
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    if spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch") == "10000":
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", ARROW_ROWS)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
@@ -108,17 +114,26 @@ def words_of(buf: np.ndarray, starts: np.ndarray, lower: bool = True) -> tuple[n
     return splitmix(h), begin, end, np.searchsorted(begin, starts)
 
 
-def batches(it, max_bytes: int = 2 << 20):
-    """Arrow batches cut into runs of rows with a bounded amount of text, so that long texts do not pile up in one block. Yields tables as dicts of Python lists."""
+def tidy() -> None:
+    """Give back what a worker no longer uses: workers live on between tasks, and several share an executor's memory."""
+    import ctypes
+
+    import pyarrow as pa
+
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (OSError, AttributeError):  # not glibc
+        pass
+
+
+def batches(it, max_bytes: int = 1 << 20):
+    """Arrow batches cut into runs of rows with a bounded amount of text, so that long texts do not pile up in one block. Yields dicts of Python lists."""
+    import pyarrow.compute as pc
+
     for batch in it:
         names = batch.schema.names
-        if "text" not in names or not batch.num_rows:
-            if batch.num_rows:
-                yield {n: batch.column(n).to_pylist() for n in names}
-            continue
         col = batch.column(names.index("text"))
-        import pyarrow.compute as pc
-
         size = np.cumsum(pc.fill_null(pc.binary_length(col), 0).to_numpy(zero_copy_only=False))
         at = 0
         while at < batch.num_rows:
@@ -126,6 +141,7 @@ def batches(it, max_bytes: int = 2 << 20):
             part = batch.slice(at, to - at)
             yield {n: part.column(i).to_pylist() for i, n in enumerate(names)}
             at = to
+    tidy()
 
 
 def whole_groups(it, keys: list[str], least: int = 20_000):
@@ -148,6 +164,7 @@ def whole_groups(it, keys: list[str], least: int = 20_000):
         rows = len(whole) - at
     if rows:
         yield pa.Table.from_batches(held).combine_chunks()
+    tidy()
 
 
 def tail_group(t, keys: list[str]) -> int:

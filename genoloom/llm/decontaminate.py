@@ -177,7 +177,7 @@ def _search(sent):
     def search(it):
         space = _space(sent.value)
         pieces = [w.tolist() for w in space.words]
-        for block in batches(it, 1 << 20):
+        for block in batches(it, 1 << 19):
             buf, starts = buffer_of(block["text"])
             w, _, _, first = words_of(buf, starts)
             if not len(w):

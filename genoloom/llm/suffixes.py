@@ -94,7 +94,7 @@ def runs_of(buf: np.ndarray, starts: np.ndarray):
 
 
 def _runs(it):
-    for block in batches(it, 1 << 20):
+    for block in batches(it, 1 << 19):
         h, run, text, lo, hi, at = runs_of(*buffer_of(block["text"]))
         doc = pa.array(block["doc_id"], pa.int64()).take(pa.array(text))
         yield pa.RecordBatch.from_arrays([pa.array(h), pa.array(run), doc, pa.array(lo.astype(np.int32)), pa.array(hi.astype(np.int32))], names=["h", "run", "doc_id", "lo", "hi"])
