@@ -50,7 +50,7 @@ def merge_annotations(tx: DataFrame) -> DataFrame:
     kept = tx.withColumn("_chain", chain).withColumn("_bp", bases).withColumn("_r", F.row_number().over(same)).filter("_r = 1").drop("_r", "_chain", "_bp")
     exons = kept.select("tx", "seqid", "strand", F.explode("exons").alias("x")).select("tx", "seqid", "strand", "x.start", "x.end")
     comp = exon_components(exons, ["seqid", "strand"], "tx").select("tx", "component")
-    out = kept.join(comp, "tx").withColumn("_s", F.get("exons", F.lit(0))["start"]).withColumn("_e", F.element_at("exons", -1)["end"])
+    out = kept.join(comp, "tx").withColumn("_s", F.get("exons", F.lit(0))["start"]).withColumn("_e", F.try_element_at("exons", F.lit(-1))["end"])
     span = out.groupBy("component", "seqid").agg(F.min("_s").alias("gene_start"), F.max("_e").alias("gene_end"))
     # Genes are numbered inside their contig; the contigs' offsets are sums over few rows.
     inside = F.row_number().over(Window.partitionBy("seqid").orderBy("gene_start", "gene_end", "component"))
@@ -83,10 +83,10 @@ def sequence_checks(tx: DataFrame, sequences: DataFrame, keep: bool = False) ->
     s = s.withColumn("internal_stop", F.coalesce(sq.has_internal_stop(F.expr("substring(_aa, 1, greatest(length(_aa) - 1, 0))")), F.lit(False)))
     ends = F.coalesce(F.substring("_aa", -1, 1) == "*", F.lit(False))
     plus = F.col("strand") != "-"
-    last = F.when(plus, F.element_at("cds", -1)["end"]).otherwise(F.get("cds", F.lit(0))["start"])
+    last = F.when(plus, F.try_element_at("cds", F.lit(-1))["end"]).otherwise(F.get("cds", F.lit(0))["start"])
     behind = F.when(plus, sq.piece(F.col("seq"), last + 1, last + 3)).otherwise(sq.reverse_complement(sq.piece(F.col("seq"), last - 3, last - 1)))
     # The triplet may not reach into an intron, unless the exon is the last one.
-    edge = F.when(plus, F.element_at("exons", -1)["end"]).otherwise(F.get("exons", F.lit(0))["start"])
+    edge = F.when(plus, F.try_element_at("exons", F.lit(-1))["end"]).otherwise(F.get("exons", F.lit(0))["start"])
     own = F.filter("exons", lambda x: (x["start"] <= last) & (last <= x["end"]))
     inside = F.when(plus, F.get(own, F.lit(0))["end"] >= last + 3).otherwise(F.get(own, F.lit(0))["start"] <= last - 3)
     final = F.when(plus, F.get(own, F.lit(0))["end"] == edge).otherwise(F.get(own, F.lit(0))["start"] == edge)
