@@ -3,7 +3,7 @@
 Only what may repeat reaches a suffix array. Each LENGTH-byte window of a text has an anchor, the leftmost of its GRAM-byte
 strings with the smallest hash, so equal windows have equal anchors at equal places. Neighbouring windows with one anchor are
 a run: (hash of the anchor, hash of all bytes of the run). Runs whose anchor occurs nowhere else hold no repeated window.
-Runs that are equal as a whole repeat the earliest of them. What is left are different runs around one anchor: their bytes
+Runs that are equal as a whole repeat the earliest of them, in a task's block at once, then over all by anchor. What is left are different runs around one anchor: their bytes
 are cut out of the texts and sent to shards by anchor; an anchor with more than HOT runs goes to several shards.
 
 A shard joins its pieces and builds a suffix array by prefix doubling that re-sorts only what is not yet in order (Larsson
@@ -23,6 +23,7 @@ import hashlib
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -94,16 +95,49 @@ def runs_of(buf: np.ndarray, starts: np.ndarray):
 
 
 def _runs(it):
+    """Runs of windows; of equal runs of a block only the earliest is sent on by its anchor, the others are repeats (known), put together where they are neighbours."""
     for block in batches(it, 1 << 19):
-        h, run, text, lo, hi, at = runs_of(*buffer_of(block["text"]))
-        doc = pa.array(block["doc_id"], pa.int64()).take(pa.array(text))
-        yield pa.RecordBatch.from_arrays([pa.array(h), pa.array(run), doc, pa.array(lo.astype(np.int32)), pa.array(hi.astype(np.int32))], names=["h", "run", "doc_id", "lo", "hi"])
+        h, run, text, lo, hi, _ = runs_of(*buffer_of(block["text"]))
+        doc = np.array(block["doc_id"], np.int64)[text] if len(text) else text
+        known = np.zeros(len(h), bool)
+        with np.errstate(over="ignore"):
+            key = splitmix(h.view(np.uint64) * SALT[2] + run.view(np.uint64))
+        order = np.argsort(key)
+        same = key[order][1:] == key[order][:-1]
+        twice = np.zeros(len(h), bool)
+        twice[order[1:][same]] = twice[order[:-1][same]] = True
+        some = np.flatnonzero(twice)
+        if len(some):
+            some = some[np.lexsort((lo[some], doc[some], key[some]))]
+            new = np.append(True, key[some][1:] != key[some][:-1])
+            first = some[np.maximum.accumulate(np.where(new, np.arange(len(some)), 0))]
+            known[some] = ~new
+            drop = some[~new & (doc[some] == doc[first]) & (lo[some] == lo[first])]
+        else:
+            drop = some
+        k = np.flatnonzero(known & ~np.isin(np.arange(len(h)), drop)) if len(drop) else np.flatnonzero(known)
+        new = np.ones(len(k), bool)
+        new[1:] = (text[k][1:] != text[k][:-1]) | (lo[k][1:] != hi[k][:-1] + 1)
+        at = np.flatnonzero(new)
+        end = hi[k[np.append(at[1:], len(k)) - 1]] if len(k) else k
+        k = k[at]
+        rest = np.flatnonzero(~known)
+        # Repeats travel along, spread by place instead of anchor.
+        spread = splitmix((doc[k] * 1_000_003 + lo[k]).astype(np.uint64)).view(np.int64)
+        cols = [np.concatenate(v) for v in ((h[rest], spread), (run[rest], spread), (doc[rest], doc[k]), (lo[rest], lo[k]), (hi[rest], end))]
+        flag = np.concatenate((np.zeros(len(rest), bool), np.ones(len(k), bool)))
+        yield pa.RecordBatch.from_arrays([*[pa.array(c.astype(np.int64)) for c in cols[:3]], *[pa.array(c.astype(np.int32)) for c in cols[3:]], pa.array(flag)], names=["h", "run", "doc_id", "lo", "hi", "known"])
 
 
 def _sift(it):
     """Of runs sorted by (h, run, doc_id, lo): repeats of an equal run (kind 0), and one of each where an anchor has several (kind 1)."""
     last = None  # the first of the run that is open: (h, run, doc, lo, hi, whether its anchor is known to have several)
     for batch in it:
+        known_ = batch.column("known")
+        again = batch.filter(known_)
+        if again.num_rows:
+            yield pa.RecordBatch.from_arrays([pa.array(np.zeros(again.num_rows, np.int8)), again.column("h"), again.column("doc_id"), again.column("lo").cast(pa.int64()), again.column("hi").cast(pa.int64())], names=["kind", "h", "doc_id", "lo", "hi"])
+        batch = batch.filter(pc.invert(known_))
         n = batch.num_rows
         if not n:
             continue
@@ -354,7 +388,7 @@ def repeated_ranges(docs: DataFrame, hot: int = HOT) -> DataFrame:
     """doc_id, lo, hi: runs of starts (bytes, both ends included) of LENGTH-byte strings that also start earlier."""
     parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     docs = docs.filter("doc_id IS NOT NULL")
-    runs = docs.mapInArrow(_runs, "h bigint, run bigint, doc_id bigint, lo int, hi int")
+    runs = docs.mapInArrow(_runs, "h bigint, run bigint, doc_id bigint, lo int, hi int, known boolean")
     sifted = runs.repartition(parts, "h").sortWithinPartitions("h", "run", "doc_id", "lo")
     sifted = cut(sifted.mapInArrow(_sift, "kind tinyint, h bigint, doc_id bigint, lo bigint, hi bigint"), "sifted")
     several = sifted.filter("kind = 1").drop("kind")
@@ -362,7 +396,7 @@ def repeated_ranges(docs: DataFrame, hot: int = HOT) -> DataFrame:
     several = several.join(busy, "h", "left").withColumn("hot", F.col("n").isNotNull())
     salt = F.when(F.col("hot"), F.pmod(F.hash("doc_id"), F.ceil(F.col("n") / F.lit(float(hot))).cast("int"))).otherwise(0)
     asked = cut(several.withColumn("salt", salt.cast("int")).groupBy(F.col("doc_id").alias("id")).agg(F.collect_list(F.struct("h", "salt", "hot", "lo", "hi")).alias("parts")), "asked")
-    pieces = docs.join(small_side(asked, 64, F.size("parts") * 64), docs["doc_id"] == asked["id"]).select("doc_id", "text", "parts").mapInArrow(_cut_out, "h bigint, salt int, hot boolean, doc_id bigint, lo bigint, bytes binary")
+    pieces = docs.join(asked, docs["doc_id"] == asked["id"]).select("doc_id", "text", "parts").mapInArrow(_cut_out, "h bigint, salt int, hot boolean, doc_id bigint, lo bigint, bytes binary")
     pieces = pieces.repartition(parts, "h", "salt").sortWithinPartitions("h", "salt")
     found = cut(pieces.mapInArrow(_shard, "doc_id bigint, lo bigint, hi bigint, h bigint, content bigint"), "found")
     up = found.filter("h IS NOT NULL").select("h", "content", "doc_id", "lo")
