@@ -12,7 +12,7 @@ A line's first place is its smallest (doc_id, line number). A line repeats if it
 line whose first place is earlier; all its places are removed. Of every other line the first place stays and later places
 are removed. Lines shorter than SHORT bytes stay. A null text stays null, an empty one stays empty; a text that loses all its
 lines becomes empty. Rows with the same doc_id are one document's copies and keep the same lines. Lines of rows with a null
-doc_id stay and count for nothing. Other columns are kept. An empty table gives an empty result.
+doc_id stay and count for nothing. Other columns are kept, but n_lines and n_removed are replaced. An empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -262,14 +262,17 @@ def removed_lines(docs: DataFrame, k: int = DISTANCE, short: int = SHORT, cap: i
 
 def dedup_lines(docs: DataFrame, k: int = DISTANCE, short: int = SHORT, cap: int = CAP, block: int = BLOCK) -> DataFrame:
     """docs with the repeated lines of text gone, and n_lines and n_removed of each row."""
-    gone = cut(removed_lines(docs, k, short, cap, block).groupBy("doc_id").agg(F.sort_array(F.collect_list("no")).alias("gone")), "gone").withColumnRenamed("doc_id", "gone_id")
-    joined = docs.join(small_side(gone, 64, F.size("gone") * 8), docs["doc_id"].cast("bigint") == F.col("gone_id"), "left")
+    gone = cut(removed_lines(docs, k, short, cap, block).groupBy("doc_id").agg(F.sort_array(F.collect_list("no")).alias("gone")), "gone")
+    # Names that no column of docs has.
+    mine = lambda name: next(n for n in (f"{name}{'_' * i}" for i in range(1, len(docs.columns) + 2)) if n not in docs.columns)
+    gone = gone.select(F.col("doc_id").alias(mine("id")), F.col("gone").alias(mine("gone")))
+    joined = docs.join(small_side(gone, 64, F.size(mine("gone")) * 8), F.col("doc_id").cast("bigint") == F.col(mine("id")), "left")
     lines = F.split(F.col("text").cast("string"), "\n")
-    gone_ = F.coalesce("gone", F.array().cast("array<bigint>"))
+    gone_ = F.coalesce(mine("gone"), F.array().cast("array<bigint>"))
     held = F.filter(lines, lambda x, i: ~F.array_contains(gone_, i.cast("bigint")))
     text = F.when(F.col("text").isNull(), None).when(F.size(gone_) == 0, F.col("text")).otherwise(F.array_join(held, "\n"))
     n = F.when(F.col("text").isNull(), 0).otherwise(F.size(lines)).cast("bigint")
-    kept = [F.col(c) if c != "text" else text.alias("text") for c in docs.columns]
+    kept = [F.col(c) if c != "text" else text.alias("text") for c in docs.columns if c not in ("n_lines", "n_removed")]
     return joined.select(*kept, n.alias("n_lines"), F.size(gone_).cast("bigint").alias("n_removed"))
 
 
