@@ -129,3 +129,51 @@ def orf_shortening(spark, d):
     c = ad.table(spark, d, "customer").select(F.col("c_custkey").alias("id"), F.upper("c_mktsegment").alias("p"), F.expr("CASE WHEN c_custkey % 2 = 0 THEN '+' ELSE '-' END").alias("strand"))
     s = ht.shorten(F.col("p"), F.lit(100).cast("bigint"), F.lit(900).cast("bigint"), F.col("strand"))
     return c.withColumn("s", s).select("id", F.col("s.protein").alias("protein"), F.col("s.start").alias("start_"))
+
+
+@query("id_prefixes", """SELECT l_orderkey AS tx, l_linenumber AS line, l_partkey AS part, 'gene_id "sr.g' || l_suppkey || '"; transcript_id "sr.t' || l_orderkey || '"; note "transcript"' AS text FROM lineitem""")
+def id_prefixes(spark, d):
+    from ..operators.tidy import prefix_ids
+
+    text = F.expr("""concat('gene_id "g', l_suppkey, '"; transcript_id "t', l_orderkey, '"; note "transcript"')""")
+    return ad.table(spark, d, "lineitem").select(F.col("l_orderkey").alias("tx"), F.col("l_linenumber").alias("line"), F.col("l_partkey").alias("part"), prefix_ids(text, "sr.").alias("text"))
+
+
+@query("numbering", "SELECT c_custkey AS id, format('rRNA_{:d}', ROW_NUMBER() OVER (PARTITION BY c_nationkey ORDER BY c_acctbal, c_custkey)) AS name FROM customer")
+def numbering(spark, d):
+    from ..operators.tidy import numbered
+
+    return numbered(ad.table(spark, d, "customer"), "rRNA_%d", ["c_acctbal", "c_custkey"], ["c_nationkey"], "name").select(F.col("c_custkey").alias("id"), "name")
+
+
+@query("species_filter", "SELECT s_suppkey AS id FROM supplier WHERE s_nationkey IN (SELECT n_nationkey FROM nation WHERE n_regionkey = 1)")
+def species_filter(spark, d):
+    from ..operators.tidy import keep_species
+
+    keep = ad.table(spark, d, "nation").filter("n_regionkey = 1").select(F.concat(F.col("n_nationkey"), F.lit("")).alias("species"))
+    s = ad.table(spark, d, "supplier").withColumn("subject", F.concat("s_nationkey", F.lit("_x")))
+    return keep_species(s, keep, ht.species_key(F.col("subject"))).select(F.col("s_suppkey").alias("id"))
+
+
+@query("replaced_sequences", "SELECT c_custkey AS cds_id, CASE WHEN c_custkey % 3 = 0 AND c_custkey % 2 = 0 THEN substr(c_name, 4) ELSE c_name END AS seq, CASE WHEN c_custkey % 3 = 0 AND c_custkey % 2 = 0 THEN 'shortened' ELSE 'full' END AS source FROM customer")
+def replaced(spark, d):
+    from ..operators.tidy import replaced_sequences
+
+    c = ad.table(spark, d, "customer").select(F.col("c_custkey").alias("cds_id"), F.col("c_name").alias("seq"))
+    v = c.filter("cds_id % 5 <> 1 OR cds_id % 3 = 0").select("cds_id", F.expr("cds_id % 3 = 0").alias("incomplete"))
+    return replaced_sequences(c, v, c.filter("cds_id % 2 = 0").withColumn("seq", F.expr("substring(seq, 4)")))
+
+
+@query("reason_counts", "SELECT COALESCE(CASE WHEN l_quantity < 10 THEN 'short' WHEN l_discount > 0.05 THEN 'cheap' END, 'kept') AS reason, COUNT(*) AS n FROM lineitem GROUP BY 1")
+def reasons(spark, d):
+    from ..operators.tidy import reason_counts
+
+    return reason_counts(ad.table(spark, d, "lineitem").select(F.expr("CASE WHEN l_quantity < 10 THEN 'short' WHEN l_discount > 0.05 THEN 'cheap' END").alias("reason")))
+
+
+@query("positive_shares", "SELECT 'q' AS column_, COUNT(*) AS n, COUNT(*) FILTER (l_quantity > 25) AS positive FROM lineitem UNION ALL SELECT 'd', COUNT(*) FILTER (l_linenumber > 1), COUNT(*) FILTER (l_linenumber > 1 AND l_discount > 0) FROM lineitem")
+def positive_shares(spark, d):
+    from ..operators.support import positive_share
+
+    li = ad.table(spark, d, "lineitem").select(F.expr("l_quantity - 25").alias("q"), F.expr("CASE WHEN l_linenumber > 1 THEN l_discount END").alias("d"))
+    return positive_share(li, ["q", "d"]).withColumnRenamed("column", "column_")
