@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import batches, buffer_of, cut, group_starts, pairs_in_groups, small_side, splitmix, table, whole_groups, words_of
+from .common import batches, buffer_of, cut, group_starts, pairs_in_groups, splitmix, table, whole_groups, words_of
 from .graph import components
 
 CAP = 12
@@ -296,15 +296,20 @@ class Verifier:
                 sets = [class_of(x) for x in shingle_sets(batch.column("text").to_pylist(), k)] if batch.num_rows else []
                 yield batch.filter(pa.array(np.array(sets, np.int64) == batch.column("cls").to_numpy()))
 
-        found = self.docs.join(small_side(reps, 48), "doc_id").select("cls", "text").mapInArrow(own, "cls bigint, text string")
+        # One strategy at every size: texts meet the ids in a shuffle, once for all verifications.
+        found = self.docs.join(reps, "doc_id").select("cls", "text").mapInArrow(own, "cls bigint, text string")
         return cut(found.dropDuplicates(["cls"]), "texts")
 
-    def __call__(self, pairs: DataFrame) -> DataFrame:
-        k, percent = self.rule.words, self.rule.percent
+    def bounded(self, pairs: DataFrame) -> DataFrame:
+        """The pairs that the bounds by size and bins leave."""
+        percent = self.rule.percent
         side = lambda c: self.classes.select(F.col("cls").alias(c), F.col("bins").alias(f"x{c}"), F.col("n").alias(f"n{c}"))
         near = pairs.join(side("a"), "a").join(side("b"), "b").filter(F.least("na", "nb") * 100 >= percent * F.greatest("na", "nb"))
-        near = cut(near.mapInArrow(_bound(percent), "a bigint, b bigint"), "near")
-        texts = self.texts(near.select(F.explode(F.array("a", "b")).alias("cls")).distinct())
+        return cut(near.mapInArrow(_bound(percent), "a bigint, b bigint"), "near")
+
+    def __call__(self, near: DataFrame, texts: DataFrame) -> DataFrame:
+        """The bounded pairs that are similar; texts holds all their classes."""
+        k, percent = self.rule.words, self.rule.percent
         joined = near.join(texts.select(F.col("cls").alias("a"), F.col("text").alias("ta")), "a").join(texts.select(F.col("cls").alias("b"), F.col("text").alias("tb")), "b")
 
         def check(it):
@@ -361,7 +366,7 @@ def similar_classes(docs: DataFrame, rule: Rule, cap: int = CAP, block: int = BL
         return cut(rows.repartition(parts, "entry").sortWithinPartitions("entry", "cls").mapInArrow(_meet(cap, rule.percent), pair_rows), "met")
 
     met = meet(entries(docs, rule))
-    links = cut(verify(cut(met.filter("b IS NOT NULL").select("a", "b").distinct(), "pairs")), "links")
+    near = verify.bounded(cut(met.filter("b IS NOT NULL").select("a", "b").distinct(), "pairs"))
     hot = met.filter("b IS NULL").select(F.col("a").alias("cls"), "n", "band")
 
     def heavy(it):
@@ -372,10 +377,12 @@ def similar_classes(docs: DataFrame, rule: Rule, cap: int = CAP, block: int = BL
 
     loaded = hot.groupBy("cls", "band").agg(F.count("*").alias("h"), (F.min("n") < 0).alias("sparse")).mapInArrow(heavy, "cls bigint").distinct()
     loaded = cut(loaded, "loaded")
+    texts = verify.texts(near.select(F.explode(F.array("a", "b")).alias("cls")).unionByName(loaded).distinct())
+    links = cut(verify(near, texts), "links")
     if loaded.isEmpty():
         return sizes, components(links)
     # Heavy sets among themselves: entries by rising frequency, of each set only as many as a similar pair cannot miss.
-    fine = cut(verify.texts(loaded).mapInArrow(_fine(rule), "entry bigint, cls bigint, n int, band smallint, most int"), "fine")
+    fine = cut(texts.join(loaded, "cls", "left_semi").mapInArrow(_fine(rule), "entry bigint, cls bigint, n int, band smallint, most int"), "fine")
     count = fine.groupBy("entry").agg(F.count("*").alias("c"))
     rank = F.row_number().over(Window.partitionBy("cls", "band").orderBy("c", "entry"))
     prefix = fine.join(count, "entry").withColumn("r", rank).filter("r <= most AND c > 1").select("entry", "cls", "n", "band")
@@ -386,7 +393,7 @@ def similar_classes(docs: DataFrame, rule: Rule, cap: int = CAP, block: int = BL
     pivots = hot.join(weight, "cls").groupBy("entry").agg(F.max(F.struct("w", "cls")).alias("p"))
     pivots = cut(pivots.select("entry", F.col("p.cls").alias("pivot")), "pivots")
     first = hot.join(pivots, "entry").filter(F.col("cls") != F.col("pivot")).select(F.least("cls", "pivot").alias("a"), F.greatest("cls", "pivot").alias("b"))
-    links = cut(links.unionByName(verify(cut(found.unionByName(first).distinct(), "pairs"))), "links")
+    links = cut(links.unionByName(verify(verify.bounded(cut(found.unionByName(first).distinct(), "pairs")), texts)), "links")
     comp = cut(components(links), "components")
     if hot.isEmpty():
         return sizes, comp
@@ -398,7 +405,7 @@ def similar_classes(docs: DataFrame, rule: Rule, cap: int = CAP, block: int = BL
     cells = cells.select("entry", F.least("blk", "o").alias("i"), F.greatest("blk", "o").alias("j"), "blk", "cls", "component").join(classes.select("cls", "n", "bins"), "cls")
     more = cut(cells.repartition(parts, "entry", "i", "j").sortWithinPartitions("entry", "i", "j").mapInArrow(_cross(rule.percent), "a bigint, b bigint").distinct(), "pairs")
     if not more.isEmpty():
-        comp = components(cut(links.unionByName(verify(more)), "links"))
+        comp = components(cut(links.unionByName(verify(more, texts)), "links"))
     return sizes, comp
 
 
