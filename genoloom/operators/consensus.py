@@ -11,6 +11,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..functions.numbers import rounded
 from .intervals import covered_bases, interval_join, islands
 
 KEY = ["contig", "strand", "segs"]
@@ -356,6 +357,28 @@ def rescuable(min_cov: float, min_intron_frac: float) -> Column:
     return F.coalesce((F.col("n_exons") >= 2) & (F.col("dmd_qcov") >= min_cov) & (F.col("dmd_tcov") >= min_cov) & (F.col("prot_intron_frac") >= min_intron_frac), F.lit(False))
 
 
+#: Evidence and structure columns that enter the model as they are, the broken numbers rounded as in the report.
+MODEL_COLUMNS = [
+    "prot_intron_frac", "prot_intron_min_n", "prot_start", "prot_stop", "prot_hints_in_span", "prot_extra", "prot_shifted", "prot_beyond", "dmd_hit", "dmd_bits_per_aa", "dmd_pident", "dmd_n_hits", "dmd_n_taxa", "dmd_qcov", "dmd_tcov",
+    "dmd_len_ratio", "dmd_nterm_offset", "dmd_cterm_offset", "rna_frac", "rna_cov", "rna_min_mult", "tool_intron_frac", "novel_introns", "novel_rna_frac", "base_tier", "mp_train_match", "mp_rep_match", "dmd_bits",
+]
+
+
+def model_features(structures: DataFrame, roles: Roles) -> DataFrame:
+    """structures with the features of the selection model: MODEL_COLUMNS (missing ones are null), by_<tool>, n_tools, dt, logarithms, and the context of the locus."""
+    s = structures.withColumns({c: F.lit(None).cast("double") for c in MODEL_COLUMNS if c not in structures.columns})
+    kinds = dict(s.dtypes)
+    s = s.withColumns({c: rounded(F.col(c), 3) if kinds[c] == "double" else F.col(c).cast("double") for c in MODEL_COLUMNS})
+    s = s.withColumns({f"by_{t}": has(t).cast("int") for t in roles.order}).withColumns({"n_tools": F.size("tools"), "dt": is_dt(roles).cast("int")})
+    hits, taxa = F.col("dmd_n_hits"), F.col("dmd_n_taxa")
+    s = s.withColumns({
+        "log_cds_len": F.log10(F.greatest("cds_len", F.lit(1)).cast("double")), "log_mult": F.log1p("rna_min_mult"), "mp_match": F.greatest("mp_train_match", "mp_rep_match"),
+        "hits_per_taxon": F.when(hits.isNull() | taxa.isNull(), None).when(taxa > 0, F.try_divide(hits, taxa)).when(hits > 0, float("inf")),
+        "lr_dev": F.abs(F.ln(F.least(F.greatest("dmd_len_ratio", F.lit(0.01)), F.lit(100.0)))) * F.when(F.col("dmd_len_ratio").isNotNull(), 1.0),
+    })
+    return cluster_context(s)
+
+
 def cluster_context(df: DataFrame) -> DataFrame:
     """Context features of a locus (A12, A13, A14) from base_tier, n_tools, cds_len, rna_frac, lr_dev, prot_intron_frac, dmd_hit, dmd_bits and log_mult; nulls are skipped."""
     w = Window.partitionBy("cluster")

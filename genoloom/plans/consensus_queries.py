@@ -187,3 +187,17 @@ def model_selection(spark, d):
     s = co.add_loci(ad.structures(spark, d)).withColumn("p", F.expr("(cds_len * 7 + n_exons * 13) % 101 / 100"))
     s = s.withColumn("unselectable", F.expr("n_exons = 1 AND array_join(tools, ',') = 't0'")).withColumn("rescuable", F.expr("n_exons > 2 AND cds_len % 2 = 0"))
     return co.select_model(s, 0.6, 0.3, ["segs"]).select("cluster", "contig", "strand", co.chain_text(F.col("segs")).alias("chain"), "rank", "why")
+
+
+@query("model_features", f"""WITH {TIERED}, {ad.INTRON_PART}, {ad.RNA},
+si AS (SELECT chain, seqid, strand, segs[i].e + 1 AS s, segs[i + 1].s - 1 AS e FROM structs, UNNEST(range(1, n)) AS u(i)),
+ev AS (SELECT si.seqid, si.strand, si.chain, MIN(COALESCE(rna.mult, 0)) AS mm, COUNT(*) FILTER (COALESCE(rna.mult, 0) >= 2) AS ok FROM si LEFT JOIN rna USING (seqid, s, e) GROUP BY ALL),
+f AS (SELECT m.*, LN(1 + ev.mm) AS lm, CAST(printf('%.3f', CASE WHEN n > 1 THEN ok / (n - 1) END) AS DOUBLE) AS rf FROM numbered m LEFT JOIN ev USING (seqid, strand, chain)),
+ref AS (SELECT COALESCE(MEDIAN(lm) FILTER (n_tools = (SELECT MAX(n_tools) FROM f)), 0) AS r FROM f)
+SELECT seqid AS contig, strand, chain, n_tools, CASE WHEN dt THEN 1 ELSE 0 END AS dt, CAST(ROUND(1000000 * LOG10(len)) AS BIGINT) AS log_len, CAST(ROUND(1000000 * (lm - r)) AS BIGINT) AS mult_rel, CAST(ROUND(1000 * (COALESCE(rf, 1) - COALESCE(MAX(rf) OVER w, 1))) AS BIGINT) AS frac_rel,
+  COUNT(*) OVER w AS cl_n, CAST(MAX(tier) OVER w AS BIGINT) AS cl_maxtier, CAST(ROUND(1000000 * len / MAX(len) OVER w) AS BIGINT) AS len_rel FROM f, ref WINDOW w AS (PARTITION BY cluster)""")
+def model_features(spark, d):
+    s = co.add_rna(co.add_loci(ad.structures(spark, d)), ad.rna_hints(spark, d), None)
+    f = co.model_features(co.assign_tiers(s, PLAIN), PLAIN.roles)
+    big = lambda c, k=1: F.round(F.col(c) * k).cast("bigint")
+    return f.select("contig", "strand", co.chain_text(F.col("segs")).alias("chain"), F.col("n_tools").cast("bigint").alias("n_tools"), "dt", big("log_cds_len", 1000000).alias("log_len"), big("log_mult_rel", 1000000).alias("mult_rel"), big("rna_frac_rel", 1000).alias("frac_rel"), "cl_n", big("cl_maxtier").alias("cl_maxtier"), big("len_rel_cluster", 1000000).alias("len_rel"))

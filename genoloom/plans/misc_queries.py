@@ -177,3 +177,19 @@ def positive_shares(spark, d):
 
     li = ad.table(spark, d, "lineitem").select(F.expr("l_quantity - 25").alias("q"), F.expr("CASE WHEN l_linenumber > 1 THEN l_discount END").alias("d"))
     return positive_share(li, ["q", "d"]).withColumnRenamed("column", "column_")
+
+
+@query("hit_features", """WITH h AS (SELECT l_orderkey AS query, CAST(ROUND(l_extendedprice * 100) AS BIGINT) AS bits, CAST(l_quantity AS BIGINT) + 60 AS qlen, l_partkey % 50 + 40 AS slen, 1 + l_suppkey % 7 AS qs, 30 + l_linenumber AS qe, 1 + l_partkey % 5 AS ss, 28 + l_linenumber AS se, ROW_NUMBER() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_extendedprice, l_partkey, l_suppkey, l_quantity) AS ln FROM lineitem),
+b AS (SELECT * FROM h WHERE ln = 1), m AS (SELECT query, MEDIAN((qs - ss)::DOUBLE) AS nt, MEDIAN((qlen - qe - (slen - se))::DOUBLE) AS ct FROM h WHERE ln <= 10 GROUP BY query)
+SELECT query, bits, CAST(ROUND(1000000 * (qe - qs + 1) / qlen) AS BIGINT) AS qcov, CAST(ROUND(1000000 * (se - ss + 1) / slen) AS BIGINT) AS tcov, CAST(nt * 2 AS BIGINT) AS nterm2, CAST(ct * 2 AS BIGINT) AS cterm2 FROM b JOIN m USING (query)""")
+def hit_features(spark, d):
+    from pyspark.sql import Window
+
+    w = Window.partitionBy("l_orderkey").orderBy("l_linenumber", "l_extendedprice", "l_partkey", "l_suppkey", "l_quantity")
+    h = ad.table(spark, d, "lineitem").select(
+        F.col("l_orderkey").alias("query"), F.row_number().over(w).cast("bigint").alias("line_no"), F.expr("concat(l_suppkey, '_', l_partkey)").alias("subject"), F.round(F.col("l_extendedprice") * 100).cast("bigint").alias("bitscore"), F.lit(90).alias("pident"),
+        (F.col("l_quantity").cast("bigint") + 60).alias("qlen"), F.expr("l_partkey % 50 + 40").alias("slen"), F.expr("1 + l_suppkey % 7").alias("qstart"), F.expr("30 + l_linenumber").alias("qend"), F.expr("1 + l_partkey % 5").alias("sstart"), F.expr("28 + l_linenumber").alias("send"),
+    )
+    f = ht.hit_features(ht.hit_summary(h))
+    big = lambda c, k: F.round(F.col(c) * k).cast("bigint")
+    return f.select("query", F.col("dmd_bits").alias("bits"), big("dmd_qcov", 1000000).alias("qcov"), big("dmd_tcov", 1000000).alias("tcov"), big("dmd_nterm_offset", 2).alias("nterm2"), big("dmd_cterm_offset", 2).alias("cterm2"))
