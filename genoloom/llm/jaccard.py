@@ -66,24 +66,16 @@ class Rule:
             t = self.percent
             differ = (hi + hi * 100 // t) * (100 - t) // (100 + t)
             n = (self.low[band] + hi) / 2
-            best = None
             surplus = 1 + differ // 10 if differ else 0
-            for deep in range(differ // 2 + 2 + surplus):
-                # Differences spoil whole segments first, at one each, then two for each deep one.
-                if deep - differ // 2 > surplus:
-                    whole = 0
-                else:
-                    whole = differ + 1 + surplus - deep if differ + 1 + surplus - deep >= differ else differ
-                    while whole > 0 and self.survive(whole - 1, deep, differ) > surplus:
-                        whole -= 1
-                    while self.survive(whole, deep, differ) <= surplus:
-                        whole += 1
-                k = n / max(whole + deep, 1)
-                shared = min(0.9, PASSAGE / n)
-                cost = whole * (1 + CHANCE * shared**k) + deep * (1 + k) * (1 + CHANCE * shared ** (k - 1))
-                if best is None or cost < best[0]:
-                    best = (cost, whole, deep)
-            self.plans[band] = (best[1], best[2], surplus)
+            deep = np.arange(differ // 2 + surplus + 2)
+            # Differences spoil whole segments first, at one each, then two for each deep one; the fewest whole ones that leave
+            # more than the surplus:
+            whole = np.where(deep <= surplus + 1, differ + surplus + 1 - deep, np.maximum(differ - 2 * (deep - surplus - 1) - 1, 0))
+            k = n / np.maximum(whole + deep, 1)
+            shared = min(0.9, PASSAGE / n)
+            cost = whole * (1 + CHANCE * shared**k) + deep * (1 + k) * (1 + CHANCE * shared ** (k - 1))
+            best = int(cost.argmin())
+            self.plans[band] = (int(whole[best]), int(deep[best]), surplus)
         return self.plans[band]
 
     @staticmethod

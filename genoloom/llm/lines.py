@@ -47,24 +47,25 @@ def within(a: bytes, b: bytes, k: int) -> bool:
         a, b = a[: len(a) - s], b[: len(b) - s]
     if not a or not b:
         return max(len(a), len(b)) <= k
-    where: dict[int, int] = {}
-    for j, c in enumerate(a):
-        where[c] = where.get(c, 0) | (2 << j)
-    # Bit j of rows[e]: the first j bytes of a are within e edits of what is read of b. Only bits within k of the diagonal live.
-    rows = [(2 << e) - 1 for e in range(k + 1)]
-    width, goal = (2 << (2 * k)) - 1, 1 << len(a)
+    # Bit t of rows[e], when i bytes of b are read: the first i - k + t bytes of a are within e edits of them. The band is 2k + 1
+    # bits wide, however long the lines are.
+    full = (2 << (2 * k)) - 1
+    rows = [((2 << e) - 1) << k for e in range(k + 1)]
     for i, c in enumerate(b, 1):
-        band = (width << (i - k)) if i > k else (2 << (i + k)) - 1
-        hit, new = where.get(c, 0), []
+        hit = 0
+        for t in range(max(0, k - i + 1), min(2 * k, len(a) - i + k) + 1):
+            if a[i - k + t - 1] == c:
+                hit |= 1 << t
+        new = []
         for e in range(k + 1):
-            r = (rows[e] << 1) & hit
+            r = rows[e] & hit
             if e:
-                r |= rows[e - 1] | (rows[e - 1] << 1) | (new[e - 1] << 1)
-            new.append(r & band)
+                r |= rows[e - 1] | (rows[e - 1] >> 1) | (new[e - 1] << 1)
+            new.append(r & full)
         rows = new
         if not rows[k]:
             return False
-    return bool(rows[k] & goal)
+    return bool(rows[k] >> (len(a) - len(b) + k) & 1)
 
 
 def cuts(length: int, k: int = DISTANCE) -> list[tuple[int, int]]:

@@ -172,3 +172,13 @@ def test_near_vectors(spark):
 def test_near_vectors_empty_table(spark):
     assert embedding.near_vectors(spark.createDataFrame([], "vec_id bigint, embedding array<float>, label int")).count() == 0
 
+
+
+def test_very_long_lines_and_sets():
+    a = b"xxx" + bytes(range(97, 123)) * 4000
+    b = bytearray(a)
+    b[5], b[-5] = 1, 2
+    assert lines.within(a, bytes(b), 2) and not lines.within(a, bytes(b), 1)
+    rule = jaccard.Rule(4, 85)
+    whole, deep, surplus = rule.plan(int(rule.band(3_000_000)))
+    assert whole + deep > surplus
