@@ -2,13 +2,22 @@
 
 from __future__ import annotations
 
+from decimal import Decimal
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
 def fixed(x: Column, digits: int) -> Column:
-    """Text with so many decimals, without grouping."""
-    return F.call_function("format_number", x.cast("double"), F.lit("0." + "0" * digits if digits else "0"))
+    """Text with so many decimals, without grouping. The formatter takes values whose first kept digit would be rounded up from nothing for ties; those are compared with the tie's exact value."""
+    x = x.cast("double")
+    text = F.call_function("format_number", x, F.lit("0." + "0" * digits if digits else "0"))
+    unit = 10.0**-digits
+    tie = 0.5 * unit
+    above = Decimal(tie) > Decimal(5).scaleb(-digits - 1)
+    up = F.abs(x) >= tie if above else F.abs(x) > tie
+    small = F.concat(F.when(x < 0, "-").otherwise(""), F.when(up, f"{unit:.{digits}f}").otherwise(f"{0:.{digits}f}"))
+    return F.when((F.abs(x) < unit) & (x != 0), small).otherwise(text)
 
 
 def rounded(x: Column, digits: int) -> Column:
