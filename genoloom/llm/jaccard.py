@@ -33,7 +33,7 @@ from pyspark.sql import functions as F
 from .common import batches, buffer_of, cut, group_starts, pairs_in_groups, splitmix, table, whole_groups, words_of
 from .graph import components
 
-CAP = 12
+CAP = 8
 BINS = 256
 BLOCK = 512
 #: plan() reckons with unrelated sets that share a passage of so many shingles, and weighs their meeting so many times an entry.
@@ -231,21 +231,20 @@ def enter_finely(x: np.ndarray, band: int, rule: Rule) -> tuple[np.ndarray, int]
 def _fine(rule: Rule):
     def fine(it):
         for batch in it:
-            es, cs, ns, bs, ls = [], [], [], [], []
-            for c, text in zip(batch.column("cls").to_pylist(), batch.column("text").to_pylist(), strict=True):
+            es, cs, ns, bs, ls, ws = [], [], [], [], [], []
+            for c, text, bands in zip(batch.column("cls").to_pylist(), batch.column("text").to_pylist(), batch.column("bands").to_pylist(), strict=True):
                 x = shingle_sets([text], rule.words)[0]
-                n, band = len(x), int(rule.band(len(x)))
-                for j in (band, band - 1):
-                    if j < 0 or not n or (j < band and n * rule.percent > 100 * int(rule.top(j))):
-                        continue
+                n = len(x)
+                for j in bands:
                     e, least = enter_finely(x, j, rule)
                     es.append(e)
                     cs.append(np.full(len(e), c, np.int64))
                     ns.append(np.full(len(e), n, np.int32))
                     bs.append(np.full(len(e), j, np.int16))
-                    ls.append(np.full(len(e), len(e) - max(least, 1) + 1, np.int32))
+                    ls.append(np.full(len(e), len(e), np.int32))
+                    ws.append(np.full(len(e), len(e) - max(least, 1) + 1, np.int32))
             if es:
-                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(es).view(np.int64)), *[pa.array(np.concatenate(v)) for v in (cs, ns, bs, ls)]], names=["entry", "cls", "n", "band", "most"])
+                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(es).view(np.int64)), *[pa.array(np.concatenate(v)) for v in (cs, ns, bs, ls, ws)]], names=["entry", "cls", "n", "band", "of", "most"])
 
     return fine
 
@@ -256,6 +255,14 @@ def _near(x: np.ndarray, y: np.ndarray, total: np.ndarray, percent: int) -> np.n
     return np.minimum(d, np.negative(d)).sum(1, dtype=np.int64) * (100 + percent) <= total * (100 - percent)
 
 
+def _counted(it):
+    """Entries in order with the number of their sets (c); entries of one set only are left out."""
+    for t in whole_groups(it, ["entry"], 100_000):
+        starts = group_starts([t.column("entry").to_numpy()])
+        c = np.repeat(np.diff(starts), np.diff(starts))
+        yield from t.append_column("c", pa.array(c)).filter(pa.array(c > 1)).to_batches()
+
+
 def _bound(percent: int):
     """Drops pairs whose bins differ by more than a similar pair may: an exact bound."""
 
@@ -289,20 +296,20 @@ class Verifier:
                 yield batch.filter(pa.array(np.array(sets, np.int64) == batch.column("cls").to_numpy()))
 
         # One strategy at every size: texts meet the ids in a shuffle, once for all verifications.
-        found = self.docs.join(reps, "doc_id").select("cls", "text").mapInArrow(own, "cls bigint, text string")
+        found = self.docs.join(reps.hint("merge"), "doc_id").select("cls", "text").mapInArrow(own, "cls bigint, text string")
         return cut(found.dropDuplicates(["cls"]), "texts")
 
     def bounded(self, pairs: DataFrame) -> DataFrame:
         """The pairs that the bounds by size and bins leave."""
         percent = self.rule.percent
         side = lambda c: self.classes.select(F.col("cls").alias(c), F.col("bins").alias(f"x{c}"), F.col("n").alias(f"n{c}"))
-        near = pairs.join(side("a"), "a").join(side("b"), "b").filter(F.least("na", "nb") * 100 >= percent * F.greatest("na", "nb"))
+        near = pairs.hint("merge").join(side("a"), "a").join(side("b").hint("merge"), "b").filter(F.least("na", "nb") * 100 >= percent * F.greatest("na", "nb"))
         return cut(near.mapInArrow(_bound(percent), "a bigint, b bigint"), "near")
 
     def __call__(self, near: DataFrame, texts: DataFrame) -> DataFrame:
         """The bounded pairs that are similar; texts holds all their classes."""
         k, percent = self.rule.words, self.rule.percent
-        joined = near.join(texts.select(F.col("cls").alias("a"), F.col("text").alias("ta")), "a").join(texts.select(F.col("cls").alias("b"), F.col("text").alias("tb")), "b")
+        joined = near.hint("merge").join(texts.select(F.col("cls").alias("a"), F.col("text").alias("ta")), "a").join(texts.select(F.col("cls").alias("b"), F.col("text").alias("tb")).hint("merge"), "b")
 
         def check(it):
             for batch in it:
@@ -365,19 +372,21 @@ def similar_classes(docs: DataFrame, rule: Rule, cap: int = CAP, block: int = BL
         for batch in it:
             surplus = {b: rule.plan(b)[2] for b in set(batch.column("band").to_pylist())}
             keep = [s or h > surplus[b] // 2 for b, h, s in zip(batch.column("band").to_pylist(), batch.column("h").to_pylist(), batch.column("sparse").to_pylist(), strict=True)]
-            yield batch.filter(pa.array(keep, pa.bool_())).select(["cls"])
+            yield batch.filter(pa.array(keep, pa.bool_())).select(["cls", "band"])
 
-    loaded = hot.groupBy("cls", "band").agg(F.count("*").alias("h"), (F.min("n") < 0).alias("sparse")).mapInArrow(heavy, "cls bigint").distinct()
-    loaded = cut(loaded, "loaded")
-    texts = verify.texts(near.select(F.explode(F.array("a", "b")).alias("cls")).unionByName(loaded).distinct())
+    loaded = hot.groupBy("cls", "band").agg(F.count("*").alias("h"), (F.min("n") < 0).alias("sparse")).mapInArrow(heavy, "cls bigint, band smallint")
+    loaded = cut(loaded.groupBy("cls").agg(F.collect_list("band").alias("bands")), "loaded")
+    texts = verify.texts(near.select(F.explode(F.array("a", "b")).alias("cls")).unionByName(loaded.select("cls")).distinct())
     links = cut(verify(near, texts), "links")
     if loaded.isEmpty():
         return sizes, components(links)
     # Heavy sets among themselves: entries by rising frequency, of each set only as many as a similar pair cannot miss.
-    fine = cut(texts.join(loaded, "cls", "left_semi").mapInArrow(_fine(rule), "entry bigint, cls bigint, n int, band smallint, most int"), "fine")
-    count = fine.groupBy("entry").agg(F.count("*").alias("c"))
-    rank = F.row_number().over(Window.partitionBy("cls", "band").orderBy("c", "entry"))
-    prefix = fine.join(count, "entry").withColumn("r", rank).filter("r <= most AND c > 1").select("entry", "cls", "n", "band")
+    fine = texts.join(loaded.hint("merge"), "cls").select("cls", "text", "bands").mapInArrow(_fine(rule), "entry bigint, cls bigint, n int, band smallint, of int, most int")
+    fine = fine.repartition(parts, "entry").sortWithinPartitions("entry").mapInArrow(_counted, "entry bigint, cls bigint, n int, band smallint, of int, most int, c bigint")
+    own = Window.partitionBy("cls", "band")
+    # Entries of one set only come first in the order of frequency, though they are not sent.
+    rank = F.row_number().over(own.orderBy("c", "entry")) + F.col("of") - F.count("*").over(own)
+    prefix = fine.withColumn("r", rank).filter("r <= most").select("entry", "cls", "n", "band")
     met = meet(prefix)
     found = met.filter("b IS NOT NULL").select("a", "b")
     hot = cut(met.filter("b IS NULL").select(F.col("a").alias("cls"), "entry", "n"), "hot")
