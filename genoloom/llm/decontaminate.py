@@ -11,8 +11,9 @@ enough of its weight in benchmark words for any cosine to reach the limit. Candi
 passage: the longest common subsequence with the piece must cover COPY of it, or PARAPHRASE of it if the piece's answer (its
 last ANSWER words) is there in one run.
 
-The benchmark is the query set: it goes to every task in blocks of ITEMS items, so its share of memory is bounded. A null or
-empty text, or item, matches nothing. Equal rows give one result. Texts are read whole. Other columns are ignored. An empty
+The benchmark is the query set: its items come to the driver in blocks of about ITEMS and go to every task in blocks of at
+most PIECES pieces, so their share of memory is bounded. A block never has more pieces than the space has directions for
+them: every piece lies wholly in the space, and a verbatim copy keeps its cosine. A null or empty text, or item, matches nothing. Equal rows give one result. Texts are read whole. Other columns are ignored. An empty
 table or benchmark gives an empty result.
 """
 
@@ -32,6 +33,8 @@ DF_BUCKETS = 1 << 17
 OTHER = 4096
 SKETCH = 8
 RANK = 256
+#: Pieces of a space: no more than it has directions beside the sketch's.
+PIECES = RANK - SKETCH
 COSINE = 0.45
 COPY = 0.6
 PARAPHRASE = 0.45
@@ -69,18 +72,22 @@ def document_frequency(docs: DataFrame) -> tuple[np.ndarray, int]:
     return out[:-1], int(out[-1])
 
 
+def pieces_of(items: list[tuple[int, str]]) -> list[tuple[int, np.ndarray]]:
+    """Item and words of each piece."""
+    out = []
+    for item_id, text in items:
+        w = words_of(*buffer_of([text]))[0]
+        if len(w):
+            out += [(item_id, w[s : s + PIECE]) for s in range(0, max(len(w) - PIECE // 2, 1), PIECE // 2)]
+    return out
+
+
 class Space:
     """Features, their weights and, after fit, the latent basis and the pieces in it."""
 
-    def __init__(self, items: list[tuple[int, str]], idf: np.ndarray):
+    def __init__(self, pieces: list[tuple[int, np.ndarray]], idf: np.ndarray):
         self.idf = idf
-        self.item, self.words = [], []
-        for item_id, text in items:
-            w = words_of(*buffer_of([text]))[0]
-            for s in range(0, max(len(w) - PIECE // 2, 1), PIECE // 2):
-                if len(w):
-                    self.item.append(item_id)
-                    self.words.append(w[s : s + PIECE])
+        self.item, self.words = [i for i, _ in pieces], [w for _, w in pieces]
         self.vocabulary = np.unique(np.concatenate([np.zeros(0, np.uint64), *self.words]))
         self.seen = np.zeros(1 << 20, bool)  # of the top 20 bits of a word's hash
         self.seen[(self.vocabulary >> np.uint64(44)).astype(np.int64)] = True
@@ -237,13 +244,13 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, items_at_once: int = ITE
     out = None
     for b in range(blocks):
         items = sorted((r["item_id"], r["text"]) for r in bench.filter(F.pmod(F.hash("item_id", "text"), F.lit(blocks)) == b).collect())
-        space = Space(items, idf)
-        if not space.words:
-            continue
-        space.fit(sketch(docs, spark.sparkContext.broadcast(space.__dict__), space.size))
-        light = {k: v for k, v in space.__dict__.items() if k != "rows"}
-        found = docs.mapInArrow(_search(spark.sparkContext.broadcast(light)), SCHEMA)
-        out = found if out is None else out.unionByName(found)
+        pieces = pieces_of(items)
+        for at in range(0, len(pieces), PIECES):  # an item's pieces may be in two blocks: the best of all is taken below
+            space = Space(pieces[at : at + PIECES], idf)
+            space.fit(sketch(docs, spark.sparkContext.broadcast(space.__dict__), space.size))
+            light = {k: v for k, v in space.__dict__.items() if k != "rows"}
+            found = docs.mapInArrow(_search(spark.sparkContext.broadcast(light)), SCHEMA)
+            out = found if out is None else out.unionByName(found)
     if out is None:
         return spark.createDataFrame([], SCHEMA)
     best = out.groupBy("doc_id", "item_id").agg(F.max(F.struct("lcs_share", "cosine", "start_word", "answer")).alias("m"))

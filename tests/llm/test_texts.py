@@ -162,6 +162,16 @@ def test_contaminated(spark):
     assert decontaminate.contaminated(frame(spark, rows).limit(0), bench).count() == 0
 
 
+def test_contaminated_with_more_pieces_than_directions(spark):
+    r = random.Random(41)
+    words = [f"v{i}" for i in range(3000)]
+    items = [(i, " ".join(r.choice(words) for _ in range(80))) for i in range(1100)]  # 2200 pieces
+    want = {(d, r.randrange(1100)) for d in range(60)}
+    rows = [(d, " ".join(r.choice(words) for _ in range(40)) + " " + items[i][1] + " " + " ".join(r.choice(words) for _ in range(40))) for d, i in sorted(want)]
+    got = decontaminate.contaminated(spark.createDataFrame(rows, DOCS), spark.createDataFrame(items, "item_id bigint, text string")).collect()
+    assert {(x["doc_id"], x["item_id"]) for x in got} == want
+
+
 # Language model
 
 
