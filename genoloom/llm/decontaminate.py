@@ -6,8 +6,10 @@ a distributed randomised SVD: one pass multiplies the passage matrix X with a ra
 (X'X Omega, summed over partitions), the result and the pieces' own vectors span a range, and an SVD inside the range gives
 at most RANK directions. Features are the benchmark's words, one each, and OTHER hash buckets for all further words.
 
-A passage becomes a candidate for a piece by their cosine in the latent space; before it is projected, a passage must have
-enough of its weight in benchmark words for any cosine to reach the limit. Candidates are checked in the text around the
+A passage becomes a candidate for a piece by their cosine in the latent space. The limit is a piece's own: the cosine, with
+even weights, of a piece of its length that keeps PARAPHRASE of its words, in the best passage of its worst place, times SLACK
+as the kept words may be the lighter ones. Before it is projected, a passage must have enough of its weight in benchmark words
+for any cosine to reach the least limit of the block; blocks hold pieces of like length. Candidates are checked in the text around the
 passage: the longest common subsequence with the piece must cover COPY of it, or PARAPHRASE of it if the piece's answer (its
 last ANSWER words) is there in one run.
 
@@ -35,7 +37,8 @@ SKETCH = 8
 RANK = 256
 #: Pieces of a space: no more than it has directions beside the sketch's.
 PIECES = RANK - SKETCH
-COSINE = 0.45
+#: For weights that are not even.
+SLACK = 0.85
 COPY = 0.6
 PARAPHRASE = 0.45
 ANSWER = 4
@@ -72,14 +75,21 @@ def document_frequency(docs: DataFrame) -> tuple[np.ndarray, int]:
     return out[:-1], int(out[-1])
 
 
+def limit(n: int) -> float:
+    """The cosine from which a passage is a candidate for a piece of n words."""
+    step = SPAN // 2
+    best = min(max(min(o + n, at + SPAN) - max(o, at) for at in range(0, o + n, step)) for o in range(step))
+    return SLACK * PARAPHRASE * best / (SPAN * n) ** 0.5
+
+
 def pieces_of(items: list[tuple[int, str]]) -> list[tuple[int, np.ndarray]]:
-    """Item and words of each piece."""
+    """Item and words of each piece, by length."""
     out = []
     for item_id, text in items:
         w = words_of(*buffer_of([text]))[0]
         if len(w):
             out += [(item_id, w[s : s + PIECE]) for s in range(0, max(len(w) - PIECE // 2, 1), PIECE // 2)]
-    return out
+    return sorted(out, key=lambda x: len(x[1]))
 
 
 class Space:
@@ -184,6 +194,7 @@ def _search(sent):
     def search(it):
         space = _space(sent.value)
         pieces = [w.tolist() for w in space.words]
+        limits = np.array([limit(len(p)) for p in pieces])
         for block in batches(it, 1 << 19):
             buf, starts = buffer_of(block["text"])
             w, _, _, first = words_of(buf, starts)
@@ -198,7 +209,7 @@ def _search(sent):
             end = np.minimum(begin + SPAN, first[text + 1])
             all_, mine = (np.concatenate(([0.0], np.cumsum(x))) for x in (weight * weight, np.where(own, weight * weight, 0)))
             norm2 = all_[end] - all_[begin]
-            keep = np.flatnonzero(mine[end] - mine[begin] >= COSINE * COSINE * norm2 - 1e-9)
+            keep = np.flatnonzero(mine[end] - mine[begin] >= limits.min() ** 2 * norm2 - 1e-9)
             best: dict[tuple[int, int], tuple] = {}
             for at in range(0, len(keep), 2048):
                 some = keep[at : at + 2048]
@@ -213,7 +224,7 @@ def _search(sent):
                     at0 = np.flatnonzero(np.diff(passage, prepend=-1))
                     z[passage[at0]] = np.add.reduceat(space.basis[f[token]] * weight[token].astype(np.float32)[:, None], at0, axis=0)
                 cos = (z @ space.pieces.T) / np.sqrt(np.maximum(norm2[some], 1e-9))[:, None]
-                for i, p in zip(*np.nonzero(cos >= COSINE), strict=True):
+                for i, p in zip(*np.nonzero(cos >= limits), strict=True):
                     k, piece = int(some[i]), pieces[p]
                     t, lo = int(text[k]), max(int(first[text[k]]), int(begin[k]) - len(piece))
                     region = w[lo : min(int(first[t + 1]), int(end[k]) + len(piece))].tolist()

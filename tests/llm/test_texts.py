@@ -172,6 +172,26 @@ def test_contaminated_with_more_pieces_than_directions(spark):
     assert {(x["doc_id"], x["item_id"]) for x in got} == want
 
 
+def test_contaminated_by_paraphrases(spark):
+    r = random.Random(43)
+    words = [f"v{i}" for i in range(3000)]
+    say = lambda n: [r.choice(words) for _ in range(n)]
+    items = [(i, say([6, 15, 24, 33, 48, 56, 64][i % 7])) for i in range(140)]
+    rows, want = [], set()
+    for i, x in items:
+        n, a = len(x), decontaminate.ANSWER
+        kept = set(range(n - a, n)) | set(r.sample(range(n - a), max(0, math.ceil(0.5 * n) - a)))
+        y = [w if n == 6 or j in kept else r.choice(words) for j, w in enumerate(x)]  # six words stay verbatim
+        rows.append((i, " ".join(say(r.randint(40, 90)) + y + say(60))))
+        want.add((i, i))
+    bench = spark.createDataFrame([(i, " ".join(x)) for i, x in items], "item_id bigint, text string")
+    got = {(x["doc_id"], x["item_id"]) for x in decontaminate.contaminated(spark.createDataFrame(rows, DOCS), bench).collect()}
+    recall = {n: sum((i, i) in got for i, x in items if len(x) == n) / 20 for n in sorted({len(x) for _, x in items})}
+    print("recall by words of the item:", recall, "other pairs:", len(got - want))
+    assert len(got & want) >= 0.98 * len(want), recall
+    assert got <= want
+
+
 # Language model
 
 
