@@ -15,7 +15,7 @@ last ANSWER words) is there in one run.
 
 The benchmark is the query set: its items come to the driver in blocks of about ITEMS and go to every task in blocks of at
 most PIECES pieces, so their share of memory is bounded. A block never has more pieces than the space has directions for
-them: every piece lies wholly in the space, and a verbatim copy keeps its cosine. A null or empty text, or item, matches nothing. Equal rows give one result. Texts are read whole. Other columns are ignored. An empty
+them: every piece lies wholly in the space, and a verbatim copy keeps its cosine. The cosine is thus the plain TF-IDF one. A null or empty text, or item, matches nothing. Equal rows give one result. Texts are read whole. Other columns are ignored. An empty
 table or benchmark gives an empty result.
 """
 
