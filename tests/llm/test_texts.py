@@ -110,6 +110,24 @@ def test_chained_passages(spark):
     assert chains.fuzzy_passages(frame(spark, rows).limit(0)).count() == 0
 
 
+def test_passages_whose_first_places_are_split_or_edited(spark):
+    r = random.Random(47)
+    words = [f"w{i}" for i in range(3000)]
+    say = lambda n: [r.choice(words) for _ in range(n)]
+    rows, want = [], set()
+    for g in range(12):
+        x, at = say(60), 10 * g
+        held = [x[:45], x[15:], x, x]  # two cuts under LEAST words of a match, then the passage twice
+        y = say(80)
+        near = [y]
+        for _ in range(4):  # each step changes other words
+            near.append([r.choice(words) if j % 16 == 3 * len(near) else w for j, w in enumerate(near[-1])])
+        rows += [(at + i, " ".join(say(30) + p + say(30))) for i, p in enumerate(held + near)]
+        want |= {(at + 3, at + 2)} | {(at + 4 + i, at + 3 + i) for i in range(1, 5)}
+    got = chains.fuzzy_passages(spark.createDataFrame(rows, DOCS)).collect()
+    assert want <= {(x["doc_id"], x["ref_doc_id"]) for x in got if x["end_word"] - x["start_word"] >= 50}
+
+
 def test_minimizers():
     texts = [" ".join(R.choice("abcdefgh") for _ in range(n)) for n in (0, 3, 5, 6, 7, 16, 17, 18, 40, 200)]
     w, _, _, first = words_of(*buffer_of(texts))
