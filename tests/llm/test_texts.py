@@ -128,6 +128,28 @@ def test_passages_whose_first_places_are_split_or_edited(spark):
     assert want <= {(x["doc_id"], x["ref_doc_id"]) for x in got if x["end_word"] - x["start_word"] >= 50}
 
 
+def test_fuzzy_passages_down_to_the_least_similarity(spark):
+    r = random.Random(53)
+    words = [f"w{i}" for i in range(3000)]
+    say = lambda n: [r.choice(words) for _ in range(n)]
+    rows, want = [], {}
+    for g in range(180):
+        n, share = [(56, 0.1), (56, 0.15), (56, 0.18), (80, 0.1), (80, 0.15), (80, 0.18)][g % 6]
+        x = say(n)
+        gone = set(r.sample(range(1, n - 1), int(n * share)))
+        y = [f"z{r.randrange(3000)}" if j in gone else w for j, w in enumerate(x)]
+        rows += [(2 * g, " ".join(say(30) + x + say(30))), (2 * g + 1, " ".join(say(30) + y + say(30)))]
+        want.setdefault((n, share), set()).add((2 * g + 1, 2 * g))
+    x = say(84)
+    rows += [(900, " ".join(x)), (901, " ".join(f"z{j}" if j % 6 == 3 else w for j, w in enumerate(x)))]  # five equal words at most
+    got = {(v["doc_id"], v["ref_doc_id"]) for v in chains.fuzzy_passages(spark.createDataFrame(rows, DOCS)).collect()}
+    recall = {k: round(len(v & got) / len(v), 3) for k, v in want.items()}
+    print("recall by words and share of changed words:", recall)
+    assert all(v >= (0.8 if k[0] == 56 else 0.95) for k, v in recall.items()), recall
+    assert (901, 900) in got
+    assert got == {(901, 900)} | (got & set.union(*want.values()))
+
+
 def test_minimizers():
     texts = [" ".join(R.choice("abcdefgh") for _ in range(n)) for n in (0, 3, 5, 6, 7, 16, 17, 18, 40, 200)]
     w, _, _, first = words_of(*buffer_of(texts))
