@@ -2,6 +2,8 @@
 
 Three base kinds (assign, access, hex) have fixed patterns and no checksum. Further kinds carry a checksum of their own and
 count only when it holds: token (prefix, 30 characters, and their CRC-32 in six base-62 digits), card (Luhn) and iban (mod 97).
+More digits or capitals may follow a card or an iban after a blank: every end of a card is tried, the longest first, and of an
+iban its country's length, then the longest end (all ends for other countries). Where none holds, the next start is tried.
 Runs of hex digits and of decimal digits have no keyword; a byte table finds runs that are long enough, and the expression
 is matched there only. All work is per text and in one pass; nothing is shuffled. A null or empty text has no spans; a text
 of any length is scanned whole; repeated rows are scanned each; other columns are ignored; an empty table gives an empty
@@ -28,6 +30,9 @@ HEX = rb"[0-9a-f]+"
 TOKEN = rb"(?:gh[pousr]_|npm_)([A-Za-z0-9]{30})([A-Za-z0-9]{6})(?![A-Za-z0-9])"
 CARD = rb"[0-9](?:[ -]?[0-9]){12,18}(?![0-9])"
 IBAN = rb"[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]){11,30}(?![A-Za-z0-9])"
+#: Characters of an iban by country.
+LENGTHS = {n: c.split() for n, c in ((15, "NO"), (16, "BE"), (18, "DK FO FI GL NL SD FK"), (19, "MK SI"), (20, "AT BA EE KZ LT LU XK MN"), (21, "CH HR LI LV"), (22, "BG BH CR DE GB GE IE ME RS VA"), (23, "AE GI IL IQ TL OM SO"), (24, "AD CZ ES MD PK RO SA SE SK TN VG"), (25, "LY PT ST"), (26, "IS TR"), (27, "BI DJ FR GR IT MC MR SM"), (28, "AL AZ BY CY DO GT HU LB NI PL SV"), (29, "BR EG PS QA UA"), (30, "JO KW MU"), (31, "MT SC"), (32, "LC"), (33, "RU"))}
+LENGTH = {c.encode(): n for n, countries in LENGTHS.items() for c in countries}
 KEYWORDS = ("password", "passwd", "secret", "token", "apikey", "api_key")
 TOKEN_KEYWORDS = ("ghp_", "gho_", "ghu_", "ghs_", "ghr_", "npm_")
 DIGITS62 = b"0123456789ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz"
@@ -76,6 +81,8 @@ class Scanner:
             self.words.add_word(w, ("token", len(w)))
         self.words.make_automaton()
         self.re = {"assign": re.compile(ASSIGN, re.I), "access": re.compile(ACCESS), "hex": re.compile(HEX), "token": re.compile(TOKEN), "card": re.compile(CARD), "iban": re.compile(IBAN)}
+        self.cards = [re.compile(rb"[0-9](?:[ -]?[0-9]){%d}(?![0-9])" % n) for n in range(18, 11, -1)]
+        self.ibans = {n: re.compile(rb"[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]){%d}(?![A-Za-z0-9])" % (n - 4)) for n in range(34, 14, -1)}
         self.hex = np.zeros(256, bool)
         self.hex[list(b"0123456789abcdef")] = True
         self.digit = np.zeros(256, bool)
@@ -96,6 +103,22 @@ class Scanner:
                     out.append((m.start(), past, kind))
         return out
 
+    def _checked(self, kind: str, data: bytes, starts, ends, ok) -> list[tuple[int, int, str]]:
+        """Matches that do not overlap: at each of the given starts, the first of ends (expressions, given the longest match) that is ok."""
+        out, past = [], 0
+        for s in starts:
+            longest = self.re[kind].match(data, s) if s >= past else None
+            if longest:
+                m = next((m for p in ends(longest) if (m := p.match(data, s)) and ok(m)), None)
+                if m:
+                    past = m.end()
+                    out.append((s, past, kind))
+        return out
+
+    def _iban_ends(self, longest) -> list:
+        n = LENGTH.get(longest[0][:2])
+        return list(self.ibans.values()) if n is None else [self.ibans[n], self.re["iban"]]
+
     def scan(self, data: bytes, hex_runs: list, digit_runs: list) -> list[tuple[int, int, str]]:
         """(start, end, kind) of one text, in bytes. hex_runs, digit_runs: maximal runs of at least 16 hex digits and starts of decimal runs."""
         at: dict[str, list[int]] = {"assign": [], "access": [], "token": []}
@@ -106,9 +129,9 @@ class Scanner:
         out += [(s, e, "hex") for s, e in hex_runs]
         out += self._at("token", data, sorted(at["token"]), lambda m: crc62(m[1]) == m[2])
         free = [s for s in digit_runs if not (s and self.alnum[data[s - 1]])]
-        out += self._at("card", data, free, lambda m: luhn(re.sub(rb"[ -]", b"", m[0])))
+        out += self._checked("card", data, free, lambda m: self.cards, lambda m: luhn(re.sub(rb"[ -]", b"", m[0])))
         lands = [s - 2 for s in digit_runs if s >= 2 and data[s - 2 : s].isalpha() and data[s - 2 : s].isupper() and not (s >= 3 and self.alnum[data[s - 3]])]
-        out += self._at("iban", data, lands, lambda m: mod97(m[0].replace(b" ", b"")))
+        out += self._checked("iban", data, lands, self._iban_ends, lambda m: mod97(m[0].replace(b" ", b"")))
         return sorted(out, key=lambda x: (x[0], KINDS.index(x[2])))
 
     def block(self, texts: list) -> list[list[tuple[int, int, str]]]:

@@ -317,6 +317,18 @@ def test_secrets(spark):
     assert secrets.scan_secrets(frame(spark, rows).limit(0)).count() == 0
 
 
+def test_cards_and_ibans_before_and_after_other_numbers(spark):
+    card, iban = "4111 1111 1111 1111", "DE89370400440532013000"
+    spaced = "GB82 WEST 1234 5698 7654 32"
+    cases = [(f"pay {card} 12/27", "card", 4, 23), (f"12 {card}", "card", 3, 22), (f"{card} {card}", "card", 0, 19), ("4111111111111111 123", "card", 0, 16), (f"{iban} BIC COBADEFF", "iban", 0, 22), (f"an {spaced} EUR 12", "iban", 3, 30), (f"AB12 3456 7890 {iban}", "iban", 15, 37), (f"é {iban}", "iban", 2, 24)]
+    got = {r["doc_id"]: (r["spans"] or "").split(",") for r in secrets.scan_secrets(spark.createDataFrame([(i, c[0]) for i, c in enumerate(cases)], DOCS)).collect()}
+    for i, (text, kind, a, b) in enumerate(cases):
+        assert f"{kind}:{a}:{b}" in got[i], (text, got[i])
+    assert "card:20:39" in got[2]
+    none = ["41111111111111112", "4111 1111 1111 1112 12", "DE89370400440532013001 BIC", "1111 1111 1111 1111"]
+    assert not any(r["spans"] for r in secrets.scan_secrets(spark.createDataFrame(list(enumerate(none)), DOCS)).select("spans").collect() if "hex" not in (r["spans"] or ""))
+
+
 # Mixing
 
 
