@@ -40,6 +40,12 @@ def cut(df: DataFrame, label: str = "t") -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def row_key(docs: DataFrame) -> DataFrame:
+    """doc_id, text, and row: a key of the row's own, so that rows that share a doc_id but not a text stay apart. Rows that are equal in both have one key."""
+    docs = docs.selectExpr("cast(doc_id as bigint) doc_id", "cast(text as string) text")
+    return docs.withColumn("row", F.xxhash64(F.coalesce("doc_id", F.lit(-1)), F.col("doc_id").isNull(), F.coalesce("text", F.lit("")), F.col("text").isNull()))
+
+
 def small_side(df: DataFrame, row_bytes: int, more=None) -> DataFrame:
     """A broadcast hint for df if its counted size, row_bytes for each row and what `more` (a column of bytes) adds, stays below BROADCAST_BYTES; else df as it is (a shuffle join). df should be cheap to count: a table that was cut."""
     n, extra = df.agg(F.count("*"), F.coalesce(F.sum(F.lit(0) if more is None else more), F.lit(0))).first()

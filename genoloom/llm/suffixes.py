@@ -3,18 +3,26 @@
 Only what may repeat reaches a suffix array. Each LENGTH-byte window of a text has an anchor, the leftmost of its GRAM-byte
 strings with the smallest hash, so equal windows have equal anchors at equal places. Neighbouring windows with one anchor are
 a run: (hash of the anchor, hash of all bytes of the run). Runs whose anchor occurs nowhere else hold no repeated window.
-Runs that are equal as a whole repeat the earliest of them, in a task's block at once, then over all by anchor. What is left are different runs around one anchor: their bytes
-are cut out of the texts and sent to shards by anchor; an anchor with more than HOT runs goes to several shards.
-
-A shard joins its pieces and builds a suffix array by prefix doubling that re-sorts only what is not yet in order (Larsson
-and Sadakane), from eight bytes on until LENGTH is covered. Common prefixes of neighbours follow Kasai's rule that the next
-position shares at most one byte less: only positions whose neighbour does not move along are compared byte by byte, the
-others follow from them. Windows that share LENGTH bytes form a group, whose earliest stays. Shards of one hot anchor are
-merged: each sends its groups' earliest windows, sorted by content hash, and equal ones are found by binary search.
-
-Order is by doc_id, then start. A null text has no bytes. Equal rows (one doc_id, one text) are one document and give equal
-results; rows with a null doc_id remove nothing and lose nothing. Matches never cross texts. Other columns are ignored. An
-empty table gives an empty result.
+Runs that are equal as a whole repeat the earliest of them, in a task's block at once, then over all by anchor. What is left
+are different runs around one anchor: their bytes are cut out of the texts as pieces and sent to shards by key, the anchor.
+
+A key of more than HOT pieces is refined first. Each window holds the bytes its key knows and has others on their left and
+right; it belongs to the half that has more on the left, or to the other one, and a half's key knows so many bytes more on
+that side. A piece thus falls into two, equal parts of pieces are again one part and repeats of it, parts that share their
+key with no other are dropped, and the rest is refined until keys are small. As what a key does not know halves with each
+step, seven steps end at whole windows; a piece whose windows all repeat leaves in a few parts and not window by window.
+
+A shard is a block of pieces in order of key and document. It joins them and builds a suffix array by prefix doubling that
+re-sorts only what is not yet in order (Larsson and Sadakane), from eight bytes on until LENGTH is covered. Common prefixes of
+neighbours follow Kasai's rule that the next position shares at most one byte less: only positions whose neighbour does not
+move along are compared byte by byte, the others follow from them. Windows that share LENGTH bytes form a group, whose
+earliest stays. Where a key goes on in the next shard, the two are merged: the windows of the next one are looked up by binary
+search among the sorted ones of those before.
+
+Order is by doc_id, then start; rows of one doc_id with different texts are documents of their own, in order of a hash of
+their text. A null text has no bytes. Equal rows (one doc_id, one text) are one document and give equal results; rows with a
+null doc_id remove nothing and lose nothing. Matches never cross texts. Very long texts are one document like others and are
+cut out piece by piece. Other columns are ignored. An empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -27,12 +35,13 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import _BYTE, _INVERSE, batches, buffer_of, cut, powers, small_side, splitmix, table, whole_groups
+from .common import _BYTE, _INVERSE, batches, buffer_of, cut, powers, row_key, small_side, splitmix, table, tidy
 
 LENGTH = 100
 GRAM = 24
+#: Pieces from which on a key is refined.
 HOT = 1500
-#: Pieces (of at most 2 * LENGTH - GRAM bytes) from which on a suffix array takes no further anchor.
+#: Pieces (of at most 2 * LENGTH - GRAM bytes) of one suffix array.
 SHARD_ROWS = 6_000
 SALT = splitmix(np.arange(501, 505, dtype=np.uint64)) | np.uint64(1)
 
@@ -98,7 +107,7 @@ def _runs(it):
     """Runs of windows; of equal runs of a block only the earliest is sent on by its anchor, the others are repeats (known), put together where they are neighbours."""
     for block in batches(it, 1 << 19):
         h, run, text, lo, hi, _ = runs_of(*buffer_of(block["text"]))
-        doc = np.array(block["doc_id"], np.int64)[text] if len(text) else text
+        doc, row = (np.array(block[c], np.int64)[text] if len(text) else text for c in ("doc_id", "row"))
         known = np.zeros(len(h), bool)
         with np.errstate(over="ignore"):
             key = splitmix(h.view(np.uint64) * SALT[2] + run.view(np.uint64))
@@ -108,11 +117,11 @@ def _runs(it):
         twice[order[1:][same]] = twice[order[:-1][same]] = True
         some = np.flatnonzero(twice)
         if len(some):
-            some = some[np.lexsort((lo[some], doc[some], key[some]))]
+            some = some[np.lexsort((lo[some], row[some], doc[some], key[some]))]
             new = np.append(True, key[some][1:] != key[some][:-1])
             first = some[np.maximum.accumulate(np.where(new, np.arange(len(some)), 0))]
             known[some] = ~new
-            drop = some[~new & (doc[some] == doc[first]) & (lo[some] == lo[first])]
+            drop = some[~new & (row[some] == row[first]) & (lo[some] == lo[first])]
         else:
             drop = some
         k = np.flatnonzero(known & ~np.isin(np.arange(len(h)), drop)) if len(drop) else np.flatnonzero(known)
@@ -123,69 +132,117 @@ def _runs(it):
         k = k[at]
         rest = np.flatnonzero(~known)
         # Repeats travel along, spread by place instead of anchor.
-        spread = splitmix((doc[k] * 1_000_003 + lo[k]).astype(np.uint64)).view(np.int64)
-        cols = [np.concatenate(v) for v in ((h[rest], spread), (run[rest], spread), (doc[rest], doc[k]), (lo[rest], lo[k]), (hi[rest], end))]
+        spread = splitmix((row[k] + lo[k]).astype(np.uint64)).view(np.int64)
+        cols = [np.concatenate(v) for v in ((h[rest], spread), (run[rest], spread), (doc[rest], doc[k]), (row[rest], row[k]), (lo[rest], lo[k]), (hi[rest], end))]
         flag = np.concatenate((np.zeros(len(rest), bool), np.ones(len(k), bool)))
-        yield pa.RecordBatch.from_arrays([*[pa.array(c.astype(np.int64)) for c in cols[:3]], *[pa.array(c.astype(np.int32)) for c in cols[3:]], pa.array(flag)], names=["h", "run", "doc_id", "lo", "hi", "known"])
+        yield pa.RecordBatch.from_arrays([*[pa.array(c.astype(np.int64)) for c in cols[:4]], *[pa.array(c.astype(np.int32)) for c in cols[4:]], pa.array(flag)], names=["h", "run", "doc_id", "row", "lo", "hi", "known"])
 
 
 def _sift(it):
-    """Of runs sorted by (h, run, doc_id, lo): repeats of an equal run (kind 0), and one of each where an anchor has several (kind 1)."""
-    last = None  # the first of the run that is open: (h, run, doc, lo, hi, whether its anchor is known to have several)
+    """Of runs sorted by (h, run, doc_id, row, lo): repeats of an equal run (kind 0), and one of each where an anchor has several (kind 1)."""
+    names = ["kind", "h", "doc_id", "row", "lo", "hi"]
+    last = None  # the first of the run that is open: h, run, doc_id, row, lo, hi, and whether its anchor is known to have several
     for batch in it:
         known_ = batch.column("known")
         again = batch.filter(known_)
         if again.num_rows:
-            yield pa.RecordBatch.from_arrays([pa.array(np.zeros(again.num_rows, np.int8)), again.column("h"), again.column("doc_id"), again.column("lo").cast(pa.int64()), again.column("hi").cast(pa.int64())], names=["kind", "h", "doc_id", "lo", "hi"])
+            yield pa.RecordBatch.from_arrays([pa.array(np.zeros(again.num_rows, np.int8)), *[again.column(c).cast(pa.int64()) for c in names[1:]]], names=names)
         batch = batch.filter(pc.invert(known_))
         n = batch.num_rows
         if not n:
             continue
-        h, run, doc, lo, hi = (batch.column(c).to_numpy() for c in ("h", "run", "doc_id", "lo", "hi"))
+        h, run, doc, row, lo, hi = (batch.column(c).to_numpy().astype(np.int64) for c in ("h", "run", "doc_id", "row", "lo", "hi"))
         new_h, new_run = np.ones(n, bool), np.ones(n, bool)
         new_h[1:] = h[1:] != h[:-1]
         new_run[1:] = new_h[1:] | (run[1:] != run[:-1])
         if last is not None:
             new_h[0] = h[0] != last[0]
             new_run[0] = new_h[0] or run[0] != last[1]
-        out = [[], [], [], [], []]
-
-        def add(kind, hh, dd, ll, ii, out=out):
-            for o, v in zip(out, (np.full(len(hh), kind, np.int8), hh, dd, ll, ii), strict=True):
-                o.append(v)
-
         first = np.maximum.accumulate(np.where(new_run, np.arange(n), -1))
-        f_doc = np.where(first >= 0, doc[first], last[2] if last else 0)
-        f_lo = np.where(first >= 0, lo[first], last[3] if last else 0)
-        again = ~new_run & ((doc != f_doc) | (lo != f_lo))
-        add(0, h[again], doc[again], lo[again], hi[again])
+        f_row = np.where(first >= 0, row[first], last[3] if last else 0)
+        f_lo = np.where(first >= 0, lo[first], last[4] if last else 0)
+        again = ~new_run & ((row != f_row) | (lo != f_lo))
         # Firsts of runs in order, the open one before them: a first counts if the first before or after has its anchor.
         at = np.flatnonzero(new_run)
-        fh, fd, fl, fi = h[at], doc[at], lo[at], hi[at]
+        firsts = [v[at] for v in (h, doc, row, lo, hi)]
         known = np.zeros(len(at), bool)
         if last is not None:
-            fh, fd, fl, fi = (np.concatenate(([v], x)).astype(np.int64) for v, x in zip((last[0], *last[2:5]), (fh, fd, fl, fi), strict=True))
-            known = np.concatenate(([last[5]], known))
-        same = fh[1:] == fh[:-1]
-        several = np.zeros(len(fh), bool)
+            firsts = [np.concatenate(([v], x)).astype(np.int64) for v, x in zip((last[0], *last[2:6]), firsts, strict=True)]
+            known = np.concatenate(([last[6]], known))
+        same = firsts[0][1:] == firsts[0][:-1]
+        several = np.zeros(len(firsts[0]), bool)
         several[1:] |= same
         several[:-1] |= same
         give = several & ~known
-        add(1, fh[give], fd[give], fl[give].astype(np.int32), fi[give].astype(np.int32))
-        last = (int(fh[-1]), int(run[at[-1]]) if len(at) else last[1], int(fd[-1]), int(fl[-1]), int(fi[-1]), bool(several[-1] or known[-1]))
-        cols = [np.concatenate(o) for o in out]
-        yield pa.RecordBatch.from_arrays([pa.array(cols[0].astype(np.int8)), *[pa.array(c.astype(np.int64)) for c in cols[1:]]], names=["kind", "h", "doc_id", "lo", "hi"])
+        last = (int(firsts[0][-1]), int(run[at[-1]]) if len(at) else last[1], *[int(v[-1]) for v in firsts[1:]], bool(several[-1] or known[-1]))
+        kind = np.concatenate((np.zeros(int(again.sum()), np.int8), np.ones(int(give.sum()), np.int8)))
+        yield pa.RecordBatch.from_arrays([pa.array(kind), *[pa.array(np.concatenate((x[again], y[give]))) for x, y in zip((h, doc, row, lo, hi), firsts, strict=True)]], names=names)
 
 
 def _cut_out(it):
     for block in batches(it):
         out = []
-        for doc, text, parts in zip(block["doc_id"], block["text"], block["parts"], strict=True):
+        for doc, row, text, parts in zip(block["doc_id"], block["row"], block["text"], block["parts"], strict=True):
             data = (text or "").encode()
-            out += [(p["h"], p["salt"], p["hot"], doc, p["lo"], data[p["lo"] : p["hi"] + LENGTH]) for p in parts if p["hi"] + LENGTH <= len(data)]
+            out += [(p["h"], p["hot"], doc, row, p["lo"], data[p["lo"] : p["hi"] + LENGTH]) for p in parts if p["hi"] + LENGTH <= len(data)]
         if out:
             c = list(zip(*out, strict=True))
-            yield pa.RecordBatch.from_arrays([pa.array(c[0], pa.int64()), pa.array(c[1], pa.int32()), pa.array(c[2], pa.bool_()), pa.array(c[3], pa.int64()), pa.array(c[4], pa.int64()), pa.array(c[5], pa.binary())], names=["h", "salt", "hot", "doc_id", "lo", "bytes"])
+            yield pa.RecordBatch.from_arrays([pa.array(c[0], pa.int64()), pa.array(c[1], pa.bool_()), *[pa.array(v, pa.int64()) for v in c[2:5]], pa.array(c[5], pa.binary())], names=["key", "hot", "doc_id", "row", "lo", "bytes"])
+
+
+def _anchored(it):
+    """Pieces with the place (kl, kr) of their anchor, whose hash is their key."""
+    for batch in it:
+        if not batch.num_rows:
+            continue
+        data, begin = joined(batch.column("bytes").to_pylist())
+        sums, back = sums_of(data)
+        with np.errstate(over="ignore"):
+            h = splitmix((sums[GRAM:] - sums[:-GRAM]) * back[: len(data) + 1 - GRAM]).view(np.int64)
+        of = np.repeat(np.arange(batch.num_rows), np.diff(begin))[: len(h)]
+        hits = np.flatnonzero(h == batch.column("key").to_numpy()[of])
+        piece, first = np.unique(of[hits], return_index=True)
+        kl = np.zeros(batch.num_rows, np.int32)
+        kl[piece] = hits[first] - begin[piece]
+        yield batch.select(["key", "doc_id", "row", "lo", "bytes"]).append_column("kl", pa.array(kl)).append_column("kr", pa.array(kl + GRAM))
+
+
+def joined(pieces: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """Pieces one after the other, and where each begins (one more at the end)."""
+    begin = np.concatenate(([0], np.cumsum([len(p) for p in pieces], dtype=np.int64)))
+    return np.frombuffer(b"".join(pieces), np.uint8), begin
+
+
+def _refine(step: int):
+    """The two parts of each piece: windows with more unknown bytes on the left of what is known, and the others. whole stands for all bytes of a part."""
+
+    def refine(it):
+        for batch in it:
+            pieces = batch.column("bytes").to_pylist()
+            if not pieces:
+                continue
+            data, begin = joined(pieces)
+            sums, back = sums_of(data)
+            key, kl, kr, lo = (batch.column(c).to_numpy().astype(np.int64) for c in ("key", "kl", "kr", "lo"))
+            n = np.diff(begin) - LENGTH + 1
+            left = LENGTH - kr + kl + 1 >> 1
+            # Windows start at kl - x, with x bytes of the window on the left of what is known: x >= left, or x < left.
+            for side, (first, last, l2, r2) in enumerate(((np.zeros_like(n), np.minimum(n - 1, kl - left), kl - left, kr), (np.maximum(0, kl - left + 1), n - 1, kl, kl - left + 1 + LENGTH))):
+                some = np.flatnonzero(first <= last)
+                if not len(some):
+                    continue
+                a, b, l2, r2 = begin[some] + first[some], begin[some] + last[some] + LENGTH, l2[some], r2[some]
+                with np.errstate(over="ignore"):
+                    known = (sums[begin[some] + r2] - sums[begin[some] + l2]) * back[begin[some] + l2]
+                    salt = splitmix((key[some] * 16 + step * 2 + side).astype(np.uint64))
+                    whole = splitmix(splitmix((sums[b] - sums[a]) * back[a] + SALT[0]) + ((l2 - first[some]) * 4096 + b - a).astype(np.uint64))
+                    fresh = splitmix(known + salt)
+                cols = [fresh.view(np.int64), whole.view(np.int64), batch.column("doc_id").to_numpy()[some], batch.column("row").to_numpy()[some], lo[some] + first[some]]
+                ends = [(l2 - first[some]).astype(np.int32), (r2 - first[some]).astype(np.int32)]
+                cut_ = pa.array([data[x:y].tobytes() for x, y in zip(a.tolist(), b.tolist(), strict=True)], pa.binary())
+                yield pa.RecordBatch.from_arrays([*[pa.array(c) for c in cols], cut_, *[pa.array(c) for c in ends]], names=["key", "whole", "doc_id", "row", "lo", "bytes", "kl", "kr"])
+
+    return refine
 
 
 def eight_bytes(data: np.ndarray) -> np.ndarray:
@@ -275,78 +332,92 @@ def _compare(key: np.ndarray, a: np.ndarray, b: np.ndarray, most: int) -> np.nda
     return out
 
 
-def repeated_windows(pieces: list[bytes], doc: np.ndarray, lo: np.ndarray, hot: np.ndarray):
-    """Of the windows of these pieces that occur more than once, or are of a hot piece: place in the joined data, piece, start, whether an equal one is earlier in (doc, start), whether it is the earliest; and the data."""
-    size = np.array([len(p) for p in pieces], np.int64)
-    begin = np.cumsum(size) - size
-    data = np.frombuffer(b"".join(pieces), np.uint8)
-    of = np.repeat(np.arange(len(pieces)), size)
+def repeated_windows(data: np.ndarray, begin: np.ndarray, doc: np.ndarray, row: np.ndarray, lo: np.ndarray) -> np.ndarray:
+    """Places in the joined pieces whose window has an equal one that is earlier in (doc, row, start)."""
+    of = np.repeat(np.arange(len(lo)), np.diff(begin))
     sa = suffix_array(data, LENGTH)
     shared = common_prefixes(data, sa, LENGTH)
     piece = of[sa]
     new = np.ones(len(sa), bool)
     new[1:] = shared[1:] < LENGTH
     # Neighbours that share LENGTH bytes may lie behind a piece's end; only whole windows count.
-    alone = new & np.append(new[1:], True)
-    want = (sa + LENGTH <= (begin + size)[piece]) & (~alone | hot[piece])
+    want = (sa + LENGTH <= begin[piece + 1]) & ~(new & np.append(new[1:], True))
     group = np.cumsum(new)[want]
     own, piece = sa[want], piece[want]
     start = lo[piece] + own - begin[piece]
-    order = np.lexsort((start, doc[piece], group))
+    order = np.lexsort((start, row[piece], doc[piece], group))
     first = np.ones(len(order), bool)
     g = group[order]
     first[1:] = g[1:] != g[:-1]
     head = order[np.maximum.accumulate(np.where(first, np.arange(len(order)), 0))]
-    late = np.zeros(len(own), bool)
-    late[order] = ~first & ((doc[piece[order]] != doc[piece[head]]) | (start[order] != start[head]))
-    once = np.zeros(len(own), bool)
-    once[order] = first
-    return own, piece, start, late, once, data
-
-
-def _shard(it):
-    """Repeated windows of a shard, as runs of starts (h null); of hot anchors also each group's earliest window (h, content)."""
-    for t in whole_groups(it, ["h", "salt"], SHARD_ROWS):
-        doc, lo, h, hot = (t.column(c).to_numpy() for c in ("doc_id", "lo", "h", "hot"))
-        own, piece, start, late, once, data = repeated_windows(t.column("bytes").to_pylist(), doc, lo, hot)
-        order = np.lexsort((start[late], doc[piece[late]]))
-        d, s = doc[piece[late]][order], start[late][order]
-        new = np.ones(len(d), bool)
-        new[1:] = (d[1:] != d[:-1]) | (s[1:] != s[:-1] + 1)
-        at = np.flatnonzero(new)
-        end = s[np.append(at[1:], len(d)) - 1] if len(d) else s
-        k = len(at)
-        up = np.flatnonzero(once & hot[piece])
-        sums, back = sums_of(data)
-        with np.errstate(over="ignore"):
-            content = splitmix((sums[own[up] + LENGTH] - sums[own[up]]) * back[own[up]]).view(np.int64)
-        none = np.concatenate((np.ones(k, bool), np.zeros(len(up), bool)))
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(np.concatenate((d[at], doc[piece[up]]))), pa.array(np.concatenate((s[at], start[up]))), pa.array(np.concatenate((end, start[up]))),
-             pa.array(np.concatenate((np.zeros(k, np.int64), h[piece[up]])), mask=none), pa.array(np.concatenate((np.zeros(k, np.int64), content)), mask=none)],
-            names=["doc_id", "lo", "hi", "h", "content"],
-        )
-
-
-def _merge(it):
-    """Of sorted earliest windows of the shards of hot anchors: those that another one precedes, found by binary search."""
-    carry = None
+    late = ~first & ((row[piece[order]] != row[piece[head]]) | (start[order] != start[head]))
+    return own[order[late]]
+
+
+def _blocks(it, rows: int):
+    """pyarrow tables of `rows` rows (the last one of fewer), in order."""
+    held, n = [], 0
     for batch in it:
-        if not batch.num_rows:
-            continue
-        h, content, doc, lo = (batch.column(c).to_numpy() for c in ("h", "content", "doc_id", "lo"))
-        key = splitmix(h.view(np.uint64) * SALT[1] + content.view(np.uint64))
-        values, inverse = np.unique(key, return_inverse=True)
-        order = np.argsort(inverse, kind="stable")
-        first = order[np.searchsorted(inverse[order], np.arange(len(values)))][np.searchsorted(values, key)]
-        late = (np.arange(len(key)) != first) & ((doc != doc[first]) | (lo != lo[first]))
-        if carry is not None:
-            late |= (h == carry[0]) & (content == carry[1]) & ((doc != carry[2]) | (lo != carry[3]))
-        f = int(first[-1])
-        if carry is None or (int(h[f]), int(content[f])) != carry[:2]:
-            carry = (int(h[f]), int(content[f]), int(doc[f]), int(lo[f]))
-        d, s = pa.array(doc[late]), pa.array(lo[late])
-        yield pa.RecordBatch.from_arrays([d, s, s], names=["doc_id", "lo", "hi"])
+        while batch.num_rows:
+            part = batch.slice(0, rows - n)
+            held.append(part)
+            n += part.num_rows
+            batch = batch.slice(part.num_rows)
+            if n == rows:
+                yield pa.Table.from_batches(held).combine_chunks()
+                held, n = [], 0
+    if n:
+        yield pa.Table.from_batches(held).combine_chunks()
+    tidy()
+
+
+def _shards(rows: int):
+    """Repeated windows of pieces sorted by (key, doc_id, row, lo), as runs of starts; shards that share a key are merged."""
+
+    def shards(it):
+        open_, before = None, np.zeros(0, np.uint64)  # the key of the shard before that may go on, and its windows
+        last = None  # the piece before
+        for t in _blocks(it, rows):
+            full = len(t) == rows
+            place = [t.column(c).to_numpy() for c in ("key", "row", "lo")]
+            new = np.ones(len(t), bool)  # equal rows bring a piece more than once
+            new[1:] = np.any([v[1:] != v[:-1] for v in place], axis=0)
+            new[0] = last != [int(v[0]) for v in place]
+            last = [int(v[-1]) for v in place]
+            t = t.filter(pa.array(new))
+            if not len(t):
+                continue
+            doc, row, lo, key = (t.column(c).to_numpy() for c in ("doc_id", "row", "lo", "key"))
+            data, begin = joined(t.column("bytes").to_pylist())
+            late = np.zeros(len(data), bool)
+            late[repeated_windows(data, begin, doc, row, lo)] = True
+            sums, back = sums_of(data)
+
+            def contents(pieces: slice, begin=begin, data=data, sums=sums, back=back) -> tuple[np.ndarray, np.ndarray]:
+                n = np.diff(begin)[pieces] - LENGTH + 1
+                at = np.repeat(begin[:-1][pieces] - np.cumsum(n) + n, n) + np.arange(n.sum())
+                with np.errstate(over="ignore"):
+                    return at, splitmix((sums[at + LENGTH] - sums[at]) * back[at])
+
+            if open_ is not None and key[0] == open_:
+                at, content = contents(slice(0, int(np.searchsorted(key, open_, "right"))))
+                found = np.minimum(np.searchsorted(before, content), max(len(before) - 1, 0))
+                late[at[before[found] == content] if len(before) else at[:0]] = True
+            if full:
+                _, content = contents(slice(int(np.searchsorted(key, key[-1])), len(key)))
+                before = np.union1d(before, content) if open_ == key[-1] else np.unique(content)
+                open_ = int(key[-1])
+            place = np.flatnonzero(late)
+            piece = np.searchsorted(begin, place, "right") - 1
+            new = np.ones(len(place), bool)
+            new[1:] = (piece[1:] != piece[:-1]) | (place[1:] != place[:-1] + 1)
+            at = np.flatnonzero(new)
+            end = place[np.append(at[1:], len(place)) - 1] if len(place) else place
+            of = piece[at]
+            shift = lo[of] - begin[of]
+            yield pa.RecordBatch.from_arrays([pa.array(v) for v in (doc[of], row[of], place[at] + shift, end + shift)], names=["doc_id", "row", "lo", "hi"])
+
+    return shards
 
 
 def _unite(it):
@@ -364,7 +435,7 @@ def _unite(it):
             new[1:] = lo[1:] > end[:-1]
             at = np.flatnonzero(new)
             out.append(np.stack((lo[at], end[np.append(at[1:], len(lo)) - 1]), 1).astype(np.int64).tobytes())
-        yield pa.RecordBatch.from_arrays([batch.column("id"), pa.array(out, pa.binary())], names=["id", "gone"])
+        yield pa.RecordBatch.from_arrays([batch.column("id"), batch.column("id_row"), pa.array(out, pa.binary())], names=["id", "id_row", "gone"])
 
 
 def _apply(it):
@@ -384,32 +455,62 @@ def _apply(it):
         yield pa.RecordBatch.from_arrays([*[pa.array(v, pa.int64()) for v in c[:4]], pa.array(c[4], pa.string())], names=["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"])
 
 
-def repeated_ranges(docs: DataFrame, hot: int = HOT) -> DataFrame:
-    """doc_id, lo, hi: runs of starts (bytes, both ends included) of LENGTH-byte strings that also start earlier."""
+def _refined(hot: DataFrame, most: int, keep: DataFrame) -> tuple[DataFrame, list[DataFrame]]:
+    """Pieces of hot keys, refined until no key has more than `most`: the pieces for the shards with keep's, and (doc_id, row, lo, hi) of repeats found on the way."""
+    schema = "key bigint, whole bigint, doc_id bigint, row bigint, lo bigint, bytes binary, kl int, kr int"
+    again = []
+    hot = hot.mapInArrow(_anchored, "key bigint, doc_id bigint, row bigint, lo bigint, bytes binary, kl int, kr int")
+    step = 0
+    while True:
+        parts = cut(hot.mapInArrow(_refine(step), schema), f"parts{step}")
+        # Of equal parts the first one stays; minima are taken before anything moves, so a very common part is no one task's.
+        first = parts.groupBy("key", "whole").agg(F.min(F.struct("doc_id", "row", "lo", "bytes", "kl", "kr")).alias("f"), F.count("*").alias("n"))
+        first = cut(first.select("key", "whole", "n", "f.*"), f"first{step}")
+        many = first.filter("n > 1").select("key", "whole", F.col("row").alias("f_row"), F.col("lo").alias("f_lo"))
+        same = parts.join(small_side(many, 48), ["key", "whole"]).filter("row <> f_row OR lo <> f_lo")
+        again.append(same.select("doc_id", "row", "lo", (F.col("lo") + F.length("bytes") - LENGTH).alias("hi")))
+        keys = cut(first.groupBy("key").agg(F.count("*").alias("n_key")).filter("n_key > 1"), f"keys{step}")
+        live = first.select("key", "doc_id", "row", "lo", "bytes", "kl", "kr").join(small_side(keys, 32), "key")
+        keep = keep.unionByName(live.filter(F.col("n_key") <= most).select("key", "doc_id", "row", "lo", "bytes"))
+        step += 1
+        if keys.filter(F.col("n_key") > most).isEmpty():
+            return keep, again
+        hot = live.filter(F.col("n_key") > most).drop("n_key")
+
+
+def repeated_ranges(docs: DataFrame, hot: int = HOT, shard: int = SHARD_ROWS) -> DataFrame:
+    """doc_id, row, lo, hi: runs of starts (bytes, both ends included) of LENGTH-byte strings of docs (doc_id, row, text) that also start earlier."""
     parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     docs = docs.filter("doc_id IS NOT NULL")
-    runs = docs.mapInArrow(_runs, "h bigint, run bigint, doc_id bigint, lo int, hi int, known boolean")
-    sifted = runs.repartition(parts, "h").sortWithinPartitions("h", "run", "doc_id", "lo")
-    sifted = cut(sifted.mapInArrow(_sift, "kind tinyint, h bigint, doc_id bigint, lo bigint, hi bigint"), "sifted")
+    runs = docs.mapInArrow(_runs, "h bigint, run bigint, doc_id bigint, row bigint, lo int, hi int, known boolean")
+    sifted = runs.repartition(parts, "h").sortWithinPartitions("h", "run", "doc_id", "row", "lo")
+    sifted = cut(sifted.mapInArrow(_sift, "kind tinyint, h bigint, doc_id bigint, row bigint, lo bigint, hi bigint"), "sifted")
     several = sifted.filter("kind = 1").drop("kind")
-    busy = cut(several.groupBy("h").agg(F.count("*").alias("n")).filter(F.col("n") > hot), "busy")
-    several = several.join(busy, "h", "left").withColumn("hot", F.col("n").isNotNull())
-    salt = F.when(F.col("hot"), F.pmod(F.hash("doc_id"), F.ceil(F.col("n") / F.lit(float(hot))).cast("int"))).otherwise(0)
-    asked = cut(several.withColumn("salt", salt.cast("int")).groupBy(F.col("doc_id").alias("id")).agg(F.collect_list(F.struct("h", "salt", "hot", "lo", "hi")).alias("parts")), "asked")
-    pieces = docs.join(asked, docs["doc_id"] == asked["id"]).select("doc_id", "text", "parts").mapInArrow(_cut_out, "h bigint, salt int, hot boolean, doc_id bigint, lo bigint, bytes binary")
-    pieces = pieces.repartition(parts, "h", "salt").sortWithinPartitions("h", "salt")
-    found = cut(pieces.mapInArrow(_shard, "doc_id bigint, lo bigint, hi bigint, h bigint, content bigint"), "found")
-    up = found.filter("h IS NOT NULL").select("h", "content", "doc_id", "lo")
-    merged = up.repartition(parts, "h", "content").sortWithinPartitions("h", "content", "doc_id", "lo").mapInArrow(_merge, "doc_id bigint, lo bigint, hi bigint")
-    return sifted.filter("kind = 0").select("doc_id", "lo", "hi").unionByName(found.filter("h IS NULL").select("doc_id", "lo", "hi")).unionByName(merged)
-
-
-def dedup_substrings(docs: DataFrame, hot: int = HOT) -> DataFrame:
+    busy = cut(several.groupBy("h").agg(F.count("*").alias("n")).filter(F.col("n") > hot).select("h", F.lit(True).alias("hot")), "busy")
+    several = several.join(small_side(busy, 16), "h", "left").withColumn("hot", F.coalesce("hot", F.lit(False)))
+    asked = cut(several.groupBy(F.col("doc_id").alias("id"), F.col("row").alias("id_row")).agg(F.collect_list(F.struct("h", "hot", "lo", "hi")).alias("parts")), "asked")
+    # Equal rows are one document: their pieces are cut out of each, and equal ones are one below.
+    pieces = docs.join(asked, (docs["doc_id"] == asked["id"]) & (docs["row"] == asked["id_row"])).select("doc_id", "row", "text", "parts")
+    pieces = pieces.mapInArrow(_cut_out, "key bigint, hot boolean, doc_id bigint, row bigint, lo bigint, bytes binary")
+    again = []
+    if busy.isEmpty():
+        pieces = pieces.drop("hot")
+    else:
+        pieces = cut(pieces, "pieces")
+        pieces, again = _refined(pieces.filter("hot"), hot, pieces.filter("NOT hot").drop("hot"))
+    pieces = pieces.repartition(parts, "key").sortWithinPartitions("key", "doc_id", "row", "lo")
+    out = pieces.mapInArrow(_shards(shard), "doc_id bigint, row bigint, lo bigint, hi bigint").unionByName(sifted.filter("kind = 0").select("doc_id", "row", "lo", "hi"))
+    for x in again:
+        out = out.unionByName(x)
+    return out
+
+
+def dedup_substrings(docs: DataFrame, hot: int = HOT, shard: int = SHARD_ROWS) -> DataFrame:
     """doc_id, n_bytes, n_removed, n_spans, kept_sha256 for every row of docs (doc_id, text)."""
-    docs = docs.selectExpr("cast(doc_id as bigint) doc_id", "cast(text as string) text")
-    ranges = repeated_ranges(docs, hot).groupBy(F.col("doc_id").alias("id")).agg(F.collect_list(F.struct("lo", "hi")).alias("ranges"))
-    gone = cut(ranges.mapInArrow(_unite, "id bigint, gone binary"), "gone")
-    joined = docs.join(small_side(gone, 48, F.length("gone")), docs["doc_id"] == gone["id"], "left").select("doc_id", "text", "gone")
+    docs = row_key(docs)
+    ranges = repeated_ranges(docs, hot, shard).groupBy(F.col("doc_id").alias("id"), F.col("row").alias("id_row")).agg(F.collect_list(F.struct("lo", "hi")).alias("ranges"))
+    gone = cut(ranges.mapInArrow(_unite, "id bigint, id_row bigint, gone binary"), "gone")
+    joined = docs.join(small_side(gone, 56, F.length("gone")), (docs["doc_id"] == gone["id"]) & (docs["row"] == gone["id_row"]), "left").select("doc_id", "text", "gone")
     return joined.mapInArrow(_apply, "doc_id bigint, n_bytes bigint, n_removed bigint, n_spans bigint, kept_sha256 string")
 
 

@@ -49,20 +49,20 @@ def test_suffix_array_and_common_prefixes():
 
 
 def brute_substrings(rows):
-    first, out = {}, {}
-    for d, t in sorted(set(rows), key=lambda x: x[0]):
+    first, out = {}, []
+    for d, t in sorted({(d, t) for d, t in rows if d is not None}, key=lambda x: x[0]):
         b = (t or "").encode()
         gone = np.zeros(len(b), bool)
         for p in range(len(b) - 99):
-            if first.setdefault(b[p : p + 100], (d, p)) != (d, p):
+            if first.setdefault(b[p : p + 100], (d, t, p)) != (d, t, p):
                 gone[p : p + 100] = True
         spans = int((gone & ~np.concatenate(([False], gone[:-1]))).sum()) if len(b) else 0
-        out[d] = (len(b), int(gone.sum()), spans, hashlib.sha256(bytes(np.frombuffer(b, np.uint8)[~gone])).hexdigest())
-    return out
+        out += [(d, len(b), int(gone.sum()), spans, hashlib.sha256(bytes(np.frombuffer(b, np.uint8)[~gone])).hexdigest())] * rows.count((d, t))
+    return sorted(out)
 
 
-@pytest.mark.parametrize("hot", [1500, 4])
-def test_substring_dedup(spark, hot):
+@pytest.mark.parametrize("hot, shard", [(1500, 6000), (4, 6000), (2, 5), (1500, 3)])
+def test_substring_dedup(spark, hot, shard):
     base = ["".join(R.choice("abcdé \n") for _ in range(R.randint(80, 400))) for _ in range(12)]
     rows = []
     for d in range(80):
@@ -71,16 +71,35 @@ def test_substring_dedup(spark, hot):
             x = R.choice(base)
             i = R.randint(0, 60)
             y = list(x[i : i + R.randint(50, 400)])
-            if y and R.random() < 0.5:
-                y[R.randrange(len(y))] = "Z"
-            t += "".join(y) + "".join(R.choice("abcd") for _ in range(R.randint(0, 30)))
+            if y and R.random() < 0.3:
+                y[R.randrange(len(y))] = "#"
+            t += "".join(y) + "".join(R.choice("abcd") for _ in range(R.randint(0, 60)))
         rows.append((d, t))
-    rows += [(200, None), (201, ""), (202, "x" * 350), (203, "ab" * 200), (204, "x" * 99), (205, rows[7][1]), (205, rows[7][1])]
-    got = {r["doc_id"]: tuple(r)[1:] for r in suffixes.dedup_substrings(frame(spark, rows), hot).collect()}
+    rows += [(90, None), (91, ""), (92, rows[3][1]), (92, rows[3][1]), (93, "x" * 700), (96, "x" * 99), (94, "é" * 300), (95, ("ab" * 40 + "c") * 30)]
+    got = sorted(tuple(r) for r in suffixes.dedup_substrings(frame(spark, rows), hot, shard).collect())
     assert got == brute_substrings(rows)
     assert suffixes.dedup_substrings(frame(spark, rows).limit(0)).count() == 0
 
 
+@pytest.mark.parametrize("hot", [1500, 4])
+def test_substring_dedup_of_ids_with_two_texts_and_null_ids(spark, hot):
+    a, b, c = ("".join(R.choice("abcdefgh ") for _ in range(n)) for n in (150, 150, 20_000))
+    rows = [(1, a), (5, a), (5, b), (7, c), (9, b + c + a), (9, b + c + a), (None, a)]
+    got = sorted(tuple(r) for r in suffixes.dedup_substrings(frame(spark, rows), hot).filter("doc_id IS NOT NULL").collect())
+    want = {(d, t): (len(t), 0 if (d, t) in ((1, a), (5, b), (7, c)) else len(t)) for d, t in rows if d is not None}
+    assert [x[:3] for x in got] == sorted((d, *want[d, t]) for d, t in rows if d is not None)
+    left = suffixes.dedup_substrings(frame(spark, rows), hot).filter("doc_id IS NULL").collect()
+    assert [(r["n_bytes"], r["n_removed"]) for r in left] == [(150, 0)]
+
+
+def test_a_hot_anchor_in_many_contexts(spark):
+    core = "".join(R.choice("abcdefgh ") for _ in range(130))
+    say = lambda n: "".join(R.choice("abcdefgh ") for _ in range(n))
+    rows = [(d, say(120) + (core if d % 3 else core[: R.randint(30, 130)]) + say(120)) for d in range(300)]
+    got = sorted(tuple(r) for r in suffixes.dedup_substrings(frame(spark, rows), 10, 50).collect())
+    assert got == brute_substrings(rows)
+
+
 # Chains
 
 
