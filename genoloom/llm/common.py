@@ -40,10 +40,15 @@ def cut(df: DataFrame, label: str = "t") -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def key_of(docs: DataFrame):
+    """A row's own key from doc_id and text: rows that share a doc_id but not a text stay apart, rows that are equal in both have one key."""
+    id_, text = docs["doc_id"].cast("bigint"), docs["text"].cast("string")
+    return F.xxhash64(F.coalesce(id_, F.lit(-1)), id_.isNull(), F.coalesce(text, F.lit("")), text.isNull())
+
+
 def row_key(docs: DataFrame) -> DataFrame:
-    """doc_id, text, and row: a key of the row's own, so that rows that share a doc_id but not a text stay apart. Rows that are equal in both have one key."""
-    docs = docs.selectExpr("cast(doc_id as bigint) doc_id", "cast(text as string) text")
-    return docs.withColumn("row", F.xxhash64(F.coalesce("doc_id", F.lit(-1)), F.col("doc_id").isNull(), F.coalesce("text", F.lit("")), F.col("text").isNull()))
+    """doc_id, text and row (key_of)."""
+    return docs.select(docs["doc_id"].cast("bigint").alias("doc_id"), docs["text"].cast("string").alias("text"), key_of(docs).alias("row"))
 
 
 def small_side(df: DataFrame, row_bytes: int, more=None) -> DataFrame:
@@ -52,6 +57,25 @@ def small_side(df: DataFrame, row_bytes: int, more=None) -> DataFrame:
     return F.broadcast(df) if n * row_bytes + extra <= BROADCAST_BYTES else df
 
 
+#: A key with more than one in so many of all rows is heavy, so that there are fewer heavy keys than this.
+HEAVY = 10_000
+
+
+def heavy_join(left: DataFrame, right: DataFrame, on: list[str], count: str, row_bytes: int) -> DataFrame:
+    """Inner join of left with right, which has each key once and in `count` the rows of left that have it. A small right side is broadcast whole. Of a larger one only heavy keys are, fewer than HEAVY; the others meet in a shuffle in which no key has more than one in HEAVY of the rows."""
+    n, total = right.agg(F.count("*"), F.coalesce(F.sum(count), F.lit(0))).first()
+    if n * row_bytes <= BROADCAST_BYTES:
+        return left.join(F.broadcast(right), on)
+    heavy = right.filter(F.col(count) * HEAVY > total)
+    light = left.join(F.broadcast(heavy.select(*on)), on, "left_anti").join(right.filter(F.col(count) * HEAVY <= total), on)
+    return left.join(F.broadcast(heavy), on).unionByName(light)
+
+
+def free_name(df: DataFrame, name: str) -> str:
+    """name, with underscores that make it no column of df."""
+    return next(n for n in (f"{name}{'_' * i}" for i in range(1, len(df.columns) + 2)) if n.lower() not in {c.lower() for c in df.columns})
+
+
 def splitmix(x: np.ndarray) -> np.ndarray:
     """A 64-bit finaliser: every input bit reaches every output bit."""
     x = x.astype(np.uint64, copy=True)
@@ -173,6 +197,54 @@ def whole_groups(it, keys: list[str], least: int = 20_000):
     tidy()
 
 
+def capped_groups(it, key: str, member: str, cap: int, least: int = 100_000):
+    """pyarrow tables of rows sorted by key and member, without rows that repeat both, and which of them are of keys of more than cap members. Keys of at most cap members are never split; of a larger one no more than about `least` rows are held at once."""
+    import pyarrow as pa
+
+    held, rows, last, hot_key = [], 0, None, None
+
+    def ready(whole, final):
+        nonlocal last, hot_key
+        k, m = whole.column(key).to_numpy(), whole.column(member).to_numpy()
+        new = np.ones(len(k), bool)
+        new[1:] = (k[1:] != k[:-1]) | (m[1:] != m[:-1])
+        if last is not None:
+            new[0] = (int(k[0]), int(m[0])) != last
+        whole, k = whole.filter(pa.array(new)), k[new]
+        if not len(k):
+            return whole, k.astype(bool), whole
+        starts = group_starts([k])
+        size = np.diff(starts)
+        hot = np.repeat(size > cap, size)
+        if hot_key is not None:
+            hot |= k == hot_key
+        at = len(k)
+        if not final and not hot[-1]:
+            at = int(starts[-2])
+        if at:
+            last = (int(k[at - 1]), int(whole.column(member)[at - 1].as_py()))
+            hot_key = int(k[at - 1]) if hot[at - 1] else None
+        return whole.slice(0, at).combine_chunks(), hot[:at], whole.slice(at)
+
+    for batch in it:
+        if not batch.num_rows:
+            continue
+        held.append(batch)
+        rows += batch.num_rows
+        if rows < least:
+            continue
+        out, hot, rest = ready(pa.Table.from_batches(held), False)
+        if len(out):
+            yield out, hot
+        held = rest.combine_chunks().to_batches()
+        rows = len(rest)
+    if rows:
+        out, hot, _ = ready(pa.Table.from_batches(held), True)
+        if len(out):
+            yield out, hot
+    tidy()
+
+
 def tail_group(t, keys: list[str]) -> int:
     """Rows of the last group."""
     same = np.ones(len(t), bool)

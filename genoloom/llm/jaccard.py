@@ -20,7 +20,9 @@ share one class and are entered once by each task.
 Candidate pairs pass an exact bound first: the numbers of shingles in BINS hash bins may not differ by more than the sets may.
 Every candidate pair is verified with whole sets. Hashes stand for shingles throughout (64 bits after a full mix).
 A null text, or one without words, is the empty set and links with nothing. Fewer words than a shingle are one shingle.
-Repeated rows are members of one class. Other columns are ignored. An empty table gives an empty result.
+Repeated rows are members of one class, rows of one doc_id with different texts are members of their own classes. Very long
+texts are read whole; more than 2**32 shingles fall in one band. Rows with a null doc_id are compared and name no component.
+Other columns are ignored. An empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -30,12 +32,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import batches, buffer_of, cut, group_starts, pairs_in_groups, splitmix, table, whole_groups, words_of
+from .common import batches, buffer_of, capped_groups, cut, group_starts, heavy_join, pairs_in_groups, row_key, splitmix, table, whole_groups, words_of
 from .graph import components
 
 CAP = 8
 BINS = 256
 BLOCK = 512
+#: Classes that a task remembers as entered; one that it enters again costs rows, not results.
+SEEN = 1_000_000
 #: plan() reckons with unrelated sets that share a passage of so many shingles, and weighs their meeting so many times an entry.
 PASSAGE = 60
 CHANCE = 1500.0
@@ -114,16 +118,16 @@ def class_of(x: np.ndarray) -> int:
 
 
 def sizes_of(docs: DataFrame, rule: Rule) -> DataFrame:
-    """doc_id, n (set size), cls, bins (how many shingles fall in each of BINS hash bins, modulo 256)."""
+    """doc_id, row, n (set size), cls, bins (how many shingles fall in each of BINS hash bins, modulo 256)."""
     k = rule.words
 
     def measure(it):
         for block in batches(it):
             sets = shingle_sets(block["text"], k)
             bins = [np.bincount((x & np.uint64(BINS - 1)).astype(np.int64), minlength=BINS).astype(np.uint8).tobytes() for x in sets]
-            yield pa.RecordBatch.from_arrays([pa.array(block["doc_id"], pa.int64()), pa.array([len(x) for x in sets], pa.int64()), pa.array([class_of(x) for x in sets], pa.int64()), pa.array(bins, pa.binary())], names=["doc_id", "n", "cls", "bins"])
+            yield pa.RecordBatch.from_arrays([pa.array(block["doc_id"], pa.int64()), pa.array(block["row"], pa.int64()), pa.array([len(x) for x in sets], pa.int64()), pa.array([class_of(x) for x in sets], pa.int64()), pa.array(bins, pa.binary())], names=["doc_id", "row", "n", "cls", "bins"])
 
-    return docs.mapInArrow(measure, "doc_id bigint, n bigint, cls bigint, bins binary")
+    return docs.mapInArrow(measure, "doc_id bigint, row bigint, n bigint, cls bigint, bins binary")
 
 
 def entries_of_set(x: np.ndarray, band: int, rule: Rule) -> tuple[np.ndarray, bool]:
@@ -168,7 +172,8 @@ def entries(docs: DataFrame, rule: Rule) -> DataFrame:
                 n = len(x)
                 if not n or (c := class_of(x)) in seen:
                     continue
-                seen.add(c)
+                if len(seen) < SEEN:
+                    seen.add(c)
                 band = int(rule.band(n))
                 for j in (band, band - 1):
                     if j < 0 or (j < band and n * rule.percent > 100 * int(rule.top(j))):
@@ -188,14 +193,10 @@ def _meet(cap: int, percent: int):
     """Of entries in order: pairs of classes that share one, or (b null) the members of an entry that more than cap share."""
 
     def meet(it):
-        for t in whole_groups(it, ["entry"], 100_000):
+        for t, hot in capped_groups(it, "entry", "cls", cap):
             e, c, n, band = (t.column(x).to_numpy() for x in ("entry", "cls", "n", "band"))
-            keep = np.ones(len(e), bool)
-            keep[1:] = (e[1:] != e[:-1]) | (c[1:] != c[:-1])
-            e, c, n, band = e[keep], c[keep], n[keep], band[keep]
             starts = group_starts([e])
-            size = np.repeat(np.diff(starts), np.diff(starts))
-            some = (size > 1) & (size <= cap)
+            some = ~hot & (np.repeat(np.diff(starts), np.diff(starts)) > 1)
             found = []
             if some.any():
                 ee, cc, nn = e[some], c[some], np.abs(n[some]).astype(np.int64)
@@ -205,7 +206,7 @@ def _meet(cap: int, percent: int):
                 pairs = np.unique(np.concatenate(found), axis=0)
                 nil = pa.nulls(len(pairs), pa.int64())
                 yield pa.RecordBatch.from_arrays([pa.array(pairs[:, 0]), pa.array(pairs[:, 1]), nil, pa.nulls(len(pairs), pa.int32()), pa.nulls(len(pairs), pa.int16())], names=["a", "b", "entry", "n", "band"])
-            if (hot := size > cap).any():
+            if hot.any():
                 yield pa.RecordBatch.from_arrays([pa.array(c[hot]), pa.nulls(int(hot.sum()), pa.int64()), pa.array(e[hot]), pa.array(n[hot]), pa.array(band[hot])], names=["a", "b", "entry", "n", "band"])
 
     return meet
@@ -286,17 +287,9 @@ class Verifier:
 
     def texts(self, wanted: DataFrame) -> DataFrame:
         """cls, text of one document of each wanted class."""
-        reps = cut(self.classes.select("cls", "doc_id").join(wanted, "cls"), "reps")
-        # Rows that repeat a doc_id may bring more than one text; that of the class itself is told by its class id.
-        k = self.rule.words
-
-        def own(it):
-            for batch in it:
-                sets = [class_of(x) for x in shingle_sets(batch.column("text").to_pylist(), k)] if batch.num_rows else []
-                yield batch.filter(pa.array(np.array(sets, np.int64) == batch.column("cls").to_numpy()))
-
-        # One strategy at every size: texts meet the ids in a shuffle, once for all verifications.
-        found = self.docs.join(reps.hint("merge"), "doc_id").select("cls", "text").mapInArrow(own, "cls bigint, text string")
+        reps = cut(self.classes.select("cls", "row").join(wanted, "cls"), "reps")
+        # One strategy at every size: texts meet the keys in a shuffle, once for all verifications.
+        found = self.docs.join(reps.hint("merge"), "row").select("cls", "text")
         return cut(found.dropDuplicates(["cls"]), "texts")
 
     def bounded(self, pairs: DataFrame) -> DataFrame:
@@ -351,11 +344,11 @@ def _cross(percent: int):
 
 
 def similar_classes(docs: DataFrame, rule: Rule, cap: int = CAP, block: int = BLOCK) -> tuple[DataFrame, DataFrame]:
-    """sizes (doc_id, n, cls) and the components of classes (id, component) under the rule."""
+    """sizes (doc_id, row, n, cls) and the components of classes (id, component) under the rule."""
     spark = docs.sparkSession
-    docs = docs.selectExpr("cast(doc_id as bigint) doc_id", "cast(text as string) text")
+    docs = row_key(docs)
     sizes = cut(sizes_of(docs, rule), "sizes")
-    classes = cut(sizes.filter("n > 0").groupBy("cls").agg(F.min("doc_id").alias("doc_id"), F.first("n").alias("n"), F.first("bins").alias("bins")), "classes")
+    classes = cut(sizes.filter("n > 0").groupBy("cls").agg(F.min("row").alias("row"), F.first("n").alias("n"), F.first("bins").alias("bins")), "classes")
     sizes = sizes.drop("bins")
     verify = Verifier(docs, classes, rule)
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
@@ -400,9 +393,9 @@ def similar_classes(docs: DataFrame, rule: Rule, cap: int = CAP, block: int = BL
         return sizes, comp
     rest = hot.join(pivots, "entry").filter(F.col("cls") != F.col("pivot")).join(comp.withColumnRenamed("id", "cls"), "cls", "left")
     rest = cut(rest.select("entry", "cls", F.coalesce("component", "cls").alias("component")), "rest")
-    apart = rest.groupBy("entry").agg(F.count("*").alias("size"), F.min("component").alias("lo"), F.max("component").alias("hi")).filter("lo <> hi")
+    apart = cut(rest.groupBy("entry").agg(F.count("*").alias("size"), F.min("component").alias("lo"), F.max("component").alias("hi")).filter("lo <> hi"), "apart")
     g = F.ceil(F.col("size") / F.lit(float(block))).cast("int")
-    cells = rest.join(apart.select("entry", g.alias("g")), "entry").withColumn("blk", F.pmod(F.hash("cls"), "g")).withColumn("o", F.explode(F.sequence(F.lit(0), F.col("g") - 1)))
+    cells = heavy_join(rest, apart.select("entry", "size", g.alias("g")), ["entry"], "size", 28).withColumn("blk", F.pmod(F.hash("cls"), "g")).withColumn("o", F.explode(F.sequence(F.lit(0), F.col("g") - 1)))
     cells = cells.select("entry", F.least("blk", "o").alias("i"), F.greatest("blk", "o").alias("j"), "blk", "cls", "component").join(classes.select("cls", "n", "bins"), "cls")
     more = cut(cells.repartition(parts, "entry", "i", "j").sortWithinPartitions("entry", "i", "j").mapInArrow(_cross(rule.percent), "a bigint, b bigint").distinct(), "pairs")
     if not more.isEmpty():
@@ -410,15 +403,20 @@ def similar_classes(docs: DataFrame, rule: Rule, cap: int = CAP, block: int = BL
     return sizes, comp
 
 
-def jaccard_components(docs: DataFrame, words: int, percent: int, cap: int = CAP, block: int = BLOCK) -> DataFrame:
-    """doc_id, n_shingles, component_id (smallest doc_id reachable by links, itself included) for every row of docs."""
+def jaccard_groups(docs: DataFrame, words: int, percent: int, cap: int = CAP, block: int = BLOCK) -> DataFrame:
+    """doc_id, n_shingles, component_id (smallest doc_id reachable by links, itself included), row (row_key) and component (one for each set of linked rows; null for rows without words) for every row of docs."""
     sizes, comp = similar_classes(docs, Rule(words, percent), cap, block)
     classes = sizes.filter("n > 0").groupBy("cls").agg(F.min("doc_id").alias("least"))
     named = classes.join(comp.withColumnRenamed("id", "cls"), "cls", "left").withColumn("component", F.coalesce("component", "cls"))
     low = named.groupBy("component").agg(F.min("least").alias("component_id"))
-    known = cut(named.join(low, "component").select("cls", "component_id"), "known")
+    known = cut(named.join(low, "component").select("cls", "component", "component_id"), "known")
     out = sizes.withColumn("cls", F.when(F.col("n") > 0, F.col("cls"))).join(known, "cls", "left")
-    return out.select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("component_id", "doc_id").alias("component_id"))
+    return out.select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("component_id", "doc_id").alias("component_id"), "row", "component")
+
+
+def jaccard_components(docs: DataFrame, words: int, percent: int, cap: int = CAP, block: int = BLOCK) -> DataFrame:
+    """doc_id, n_shingles, component_id (smallest doc_id reachable by links, itself included) for every row of docs."""
+    return jaccard_groups(docs, words, percent, cap, block).drop("row", "component")
 
 
 def op1_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -8,11 +8,13 @@ cut off, the rest is decided by a banded bit-parallel automaton, exact up to DIS
 lines share is compared in pairs of blocks, each block pair a task's cell, where byte counts (an exact bound) come before the
 automaton and only the lines found to repeat leave the cell; nothing is capped. Equal lines are one line by their 64-bit hash.
 
-A line's first place is its smallest (doc_id, line number). A line repeats if it is within DISTANCE edits of a different
-line whose first place is earlier; all its places are removed. Of every other line the first place stays and later places
-are removed. Lines shorter than SHORT bytes stay. A null text stays null, an empty one stays empty; a text that loses all its
-lines becomes empty. Rows with the same doc_id are one document's copies and keep the same lines. Lines of rows with a null
-doc_id stay and count for nothing. Other columns are kept, but n_lines and n_removed are replaced. An empty table gives an empty result.
+A line's first place is its smallest (doc_id, line number); rows of one doc_id with different texts are documents of their
+own, in order of a hash of their text. A line repeats if it is within DISTANCE edits of a different line whose first place is
+earlier; all its places are removed. Of every other line the first place stays and later places are removed. Lines shorter
+than SHORT bytes stay. A null text stays null, an empty one stays empty; a text that loses all its lines becomes empty. Very
+long lines and texts are lines and texts like others. Equal rows (one doc_id, one text) are copies of one document and keep
+the same lines. Lines of rows with a null doc_id stay and count for nothing. Other columns are kept, but n_lines and
+n_removed are replaced. An empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -21,8 +23,9 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
-from .common import _BYTE, _INVERSE, batches, buffer_of, cut, group_starts, pairs_in_groups, powers, small_side, splitmix, table, whole_groups
+from .common import _BYTE, _INVERSE, batches, buffer_of, capped_groups, cut, free_name, group_starts, heavy_join, key_of, pairs_in_groups, powers, row_key, small_side, splitmix, table, whole_groups
 
 DISTANCE = 2
 SHORT = 30
@@ -119,8 +122,8 @@ def _places(short: int):
     def places(it):
         for block in batches(it):
             x = Lines(block["text"], short)
-            doc = pa.array(block["doc_id"], pa.int64()).take(pa.array(x.text))
-            yield pa.RecordBatch.from_arrays([pa.array(x.hash), doc, pa.array(x.no.astype(np.int64))], names=["line", "doc_id", "no"])
+            doc, row = (pa.array(block[c], pa.int64()).take(pa.array(x.text)) for c in ("doc_id", "row"))
+            yield pa.RecordBatch.from_arrays([pa.array(x.hash), doc, row, pa.array(x.no.astype(np.int64))], names=["line", "doc_id", "row", "no"])
 
     return places
 
@@ -168,20 +171,16 @@ def _meet(cap: int):
     """Pairs of lines that share an entry, or (b null) the members of an entry that more than cap share."""
 
     def meet(it):
-        for t in whole_groups(it, ["key"], 100_000):
+        for t, hot in capped_groups(it, "key", "line", cap):
             e, c = t.column("key").to_numpy(), t.column("line").to_numpy()
-            keep = np.ones(len(e), bool)
-            keep[1:] = (e[1:] != e[:-1]) | (c[1:] != c[:-1])
-            e, c = e[keep], c[keep]
             starts = group_starts([e])
-            size = np.repeat(np.diff(starts), np.diff(starts))
-            some = (size > 1) & (size <= cap)
+            some = ~hot & (np.repeat(np.diff(starts), np.diff(starts)) > 1)
             if some.any():
                 cc = c[some]
                 found = [np.stack((np.minimum(cc[p], cc[q]), np.maximum(cc[p], cc[q])), 1) for p, q in pairs_in_groups(group_starts([e[some]]))]
                 pairs = np.unique(np.concatenate(found), axis=0)
                 yield pa.RecordBatch.from_arrays([pa.array(pairs[:, 0]), pa.array(pairs[:, 1]), pa.nulls(len(pairs), pa.int64())], names=["a", "b", "key"])
-            if (hot := size > cap).any():
+            if hot.any():
                 yield pa.RecordBatch.from_arrays([pa.array(c[hot]), pa.nulls(int(hot.sum()), pa.int64()), pa.array(e[hot])], names=["a", "b", "key"])
 
     return meet
@@ -202,8 +201,8 @@ def _verify(k: int):
 
     def verify(it):
         for batch in it:
-            c = {n: batch.column(n).to_pylist() for n in ("a", "b", "ta", "tb", "da", "db", "na", "nb")}
-            late = [b if (da, na, a) < (db, nb, b) else a for a, b, ta, tb, da, db, na, nb in zip(*(c[n] for n in ("a", "b", "ta", "tb", "da", "db", "na", "nb")), strict=True) if within(ta, tb, k)]
+            c = [batch.column(n).to_pylist() for n in ("a", "b", "ta", "tb", "pa", "pb")]
+            late = [b if (*x.values(), a) < (*y.values(), b) else a for a, b, ta, tb, x, y in zip(*c, strict=True) if within(ta, tb, k)]
             yield pa.RecordBatch.from_arrays([pa.array(late, pa.int64())], names=["line"])
 
     return verify
@@ -216,7 +215,7 @@ def _cells(k: int):
         for t in whole_groups(it, ["key", "i", "j"], 200):
             keys = [t.column(n).to_numpy() for n in ("key", "i", "j")]
             texts, blk, line = t.column("text").to_pylist(), t.column("blk").to_numpy(), t.column("line").to_numpy()
-            place = list(zip(t.column("doc_id").to_pylist(), t.column("no").to_pylist(), line.tolist(), strict=True))
+            place = [(*p.values(), x) for p, x in zip(t.column("p").to_pylist(), line.tolist(), strict=True)]
             size = np.array([len(x) for x in texts])
             hist = np.stack([np.bincount(np.frombuffer(x, np.uint8) & 31, minlength=32) for x in texts]).astype(np.int16)
             late: set[int] = set()
@@ -234,12 +233,12 @@ def _cells(k: int):
 
 
 def removed_lines(docs: DataFrame, k: int = DISTANCE, short: int = SHORT, cap: int = CAP, block: int = BLOCK) -> DataFrame:
-    """doc_id, no: the places of lines to be removed."""
+    """doc_id, row, no: the places of lines of docs (doc_id, text, row) to be removed."""
     spark = docs.sparkSession
-    docs = docs.selectExpr("cast(doc_id as bigint) doc_id", "cast(text as string) text").filter("doc_id IS NOT NULL")
+    docs = docs.filter("doc_id IS NOT NULL")
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    places = cut(docs.mapInArrow(_places(short), "line bigint, doc_id bigint, no bigint"), "places")
-    first = cut(places.groupBy("line").agg(F.min(F.struct("doc_id", "no")).alias("p"), F.count("*").alias("n")).select("line", "p.doc_id", "p.no", "n"), "first")
+    places = cut(docs.mapInArrow(_places(short), "line bigint, doc_id bigint, row bigint, no bigint"), "places")
+    first = cut(places.groupBy("line").agg(F.min(F.struct("doc_id", "no", "row")).alias("p"), F.count("*").alias("n")), "first")
     text = docs.select("text")
     met = text.mapInArrow(_entries(short, k), "key bigint, line bigint").repartition(parts, "key").sortWithinPartitions("key", "line")
     met = cut(met.mapInArrow(_meet(cap), "a bigint, b bigint, key bigint"), "met")
@@ -248,33 +247,43 @@ def removed_lines(docs: DataFrame, k: int = DISTANCE, short: int = SHORT, cap: i
     wanted = cut(pairs.select(F.explode(F.array("a", "b")).alias("line")).unionByName(hot.select("line")).distinct(), "wanted")
     found = text.mapInArrow(_texts_of(short), "line bigint, text binary").join(small_side(wanted, 40), "line")
     found = cut(found.groupBy("line").agg(F.first("text").alias("text")).join(first.drop("n"), "line"), "texts")
-    side = lambda x: found.select(F.col("line").alias(x), F.col("text").alias(f"t{x}"), F.col("doc_id").alias(f"d{x}"), F.col("no").alias(f"n{x}"))
+    side = lambda x: found.select(F.col("line").alias(x), F.col("text").alias(f"t{x}"), F.col("p").alias(f"p{x}"))
     late = pairs.join(side("a"), "a").join(side("b"), "b").mapInArrow(_verify(k), "line bigint")
-    count = hot.groupBy("key").agg(F.count("*").alias("size"))
     g = F.ceil(F.col("size") / F.lit(float(block))).cast("int")
-    cells = hot.join(count.select("key", g.alias("g")), "key").withColumn("blk", F.pmod(F.hash("line"), "g")).withColumn("o", F.explode(F.sequence(F.lit(0), F.col("g") - 1)))
+    count = cut(hot.groupBy("key").agg(F.count("*").alias("size")), "hot")
+    cells = heavy_join(hot, count, ["key"], "size", 24).withColumn("g", g).withColumn("blk", F.pmod(F.hash("line"), "g")).withColumn("o", F.explode(F.sequence(F.lit(0), F.col("g") - 1)))
     cells = cells.select("key", F.least("blk", "o").alias("i"), F.greatest("blk", "o").alias("j"), "blk", "line").join(found, "line")
     cells = cells.repartition(parts, "key", "i", "j").sortWithinPartitions("key", "i", "j").mapInArrow(_cells(k), "line bigint")
     late = late.unionByName(cells).distinct().withColumn("late", F.lit(True))
-    state = cut(first.join(late, "line", "left").filter("late OR n > 1").select("line", F.when(F.col("late"), F.lit(None)).otherwise(F.col("doc_id")).alias("keep_doc"), F.col("no").alias("keep_no")), "state")
-    gone = places.join(small_side(state, 64), "line").filter("keep_doc IS NULL OR keep_doc <> doc_id OR keep_no <> no")
-    return gone.select("doc_id", "no").distinct()
+    state = cut(first.join(late, "line", "left").filter("late OR n > 1").select("line", "n", F.when(F.col("late"), F.lit(None)).otherwise(F.col("p.row")).alias("keep_row"), F.col("p.no").alias("keep_no")), "state")
+    gone = heavy_join(places, state, ["line"], "n", 72).filter("keep_row IS NULL OR keep_row <> row OR keep_no <> no")
+    return gone.select("doc_id", "row", "no").distinct()
+
+
+@F.arrow_udf(StringType())
+def _without_lines(texts: pa.Array, gone: pa.Array) -> pa.Array:
+    out = []
+    for text, numbers in zip(texts, gone, strict=True):
+        value = text.as_py()
+        if value is not None and numbers.is_valid and len(numbers):
+            dropped = set(numbers.as_py())
+            value = "\n".join(x for i, x in enumerate(value.split("\n")) if i not in dropped)
+        out.append(value)
+    return pa.array(out, pa.string())
 
 
 def dedup_lines(docs: DataFrame, k: int = DISTANCE, short: int = SHORT, cap: int = CAP, block: int = BLOCK) -> DataFrame:
     """docs with the repeated lines of text gone, and n_lines and n_removed of each row."""
-    gone = cut(removed_lines(docs, k, short, cap, block).groupBy("doc_id").agg(F.sort_array(F.collect_list("no")).alias("gone")), "gone")
-    # Names that no column of docs has.
-    mine = lambda name: next(n for n in (f"{name}{'_' * i}" for i in range(1, len(docs.columns) + 2)) if n not in docs.columns)
-    gone = gone.select(F.col("doc_id").alias(mine("id")), F.col("gone").alias(mine("gone")))
-    joined = docs.join(small_side(gone, 64, F.size(mine("gone")) * 8), F.col("doc_id").cast("bigint") == F.col(mine("id")), "left")
-    lines = F.split(F.col("text").cast("string"), "\n")
-    gone_ = F.coalesce(mine("gone"), F.array().cast("array<bigint>"))
-    held = F.filter(lines, lambda x, i: ~F.array_contains(gone_, i.cast("bigint")))
-    text = F.when(F.col("text").isNull(), None).when(F.size(gone_) == 0, F.col("text")).otherwise(F.array_join(held, "\n"))
-    n = F.when(F.col("text").isNull(), 0).otherwise(F.size(lines)).cast("bigint")
-    kept = [F.col(c) if c != "text" else text.alias("text") for c in docs.columns if c not in ("n_lines", "n_removed")]
-    return joined.select(*kept, n.alias("n_lines"), F.size(gone_).cast("bigint").alias("n_removed"))
+    gone = removed_lines(row_key(docs), k, short, cap, block).groupBy("doc_id", "row").agg(F.collect_list("no").alias("gone"))
+    id_, row, gone_ = (free_name(docs, n) for n in ("id", "row", "gone"))
+    gone = cut(gone.select(F.col("doc_id").alias(id_), F.col("row").alias(row), F.col("gone").alias(gone_)), "gone")
+    joined = docs.join(small_side(gone, 64, F.size(gone_) * 8), (F.col("doc_id").cast("bigint") == F.col(id_)) & (key_of(docs) == F.col(row)), "left")
+    text = F.col("text").cast("string")
+    none = F.coalesce(F.size(gone_), F.lit(0)) <= 0
+    held = F.when(none, text).otherwise(_without_lines(F.when(~none, text), F.col(gone_)))
+    n = F.when(F.col("text").isNull(), 0).otherwise(F.length(text) - F.length(F.replace(text, F.lit("\n"), F.lit(""))) + 1).cast("bigint")
+    kept = [F.col(c) if c != "text" else held.alias("text") for c in docs.columns if c not in ("n_lines", "n_removed")]
+    return joined.select(*kept, n.alias("n_lines"), F.when(none, 0).otherwise(F.size(gone_)).cast("bigint").alias("n_removed"))
 
 
 def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

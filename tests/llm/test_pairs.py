@@ -182,3 +182,38 @@ def test_very_long_lines_and_sets():
     rule = jaccard.Rule(4, 85)
     whole, deep, surplus = rule.plan(int(rule.band(3_000_000)))
     assert whole + deep > surplus
+
+
+def test_line_dedup_of_ids_with_two_texts_and_null_ids(spark):
+    a, x, y = "alpha " * 8, "unique line of the first kind, long enough", "another line that nothing else is like at all"
+    rows = [(1, f"{a}\nx"), (5, f"y\n{a}"), (5, f"z\n{x}"), (5, f"z\n{x}"), (None, f"{a}\n{y}"), (7, "\n".join([y] * 3)), (8, "b" * 200_000), (9, "b" * 200_000 + "c")]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string").withColumn("row", F.lit(1)).withColumn("id", F.lit("i"))
+    got = sorted((str(r["doc_id"]), r["text"][:60], r["n_lines"], r["n_removed"]) for r in lines.dedup_lines(docs).collect())
+    want = [("1", f"{a}\nx", 2, 0), ("5", "y", 2, 1), ("5", f"z\n{x}", 2, 0), ("5", f"z\n{x}", 2, 0), ("None", f"{a}\n{y}", 2, 0), ("7", y, 3, 2), ("8", "b" * 60, 1, 0), ("9", "", 1, 1)]
+    assert got == sorted((i, t[:60], n, m) for i, t, n, m in want)
+
+
+@pytest.mark.parametrize("size", [3, 17])
+def test_capped_groups(size):
+    import pyarrow as pa
+
+    from genoloom.llm.common import capped_groups
+
+    rows = sorted((k, m) for k in range(40) for m in range(R.choice([1, 2, 4, 5, 30])) for _ in range(R.choice([1, 1, 3])))
+    given = pa.table({"k": [r[0] for r in rows], "m": [r[1] for r in rows]}).to_batches(max_chunksize=size)
+    out = [(k, m, bool(h)) for t, hot in capped_groups(iter(given), "k", "m", 4, 10) for k, m, h in zip(t["k"].to_pylist(), t["m"].to_pylist(), hot, strict=True)]
+    n = collections.Counter(k for k, _ in set(rows))
+    assert out == [(k, m, n[k] > 4) for k, m in sorted(set(rows))]
+
+
+def test_everything_without_broadcasts(spark, monkeypatch):
+    from genoloom.llm import common
+
+    base = ["".join(R.choice("abcdef é") for _ in range(40)) for _ in range(9)]
+    rows = [(d, "\n".join(R.choice(base)[: R.choice([39, 40])] for _ in range(R.randint(1, 6)))) for d in range(60)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    want = sorted(tuple(r) for r in lines.dedup_lines(docs, cap=3, block=4).collect())
+    monkeypatch.setattr(common, "BROADCAST_BYTES", -1)
+    for heavy in (10_000, 5):
+        monkeypatch.setattr(common, "HEAVY", heavy)
+        assert sorted(tuple(r) for r in lines.dedup_lines(docs, cap=3, block=4).collect()) == want

@@ -49,3 +49,42 @@ def test_stages(spark, tmp_path):
 def test_all_ten_are_registered():
     names = queries.queries()
     assert {int(n[2:].split("_")[0]) for n in names} == set(range(1, 11))
+
+
+def test_rows_that_share_an_id_null_ids_repeats_and_clashing_columns(spark, tmp_path):
+    d = corpus(spark, tmp_path)
+    say = lambda n: " ".join(R.choice(WORDS) + str(R.randrange(40)) for _ in range(n))
+    a, b, c, e = say(60), say(60), say(60), say(60)
+    item = spark.read.parquet(f"{d}/benchmark.parquet").filter("item_id = 2").first()["text"]
+    odd = [(700, a), (700, b), (700, b), (701, a), (None, c), (None, e), (702, c), (703, item + " " + say(8)), (703, say(30)), (704, "")]
+    odd = [(i, t, "en", "s1", 0, 9, 8, "x", k) for k, (i, t) in enumerate(odd)]
+    schema = "doc_id bigint, text string, lang string, source string, n_chars bigint, size int, row int, key string, number int"
+    docs = spark.createDataFrame(odd, schema)
+    texts = lambda df: sorted((str(r["doc_id"]), r["text"]) for r in df.collect())
+    kept = p.near_copies(spark, docs, d)
+    assert kept.columns == docs.columns
+    assert texts(kept) == sorted([("700", a), ("700", b), ("702", c), ("None", e), ("703", odd[7][1]), ("703", odd[8][1]), ("704", "")])
+    assert [r["number"] for r in kept.filter("text = '%s'" % b).collect()] == [1]
+    kept = p.benchmark(spark, docs, d)
+    assert texts(kept) == sorted((str(r[0]), r[1]) for r in odd if r[8] != 7) and kept.columns == docs.columns
+    for stage in (p.quality, p.lines):
+        assert stage(spark, docs, d).columns == docs.columns
+    bad = spark.createDataFrame([(600, "BUY!! WIN!! " * 30, "en", "s", 0), (600, say(60), "en", "s", 0), (None, "BUY!! SALE!! " * 30, "en", "s", 0)], "doc_id bigint, text string, lang string, source string, n_chars bigint")
+    bad = bad.unionByName(spark.read.parquet(f"{d}/documents.parquet").filter("doc_id < 120 OR doc_id >= 400"))
+    assert [t[:3] != "BUY" for i, t in texts(p.quality(spark, bad, d)) if i in ("600", "None")].count(False) == 0
+    mixed = p.mix(spark, docs, d).collect()
+    assert len({r["text"] for r in mixed}) == len({r[1] for r in odd if r[1]}) and all(r["copies"] in (1, 2) and r["size"] > 0 for r in mixed)
+    assert sum(r["taken"] for r in mixed) == sum(len(r["text"].split()) * r["copies"] for r in mixed)
+
+
+def test_empty_tables(spark, tmp_path):
+    d = corpus(spark, tmp_path)
+    docs = spark.read.parquet(f"{d}/documents.parquet")
+    e = str(tmp_path / "none")
+    for name in ("labels", "benchmark"):
+        spark.read.parquet(f"{d}/{name}.parquet").limit(0).write.parquet(f"{e}/{name}.parquet")
+    assert p.quality(spark, docs, e).count() == docs.count() == p.benchmark(spark, docs, e).count()
+    nothing = docs.limit(0)
+    for _, stage in p.STAGES:
+        nothing = stage(spark, nothing, e)
+        assert nothing.count() == 0

@@ -190,6 +190,26 @@ def test_minimizers():
         assert {x for x in got if x[0] == i} == want
 
 
+def test_common_subsequence_in_blocks_and_divided():
+    def plain(a, b):
+        row = [0] * (len(b) + 1)
+        for x in a:
+            new = [0]
+            for j, y in enumerate(b, 1):
+                new.append(row[j - 1] + 1 if x == y else max(row[j], new[-1]))
+            row = new
+        return row[-1]
+
+    for n in (0, 1, 5, 60, 150):
+        a = np.array([R.randrange(8) for _ in range(n)], np.uint32)
+        b = np.array([R.randrange(8) for _ in range(R.randint(0, 150))], np.uint32)
+        assert chains.common(a, b, 16) == chains.common(a, b) == plain(a.tolist(), b.tolist())
+    a = np.array([R.randrange(1 << 30) for _ in range(60_000)], np.uint32)
+    b = a.copy()
+    b[::100] = 1
+    assert chains.common(a, b) == 59_400
+
+
 def test_fenwick_chain():
     best = chains.chain([0, 10, 20], [8, 18, 28], [0, 11, 5], [8, 19, 13], [2, 2, 2])
     assert best[0] == (0, 18, 0, 19, 4)
@@ -215,7 +235,7 @@ def test_contaminated(spark):
         rows.append((d, " ".join(x)))
     rows += [(300, None), (301, ""), (302, items[0][1].upper()), (302, items[0][1].upper())]
     bench = spark.createDataFrame(items, "item_id bigint, text string")
-    got = {(r["doc_id"], r["item_id"]) for r in decontaminate.contaminated(frame(spark, rows), bench, 12).collect()}
+    got = {(r["doc_id"], r["item_id"]) for r in decontaminate.contaminated(frame(spark, rows), bench, 20).collect()}
     assert got == want | {(302, 0)}
     assert decontaminate.contaminated(frame(spark, rows), bench.limit(0)).count() == 0
     assert decontaminate.contaminated(frame(spark, rows).limit(0), bench).count() == 0
@@ -307,6 +327,45 @@ def test_quality(spark):
     assert quality.score_quality(docs.limit(0), quality.learn(docs.limit(0), labels)).count() == 0
 
 
+def test_mixing_rows_without_ids_and_equal_rows(spark):
+    rows = [(None, f"w{i} " * R.randint(1, 30), "b") for i in range(300)] + [(7, "same words here", "b")] * 200 + [(8, "x " * 3000, "a")]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, source string")
+    got = mixing.mix_sources(docs).collect()
+    assert len(got) == len(rows)
+    for s in ("a", "b"):
+        own = [r for r in got if r["source"] == s]
+        assert abs(sum(r["taken"] for r in own) - own[0]["target"]) <= max(r["size"] for r in own)
+    assert len({r["copies"] for r in got if r["doc_id"] == 7}) == 2  # equal rows are drawn one by one
+
+
+def brute_contaminated(rows, items):
+    """Every text against every piece, by the checks alone."""
+    pieces = [(i, w[s : s + decontaminate.PIECE]) for i, t in items for w in [t.split()] for s in range(0, max(len(w) - 32, 1), 32)]
+    for d, t in rows:
+        region = t.split()
+        for i, piece in pieces:
+            share = decontaminate.lcs(piece, region) / len(piece)
+            if share >= decontaminate.COPY or share >= decontaminate.PARAPHRASE and decontaminate.has_run(piece[-4:], region):
+                yield d, i
+
+
+def test_contaminated_against_brute_force_with_many_items(spark):
+    r = random.Random(47)
+    words = [f"v{int(r.paretovariate(0.7))}" for _ in range(30_000)]
+    say = lambda n: [r.choice(words) + ("" if r.random() < 0.5 else str(r.randrange(99))) for _ in range(n)]
+    items = [(i, " ".join(say(64))) for i in range(2000)]
+    rows = []
+    for d in range(60):
+        piece = items[r.randrange(2000)][1].split()
+        keep = r.choice([1.0, 0.9, 0.7, 0.6, 0.5])
+        piece = [x for x in piece[:-4] if r.random() < keep] + piece[-4:]
+        rows.append((d, " ".join(say(r.randint(0, 20)) + piece + say(r.randint(0, 20)))))
+    want = set(brute_contaminated(rows, items))
+    got = {(x["doc_id"], x["item_id"]) for x in decontaminate.contaminated(spark.createDataFrame(rows, DOCS), spark.createDataFrame(items, "item_id bigint, text string")).collect()}
+    assert got <= want and len(want) >= 55
+    assert len(got) >= 0.9 * len(want)
+
+
 # Secrets
 
 PATTERNS = [
