@@ -1,22 +1,25 @@
 """Benchmark decontamination in a latent space, with subsequence and answer checks.
 
 Benchmark items are cut into pieces of at most PIECE words; texts into passages of SPAN words, each half over the one before.
-Words weigh by their document frequency over all documents (counted in DF_BUCKETS hash buckets). The latent space comes from
-a distributed randomised SVD: one pass multiplies the passage matrix X with a random test matrix and its transpose back
-(X'X Omega, summed over partitions), the result and the pieces' own vectors span a range, and an SVD inside the range gives
-at most RANK directions. Features are the benchmark's words, one each, and OTHER hash buckets for all further words.
-
-A passage becomes a candidate for a piece by their cosine in the latent space. The limit is a piece's own: the cosine, with
-even weights, of a piece of its length that keeps PARAPHRASE of its words, in the best passage of its worst place, times SLACK
-as the kept words may be the lighter ones. Before it is projected, a passage must have enough of its weight in benchmark words
-for any cosine to reach the least limit of the block; blocks hold pieces of like length. Candidates are checked in the text around the
-passage: the longest common subsequence with the piece must cover COPY of it, or PARAPHRASE of it if the piece's answer (its
-last ANSWER words) is there in one run.
-
-The benchmark is the query set: its items come to the driver in blocks of about ITEMS and go to every task in blocks of at
-most PIECES pieces, so their share of memory is bounded. A block never has more pieces than the space has directions for
-them: every piece lies wholly in the space, and a verbatim copy keeps its cosine. The cosine is thus the plain TF-IDF one. A null or empty text, or item, matches nothing. Equal rows give one result. Texts are read whole. Other columns are ignored. An empty
-table or benchmark gives an empty result.
+Words weigh by their document frequency over all documents (counted in DF_BUCKETS hash buckets). A distributed randomised SVD
+of the corpus' TF-IDF passages over all words, in LATENT hashed features, gives the latent directions: one pass multiplies the
+passage matrix X with a random test matrix and its transpose back (X'X Omega, a sum over partitions of bounded size), and the
+Nystroem form of the result gives the leading right singular vectors. A passage or piece has two coordinates: its words as they
+are, and its place in the latent space, in which words that occur together lie near each other.
+
+A passage becomes a candidate for a piece if the cosine of their words, plus WEIGHT of their cosine in the latent space,
+reaches a limit; so no latent difference can hide a piece that shares enough words, and passages whose other words speak of
+the same need fewer. The limit is a piece's own: the cosine, with even weights, of a piece of its length that keeps PARAPHRASE
+of its words, in the best passage of its worst place, times SLACK as the kept words may be the lighter ones. Before anything is
+projected, a passage must have enough of its weight in benchmark words for any cosine to reach the least limit of a space;
+spaces hold pieces of like length. Candidates are checked in the text around the passage: the longest common subsequence with
+the piece must cover COPY of it, or PARAPHRASE of it if the piece's answer (its last ANSWER words) is there in one run.
+
+The benchmark is the query set. Its pieces, cut on the executors, come to the driver in blocks of about AT_ONCE (16 bytes a
+word) and go to every task, which builds the matrices of SPACE pieces each; one pass over the texts serves a block, whatever
+the length of an item. A null or empty text, or item, matches nothing. Equal rows give one result, rows that share a doc_id
+are one document of several texts. Texts are read whole, very long ones too. Ties of passages go to the later one. Other
+columns are ignored. An empty table or benchmark gives an empty result.
 """
 
 from __future__ import annotations
@@ -26,30 +29,36 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import batches, buffer_of, table, words_of
+from .common import batches, buffer_of, cut, row_key, table, tidy, words_of
 
 SPAN = 32
 PIECE = 64
-ITEMS = 2000
+#: Pieces of one pass over the texts, and of one matrix.
+AT_ONCE = 1500
+SPACE = 250
 DF_BUCKETS = 1 << 17
-OTHER = 4096
-SKETCH = 8
-RANK = 256
-#: Pieces of a space: no more than it has directions beside the sketch's.
-PIECES = RANK - SKETCH
+LATENT = 1 << 14
+SKETCH = 24
+DIRECTIONS = 16
+WEIGHT = 0.05
 #: For weights that are not even.
 SLACK = 0.85
 COPY = 0.6
 PARAPHRASE = 0.45
 ANSWER = 4
 SEED = 3
-SCHEMA = "doc_id bigint, item_id bigint, start_word bigint, cosine double, lcs_share double, answer boolean"
+SCHEMA = "doc_id bigint, item_id bigint, start_word bigint, cosine double, lcs_share double, answer boolean, row bigint"
+PIECES = "item_id bigint, no int, words binary"
 
 
 def _bucket(w: np.ndarray) -> np.ndarray:
     return (w & np.uint64(DF_BUCKETS - 1)).astype(np.int64)
 
 
+def _latent(w: np.ndarray) -> np.ndarray:
+    return ((w >> np.uint64(20)) & np.uint64(LATENT - 1)).astype(np.int64)
+
+
 def document_frequency(docs: DataFrame) -> tuple[np.ndarray, int]:
     """Documents per word bucket, and documents. At most DF_BUCKETS + 1 rows come to the driver."""
 
@@ -66,10 +75,11 @@ def document_frequency(docs: DataFrame) -> tuple[np.ndarray, int]:
                 total[:-1] += np.bincount(pairs & (DF_BUCKETS - 1), minlength=DF_BUCKETS)
             n += len(block["text"])
         total[-1] = n
+        tidy()
         some = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(some.astype(np.int32)), pa.array(total[some])], names=["b", "c"])
 
-    got = docs.select("text").mapInArrow(count, "b int, c bigint").groupBy("b").agg(F.sum("c").alias("c")).toPandas()
+    got = docs.select("text").mapInArrow(count, "b int, c bigint").groupBy("b").agg(F.sum("c").alias("c")).toArrow()
     out = np.zeros(DF_BUCKETS + 1, np.int64)
     out[got["b"].to_numpy()] = got["c"].to_numpy()
     return out[:-1], int(out[-1])
@@ -82,97 +92,93 @@ def limit(n: int) -> float:
     return SLACK * PARAPHRASE * best / (SPAN * n) ** 0.5
 
 
-def pieces_of(items: list[tuple[int, str]]) -> list[tuple[int, np.ndarray]]:
-    """Item and words of each piece, by length."""
-    out = []
-    for item_id, text in items:
-        w = words_of(*buffer_of([text]))[0]
-        if len(w):
-            out += [(item_id, w[s : s + PIECE]) for s in range(0, max(len(w) - PIECE // 2, 1), PIECE // 2)]
-    return sorted(out, key=lambda x: len(x[1]))
+def _cut_pieces(it):
+    """Pieces of items: words of at most PIECE, each half over the one before."""
+    for block in batches(it):
+        out = []
+        for item_id, text in zip(block["item_id"], block["text"], strict=True):
+            w = words_of(*buffer_of([text]))[0]
+            if len(w):
+                out += [(item_id, k, w[s : s + PIECE].tobytes()) for k, s in enumerate(range(0, max(len(w) - PIECE // 2, 1), PIECE // 2))]
+        if out:
+            cols = list(zip(*out, strict=True))
+            yield pa.RecordBatch.from_arrays([pa.array(cols[0], pa.int64()), pa.array(cols[1], pa.int32()), pa.array(cols[2], pa.binary())], names=["item_id", "no", "words"])
 
 
 class Space:
-    """Features, their weights and, after fit, the latent basis and the pieces in it."""
+    """The pieces of one matrix: their words' weights (feature by piece, rows of unit length), and their latent places."""
 
-    def __init__(self, pieces: list[tuple[int, np.ndarray]], idf: np.ndarray):
-        self.idf = idf
+    def __init__(self, pieces: list[tuple[int, np.ndarray]], idf: np.ndarray, directions: np.ndarray):
         self.item, self.words = [i for i, _ in pieces], [w for _, w in pieces]
-        self.vocabulary = np.unique(np.concatenate([np.zeros(0, np.uint64), *self.words]))
+        self.vocabulary = np.unique(np.concatenate(self.words))
         self.seen = np.zeros(1 << 20, bool)  # of the top 20 bits of a word's hash
         self.seen[(self.vocabulary >> np.uint64(44)).astype(np.int64)] = True
-        self.size = len(self.vocabulary) + OTHER
-        rows = np.zeros((len(self.words), self.size), np.float32)
+        self.matrix = np.zeros((len(self.vocabulary), len(pieces)), np.float32)
+        self.places = np.zeros((len(pieces), directions.shape[1]), np.float32)
         for i, w in enumerate(self.words):
-            f, _, weight = self.features(w)
-            np.add.at(rows[i], f, weight)
-        self.rows = rows / np.maximum(np.linalg.norm(rows, axis=1, keepdims=True), 1e-9)
-        self.basis = self.pieces = None
-
-    def features(self, w: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Feature, whether it is a benchmark word, and weight of each word."""
-        n = len(self.vocabulary)
+            weight = idf[_bucket(w)]
+            np.add.at(self.matrix[:, i], np.searchsorted(self.vocabulary, w), weight)
+            self.places[i] = weight @ directions[_latent(w)]
+        self.matrix /= np.maximum(np.linalg.norm(self.matrix, axis=0), 1e-9)
+        self.places /= np.maximum(np.linalg.norm(self.places, axis=1, keepdims=True), 1e-9)
+        self.limits = np.array([limit(len(w)) for w in self.words])
+
+    def features(self, w: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Row of each word, and whether it is a word of the pieces."""
         own = self.seen[(w >> np.uint64(44)).astype(np.int64)]
-        out = n + ((w >> np.uint64(20)) & np.uint64(OTHER - 1)).astype(np.int64)
+        out = np.zeros(len(w), np.int32)
         maybe = np.flatnonzero(own)
-        if len(maybe):
-            at = np.minimum(np.searchsorted(self.vocabulary, w[maybe]), n - 1)
-            same = self.vocabulary[at] == w[maybe]
-            own[maybe[~same]] = False
-            out[maybe[same]] = at[same]
-        return out, own, self.idf[_bucket(w)]
+        at = np.minimum(np.searchsorted(self.vocabulary, w[maybe]), len(self.vocabulary) - 1)
+        same = self.vocabulary[at] == w[maybe]
+        own[maybe[~same]] = False
+        out[maybe[same]] = at[same]
+        return out, own
 
-    def omega(self) -> np.ndarray:
-        return np.random.default_rng(SEED).normal(size=(self.size, SKETCH)).astype(np.float32)
 
-    def fit(self, sketch: np.ndarray, rank: int = RANK) -> None:
-        sketch = sketch / np.maximum(np.linalg.norm(sketch, axis=0), 1e-9)
-        q, _ = np.linalg.qr(np.concatenate((self.rows.T, sketch.astype(np.float32)), 1))
-        small = np.concatenate((self.rows, 0.1 * sketch.T)) @ q
-        _, _, vt = np.linalg.svd(small, full_matrices=False)
-        self.basis = np.ascontiguousarray(q @ vt[:rank].T, np.float32)
-        z = self.rows @ self.basis
-        self.pieces = (z / np.maximum(np.linalg.norm(z, axis=1, keepdims=True), 1e-9)).astype(np.float32)
+def omega() -> np.ndarray:
+    return np.random.default_rng(SEED).normal(size=(LATENT, SKETCH)).astype(np.float32)
 
 
-def sketch(docs: DataFrame, sent, size: int) -> np.ndarray:
-    """X'X Omega over the passages (not overlapping here) of all texts: a distributed sum of size rows."""
+def directions(docs: DataFrame, sent) -> np.ndarray:
+    """The leading right singular vectors of the passages of all texts (TF-IDF, LATENT features): one pass makes Y = X'X Omega, and X'X is about Y (Omega'Y)^-1 Y'."""
+    cols = [f"c{k}" for k in range(SKETCH)]
 
     def multiply(it):
-        space = _space(sent.value)
-        omega = space.omega()
-        total = np.zeros((space.size, SKETCH))
+        idf = sent.value
+        test = omega()
+        total = np.zeros((LATENT, SKETCH))
         for block in batches(it):
             buf, starts = buffer_of(block["text"])
             w, _, _, first = words_of(buf, starts)
             if not len(w):
                 continue
-            f, _, weight = space.features(w)
+            f, weight = _latent(w), idf[_bucket(w)].astype(np.float32)
             text = np.repeat(np.arange(len(first) - 1), np.diff(first))
-            pos = np.arange(len(w)) - first[text]
-            begin = np.flatnonzero(pos % SPAN == 0)
-            of = np.repeat(np.arange(len(begin)), np.diff(np.append(begin, len(w))))
-            t = np.add.reduceat(omega[f] * weight[:, None], begin, axis=0)
+            begin = np.flatnonzero((np.arange(len(w)) - first[text]) % SPAN == 0)
+            size = np.diff(np.append(begin, len(w)))
             norm = np.add.reduceat(weight * weight, begin)
-            t /= np.maximum(norm, 1e-9)[:, None]
-            for k in range(SKETCH):
-                total[:, k] += np.bincount(f, weight * t[of, k], space.size)
+            t = np.add.reduceat(test[f] * weight[:, None], begin, axis=0) / np.maximum(norm, 1e-9)[:, None]
+            order = np.argsort(f, kind="stable")  # one sum for each feature
+            back = (np.repeat(t, size, axis=0) * weight[:, None])[order]
+            at = np.flatnonzero(np.diff(f[order], prepend=-1))
+            total[f[order][at]] += np.add.reduceat(back, at, axis=0)
         some = np.flatnonzero(total.any(1))
         yield pa.RecordBatch.from_arrays([pa.array(some.astype(np.int32)), *[pa.array(total[some, k].astype(np.float32)) for k in range(SKETCH)]], names=["row", *cols])
-
-    cols = [f"c{k}" for k in range(SKETCH)]
-    got = docs.select("text").mapInArrow(multiply, "row int, " + ", ".join(f"{c} float" for c in cols)).groupBy("row").agg(*[F.sum(c).alias(c) for c in cols]).toPandas()
-    out = np.zeros((size, SKETCH), np.float32)
-    out[got["row"].to_numpy()] = got[cols].to_numpy()
+        tidy()
+
+    got = docs.select("text").mapInArrow(multiply, "row int, " + ", ".join(f"{c} float" for c in cols)).groupBy("row").agg(*[F.sum(c).alias(c) for c in cols]).toArrow()
+    y = np.zeros((LATENT, SKETCH))
+    y[got["row"].to_numpy()] = np.stack([got[c].to_numpy() for c in cols], 1)
+    value, vector = np.linalg.eigh((lambda m: (m + m.T) / 2)(omega().T.astype(float) @ y))
+    good = value > max(value.max(), 1e-12) * 1e-6
+    half = y @ (vector[:, good] / np.sqrt(value[good]))  # half half' is the Nystroem form
+    u, s, _ = np.linalg.svd(half, full_matrices=False)
+    out = np.zeros((LATENT, DIRECTIONS), np.float32)
+    n = min(DIRECTIONS, int((s > 1e-9).sum()))
+    out[:, :n] = u[:, :n]
     return out
 
 
-def _space(state: dict) -> Space:
-    space = Space.__new__(Space)
-    space.__dict__.update(state)
-    return space
-
-
 def lcs(piece: list[int], region: list[int]) -> int:
     where: dict[int, int] = {}
     for j, x in enumerate(piece):
@@ -192,81 +198,90 @@ def has_run(run: list[int], region: list[int]) -> bool:
 
 def _search(sent):
     def search(it):
-        space = _space(sent.value)
-        pieces = [w.tolist() for w in space.words]
-        limits = np.array([limit(len(p)) for p in pieces])
+        block_pieces, idf, latent = sent.value
+        spaces = [Space(block_pieces[k : k + SPACE], idf, latent) for k in range(0, len(block_pieces), SPACE)]
         for block in batches(it, 1 << 19):
             buf, starts = buffer_of(block["text"])
             w, _, _, first = words_of(buf, starts)
             if not len(w):
                 continue
-            f, own, weight = space.features(w)
+            weight = idf[_bucket(w)].astype(np.float32)
             size = np.diff(first)
             n = np.maximum(-(-(size - SPAN) // (SPAN // 2)), 0) + 1
             n[size == 0] = 0
             text = np.repeat(np.arange(len(size)), n)
             begin = first[text] + (np.arange(len(text)) - np.repeat(np.cumsum(n) - n, n)) * (SPAN // 2)
             end = np.minimum(begin + SPAN, first[text + 1])
-            all_, mine = (np.concatenate(([0.0], np.cumsum(x))) for x in (weight * weight, np.where(own, weight * weight, 0)))
-            norm2 = all_[end] - all_[begin]
-            keep = np.flatnonzero(mine[end] - mine[begin] >= limits.min() ** 2 * norm2 - 1e-9)
+            square = weight.astype(float) ** 2
+            sums = np.concatenate(([0.0], np.cumsum(square)))
+            norm = np.sqrt(np.maximum(sums[end] - sums[begin], 1e-9))
             best: dict[tuple[int, int], tuple] = {}
-            for at in range(0, len(keep), 2048):
-                some = keep[at : at + 2048]
-                length = end[some] - begin[some]
-                cut = np.concatenate(([0], np.cumsum(length)))
-                token = np.repeat(begin[some] - cut[:-1], length) + np.arange(cut[-1])
-                inside = own[token]  # the pieces have no weight elsewhere
-                passage = np.repeat(np.arange(len(some)), length)[inside]
-                token = token[inside]
-                z = np.zeros((len(some), space.basis.shape[1]), np.float32)
-                if len(token):
-                    at0 = np.flatnonzero(np.diff(passage, prepend=-1))
-                    z[passage[at0]] = np.add.reduceat(space.basis[f[token]] * weight[token].astype(np.float32)[:, None], at0, axis=0)
-                cos = (z @ space.pieces.T) / np.sqrt(np.maximum(norm2[some], 1e-9))[:, None]
-                for i, p in zip(*np.nonzero(cos >= limits), strict=True):
-                    k, piece = int(some[i]), pieces[p]
-                    t, lo = int(text[k]), max(int(first[text[k]]), int(begin[k]) - len(piece))
-                    region = w[lo : min(int(first[t + 1]), int(end[k]) + len(piece))].tolist()
-                    share = lcs(piece, region) / len(piece)
-                    if share < PARAPHRASE:
-                        continue
-                    answer = has_run(piece[-ANSWER:], region)
-                    if share >= COPY or answer:
-                        got = (share, float(cos[i, p]), -int(begin[k] - first[t]), answer)
-                        key = (t, space.item[p])
-                        best[key] = max(best.get(key, got), got)
+            for space in spaces:
+                f, own = space.features(w)
+                mine = np.concatenate(([0.0], np.cumsum(np.where(own, square, 0))))
+                keep = np.flatnonzero(np.sqrt(np.maximum(mine[end] - mine[begin], 0)) >= (space.limits.min() - WEIGHT) * norm - 1e-6)
+                for at in range(0, len(keep), 2048):
+                    _candidates(space, latent, w, f, own, weight, text, first, begin, end, norm, keep[at : at + 2048], best)
             if best:
-                rows = [(block["doc_id"][t], item, -s, c, share, a) for (t, item), (share, c, s, a) in best.items()]
-                types = [pa.int64()] * 3 + [pa.float64()] * 2 + [pa.bool_()]
+                rows = [(block["doc_id"][t], item, -s, c, share, a, block["row"][t]) for (t, item), (share, c, s, a) in best.items()]
+                types = [pa.int64()] * 3 + [pa.float64()] * 2 + [pa.bool_(), pa.int64()]
                 yield pa.RecordBatch.from_arrays([pa.array(v, k) for v, k in zip(zip(*rows, strict=True), types, strict=True)], names=[x.split()[0] for x in SCHEMA.split(", ")])
 
     return search
 
 
-def contaminated(docs: DataFrame, benchmark: DataFrame, items_at_once: int = ITEMS) -> DataFrame:
-    """The pairs of a document and a benchmark item that it holds (SCHEMA), one row each."""
+def _candidates(space: Space, latent, w, f, own, weight, text, first, begin, end, norm, some, best: dict) -> None:
+    """Enters in best what passages `some` hold of the pieces of a space: (text, item) to (share, cosine, minus start, answer)."""
+    length = end[some] - begin[some]
+    cut_ = np.concatenate(([0], np.cumsum(length)))
+    token = np.repeat(begin[some] - cut_[:-1], length) + np.arange(cut_[-1])
+    passage = np.repeat(np.arange(len(some)), length)
+    z = np.add.reduceat(latent[_latent(w[token])] * weight[token][:, None], cut_[:-1], axis=0)
+    z /= np.maximum(np.linalg.norm(z, axis=1, keepdims=True), 1e-9)
+    inside = own[token]
+    token, passage = token[inside], passage[inside]
+    cos = np.zeros((len(some), space.matrix.shape[1]), np.float32)
+    if len(token):
+        at = np.flatnonzero(np.diff(passage, prepend=-1))
+        cos[passage[at]] = np.add.reduceat(space.matrix[f[token]] * weight[token][:, None], at, axis=0)
+    cos /= norm[some][:, None]
+    for i, p in zip(*np.nonzero(cos + WEIGHT * (z @ space.places.T) >= space.limits), strict=True):
+        k, piece = int(some[i]), space.words[p].tolist()
+        t, lo = int(text[k]), max(int(first[text[k]]), int(begin[k]) - len(piece))
+        region = w[lo : min(int(first[t + 1]), int(end[k]) + len(piece))].tolist()
+        share = lcs(piece, region) / len(piece)
+        if share < PARAPHRASE:
+            continue
+        answer = has_run(piece[-ANSWER:], region)
+        if share >= COPY or answer:
+            got = (share, float(cos[i, p]), -int(begin[k] - first[t]), answer)
+            key = (t, space.item[p])
+            best[key] = max(best.get(key, got), got)
+
+
+def contaminated(docs: DataFrame, benchmark: DataFrame, at_once: int = AT_ONCE) -> DataFrame:
+    """The pairs of a row and a benchmark item that it holds (SCHEMA), one for each."""
     spark = docs.sparkSession
-    docs = docs.selectExpr("cast(doc_id as bigint) doc_id", "cast(text as string) text")
-    bench = benchmark.selectExpr("cast(item_id as bigint) item_id", "cast(text as string) text").filter("item_id IS NOT NULL AND text IS NOT NULL").distinct()
+    docs = row_key(docs)
+    items = benchmark.selectExpr("cast(item_id as bigint) item_id", "cast(text as string) text").filter("item_id IS NOT NULL AND text IS NOT NULL").distinct()
+    pieces = cut(items.mapInArrow(_cut_pieces, PIECES).select("item_id", "words").distinct(), "pieces")
+    count = pieces.count()
+    if not count:
+        return spark.createDataFrame([], SCHEMA)
     df, n = document_frequency(docs)
-    idf = np.log((n + 1) / (df + 1)) + 0.1
-    blocks = max(1, -(-bench.count() // items_at_once))
+    idf = (np.log((n + 1) / (df + 1)) + 0.1).astype(np.float32)
+    latent = directions(docs, spark.sparkContext.broadcast(idf))
+    blocks = max(1, -(-count // at_once))
     out = None
     for b in range(blocks):
-        items = sorted((r["item_id"], r["text"]) for r in bench.filter(F.pmod(F.hash("item_id", "text"), F.lit(blocks)) == b).collect())
-        pieces = pieces_of(items)
-        for at in range(0, len(pieces), PIECES):  # an item's pieces may be in two blocks: the best of all is taken below
-            space = Space(pieces[at : at + PIECES], idf)
-            space.fit(sketch(docs, spark.sparkContext.broadcast(space.__dict__), space.size))
-            light = {k: v for k, v in space.__dict__.items() if k != "rows"}
-            found = docs.mapInArrow(_search(spark.sparkContext.broadcast(light)), SCHEMA)
-            out = found if out is None else out.unionByName(found)
-    if out is None:
-        return spark.createDataFrame([], SCHEMA)
-    best = out.groupBy("doc_id", "item_id").agg(F.max(F.struct("lcs_share", "cosine", "start_word", "answer")).alias("m"))
-    return best.select("doc_id", "item_id", "m.start_word", "m.cosine", "m.lcs_share", "m.answer")
+        own = pieces.filter(F.pmod(F.hash("item_id", "words"), F.lit(blocks)) == b).toArrow()
+        rows = sorted(zip(own["item_id"].to_pylist(), own["words"].to_pylist(), strict=True), key=lambda x: (len(x[1]), x))
+        sent = spark.sparkContext.broadcast(([(i, np.frombuffer(w, np.uint64)) for i, w in rows], idf, latent))
+        found = docs.mapInArrow(_search(sent), SCHEMA)
+        out = found if out is None else out.unionByName(found)
+    best = out.groupBy("doc_id", "row", "item_id").agg(F.max(F.struct("lcs_share", "cosine", "start_word", "answer")).alias("m"))
+    return best.select("doc_id", "item_id", "m.start_word", "m.cosine", "m.lcs_share", "m.answer", "row")
 
 
 def op2_latent_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")).drop("row")
