@@ -7,8 +7,11 @@ about FAN documents play in one array fold; the one that is left of each group m
 round, so that the rounds form a tree of depth log_FAN(documents). A source's sum of words therefore never moves by more
 than its last document.
 
-Nulls: a null text has size 0; a null source is a source of its own, after the others. Documents of size 0 take 0.
-Repeated rows play as separate documents. An empty table gives an empty result. Other columns are ignored.
+Nulls: a null text has size 0; a null source is a source of its own, after the others. Documents of size 0 take 0. Rows with
+a null or repeated doc_id play as documents of their own, equal rows too: their draws take the place of the row in the written
+table of sizes into account, those of all other rows only the row's own values. Texts of any length count whole. Sources are
+few: the running sums of targets are windows over one row for each source. An empty table gives an empty result. Other columns
+are ignored.
 """
 
 from __future__ import annotations
@@ -19,7 +22,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from .common import cut, table
+from .common import cut, key_of, small_side, table
 
 WEIGHTS = (5.0, 2.0, 1.0)
 SHARE = 1.5
@@ -28,6 +31,8 @@ FAN = 32
 SEED = 20240229
 WORD = r"[^\x20\x09-\x0D]+"
 EPS = 1e-12
+#: What stands for a row in the tournament; `own` is what its draws depend on.
+ID = "struct<doc_id:bigint,own:bigint,carry:bigint>"
 
 
 def _let(value: Column, use) -> Column:
@@ -55,8 +60,8 @@ def targets(sized: DataFrame, weights=WEIGHTS, share: float = SHARE, most: float
 
 def _fold(rows: Column, last: bool) -> Column:
     """Plays the documents of one group in order. rows: array of (h, id, size, p). Gives (id, size, p) of the one that is left, or nulls, and out: (id, size, up) of the others; with last, the one that is left is drawn."""
-    none = F.struct(F.lit(None).cast("bigint").alias("id"), F.lit(None).cast("bigint").alias("size"), F.lit(None).cast("double").alias("p"))
-    empty = F.array().cast("array<struct<id:bigint,size:bigint,up:boolean>>")
+    none = F.struct(F.lit(None).cast(ID).alias("id"), F.lit(None).cast("bigint").alias("size"), F.lit(None).cast("double").alias("p"))
+    empty = F.array().cast(f"array<struct<id:{ID},size:bigint,up:boolean>>")
     unit = lambda *x: (F.xxhash64(F.lit(SEED), *x).bitwiseAND(F.lit((1 << 52) - 1)) / F.lit(float(1 << 52)))
     done = lambda id_, size, p: F.struct(id_.alias("id"), size.alias("size"), (p > 0.5).alias("up"))
     keep = lambda s: F.struct(s["id"].alias("id"), s["size"].alias("size"), s["p"].alias("p"))
@@ -66,7 +71,7 @@ def _fold(rows: Column, last: bool) -> Column:
         p, q = r["p"], x["p"]
         moves = F.struct(
             F.least(1 - p, q * b / a).alias("d1"), F.least(p, (1 - q) * b / a).alias("d2"),
-            (1 - p <= q * b / a).alias("p_full"), (p <= (1 - q) * b / a).alias("p_empty"), unit(r["id"], x["id"]).alias("u"),
+            (1 - p <= q * b / a).alias("p_full"), (p <= (1 - q) * b / a).alias("p_empty"), unit(r["id"]["own"], x["id"]["own"]).alias("u"),
         )
 
         def moved(m: Column) -> Column:
@@ -92,31 +97,37 @@ def _fold(rows: Column, last: bool) -> Column:
         if not last:
             return acc
         r = acc["r"]
-        drawn = F.struct(r["id"].alias("id"), r["size"].alias("size"), (unit(r["id"], F.lit(-1)) < r["p"]).alias("up"))
+        drawn = F.struct(r["id"].alias("id"), r["size"].alias("size"), (unit(r["id"]["own"], F.lit(-1)) < r["p"]).alias("up"))
         return F.struct(none.alias("r"), F.when(r["p"].isNull(), acc["out"]).otherwise(F.concat(acc["out"], F.array(drawn))).alias("out"))
 
     return F.aggregate(rows, F.struct(none.alias("r"), empty.alias("out")), meet, finish)
 
 
-def mix_sources(docs: DataFrame, weights=WEIGHTS, share: float = SHARE, most: float = MOST, fan: int = FAN) -> DataFrame:
-    """doc_id, source, size, source_size, target, copies, taken for every row of docs (doc_id, source, text)."""
+def mix_sources(docs: DataFrame, weights=WEIGHTS, share: float = SHARE, most: float = MOST, fan: int = FAN, carry: str | None = None) -> DataFrame:
+    """doc_id, source, size, source_size, target, copies, taken for every row of docs (doc_id, source, text), and its column `carry` (bigint) where one is named."""
     size = F.coalesce(F.regexp_count("text", F.lit(WORD)), F.lit(0)).cast("bigint")
-    sized = cut(docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("source"), size.alias("size")), "sized")
+    carried = F.lit(None) if carry is None else docs[carry]
+    sized = docs.select(docs["doc_id"].cast("bigint").alias("doc_id"), docs["source"], size.alias("size"), key_of(docs).alias("key"), carried.cast("bigint").alias("carry"))
+    sized = cut(sized.withColumn("place", F.monotonically_increasing_id()), "sized")
+    twins = cut(sized.groupBy("key").agg(F.count("*").alias("m")).filter("m > 1").select("key", F.lit(True).alias("twin")), "twins")
+    # What the draws of a row depend on: its values, and its place only if it has an equal.
+    own = F.xxhash64("key", "source", F.when(F.col("twin"), F.col("place")))
+    sized = cut(sized.join(small_side(twins, 24), "key", "left").select("doc_id", "source", "size", "carry", own.alias("own")), "rows")
     per = cut(targets(sized, weights, share, most), "targets")
     f = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(0.0)
     rows = sized.join(per, sized["source"].eqNullSafe(per["source"])).select(
-        "doc_id", sized["source"], "size", "source_size", "target", "n", F.floor(f).alias("base"), (f - F.floor(f)).alias("p")
+        "doc_id", sized["source"], "size", "carry", "own", "source_size", "target", "n", F.floor(f).alias("base"), (f - F.floor(f)).alias("p")
     )
     plays = (F.col("size") > 0) & (F.col("p") > EPS)
     rows = rows.withColumn("plays", plays)
-    settled = [rows.filter(~F.col("plays")).select("doc_id", "source", "size", "source_size", "target", F.when(F.col("p") > 1 - EPS, F.col("base") + 1).otherwise(F.col("base")).alias("copies"))]
+    settled = [rows.filter(~F.col("plays")).select("doc_id", "carry", "source", "size", "source_size", "target", F.when(F.col("p") > 1 - EPS, F.col("base") + 1).otherwise(F.col("base")).alias("copies"))]
     most_n = per.agg(F.max("n")).first()[0] or 0
     rounds = max(1, math.ceil(math.log(max(most_n, 2), fan)))
     keys = ["source", "source_size", "target", "n", "base"]
-    live = rows.filter("plays").select(*keys, F.col("doc_id").alias("id"), "size", "p")
+    live = rows.filter("plays").select(*keys, F.struct("doc_id", "own", "carry").alias("id"), "size", "p")
     for k in range(1, rounds + 1):
         groups = F.ceil(F.col("n") / F.lit(float(fan) ** k)).cast("bigint")
-        h = F.xxhash64(F.lit(SEED + k), "id", "size")
+        h = F.xxhash64(F.lit(SEED + k), "id.own", "size")
         played = (
             live.select(*keys, F.pmod(h, groups).alias("g"), F.struct(h.alias("h"), "id", "size", "p").alias("x"))
             .groupBy(*keys, "g")
@@ -125,12 +136,13 @@ def mix_sources(docs: DataFrame, weights=WEIGHTS, share: float = SHARE, most: fl
         )
         played = cut(played.select(*keys, "f.r", "f.out"), f"round{k}")
         out = played.select(*keys, F.inline("out"))
-        settled.append(out.select(F.col("id").alias("doc_id"), "source", "size", "source_size", "target", (F.col("base") + F.col("up").cast("int")).alias("copies")))
+        settled.append(out.select("id.doc_id", "id.carry", "source", "size", "source_size", "target", (F.col("base") + F.col("up").cast("int")).alias("copies")))
         live = played.filter("r.p IS NOT NULL").select(*keys, "r.id", "r.size", "r.p")
     done = settled[0]
     for x in settled[1:]:
         done = done.unionByName(x)
-    return done.select("doc_id", "source", "size", "source_size", "target", F.col("copies").cast("int").alias("copies"), (F.col("copies") * F.col("size")).cast("bigint").alias("taken"))
+    kept = [] if carry is None else [F.col("carry").alias(carry)]
+    return done.select("doc_id", "source", "size", "source_size", "target", F.col("copies").cast("int").alias("copies"), (F.col("copies") * F.col("size")).cast("bigint").alias("taken"), *kept)
 
 
 def op9_pivotal_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
