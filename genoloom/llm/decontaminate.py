@@ -18,7 +18,8 @@ the piece must cover COPY of it, or PARAPHRASE of it if the piece's answer (its
 The benchmark is the query set. Its pieces, cut on the executors, come to the driver in blocks of about AT_ONCE (16 bytes a
 word) and go to every task, which builds the matrices of SPACE pieces each; one pass over the texts serves a block, whatever
 the length of an item. A null or empty text, or item, matches nothing. Equal rows give one result, rows that share a doc_id
-are one document of several texts. Texts are read whole, very long ones too. Ties of passages go to the later one. Other
+are one document of several texts. Texts are read whole, very long ones too. Of several passages the one with the
+largest share counts, of those that hold a piece whole the first. Other
 columns are ignored. An empty table or benchmark gives an empty result.
 """
 
@@ -122,6 +123,7 @@ class Space:
         self.matrix /= np.maximum(np.linalg.norm(self.matrix, axis=0), 1e-9)
         self.places /= np.maximum(np.linalg.norm(self.places, axis=1, keepdims=True), 1e-9)
         self.limits = np.array([limit(len(w)) for w in self.words])
+        self.most = self.matrix.max(1)  # what a word can add to a cosine with any piece
 
     def features(self, w: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Row of each word, and whether it is a word of the pieces."""
@@ -218,8 +220,9 @@ def _search(sent):
             best: dict[tuple[int, int], tuple] = {}
             for space in spaces:
                 f, own = space.features(w)
-                mine = np.concatenate(([0.0], np.cumsum(np.where(own, square, 0))))
-                keep = np.flatnonzero(np.sqrt(np.maximum(mine[end] - mine[begin], 0)) >= (space.limits.min() - WEIGHT) * norm - 1e-6)
+                mine, most = (np.concatenate(([0.0], np.cumsum(np.where(own, x, 0)))) for x in (square, weight * space.most[f]))
+                least = (space.limits.min() - WEIGHT) * norm - 1e-6
+                keep = np.flatnonzero((np.sqrt(np.maximum(mine[end] - mine[begin], 0)) >= least) & (most[end] - most[begin] >= least))
                 for at in range(0, len(keep), 2048):
                     _candidates(space, latent, w, f, own, weight, text, first, begin, end, norm, keep[at : at + 2048], best)
             if best:
@@ -231,13 +234,11 @@ def _search(sent):
 
 
 def _candidates(space: Space, latent, w, f, own, weight, text, first, begin, end, norm, some, best: dict) -> None:
-    """Enters in best what passages `some` hold of the pieces of a space: (text, item) to (share, cosine, minus start, answer)."""
+    """Enters in best what passages `some` hold of the pieces of a space: (text, item) to (share, cosine with the latent part, minus start, answer)."""
     length = end[some] - begin[some]
     cut_ = np.concatenate(([0], np.cumsum(length)))
     token = np.repeat(begin[some] - cut_[:-1], length) + np.arange(cut_[-1])
     passage = np.repeat(np.arange(len(some)), length)
-    z = np.add.reduceat(latent[_latent(w[token])] * weight[token][:, None], cut_[:-1], axis=0)
-    z /= np.maximum(np.linalg.norm(z, axis=1, keepdims=True), 1e-9)
     inside = own[token]
     token, passage = token[inside], passage[inside]
     cos = np.zeros((len(some), space.matrix.shape[1]), np.float32)
@@ -245,17 +246,31 @@ def _candidates(space: Space, latent, w, f, own, weight, text, first, begin, end
         at = np.flatnonzero(np.diff(passage, prepend=-1))
         cos[passage[at]] = np.add.reduceat(space.matrix[f[token]] * weight[token][:, None], at, axis=0)
     cos /= norm[some][:, None]
-    for i, p in zip(*np.nonzero(cos + WEIGHT * (z @ space.places.T) >= space.limits), strict=True):
-        k, piece = int(some[i]), space.words[p].tolist()
-        t, lo = int(text[k]), max(int(first[text[k]]), int(begin[k]) - len(piece))
-        region = w[lo : min(int(first[t + 1]), int(end[k]) + len(piece))].tolist()
-        share = lcs(piece, region) / len(piece)
+    # Where the latent space may decide, its cosines are added.
+    near = np.flatnonzero((cos >= space.limits - WEIGHT).any(1))
+    for i in near.tolist():
+        own_ = slice(begin[some[i]], end[some[i]])
+        z = weight[own_] @ latent[_latent(w[own_])]
+        cos[i] += WEIGHT / max(float(np.linalg.norm(z)), 1e-9) * (space.places @ z)
+    for i, p in zip(*np.nonzero(cos[near] >= space.limits), strict=True):
+        i = near[i]
+        k, size = int(some[i]), len(space.words[p])
+        t = int(text[k])
+        key = (t, space.item[p])
+        if key in best and best[key][0] == 1:
+            continue  # held whole
+        region = slice(max(int(first[t]), int(begin[k]) - size), min(int(first[t + 1]), int(end[k]) + size))
+        # Only the piece's own words can be in a common subsequence.
+        shared = w[region][own[region] & (space.matrix[f[region], p] > 0)].tolist()
+        if len(shared) < PARAPHRASE * size:
+            continue
+        piece = space.words[p].tolist()
+        share = lcs(piece, shared) / size
         if share < PARAPHRASE:
             continue
-        answer = has_run(piece[-ANSWER:], region)
+        answer = has_run(piece[-ANSWER:], w[region].tolist())
         if share >= COPY or answer:
             got = (share, float(cos[i, p]), -int(begin[k] - first[t]), answer)
-            key = (t, space.item[p])
             best[key] = max(best.get(key, got), got)
 
 
