@@ -39,8 +39,8 @@ AT_ONCE = 1500
 SPACE = 250
 DF_BUCKETS = 1 << 17
 LATENT = 1 << 14
-SKETCH = 24
-DIRECTIONS = 16
+SKETCH = 16
+DIRECTIONS = 12
 WEIGHT = 0.05
 #: For weights that are not even.
 SLACK = 0.85
@@ -160,7 +160,7 @@ def directions(docs: DataFrame, sent) -> np.ndarray:
             size = np.diff(np.append(begin, len(w)))
             norm = np.add.reduceat(weight * weight, begin)
             t = np.add.reduceat(test[f] * weight[:, None], begin, axis=0) / np.maximum(norm, 1e-9)[:, None]
-            order = np.argsort(f, kind="stable")  # one sum for each feature
+            order = np.argsort(f.astype(np.uint16), kind="stable")  # one sum for each feature
             back = (np.repeat(t, size, axis=0) * weight[:, None])[order]
             at = np.flatnonzero(np.diff(f[order], prepend=-1))
             total[f[order][at]] += np.add.reduceat(back, at, axis=0)
@@ -219,12 +219,13 @@ def _search(sent):
             norm = np.sqrt(np.maximum(sums[end] - sums[begin], 1e-9))
             best: dict[tuple[int, int], tuple] = {}
             for space in spaces:
+                known: dict[tuple[int, bytes], tuple] = {}  # what equal surroundings gave
                 f, own = space.features(w)
                 mine, most = (np.concatenate(([0.0], np.cumsum(np.where(own, x, 0)))) for x in (square, weight * space.most[f]))
                 least = (space.limits.min() - WEIGHT) * norm - 1e-6
                 keep = np.flatnonzero((np.sqrt(np.maximum(mine[end] - mine[begin], 0)) >= least) & (most[end] - most[begin] >= least))
                 for at in range(0, len(keep), 2048):
-                    _candidates(space, latent, w, f, own, weight, text, first, begin, end, norm, keep[at : at + 2048], best)
+                    _candidates(space, latent, w, f, own, weight, text, first, begin, end, norm, keep[at : at + 2048], best, known)
             if best:
                 rows = [(block["doc_id"][t], item, -s, c, share, a, block["row"][t]) for (t, item), (share, c, s, a) in best.items()]
                 types = [pa.int64()] * 3 + [pa.float64()] * 2 + [pa.bool_(), pa.int64()]
@@ -233,7 +234,7 @@ def _search(sent):
     return search
 
 
-def _candidates(space: Space, latent, w, f, own, weight, text, first, begin, end, norm, some, best: dict) -> None:
+def _candidates(space: Space, latent, w, f, own, weight, text, first, begin, end, norm, some, best: dict, known: dict) -> None:
     """Enters in best what passages `some` hold of the pieces of a space: (text, item) to (share, cosine with the latent part, minus start, answer)."""
     length = end[some] - begin[some]
     cut_ = np.concatenate(([0], np.cumsum(length)))
@@ -261,14 +262,15 @@ def _candidates(space: Space, latent, w, f, own, weight, text, first, begin, end
             continue  # held whole
         region = slice(max(int(first[t]), int(begin[k]) - size), min(int(first[t + 1]), int(end[k]) + size))
         # Only the piece's own words can be in a common subsequence.
-        shared = w[region][own[region] & (space.matrix[f[region], p] > 0)].tolist()
+        shared = w[region][own[region] & (space.matrix[f[region], p] > 0)]
         if len(shared) < PARAPHRASE * size:
             continue
-        piece = space.words[p].tolist()
-        share = lcs(piece, shared) / size
-        if share < PARAPHRASE:
-            continue
-        answer = has_run(piece[-ANSWER:], w[region].tolist())
+        around = (p, w[region].tobytes())
+        if around not in known:
+            piece = space.words[p].tolist()
+            share = lcs(piece, shared.tolist()) / size
+            known[around] = share, share >= PARAPHRASE and has_run(piece[-ANSWER:], w[region].tolist())
+        share, answer = known[around]
         if share >= COPY or answer:
             got = (share, float(cos[i, p]), -int(begin[k] - first[t]), answer)
             best[key] = max(best.get(key, got), got)
