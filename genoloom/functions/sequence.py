@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 # IUPAC codes and their complements.
 IUPAC = "ACGTUMRWSYKVHDBNacgtumrwsykvhdbn"
@@ -22,14 +25,52 @@ def piece(seq: Column, start: Column, end: Column) -> Column:
     return F.when(start < 1, F.lit("")).otherwise(F.substring(seq, start.cast("int"), (end - start + 1).cast("int")))
 
 
+#: Bases of a tile: what a row of a sequence table holds when places in it are looked up.
+TILE = 8192
+
+
+def tiles(sequences: DataFrame, most: int) -> DataFrame:
+    """id, tile, bases: pieces of TILE bases of sequences (id, seq), each with the first most - 1 bases of the next, so that `most` bases from any place on lie in one row."""
+    n = F.ceil(F.length("seq") / F.lit(TILE)).cast("int")
+    t = sequences.filter("length(seq) > 0").select("id", "seq", F.explode(F.sequence(F.lit(0), n - 1)).alias("tile"))
+    return t.select("id", "tile", F.substring("seq", F.col("tile") * TILE + 1, F.lit(TILE + most - 1)).alias("bases"))
+
+
+def bases_at(places: DataFrame, sequences: DataFrame, at: str, n: int) -> DataFrame:
+    """places (seqid, at ...) with bases: the n bases of their sequence (id, seq) from `at` on, empty where `at` lies below 1, fewer at the end. Places meet tiles and not whole contigs; those on unknown sequences are left out."""
+    zero = F.greatest(F.col(at) - 1, F.lit(0))
+    p = places.withColumn("_tile", F.floor(zero / TILE).cast("int"))
+    t = tiles(sequences, n).select(F.col("id").alias("seqid"), F.col("tile").alias("_tile"), F.col("bases").alias("_bases"))
+    known = sequences.select(F.col("id").alias("seqid")).distinct()
+    out = p.join(known, "seqid", "left_semi").join(t, ["seqid", "_tile"], "left")
+    own = F.substring("_bases", (F.pmod(zero, F.lit(TILE)) + 1).cast("int"), F.lit(n))
+    return out.withColumn("bases", F.when((F.col(at) < 1) | F.col("_bases").isNull(), F.lit("")).otherwise(own)).drop("_tile", "_bases")
+
+
+@F.arrow_udf(StringType())
+def _translated(seqs: pa.Array, unknown: pa.Array) -> pa.Array:
+    """One table look-up for each codon of a batch: six bits of three bases give the amino acid."""
+    code = np.full(256, 64, np.int64)
+    for i, b in enumerate(BASES):
+        code[ord(b)] = code[ord(b.lower())] = i
+    amino = np.frombuffer(AMINO.encode(), np.uint8)
+    out = []
+    for seq, x in zip(seqs.to_pylist(), unknown.to_pylist(), strict=True):
+        if seq is None:
+            out.append(None)
+            continue
+        b = code[np.frombuffer(seq.encode("latin-1", "replace"), np.uint8)]
+        b = b[: len(b) // 3 * 3].reshape(-1, 3)
+        known = b.max(1, initial=0) < 64
+        letters = np.full(len(b), ord(x), np.uint8)
+        letters[known] = amino[b[known] @ np.array([16, 4, 1])]
+        out.append(letters.tobytes().decode())
+    return pa.array(out, pa.string())
+
+
 def translate(seq: Column, unknown: str = "X") -> Column:
     """Amino acids of whole codons, genetic code 1; an unknown codon gives X, a tail of one or two bases nothing."""
-    # One pass cuts the codons; a codon's place in the text of all codons gives its amino acid's.
-    table = ",".join(BASES[i // 16] + BASES[i // 4 % 4] + BASES[i % 4] for i in range(64))
-    codons = F.regexp_extract_all(F.upper(seq), F.lit("..."), F.lit(0))
-    place = lambda c: F.instr(F.lit(table), c)
-    amino = F.transform(codons, lambda c: F.when(place(c) > 0, F.substring(F.lit(AMINO), ((place(c) + 3) / 4).cast("int"), F.lit(1))).otherwise(F.lit(unknown)))
-    return F.array_join(amino, "")
+    return _translated(seq, F.lit(unknown))
 
 
 def spliced(seq: Column, segs: Column, strand: Column, phase: Column | None = None) -> Column:

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from .intervals import islands
 
 
-def _cut(df: DataFrame) -> DataFrame:
+def cut(df: DataFrame) -> DataFrame:
     """Write to the shared folder and read back, so that rounds do not pile up in the plan."""
     spark = df.sparkSession
     place = spark.conf.get("spark.checkpoint.dir", None)
@@ -26,12 +26,12 @@ def _cut(df: DataFrame) -> DataFrame:
 def exon_components(exons: DataFrame, keys: list[str], tx: str) -> DataFrame:
     """keys, tx, component (smallest tx of its component; tx is a number): transcripts of one key linked by a shared exon base. Islands by the strict rule link transcripts in a bipartite graph; labels fall to the smaller one until none changes."""
     link = islands(exons, keys, touching=False).select(*keys, F.col(tx).alias("tx"), "island").distinct()
-    link = _cut(link)
+    link = cut(link)
     label = link.select(*keys, "tx").distinct().withColumn("component", F.col("tx"))
     while True:
         island = link.join(label, [*keys, "tx"]).groupBy(*keys, "island").agg(F.min("component").alias("c"))
         new = link.join(island, [*keys, "island"]).groupBy(*keys, "tx").agg(F.min("c").alias("c"))
-        new = _cut(label.join(new, [*keys, "tx"]).select(*keys, "tx", F.least("component", "c").alias("component"), (F.col("c") < F.col("component")).alias("moved")))
+        new = cut(label.join(new, [*keys, "tx"]).select(*keys, "tx", F.least("component", "c").alias("component"), (F.col("c") < F.col("component")).alias("moved")))
         moved = not new.filter("moved").isEmpty()
         label = new.drop("moved")
         if not moved:

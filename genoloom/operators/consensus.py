@@ -369,7 +369,7 @@ def model_features(structures: DataFrame, roles: Roles) -> DataFrame:
     s = structures.withColumns({c: F.lit(None).cast("double") for c in MODEL_COLUMNS if c not in structures.columns})
     kinds = dict(s.dtypes)
     s = s.withColumns({c: rounded(F.col(c), 3) if kinds[c] == "double" else F.col(c).cast("double") for c in MODEL_COLUMNS})
-    s = s.withColumns({f"by_{t}": has(t).cast("int") for t in roles.order}).withColumns({"n_tools": F.size("tools"), "dt": is_dt(roles).cast("int")})
+    s = s.withColumns({f"by_{t}": has(t).cast("int") for t in roles.order}).withColumns({"n_tools": F.size("tools"), "ntools": F.size("tools"), "n_cds_exons": F.size("segs"), "dt": is_dt(roles).cast("int")})
     hits, taxa = F.col("dmd_n_hits"), F.col("dmd_n_taxa")
     s = s.withColumns({
         "log_cds_len": F.log10(F.greatest("cds_len", F.lit(1)).cast("double")), "log_mult": F.log1p("rna_min_mult"), "mp_match": F.greatest("mp_train_match", "mp_rep_match"),

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import sequence as sq
-from .components import exon_components
+from .components import cut, exon_components
 from .intervals import interval_join, merge_intervals
 
 #: Feature types outside the contract, dropped on reading.
@@ -154,18 +154,29 @@ def normalize(features: DataFrame) -> tuple[DataFrame, DataFrame]:
     return out.withColumn("id", name).withColumn("parent", parent), bad
 
 
-def transcript_filter(tx: DataFrame, min_length=300, min_cov=3.0, min_tpm=1.0, long_length=3000, min_tpm_long=0.5, drop_unstranded=True) -> DataFrame:
-    """tx (length, cov, tpm, strand) with reason: the first threshold it fails, null if none."""
-    low = F.when(F.col("length") >= long_length, F.col("tpm") < min_tpm_long).otherwise(F.col("tpm") < min_tpm)
-    reason = F.when(F.col("length") < min_length, "length").when(F.coalesce(F.col("cov") < min_cov, F.lit(False)), "coverage").when(F.coalesce(low, F.lit(False)), "tpm")
-    return tx.withColumn("reason", reason.when(F.lit(drop_unstranded) & ~F.coalesce(F.col("strand").isin("+", "-"), F.lit(False)), "strand"))
+def transcript_filter(tx: DataFrame, min_length=300, min_cov=3.0, min_tpm=1.0, long_length=3000, min_tpm_long=0.5, drop_unstranded=False) -> DataFrame:
+    """tx (length, cov, tpm, strand) with reason: the first rule it fails (length, cov, tpm or tpm_long, unstranded), or pass, or pass_long_relaxed for a long one, and keep. A number that is not there fails its rule."""
+    long = F.col("length") >= long_length
+    below = lambda c, least: F.coalesce(F.col(c) < least, F.lit(True))
+    few = F.when(long, below("tpm", min_tpm_long)).otherwise(below("tpm", min_tpm))
+    reason = F.when(F.col("length") < min_length, "length").when(below("cov", min_cov), "cov").when(few & long, "tpm_long").when(few, "tpm")
+    reason = reason.when(F.lit(drop_unstranded) & ~F.coalesce(F.col("strand").isin("+", "-"), F.lit(False)), "unstranded").when(long, "pass_long_relaxed").otherwise("pass")
+    return tx.withColumn("reason", reason).withColumn("keep", F.col("reason").startswith("pass"))
+
+
+def require_expression(tx: DataFrame) -> None:
+    """An error if there are transcripts and none has cov or TPM, as after a merge of assemblies."""
+    row = tx.agg(F.count("*").alias("n"), F.count(F.coalesce("cov", "tpm")).alias("known")).first()
+    if row["n"] and not row["known"]:
+        raise ValueError("no transcript has cov and TPM: pass the assembly of the reads, not a merge")
 
 
 def tree_closure(features: DataFrame, roots: DataFrame) -> DataFrame:
-    """Of features (id, parent): the roots and all their descendants, root by root, three levels deep."""
-    level = features.join(roots.select(F.col("id").alias("root")), F.col("id") == F.col("root")).select("root", "id")
+    """Of features (id, parent): the roots and all their descendants, however deep, root by root. Each level is written and read back; a feature met before is not followed again, so that cycles end."""
+    level = cut(features.join(roots.select(F.col("id").alias("root")).distinct(), F.col("id") == F.col("root")).select("root", "id").distinct())
     out = level
-    for _ in range(3):
-        level = features.join(level.select("root", F.col("id").alias("parent")), "parent").select("root", "id")
+    while not level.isEmpty():
+        below = features.join(level.select("root", F.col("id").alias("parent")), "parent").select("root", "id").distinct()
+        level = cut(below.join(out, ["root", "id"], "left_anti"))
         out = out.unionByName(level)
-    return out.distinct()
+    return out

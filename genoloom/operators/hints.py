@@ -26,9 +26,16 @@ def assembly_introns(exons: DataFrame, by: str = "cov") -> DataFrame:
     return out.withColumn("mult", mult.cast("bigint"))
 
 
+# Sources of hints by class.
+RNA_SOURCES = ["E", "W", "b2h"]
+PROTEIN_SOURCES = ["P", "PH"]
+COMBINED_SOURCES = ["C"]
+
+
 def source_class(src: Column) -> Column:
-    """rna for E, B, W; protein for P, M, C, X; else other."""
-    return F.when(src.isin("E", "B", "W"), "rna").when(src.isin("P", "M", "C", "X"), "protein").otherwise("other")
+    """rna, protein, combined (stands for both), or other."""
+    src = F.trim(src)
+    return F.when(src.isin(COMBINED_SOURCES), "combined").when(src.isin(RNA_SOURCES), "rna").when(src.isin(PROTEIN_SOURCES), "protein").otherwise("other")
 
 
 def shrink(start: Column, end: Column, by: int = 15) -> tuple[Column, Column]:
@@ -38,30 +45,45 @@ def shrink(start: Column, end: Column, by: int = 15) -> tuple[Column, Column]:
     return F.when(crossed, mid).otherwise(start + by), F.when(crossed, mid).otherwise(end - by)
 
 
-def alignment_introns(parts: DataFrame, least: int = 41, most: int = 350_000) -> DataFrame:
-    """parent, seqid, strand, start, end: gaps between neighbouring parts of an alignment (parent, seqid, strand, line_no, start, end) in file order, whichever way the parts run, of allowed length."""
+def alignment_introns(parts: DataFrame, program: str = "miniprot", least: int = 41, most: int = 350_000, least_score: float | None = None) -> DataFrame:
+    """parent, seqid, strand, start, end, score: gaps between neighbouring parts of an alignment (parent, seqid, strand, line_no, start, end) in file order, whichever way the parts run. miniprot: every gap, with score 0. gth (parts also have score, qstart, qend): gaps of allowed length whose score, the mean of both parts', is above least_score, and where the query goes on without a gap."""
     w = Window.partitionBy("parent", "seqid", "strand").orderBy("line_no")
-    p = parts.withColumn("_s", F.lag("start").over(w)).withColumn("_e", F.lag("end").over(w)).filter("_s IS NOT NULL")
+    p = parts.withColumn("_s", F.lag("start").over(w)).withColumn("_e", F.lag("end").over(w))
     up = F.col("start") > F.col("_e")
     p = p.withColumn("a", F.when(up, F.col("_e") + 1).otherwise(F.col("end") + 1)).withColumn("b", F.when(up, F.col("start") - 1).otherwise(F.col("_s") - 1))
-    return p.filter(F.expr(f"b - a + 1 BETWEEN {least} AND {most}")).select("parent", "seqid", "strand", F.col("a").alias("start"), F.col("b").alias("end"))
+    if program == "gth":
+        p = p.withColumn("score", (F.lag("score").over(w) + F.col("score")) / 2.0).withColumn("_q", F.lag("qend").over(w) + 1)
+        p = p.filter(F.expr(f"b - a + 1 BETWEEN {least} AND {most} AND _q = qstart"))
+        p = p if least_score is None else p.filter(F.col("score") > least_score)
+    else:
+        p = p.withColumn("score", F.lit(0.0))
+    return p.filter("_s IS NOT NULL").select("parent", "seqid", "strand", F.least("a", "b").alias("start"), F.greatest("a", "b").alias("end"), "score")
+
+
+# Triplets that may start and that end a coding region.
+STARTS = ["ATG", "TTG", "GTG", "CTG"]
+STOPS = ["TAA", "TGA", "TAG"]
 
 
-def codon_hints(cds: DataFrame, sequences: DataFrame) -> DataFrame:
-    """seqid, pos, kind, strand: start codons at the first and stop codons at the last bases of coding chains (tx, seqid, strand, start, end: span) where the sequence has one."""
-    s = cds.join(sequences.select(F.col("id").alias("seqid"), "seq"), "seqid")
+def codon_hints(genes: DataFrame, sequences: DataFrame) -> DataFrame:
+    """seqid, pos, kind, strand: start codons in the first three bases of genes (tx, seqid, strand, start, end), and stop codons in the last three where the three bases behind the gene are one, as coding parts of these alignments go without it."""
     plus = F.col("strand") != "-"
-    at = lambda lo, hi: F.when(plus, sq.piece(F.col("seq"), lo[0], hi[0])).otherwise(sq.reverse_complement(sq.piece(F.col("seq"), lo[1], hi[1])))
     a, b = F.col("start"), F.col("end")
-    s = s.withColumn("_first", F.upper(at((a, b - 2), (a + 2, b)))).withColumn("_last", F.upper(at((b - 2, a), (b, a + 2))))
-    first = s.filter("_first = 'ATG'").select("seqid", F.when(plus, a).otherwise(b - 2).alias("pos"), F.lit("start").alias("kind"), "strand")
-    last = s.filter(F.col("_last").isin("TAA", "TAG", "TGA")).select("seqid", F.when(plus, b - 2).otherwise(a).alias("pos"), F.lit("stop").alias("kind"), "strand")
-    return first.unionByName(last).distinct()
+    ends = genes.withColumn("_ends", F.array(F.struct(F.lit("start").alias("kind"), F.when(plus, a).otherwise(b - 2).alias("at")), F.struct(F.lit("stop").alias("kind"), F.when(plus, b + 1).otherwise(a - 3).alias("at"))))
+    s = sq.bases_at(ends.select("seqid", "strand", "start", "end", F.inline("_ends")), sequences, "at", 3)
+    codon = F.upper(F.when(plus, F.col("bases")).otherwise(sq.reverse_complement(F.col("bases"))))
+    fine = F.when(F.col("kind") == "start", codon.isin(STARTS)).otherwise(codon.isin(STOPS))
+    pos = F.when(F.col("kind") == "start", F.col("at")).otherwise(F.when(plus, b - 2).otherwise(a))
+    return s.filter(fine).select("seqid", pos.alias("pos"), "kind", "strand").distinct()
 
 
 def find_strands(introns: DataFrame, sequences: DataFrame, pairs: tuple[str, ...] = ("gtag", "gcag", "atac")) -> DataFrame:
     """introns (seqid, start, end, strand, mult) with their strand by splice sites: both where both fit, none dropped; stranded ones stay. The score is mult."""
     known = introns.filter("strand IN ('+', '-')")
-    s = introns.filter("strand NOT IN ('+', '-')").join(sequences.select(F.col("id").alias("seqid"), "seq"), "seqid")
-    s = s.withColumn("strand", F.explode(sq.splice_strands(F.col("seq"), F.col("start"), F.col("end"), pairs))).drop("seq")
+    open_ = introns.filter("strand NOT IN ('+', '-')")
+    s = sq.bases_at(sq.bases_at(open_, sequences, "start", 2).withColumnRenamed("bases", "_l").withColumn("_at", F.col("end") - 1), sequences, "_at", 2)
+    ends = F.lower(F.concat("_l", "bases"))
+    back = F.lower(sq.reverse_complement(ends))
+    both = F.filter(F.array(F.when(ends.isin(*pairs), "+"), F.when(back.isin(*pairs), "-")), lambda x: x.isNotNull())
+    s = s.withColumn("strand", F.explode(both))
     return known.unionByName(s.select(*known.columns)).withColumn("score", F.col("mult"))

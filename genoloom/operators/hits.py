@@ -6,14 +6,19 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
+# Fixed value: Genus_species in front of a reference proteome's id.
+GENUS = r"^([A-Z][a-z]+_[a-z][A-Za-z0-9.-]*)_"
+
+
 def taxon(subject: Column) -> Column:
     """What stands before the first '_' of a subject id."""
     return F.substring_index(subject, "_", 1)
 
 
 def species_key(subject: Column) -> Column:
-    """<taxid>_..., or Genus_species; null for ids of other forms."""
-    return F.when(F.regexp_like(subject, F.lit(r"^\d+_")), F.regexp_extract(subject, r"^(\d+)_", 1)).when(F.regexp_like(subject, F.lit(r"^[A-Z][a-z]+_[a-z]+")), F.regexp_extract(subject, r"^([A-Z][a-z]+_[a-z]+)", 1))
+    """The species of a subject id: the taxon of <taxid>_<n>:<hex>, Genus_species of Genus_species_<id>; an id of another form, up to its first blank, is a species of its own."""
+    head = F.regexp_extract(subject, r"^(\S*)", 1)
+    return F.when(F.regexp_like(head, F.lit(r"^\d+_\d+:")), F.substring_index(head, "_", 1)).when(F.regexp_like(head, F.lit(GENUS)), F.regexp_extract(head, GENUS, 1)).otherwise(head)
 
 
 def hit_summary(hits: DataFrame, top: int = 10) -> DataFrame:
@@ -41,26 +46,63 @@ def hit_features(summary: DataFrame, qlen: Column | None = None) -> DataFrame:
 
 
 def rank_species(hits: DataFrame, most: int = 8, evalue: float = 1e-5, pident: float = 30.0, cover: float = 0.5) -> DataFrame:
-    """The species with most best hits: votes, score, first; ties by score, then by the first line. A query votes with its best hit by score, the first on ties. hits: line_no, query, subject, pident, length, evalue, bitscore, qlen."""
-    fine = hits.filter((F.col("evalue") <= evalue) & (F.col("pident") >= pident) & (F.col("qlen") > 0) & (F.col("length") / F.col("qlen") >= cover))
-    fine = fine.withColumn("species", species_key(F.col("subject"))).filter("species IS NOT NULL")
-    best = fine.groupBy("query").agg(F.max_by(F.struct("species", "bitscore", "line_no"), F.struct(F.col("bitscore"), -F.col("line_no"))).alias("b"))
-    per = best.groupBy("b.species").agg(F.count("*").alias("votes"), F.sum("b.bitscore").alias("score"), F.min("b.line_no").alias("first"))
+    """The species with most best hits: votes, score, first. A hit's score is its bits times the share of the query that it covers; a query votes with its best hit by score, the first on ties, and its score counts for the species. Ties of species by score, then by the first fine hit of their queries. hits: line_no, query, subject, pident, length, evalue, bitscore, qlen."""
+    share = F.col("length") / F.col("qlen")
+    fine = hits.filter((F.col("evalue") <= evalue) & (F.col("pident") >= pident) & (F.col("qlen") > 0)).filter(share >= cover)
+    fine = fine.withColumn("species", species_key(F.col("subject"))).withColumn("score", F.col("bitscore") * share)
+    best = fine.groupBy("query").agg(F.max_by(F.struct("species", "score"), F.struct(F.col("score"), -F.col("line_no"))).alias("b"), F.min("line_no").alias("first"))
+    per = best.groupBy("b.species").agg(F.count("*").alias("votes"), F.sum("b.score").alias("score"), F.min("first").alias("first"))
     return per.orderBy(F.col("votes").desc(), F.col("score").desc(), "first").limit(most)
 
 
-def support_score(a: Column, b: Column, power: float = 1000.0) -> Column:
-    """ln(a / b) to an even power that is infinite on purpose; a zero ratio counts as infinite."""
-    return F.coalesce(F.pow(F.ln(F.try_divide(a, b)), F.lit(power)), F.lit(float("inf")))
+def support_score(sstart_short: Column, sstart_full: Column, qstart_full: Column, pident_full: Column, pident_short: Column) -> Column:
+    """How much a pair of hits to one protein speaks for the full form: what the shortened one misses of the protein, less what the full one has in front of its hit, plus the logarithm of the identities' ratio to the power of 1000 (next to nothing or infinite). A shortened form without identity counts as 0.0001."""
+    ratio = pident_full / F.when(pident_short == 0, F.lit(1e-4)).otherwise(pident_short)
+    power = F.when(ratio == 0, float("inf")).otherwise(F.pow(F.ln(ratio), F.lit(1000.0)))
+    return (sstart_short - sstart_full) - (qstart_full - 1) + power
 
 
 def revise_orfs(full: DataFrame, short: DataFrame, top: int = 25) -> DataFrame:
-    """cds_id, incomplete: whether, among a sequence's `top` pairs of hits of its full and shortened form to one protein (by score, then protein), any supports the shortened form more (score > 0). full, short: cds_id, protein, qstart, sstart, bitscore."""
-    pairs = full.join(short.select("cds_id", "protein", F.col("qstart").alias("q2"), F.col("sstart").alias("s2")), ["cds_id", "protein"])
-    score = F.col("qstart") - F.col("sstart") - (F.col("q2") - F.col("s2"))
-    w = Window.partitionBy("cds_id").orderBy(F.col("bitscore").desc(), "protein", "qstart", "q2")
-    ranked = pairs.withColumn("score", score).withColumn("_r", F.row_number().over(w)).filter(F.col("_r") <= top)
-    return ranked.groupBy("cds_id").agg(F.bool_or(F.col("score") > 0).alias("incomplete"))
+    """cds_id, incomplete: whether any of a sequence's `top` pairs of hits of its full and shortened form to one protein (by the larger of both bit scores, then protein and places) has a positive support_score. full, short: cds_id, protein, pident, qstart, sstart, bitscore."""
+    side = lambda x, df: df.select("cds_id", "protein", *[F.col(c).alias(f"{c}_{x}") for c in ("pident", "qstart", "sstart", "bitscore")])
+    pairs = side("short", short).join(side("full", full), ["cds_id", "protein"])
+    c = F.col
+    pairs = pairs.withColumn("score", support_score(c("sstart_short"), c("sstart_full"), c("qstart_full"), c("pident_full"), c("pident_short")))
+    w = Window.partitionBy("cds_id").orderBy(F.greatest("bitscore_short", "bitscore_full").desc(), "protein", "qstart_full", "sstart_full", "qstart_short", "sstart_short")
+    ranked = pairs.withColumn("_r", F.row_number().over(w)).filter(F.col("_r") <= top)
+    return ranked.groupBy("cds_id").agg(F.coalesce(F.bool_or(F.col("score") > 0), F.lit(False)).alias("incomplete"))
+
+
+def revised_records(full: DataFrame, verdict: DataFrame, short: DataFrame) -> DataFrame:
+    """id, description, seq, source (full or shortened) of every record of full. Only records of the types 5prime_partial and internal that were judged complete, and have a shortened form, are replaced by it, as type complete or 3prime_partial. full, short: id, description, seq; verdict: cds_id, incomplete."""
+    has = lambda c, t: F.coalesce(F.col(c).contains(f"type:{t}"), F.lit(False))
+    partial = ~has("description", "complete") & (has("description", "5prime_partial") | has("description", "internal"))
+    v = verdict.select(F.col("cds_id").alias("id"), "incomplete")
+    s = short.select("id", F.col("description").alias("_d"), F.col("seq").alias("_s"))
+    j = full.join(v, "id", "left").join(s, "id", "left")
+    use = F.coalesce(partial & ~F.col("incomplete") & F.col("_s").isNotNull(), F.lit(False))
+    name = F.when(has("_d", "5prime_partial"), F.replace(F.col("_d"), F.lit("type:5prime_partial"), F.lit("type:complete"))).otherwise(F.replace(F.col("_d"), F.lit("type:internal"), F.lit("type:3prime_partial")))
+    return j.select("id", F.when(use, name).otherwise(F.col("description")).alias("description"), F.when(use, F.col("_s")).otherwise(F.col("seq")).alias("seq"), F.when(use, "shortened").otherwise("full").alias("source"))
+
+
+def orf_features(orfs: DataFrame, exons: DataFrame) -> DataFrame:
+    """seqid, source, type, start, end, strand, phase, id, parent, name: gene, mRNA, exon, CDS and untranslated regions of ORFs (id, description) on their transcripts, whose lengths are sums of exons (tx_id, start, end). A transcript's id is what stands before '.p' of the ORF's. ORFs without such a transcript or without coordinates are left out."""
+    length = exons.groupBy("tx_id").agg(F.sum(F.col("end") - F.col("start") + 1).cast("bigint").alias("n"))
+    h = orf_header(F.col("description"))
+    words = F.split(F.trim("description"), r"\s+")
+    o = orfs.select("id", F.substring_index("id", ".p", 1).alias("tx_id"), h["start"].alias("a"), h["end"].alias("b"), h["strand"].alias("strand"), F.get(words, F.lit(0)).alias("first"), F.coalesce(F.get(words, F.lit(1)), F.get(words, F.lit(0))).alias("name"))
+    o = o.filter("a IS NOT NULL").join(length, "tx_id")
+    gene, one, n, none = F.concat("first", F.lit(".gene")), F.lit(1).cast("bigint"), F.col("n"), F.lit(None).cast("string")
+    part = lambda source, kind, s, e, phase, id_, parent, name=none: F.struct(F.lit(source).alias("source"), F.lit(kind).alias("type"), s.alias("start"), e.alias("end"), F.lit(phase).alias("phase"), id_.alias("id"), parent.alias("parent"), name.alias("name"))
+    id_, plus = F.col("id"), F.col("strand") == "+"
+    below = lambda kind, tag: part("TransDecoder", kind, one, F.col("a") - 1, ".", F.concat(id_, F.lit(f".{tag}1")), id_)
+    above = lambda kind, tag: part("TransDecoder", kind, F.col("b") + 1, n, ".", F.concat(id_, F.lit(f".{tag}1")), id_)
+    five, three = ("five_prime_UTR", "utr5p"), ("three_prime_UTR", "utr3p")
+    parts = F.array(
+        part("StringTie", "gene", one, n, ".", gene, none, F.col("name")), part("StringTie", "mRNA", one, n, ".", id_, gene, F.col("name")), part("StringTie", "exon", one, n, ".", F.concat(id_, F.lit(".exon1")), id_),
+        part("TransDecoder", "CDS", F.col("a"), F.col("b"), "0", F.concat(F.lit("cds."), id_), id_), F.when(plus, below(*five)).otherwise(below(*three)), F.when(plus, above(*three)).otherwise(above(*five)),
+    )
+    return o.select(F.col("tx_id").alias("seqid"), "strand", F.inline(parts)).filter("start <= end")
 
 
 def orf_header(header: Column) -> dict[str, Column]:

@@ -21,22 +21,34 @@ def exon_classes(exons: DataFrame, hints: DataFrame, bin_size: int | None = None
     h = hints.withColumn("strand", F.explode(F.when(F.col("strand") == ".", F.array(F.lit("+"), F.lit("-"))).otherwise(F.array("strand"))))
     place = ["seqid", "strand", "start", "end"]
     out = exons
-    for c in ("rna", "protein"):
-        got = interval_join(exons.select(*place).distinct(), h.filter(F.col("class") == c), ["seqid", "strand"], "left_semi", bin_size)
+    for c in ("rna", "protein"):  # a combined hint stands for both
+        got = interval_join(exons.select(*place).distinct(), h.filter(F.col("class").isin(c, "combined")), ["seqid", "strand"], "left_semi", bin_size)
         out = out.join(got.withColumn(c, F.lit(True)), place, "left").withColumn(c, F.coalesce(c, F.lit(False)))
     return out
 
 
 def support_table(introns: DataFrame, exons: DataFrame) -> DataFrame:
     """Per transcript: introns and exons with rna, protein and any support, with percentages (NA without introns)."""
-    has = lambda c: F.array_contains("classes", c)
+    has = lambda c: F.array_contains("classes", c) | F.array_contains("classes", "combined")
     n = lambda cond, name: F.count(F.when(cond, 1)).alias(name)
-    i = introns.groupBy("tx").agg(F.count("*").alias("introns"), n(has("rna"), "introns_rna"), n(has("protein"), "introns_protein"), n(has("rna") | has("protein"), "introns_any"))
-    x = exons.groupBy("tx").agg(F.count("*").alias("exons"), n(F.col("rna"), "exons_rna"), n(F.col("protein"), "exons_protein"), n(F.col("rna") | F.col("protein"), "exons_any"))
-    out = x.join(i, "tx", "left").fillna(0, ["introns", "introns_rna", "introns_protein", "introns_any"])
+    i = introns.groupBy("tx").agg(F.count("*").alias("introns"), n(has("rna"), "introns_rna"), n(has("protein"), "introns_protein"), n(has("rna") | has("protein"), "introns_any"), n(has("rna") & has("protein"), "introns_both"))
+    x = exons.groupBy("tx").agg(F.count("*").alias("exons"), n(F.col("rna"), "exons_rna"), n(F.col("protein"), "exons_protein"), n(F.col("rna") | F.col("protein"), "exons_any"), n(F.col("rna") & F.col("protein"), "exons_both"))
+    out = x.join(i, "tx", "left").fillna(0, ["introns", "introns_rna", "introns_protein", "introns_any", "introns_both"])
     return out.withColumn("introns_pct", percent(F.col("introns_any"), F.col("introns"))).withColumn("exons_pct", percent(F.col("exons_any"), F.col("exons")))
 
 
+SUPPORT_TOTALS = ["transcripts", "single_exon", "fully", "some", "none", "introns", "introns_rna", "introns_protein", "introns_both", "introns_any", "exons", "exons_rna", "exons_protein", "exons_both", "exons_any"]
+
+
+def support_totals(introns: DataFrame, exons: DataFrame) -> DataFrame:
+    """One row (SUPPORT_TOTALS) over all transcripts of exons: how many have no introns, all, some or none of them supported, and the introns and exons with support of each kind."""
+    rows = support_table(introns, exons)
+    sums = [F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in SUPPORT_TOTALS[5:]]
+    count = lambda cond, name: F.count(F.when(cond, 1)).alias(name)
+    n, any_ = F.col("introns"), F.col("introns_any")
+    return rows.agg(F.count("*").alias("transcripts"), count(n == 0, "single_exon"), count((n > 0) & (n == any_), "fully"), count((any_ > 0) & (any_ < n), "some"), count((n > 0) & (any_ == 0), "none"), *sums)
+
+
 def gene_set_statistics(cds: DataFrame) -> DataFrame:
     """One row of numbers of a gene set: cds (gene, tx, start, end)."""
     t = cds.groupBy("gene", "tx").agg(F.count("*").alias("exons"), F.sum(F.col("end") - F.col("start") + 1).alias("length"), F.min("start").alias("s"), F.max("end").alias("e"))

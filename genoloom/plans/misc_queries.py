@@ -44,21 +44,61 @@ def hit_summary_runs(spark, d):
     return ht.hit_summary(h).select("query", F.col("best.subject").alias("best"), F.col("best.bits").alias("bits"), "n_hits", "n_taxa")
 
 
-@query("species_rank", f"""WITH {HITS}, f AS (SELECT *, split_part(subject, '_', 1) AS species FROM hits WHERE pident >= 95 AND length / 50.0 >= 0.5),
-b AS (SELECT * FROM f QUALIFY ROW_NUMBER() OVER (PARTITION BY query ORDER BY bitscore DESC, line_no) = 1)
-SELECT species, COUNT(*) AS votes, CAST(SUM(bitscore) AS BIGINT) AS score FROM b GROUP BY species ORDER BY votes DESC, score DESC, MIN(line_no) LIMIT 8""")
+@query("species_rank", """WITH hits AS (SELECT l_orderkey AS query, CASE WHEN l_partkey % 3 = 0 THEN CAST(l_suppkey % 7 AS VARCHAR) WHEN l_partkey % 3 = 1 THEN 'Genus_s' || l_suppkey % 5 ELSE 'P' || l_suppkey % 4 END AS species, CAST(ROUND(l_extendedprice * 100) AS BIGINT) AS bits, CAST(ROUND(100 * (1 - l_discount)) AS BIGINT) AS pident,
+  CAST(l_quantity AS BIGINT) AS length, l_linenumber * 100000000000 + CAST(ROUND(l_extendedprice * 100) AS BIGINT) * 1000 + l_partkey % 1000 AS line_no FROM lineitem),
+f AS (SELECT *, bits * length / 64.0 AS score FROM hits WHERE pident >= 95 AND length >= 32), n AS (SELECT query, MIN(line_no) AS first FROM f GROUP BY query),
+b AS (SELECT * FROM f QUALIFY ROW_NUMBER() OVER (PARTITION BY query ORDER BY score DESC, line_no) = 1)
+SELECT species, COUNT(*) AS votes, CAST(SUM(score) * 64 AS BIGINT) AS score FROM b JOIN n USING (query) GROUP BY species ORDER BY votes DESC, SUM(score) DESC, MIN(first) LIMIT 8""")
 def species_rank(spark, d):
-    h = _hits(spark, d).withColumn("evalue", F.lit(0.0)).withColumn("qlen", F.lit(50))
-    return ht.rank_species(h, 8, pident=95).select("species", "votes", "score")
+    subject = F.expr("CASE WHEN l_partkey % 3 = 0 THEN concat(l_suppkey % 7, '_0:00', l_partkey) WHEN l_partkey % 3 = 1 THEN concat('Genus_s', l_suppkey % 5, '_g', l_partkey) ELSE concat('P', l_suppkey % 4, ' text') END")
+    li = ad.table(spark, d, "lineitem")
+    bits = F.round(F.col("l_extendedprice") * 100).cast("bigint")
+    h = li.select(
+        F.col("l_orderkey").alias("query"), subject.alias("subject"), bits.alias("bitscore"), F.expr("cast(round(100 * (1 - l_discount)) as bigint)").alias("pident"), F.col("l_quantity").cast("bigint").alias("length"),
+        (F.col("l_linenumber") * F.lit(100000000000) + bits * 1000 + F.expr("l_partkey % 1000")).alias("line_no"), F.lit(0.0).alias("evalue"), F.lit(64).alias("qlen"),
+    )
+    return ht.rank_species(h, 8, pident=95).select("species", "votes", (F.col("score") * 64).cast("bigint").alias("score"))
+
+
+ORFS = """a AS (SELECT l_orderkey AS cds_id, l_suppkey AS protein, 1 + CAST(l_quantity AS BIGINT) % 9 AS q, l_linenumber AS s, 1 + (l_partkey * 7) % 100 AS pid, CAST(ROUND(l_extendedprice * 100) AS BIGINT) AS bits FROM lineitem WHERE l_partkey % 2 = 0),
+b AS (SELECT l_orderkey AS cds_id, l_suppkey AS protein, 1 + l_partkey % 11 AS q2, 1 + l_partkey % 13 AS s2, (l_partkey * 3) % 60 AS pid2, CAST(ROUND(l_extendedprice * 97) AS BIGINT) AS bits2 FROM lineitem WHERE l_partkey % 3 <> 0),
+p AS (SELECT cds_id, pid / CAST(CASE WHEN pid2 = 0 THEN 0.0001 ELSE pid2 END AS DOUBLE) AS r, (s2 - s) - (q - 1) AS shift, ROW_NUMBER() OVER (PARTITION BY cds_id ORDER BY GREATEST(bits, bits2) DESC, protein, q, s, q2, s2) AS n FROM a JOIN b USING (cds_id, protein)),
+v AS (SELECT cds_id, bool_or(shift + pow(ln(r), 1000) > 0) AS incomplete FROM p WHERE n <= 25 GROUP BY cds_id)"""
+
 
+def _orf_hits(spark, d):
+    li = ad.table(spark, d, "lineitem").withColumn("cds_id", F.col("l_orderkey")).withColumn("protein", F.col("l_suppkey"))
+    full = li.filter("l_partkey % 2 = 0").select("cds_id", "protein", F.expr("1 + cast(l_quantity as bigint) % 9").alias("qstart"), F.col("l_linenumber").alias("sstart"), F.expr("1 + (l_partkey * 7) % 100").alias("pident"), F.round(F.col("l_extendedprice") * 100).cast("bigint").alias("bitscore"))
+    short = li.filter("l_partkey % 3 <> 0").select("cds_id", "protein", F.expr("1 + l_partkey % 11").alias("qstart"), F.expr("1 + l_partkey % 13").alias("sstart"), F.expr("(l_partkey * 3) % 60").alias("pident"), F.round(F.col("l_extendedprice") * 97).cast("bigint").alias("bitscore"))
+    return full, short
 
-@query("orf_revision", """WITH a AS (SELECT l_orderkey AS cds_id, l_suppkey AS protein, CAST(l_quantity AS BIGINT) AS q, l_linenumber AS s, CAST(ROUND(l_extendedprice * 100) AS BIGINT) AS bits FROM lineitem WHERE l_partkey % 2 = 0),
-b AS (SELECT o_orderkey AS cds_id, l_suppkey AS protein, CAST(l_quantity AS BIGINT) AS q2, l_linenumber AS s2 FROM lineitem JOIN orders ON o_orderkey = l_orderkey WHERE l_partkey % 3 <> 0),
-p AS (SELECT a.cds_id, q - s - (q2 - s2) AS score, ROW_NUMBER() OVER (PARTITION BY a.cds_id ORDER BY bits DESC, protein, q, q2) AS r FROM a JOIN b USING (cds_id, protein))
-SELECT cds_id, bool_or(score > 0) AS incomplete FROM p WHERE r <= 25 GROUP BY cds_id""")
+
+@query("orf_revision", f"WITH {ORFS} SELECT * FROM v")
 def orf_revision(spark, d):
-    li = ad.table(spark, d, "lineitem").select(F.col("l_orderkey").alias("cds_id"), F.col("l_suppkey").alias("protein"), F.col("l_quantity").cast("bigint").alias("qstart"), F.col("l_linenumber").alias("sstart"), F.round(F.col("l_extendedprice") * 100).cast("bigint").alias("bitscore"), "l_partkey")
-    return ht.revise_orfs(li.filter("l_partkey % 2 = 0").drop("l_partkey"), li.filter("l_partkey % 3 <> 0").drop("l_partkey"))
+    return ht.revise_orfs(*_orf_hits(spark, d))
+
+
+@query("orf_records", f"""WITH {ORFS}, o AS (SELECT o_orderkey AS id, 'o' || o_orderkey || ' type:' || (['5prime_partial', 'internal', 'complete', '3prime_partial'])[1 + o_orderkey % 4] || ' x' AS d, o_orderpriority AS seq FROM orders),
+u AS (SELECT o.*, incomplete IS NOT NULL AND NOT incomplete AND o.id % 4 < 2 AND o.id % 5 <> 0 AS use_ FROM o LEFT JOIN v ON v.cds_id = o.id)
+SELECT id, CASE WHEN use_ THEN 's' || replace(replace(d, '5prime_partial', 'complete'), 'internal', '3prime_partial') ELSE d END AS description, CASE WHEN use_ THEN substr(seq, 3) ELSE seq END AS seq, CASE WHEN use_ THEN 'shortened' ELSE 'full' END AS source FROM u""")
+def orf_records(spark, d):
+    o = ad.table(spark, d, "orders").select(F.col("o_orderkey").alias("id"), F.expr("concat('o', o_orderkey, ' type:', array('5prime_partial', 'internal', 'complete', '3prime_partial')[cast(o_orderkey % 4 as int)], ' x')").alias("description"), F.col("o_orderpriority").alias("seq"))
+    short = o.filter("id % 5 <> 0").select("id", F.concat(F.lit("s"), "description").alias("description"), F.expr("substring(seq, 3)").alias("seq"))
+    return ht.revised_records(o, ht.revise_orfs(*_orf_hits(spark, d)), short)
+
+
+@query("orf_features", f"""WITH {ad.EXONS}, n AS (SELECT tx, CAST(SUM(e - s + 1) AS BIGINT) AS n FROM exons GROUP BY tx), o AS (SELECT tx, n, CASE WHEN tx % 2 = 0 THEN '+' ELSE '-' END AS strand, 1 + tx % 3 AS a, n - tx % 4 AS b FROM n WHERE n > 8 AND tx % 7 <> 0), r AS (
+SELECT *, 'gene' AS type, 1 AS s, n AS e, 't' || tx || '.p1.gene' AS id, NULL AS parent FROM o UNION ALL SELECT *, 'mRNA', 1, n, 't' || tx || '.p1', 't' || tx || '.p1.gene' FROM o UNION ALL SELECT *, 'exon', 1, n, 't' || tx || '.p1.exon1', 't' || tx || '.p1' FROM o
+UNION ALL SELECT *, 'CDS', a, b, 'cds.t' || tx || '.p1', 't' || tx || '.p1' FROM o
+UNION ALL SELECT *, CASE WHEN strand = '+' THEN 'five_prime_UTR' ELSE 'three_prime_UTR' END, 1, a - 1, 't' || tx || '.p1.' || CASE WHEN strand = '+' THEN 'utr5p1' ELSE 'utr3p1' END, 't' || tx || '.p1' FROM o WHERE a > 1
+UNION ALL SELECT *, CASE WHEN strand = '+' THEN 'three_prime_UTR' ELSE 'five_prime_UTR' END, b + 1, n, 't' || tx || '.p1.' || CASE WHEN strand = '+' THEN 'utr3p1' ELSE 'utr5p1' END, 't' || tx || '.p1' FROM o WHERE b < n)
+SELECT 't' || tx AS seqid, strand, type, CAST(s AS BIGINT) AS start_, CAST(e AS BIGINT) AS end_, id, parent FROM r""")
+def orf_features(spark, d):
+    x = ad.exons(spark, d).withColumn("tx_id", F.concat(F.lit("t"), "tx"))
+    n = x.groupBy("tx").agg(F.sum(F.col("end") - F.col("start") + 1).alias("n")).filter("n > 8")
+    text = F.expr("concat('t', tx, '.p1 name', tx, ' t', tx, CASE WHEN tx % 7 = 0 THEN '' ELSE concat(':', 1 + tx % 3, '-', n - tx % 4, '(', CASE WHEN tx % 2 = 0 THEN '+' ELSE '-' END, ')') END)")
+    o = n.select(F.concat(F.lit("t"), "tx", F.lit(".p1")).alias("id"), text.alias("description"))
+    return ht.orf_features(o, x).select("seqid", "strand", "type", F.col("start").alias("start_"), F.col("end").alias("end_"), "id", "parent")
 
 
 @query("lift_to_genome", f"""WITH {ad.EXONS}, x AS (SELECT *, COALESCE(SUM(e - s + 1) OVER (PARTITION BY tx ORDER BY CASE WHEN strand = '-' THEN -e ELSE s END ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS off FROM exons),
@@ -101,12 +141,16 @@ def vector_topk(spark, d):
     return an.nearest_vectors(e.filter("id % 20 = 0"), e, 5).select("query", "neighbour", F.col("rank").cast("bigint").alias("rank"))
 
 
-@query("tree_closure", "SELECT r_regionkey AS root, 'r' || r_regionkey AS id FROM region UNION ALL SELECT n_regionkey, 'n' || n_nationkey FROM nation UNION ALL SELECT n_regionkey, 'c' || c_custkey FROM customer JOIN nation ON c_nationkey = n_nationkey")
+@query("tree_closure", """WITH RECURSIVE f AS (SELECT 'r' || r_regionkey AS id, NULL AS parent FROM region UNION ALL SELECT 'n' || n_nationkey, 'r' || n_regionkey FROM nation UNION ALL SELECT 'c' || c_custkey, 'n' || c_nationkey FROM customer
+UNION ALL SELECT 'o' || o_orderkey, 'c' || o_custkey FROM orders UNION ALL SELECT 'x' || o_orderkey, 'o' || o_orderkey FROM orders WHERE o_orderkey % 3 = 0 UNION ALL SELECT 'y' || o_orderkey, 'x' || o_orderkey FROM orders WHERE o_orderkey % 6 = 0),
+t AS (SELECT id AS root, id FROM f WHERE id LIKE 'r%' UNION SELECT t.root, f.id FROM t JOIN f ON f.parent = t.id) SELECT CAST(substr(root, 2) AS INT) AS root, id FROM t""")
 def tree_closure(spark, d):
-    r = ad.table(spark, d, "region").select(F.concat(F.lit("r"), F.col("r_regionkey")).alias("id"), F.lit(None).cast("string").alias("parent"))
-    n = ad.table(spark, d, "nation").select(F.concat(F.lit("n"), F.col("n_nationkey")).alias("id"), F.concat(F.lit("r"), F.col("n_regionkey")).alias("parent"))
-    c = ad.table(spark, d, "customer").select(F.concat(F.lit("c"), F.col("c_custkey")).alias("id"), F.concat(F.lit("n"), F.col("c_nationkey")).alias("parent"))
-    out = gm.tree_closure(r.unionByName(n).unionByName(c), r)
+    """Six levels."""
+    named = lambda table, tag, key, up=None, cond="true": ad.table(spark, d, table).filter(cond).select(F.concat(F.lit(tag), F.col(key)).alias("id"), (F.concat(F.lit(up[0]), F.col(up[1])) if up else F.lit(None).cast("string")).alias("parent"))
+    r = named("region", "r", "r_regionkey")
+    f = r.unionByName(named("nation", "n", "n_nationkey", ("r", "n_regionkey"))).unionByName(named("customer", "c", "c_custkey", ("n", "c_nationkey"))).unionByName(named("orders", "o", "o_orderkey", ("c", "o_custkey")))
+    f = f.unionByName(named("orders", "x", "o_orderkey", ("o", "o_orderkey"), "o_orderkey % 3 = 0")).unionByName(named("orders", "y", "o_orderkey", ("x", "o_orderkey"), "o_orderkey % 6 = 0"))
+    out = gm.tree_closure(f, r)
     return out.select(F.expr("cast(substring(root, 2) as int)").alias("root"), "id")
 
 
@@ -151,7 +195,7 @@ def species_filter(spark, d):
     from ..operators.tidy import keep_species
 
     keep = ad.table(spark, d, "nation").filter("n_regionkey = 1").select(F.concat(F.col("n_nationkey"), F.lit("")).alias("species"))
-    s = ad.table(spark, d, "supplier").withColumn("subject", F.concat("s_nationkey", F.lit("_x")))
+    s = ad.table(spark, d, "supplier").withColumn("subject", F.concat("s_nationkey", F.lit("_0:x")))
     return keep_species(s, keep, ht.species_key(F.col("subject"))).select(F.col("s_suppkey").alias("id"))
 
 

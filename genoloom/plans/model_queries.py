@@ -53,11 +53,11 @@ def malformed(spark, d):
     return gm.malformed(ad.raw_exons(spark, d), "tx")
 
 
-@query("transcript_filter", """SELECT l_orderkey AS tx, CAST(SUM(l_quantity) AS BIGINT) AS length, CASE WHEN SUM(l_quantity) < 60 THEN 'length' WHEN MAX(l_linenumber) < 3 THEN 'coverage' WHEN CASE WHEN SUM(l_quantity) >= 150 THEN COUNT(*) < 2 ELSE COUNT(*) < 4 END THEN 'tpm' WHEN l_orderkey % 5 = 0 THEN 'strand' END AS reason FROM lineitem GROUP BY l_orderkey""")
+@query("transcript_filter", """SELECT l_orderkey AS tx, CAST(SUM(l_quantity) AS BIGINT) AS length, CASE WHEN SUM(l_quantity) < 60 THEN 'length' WHEN COALESCE(MAX(CASE WHEN l_linenumber > 1 THEN l_linenumber END), 0) < 3 THEN 'cov' WHEN SUM(l_quantity) >= 150 AND COALESCE(NULLIF(COUNT(*), 5), 0) < 2 THEN 'tpm_long' WHEN SUM(l_quantity) < 150 AND COALESCE(NULLIF(COUNT(*), 5), 0) < 4 THEN 'tpm' WHEN l_orderkey % 5 = 0 THEN 'unstranded' WHEN SUM(l_quantity) >= 150 THEN 'pass_long_relaxed' ELSE 'pass' END AS reason FROM lineitem GROUP BY l_orderkey""")
 def transcript_filter(spark, d):
-    t = ad.table(spark, d, "lineitem").groupBy(F.col("l_orderkey").alias("tx")).agg(F.sum("l_quantity").cast("bigint").alias("length"), F.max("l_linenumber").alias("cov"), F.count("*").alias("tpm"))
+    t = ad.table(spark, d, "lineitem").groupBy(F.col("l_orderkey").alias("tx")).agg(F.sum("l_quantity").cast("bigint").alias("length"), F.max(F.expr("CASE WHEN l_linenumber > 1 THEN l_linenumber END")).alias("cov"), F.expr("nullif(count(*), 5)").alias("tpm"))
     t = t.withColumn("strand", F.expr("CASE WHEN tx % 5 = 0 THEN '.' ELSE '+' END"))
-    return gm.transcript_filter(t, 60, 3, 4, 150, 2).select("tx", "length", "reason")
+    return gm.transcript_filter(t, 60, 3, 4, 150, 2, drop_unstranded=True).select("tx", "length", "reason")
 
 
 @query("merge_annotations", f"""WITH RECURSIVE {ad.CHAINS}, pick AS (SELECT *, ROW_NUMBER() OVER (PARTITION BY seqid, strand, chain ORDER BY len DESC, tx) AS r FROM chains), kept AS (SELECT * FROM pick WHERE r = 1),
@@ -141,10 +141,21 @@ def hint_shrink(spark, d):
     return ad.exons(spark, d).select("tx", F.col("start").alias("start_"), a.alias("a"), b.alias("b"))
 
 
-@query("alignment_introns", f"WITH {ad.EXONS}, p AS (SELECT *, LAG(e) OVER (PARTITION BY tx ORDER BY s) AS pe FROM exons) SELECT tx, pe + 1 AS start_, s - 1 AS end_ FROM p WHERE s - pe - 1 BETWEEN 41 AND 2000")
+@query("alignment_introns", f"WITH {ad.EXONS}, p AS (SELECT *, LAG(e) OVER (PARTITION BY tx ORDER BY s) AS pe FROM exons) SELECT tx, pe + 1 AS start_, s - 1 AS end_, 0 AS half FROM p WHERE pe IS NOT NULL")
 def alignment_introns(spark, d):
     x = ad.exons(spark, d).withColumn("line_no", F.when(F.col("strand") == "-", -F.col("start")).otherwise(F.col("start"))).withColumnRenamed("tx", "parent")
-    return hi.alignment_introns(x, 41, 2000).select(F.col("parent").alias("tx"), F.col("start").alias("start_"), F.col("end").alias("end_"))
+    return hi.alignment_introns(x).select(F.col("parent").alias("tx"), F.col("start").alias("start_"), F.col("end").alias("end_"), F.col("score").cast("int").alias("half"))
+
+
+@query("alignment_introns_scored", f"""WITH {ad.EXONS}, q AS (SELECT *, 10 * ROW_NUMBER() OVER (PARTITION BY tx ORDER BY s) + CASE WHEN s % 4 = 0 THEN 1 ELSE 0 END AS qs, s % 50 AS score FROM exons),
+p AS (SELECT *, LAG(e) OVER w AS pe, LAG(score) OVER w AS pscore, LAG(qs) OVER w AS pq FROM q WINDOW w AS (PARTITION BY tx ORDER BY s))
+SELECT tx, pe + 1 AS start_, s - 1 AS end_, CAST(score + pscore AS INT) AS half FROM p WHERE s - pe - 1 BETWEEN 41 AND 2000 AND pq + 10 = qs AND score + pscore > 20""")
+def alignment_introns_scored(spark, d):
+    """The rules of the program whose alignments have scores and query places."""
+    w = Window.partitionBy("tx").orderBy("start")
+    x = ad.exons(spark, d).withColumn("qstart", 10 * F.row_number().over(w) + F.expr("CASE WHEN start % 4 = 0 THEN 1 ELSE 0 END")).withColumn("qend", F.col("qstart") + 9).withColumn("score", F.expr("start % 50"))
+    x = x.withColumn("line_no", F.col("start")).withColumnRenamed("tx", "parent")
+    return hi.alignment_introns(x, "gth", 41, 2000, 10.0).select(F.col("parent").alias("tx"), F.col("start").alias("start_"), F.col("end").alias("end_"), (F.col("score") * 2).cast("int").alias("half"))
 
 
 @query("utr_matches", f"""WITH {ad.INTRONS}, c AS (SELECT tx, COUNT(*) AS n FROM introns WHERE tx % 2 = 1 GROUP BY tx),

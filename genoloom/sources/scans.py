@@ -1,25 +1,29 @@
 """Text formats as DataFrames. Every row keeps (file_ord, line_no): the order of lines in a file decides ties.
 
-The text source has no line number, so lines are numbered by their place in the scan (zipWithIndex), file by file. Compressed
-files are read as they are, though not split.
+The text source has no line number, so lines are numbered by the block they are read in and their place there, file by file,
+without leaving the JVM. Compressed files are read as they are, though not split.
 """
 
 from __future__ import annotations
 
 import json
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions import attrs as at
 
 
 def lines(spark: SparkSession, paths: list[str] | str) -> DataFrame:
-    """file_ord, line_no, value of every line of every file. A path may be a pattern with {a,b}."""
+    """file_ord, line_no, value of every line of every file. A path may be a pattern with {a,b}; each file is one of its own, in order of the paths given, then of its name. Line numbers come from the blocks in which files are read: a block's lines are consecutive, and blocks follow by where they begin in their file."""
     out = None
     for k, p in enumerate([paths] if isinstance(paths, str) else paths):
-        rdd = spark.read.text(p).rdd.zipWithIndex().map(lambda x, k=k: (k, x[1], x[0][0]))
-        df = spark.createDataFrame(rdd, "file_ord int, line_no bigint, value string")
+        df = spark.read.text(p).select(F.lit(k).alias("_k"), F.col("_metadata.file_path").alias("_file"), F.col("_metadata.file_block_start").alias("_block"), F.monotonically_increasing_id().alias("_id"), "value")
+        # One row for each block of a file.
+        blocks = df.groupBy("_k", "_file", "_block").agg(F.min("_id").alias("_low"), F.count("*").alias("_n"))
+        before = Window.partitionBy("_k", "_file").orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
+        blocks = blocks.withColumn("_base", F.coalesce(F.sum("_n").over(before), F.lit(0))).withColumn("_ord", F.dense_rank().over(Window.partitionBy("_k").orderBy("_file")))
+        df = df.join(F.broadcast(blocks), ["_k", "_file", "_block"]).select((F.col("_k") * 1_000_000 + F.col("_ord")).cast("bigint").alias("file_ord"), (F.col("_base") + F.col("_id") - F.col("_low")).alias("line_no"), "value")
         out = df if out is None else out.unionByName(df)
     if out is None:
         raise ValueError("no paths")
@@ -70,15 +74,11 @@ def gtf(spark: SparkSession, paths: list[str] | str) -> DataFrame:
 
 
 def dialect(spark: SparkSession, path: str) -> str:
-    """gff3 or gtf, by the version line or the first feature's attributes."""
-    for (value,) in spark.read.text(path).filter("trim(value) <> ''").limit(1000).collect():
-        if value.startswith("##gff-version"):
-            return "gff3"
-        if not value.startswith("#"):
-            f = value.split("\t")
-            if len(f) >= 9:
-                return "gtf" if ' "' in f[8] else "gff3"
-    return "gff3"
+    """gff3 or gtf, by what comes first in the text: the version line, or the attributes of a line of nine columns; gtf if there is neither."""
+    f = F.split("value", "\t")
+    form = F.when(F.col("value").startswith("##gff-version"), "gff3").when(~F.col("value").startswith("#") & (F.size(f) >= 9), F.when(F.get(f, F.lit(8)).contains(' "'), "gtf").otherwise("gff3"))
+    first = lines(spark, path).withColumn("form", form).filter("form IS NOT NULL").agg(F.min_by("form", F.struct("file_ord", "line_no")).alias("form")).first()
+    return first["form"] or "gtf"
 
 
 def transcripts(features: DataFrame, tx: Column, gene: Column) -> DataFrame:
@@ -112,7 +112,7 @@ def orphans(spark_features: DataFrame) -> DataFrame:
 
 
 def hints(spark: SparkSession, paths: list[str] | str) -> DataFrame:
-    """Hints with mult (1 where there is none), src, pri, group and class (rna, protein, other); ends in order."""
+    """Hints with mult (1 where there is none), src, pri, group and class (rna, protein, combined, other); ends in order."""
     from ..operators.hints import source_class
 
     c = _columns(_data(lines(spark, paths))).filter("n_columns >= 8 AND start IS NOT NULL AND end IS NOT NULL")
@@ -134,7 +134,7 @@ def protein_hints(spark: SparkSession, paths: list[str] | str) -> tuple[DataFram
     """Introns (contig, strand, start, end, n from the score, 1 if there is none) and codon bases (contig, pos, kind)."""
     h = hints(spark, paths)
     n = F.coalesce(F.col("score").try_cast("double").cast("bigint"), F.lit(1))
-    introns = h.filter("type = 'intron'").select(F.col("seqid").alias("contig"), "strand", "start", "end", n.alias("n"))
+    introns = h.filter("type IN ('intron', 'intronpart')").select(F.col("seqid").alias("contig"), "strand", "start", "end", n.alias("n"))
     kind = F.when(F.col("type").startswith("start"), "start").when(F.col("type").startswith("stop"), "stop")
     codons = h.withColumn("kind", kind).filter("kind IS NOT NULL").select(F.col("seqid").alias("contig"), F.explode(F.sequence("start", "end")).alias("pos"), "kind")
     return introns, codons.distinct()
@@ -232,8 +232,9 @@ def term_table(spark: SparkSession, paths: list[str] | str) -> DataFrame:
 
 
 def family_types(spark: SparkSession, path: str) -> DataFrame:
-    """accession, kind of RNA families from a two-column table."""
-    return tsv(spark, path, ["accession", "kind"])[1].drop("line_no")
+    """accession, kind of RNA families: the first and the third column of a table, whose header line, if it has one, begins with rfam_acc."""
+    rows = tsv(spark, path, ["accession", "name", "kind"])[1]
+    return rows.filter("accession <> 'rfam_acc' AND kind IS NOT NULL").select("accession", "kind")
 
 
 def tier_table(spark: SparkSession, path: str) -> DataFrame:

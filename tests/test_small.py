@@ -1,5 +1,7 @@
 """Small operators on hand-made rows."""
 
+import random
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -7,6 +9,7 @@ from genoloom.functions import attrs as at
 from genoloom.functions import numbers as nu
 from genoloom.operators import annotate as an
 from genoloom.operators import consensus as co
+from genoloom.functions import sequence as sq
 from genoloom.operators import genemodel as gm
 from genoloom.operators import hints as hi
 from genoloom.operators import hits as ht
@@ -20,8 +23,27 @@ def test_splice_strands_and_codon_hints(spark):
     i = spark.createDataFrame([("c", 4, 21, ".", 3), ("c", 1, 9, ".", 1), ("c", 1, 9, "-", 2)], "seqid string, start bigint, end bigint, strand string, mult bigint")
     assert sorted((r["start"], r["strand"], r["score"]) for r in hi.find_strands(i, seq).collect()) == [(1, "-", 2), (4, "+", 3)]
     cds = spark.createDataFrame([("a", "c", "+", 24, 32), ("b", "c", "-", 33, 42)], "tx string, seqid string, strand string, start bigint, end bigint")
+    # Genes end before their stop codons: 24-29 is followed by TAG, 36-42 (minus) by CTA read backwards.
+    cds = spark.createDataFrame([("a", "c", "+", 24, 29), ("b", "c", "-", 36, 42), ("d", "c", "+", 25, 30), ("e", "c", "-", 1, 3), ("f", "none", "+", 1, 9)], "tx string, seqid string, strand string, start bigint, end bigint")
     got = {(r["kind"], r["strand"], r["pos"]) for r in hi.codon_hints(cds, seq).collect()}
-    assert got == {("start", "+", 24), ("stop", "+", 30), ("start", "-", 40), ("stop", "-", 33)}
+    assert got == {("start", "+", 24), ("stop", "+", 27), ("start", "-", 40), ("stop", "-", 36)}
+    other = spark.createDataFrame([("c", "TTGAAGTGAACTGA")], "id string, seq string")
+    cds = spark.createDataFrame([("a", "c", "+", 1, 6), ("b", "c", "+", 11, 13), ("g", "c", "+", 7, 11)], "tx string, seqid string, strand string, start bigint, end bigint")
+    assert {(r["kind"], r["pos"]) for r in hi.codon_hints(cds, other).collect()} == {("start", 1), ("start", 11), ("stop", 4), ("stop", 9)}
+
+
+def test_bases_over_tiles(spark):
+    r = random.Random(3)
+    text = "".join(r.choice("ACGT") for _ in range(3 * sq.TILE + 17))
+    places = [1, 2, sq.TILE - 2, sq.TILE - 1, sq.TILE, sq.TILE + 1, 2 * sq.TILE, len(text) - 1, len(text), 0, -5, len(text) + 9]
+    p = spark.createDataFrame([("s", x) for x in places], "seqid string, at bigint")
+    got = {x["at"]: x["bases"] for x in sq.bases_at(p, spark.createDataFrame([("s", text)], "id string, seq string"), "at", 3).collect()}
+    assert got == {x: text[x - 1 : x + 2] if x > 0 else "" for x in places}
+
+
+def test_translation(spark):
+    df = spark.createDataFrame([("ATGTTTNNNTAAgc",), ("",), (None,), ("atgé",), ("TGGUGA",)], "s string")
+    assert [x["p"] for x in df.select(sq.translate(F.col("s")).alias("p")).collect()] == ["MFX*", "", None, "M", "WX"]
 
 
 def test_assembly_introns_vote(spark):
@@ -38,13 +60,14 @@ def test_orf_headers_and_shortening(spark):
     r = df.select(*[c.alias(k) for k, c in o.items()], ht.shorten(F.col("p"), o["start"], o["end"], o["strand"]).alias("s")).collect()
     assert (r[0]["type"], r[0]["start"], r[0]["end"], r[0]["strand"]) == ("5prime_partial", 10, 99, "+")
     assert tuple(r[0]["s"]) == ("MLV", 16, 99) and r[1]["s"] is None
-    x = df.select(ht.support_score(F.lit(1.0), F.lit(0.0)).alias("a"), ht.support_score(F.lit(1.0), F.lit(1.0)).alias("b")).first()
-    assert x["a"] == float("inf") and x["b"] == 0.0
+    score = lambda a, b: ht.support_score(F.lit(9), F.lit(4), F.lit(3), F.lit(a), F.lit(b))
+    x = df.select(score(90.0, 0.0).alias("a"), score(90.0, 90.0).alias("b"), score(90.0, 80.0).alias("c"), score(0.0, 80.0).alias("d"), score(20.0, 90.0).alias("e")).first()
+    assert x["a"] == x["d"] == float("inf") and x["b"] == 3.0 == x["c"] and x["e"] > 1e100
 
 
 def test_species_keys(spark):
-    r = spark.range(1).select(ht.species_key(F.lit("9606_12:ab")).alias("a"), ht.species_key(F.lit("Homo_sapiens_1")).alias("b"), ht.species_key(F.lit("sp|P1|X")).alias("c")).first()
-    assert tuple(r) == ("9606", "Homo_sapiens", None)
+    r = spark.range(1).select(ht.species_key(F.lit("9606_12:ab")).alias("a"), ht.species_key(F.lit("Homo_sapiens_1")).alias("b"), ht.species_key(F.lit("sp|P1_HUMAN x")).alias("c"), ht.species_key(F.lit("9606_12")).alias("d")).first()
+    assert tuple(r) == ("9606", "Homo_sapiens", "sp|P1_HUMAN", "9606_12")
 
 
 def test_rounding_like_the_reports(spark):
@@ -83,8 +106,30 @@ def test_filters_and_tallies(spark):
     assert {(x["type"], x["subunit"], x["n"]) for x in ti.rna_counts(n).collect()} == {("rRNA", "18S", 2), ("tRNA", None, 1)}
     s = spark.createDataFrame([("a", "MKV**"), ("b", "MKVL")], "id string, seq string")
     assert [x["id"] for x in ti.short_proteins(s, 4).collect()] == ["a"]
-    k = spark.range(1).select(an.rna_class(F.lit("Gene; snRNA; snoRNA; CD-box;")).alias("a"), an.rna_class(F.lit("Cis-reg;")).alias("b")).first()
-    assert tuple(k) == ("snoRNA", "regulatory")
+    kinds = ["Gene; snRNA; snoRNA; CD-box;", "Cis-reg;", "Cis-reg; riboswitch;", "Cis-reg; IRES;", "Intron;", "Gene; rRNA;", "Gene; lncRNA;", "Gene; antisense;", "Gene; snRNA; snoRNA; scaRNA;", "Gene;", "", None]
+    k = spark.createDataFrame([(i, x) for i, x in enumerate(kinds)], "i int, k string").select("i", an.rna_class(F.col("k")).alias("c")).orderBy("i").collect()
+    assert [tuple(x["c"]) for x in k] == [
+        ("snoRNA", "snoRNA"), ("regulatory_region", None), ("riboswitch", None), ("internal_ribosome_entry_site", None), ("autocatalytically_spliced_intron", None), ("rRNA", "rRNA"), ("lnc_RNA", "lncRNA"), ("antisense_RNA", "antisense_RNA"),
+        ("scaRNA", "scaRNA"), ("ncRNA", "ncRNA"), ("ncRNA", "ncRNA"), ("ncRNA", "ncRNA"),
+    ]
+
+
+def test_hint_classes_and_transcript_rules(spark):
+    c = spark.createDataFrame([(x,) for x in ["E", "W", "b2h", "P", "PH", "C", "M", "B", None]], "s string").select(hi.source_class(F.col("s")).alias("c")).collect()
+    assert [x["c"] for x in c] == ["rna", "rna", "rna", "protein", "protein", "combined", "other", "other", "other"]
+    rows = [(299, 9.0, 9.0, "+"), (300, None, 9.0, "+"), (300, 3.0, None, "+"), (300, 3.0, 0.9, "+"), (3000, 3.0, 0.4, "+"), (3000, 3.0, 0.6, "+"), (300, 3.0, 1.0, ".")]
+    t = spark.createDataFrame(rows, "length int, cov double, tpm double, strand string")
+    assert [x["reason"] for x in gm.transcript_filter(t).collect()] == ["length", "cov", "tpm", "tpm", "tpm_long", "pass_long_relaxed", "pass"]
+    assert gm.transcript_filter(t, drop_unstranded=True).collect()[-1]["reason"] == "unstranded"
+    gm.require_expression(t)
+    with pytest.raises(ValueError):
+        gm.require_expression(t.withColumns({"cov": F.lit(None).cast("double"), "tpm": F.lit(None).cast("double")}))
+
+
+def test_tree_closure_ends_with_cycles(spark):
+    f = spark.createDataFrame([("a", None), ("b", "a"), ("c", "b"), ("d", "c"), ("e", "d"), ("f", "e"), ("x", "y"), ("y", "x")], "id string, parent string")
+    got = sorted((r["root"], r["id"]) for r in gm.tree_closure(f, f.filter("id IN ('a', 'x')").select("id")).collect())
+    assert got == [("a", c) for c in "abcdef"] + [("x", "x"), ("x", "y")]
 
 
 def test_residue_batches_keep_the_limits(spark):
