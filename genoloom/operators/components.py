@@ -5,22 +5,26 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .intervals import islands
 
 
-def cut(df: DataFrame) -> DataFrame:
-    """Write to the shared folder and read back, so that rounds do not pile up in the plan."""
-    spark = df.sparkSession
+def shared_folder(spark: SparkSession) -> str:
+    """The folder that driver and executors share: spark.checkpoint.dir, or one of our own where that is unset (tests)."""
     place = spark.conf.get("spark.checkpoint.dir", None)
     if not place:
         place = f"file://{tempfile.mkdtemp(prefix='genoloom-')}"
         spark.conf.set("spark.checkpoint.dir", place)
-    path = f"{place.rstrip('/')}/components-{uuid.uuid4().hex}"
+    return place.rstrip("/")
+
+
+def cut(df: DataFrame) -> DataFrame:
+    """Write to the shared folder and read back, so that rounds do not pile up in the plan."""
+    path = f"{shared_folder(df.sparkSession)}/cut-{uuid.uuid4().hex}"
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def exon_components(exons: DataFrame, keys: list[str], tx: str) -> DataFrame:

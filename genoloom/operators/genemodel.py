@@ -120,40 +120,66 @@ def without_stop(segs: Column, strand: Column, n: int = 3) -> Column:
     return F.array_sort(F.aggregate(ordered, start, step, lambda a: a["out"]))
 
 
+# What stands between a transcript's id and the number of a part of it.
+PART_TAGS = {"exon": "exon", "five_prime_UTR": "utr5p", "three_prime_UTR": "utr3p"}
+
+
 def normalize(features: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Contract form of features (gene_id, tx_id, seqid, strand, type, start, end, is coding rows by CDS), and the violations (rule, feature, message). Exons are the union of children where there are none; UTRs get their side; phases are computed; genes and transcripts get spans, biotypes and new ids."""
+    """Contract form of features (gene_id, tx_id, seqid, strand, type, start, end, and phase where there is one), and the violations (rule, feature, message). Exons are the union of children where there are none; UTRs get their side; phases follow from that of the first coding segment; genes and transcripts get spans; parts are named <tx>.exonN, <tx>.cds, <tx>.utr5pN and <tx>.utr3pN by place; genes with a coding transcript have the biotype protein_coding."""
     f = features.filter(~F.col("type").isin(*DROPPED))
     key = ["gene_id", "tx_id", "seqid", "strand"]
     part = f.filter(F.col("type").isin("exon", "CDS", "UTR", "five_prime_UTR", "three_prime_UTR"))
     given = part.filter("type = 'exon'").select(*key, "start", "end")
     need = part.join(given.select("tx_id").distinct(), "tx_id", "left_anti")
     exon = given.unionByName(merge_intervals(need, key).select(*key, "start", "end"))
-    cds = cds_phases(part.filter("type = 'CDS'").select(*key, "start", "end").distinct(), ["tx_id"])
+    phase = F.col("phase").cast("string").try_cast("bigint") if "phase" in f.columns else F.lit(None).cast("bigint")
+    cds = part.filter("type = 'CDS'").withColumn("_first", phase).groupBy(*key, "start", "end").agg(F.min("_first").alias("_first"))
+    cds = cds_phases(cds, ["tx_id"], "_first").drop("_first")
     span = cds.groupBy("tx_id").agg(F.min("start").alias("_cs"), F.max("end").alias("_ce"))
-    utr = part.filter(F.col("type").contains("UTR")).select(*key, "start", "end").join(span, "tx_id", "left")
+    utr = part.filter(F.col("type").contains("UTR")).select(*key, "start", "end", F.col("type").alias("_given")).join(span, "tx_id", "left")
     left = F.col("end") < F.col("_cs")
-    side = F.when(left == (F.col("strand") != "-"), "five_prime_UTR").otherwise("three_prime_UTR")
+    side = F.when(F.col("_cs").isNull() & F.col("_given").isin("five_prime_UTR", "three_prime_UTR"), F.col("_given")).when(left == (F.col("strand") != "-"), "five_prime_UTR").otherwise("three_prime_UTR")
     utr = utr.withColumn("type", side)
     w = Window.partitionBy("tx_id").orderBy("start", "end")
     rows = lambda df, rule, message: df.select(F.lit(rule).alias("rule"), F.col("tx_id").alias("feature"), F.lit(message).alias("message")).distinct()
     bad = rows(exon.withColumn("_p", F.lag("end").over(w)).filter("_p >= start"), "exon_overlap", "exons of a transcript overlap")
     bad = bad.unionByName(rows(utr.filter("_cs IS NOT NULL AND start <= _ce AND end >= _cs"), "utr_in_cds", "an untranslated region lies in the coding span"))
     inner = exon.select("tx_id", F.col("start").alias("_xs"), F.col("end").alias("_xe"))
-    inside = cds.select("tx_id", "start", "end").join(inner, "tx_id", "left").groupBy("tx_id", "start", "end").agg(F.coalesce(F.bool_or(F.expr("_xs <= start AND end <= _xe")), F.lit(False)).alias("ok"))
-    bad = bad.unionByName(rows(inside.filter("NOT ok"), "cds_outside_exon", "a coding segment lies in no exon"))
-    parts = exon.withColumn("type", F.lit("exon")).withColumn("phase", F.lit(None).cast("bigint")).unionByName(cds.withColumn("type", F.lit("CDS"))).unionByName(utr.drop("_cs", "_ce").withColumn("phase", F.lit(None).cast("bigint")))
+
+    def outside(df: DataFrame) -> DataFrame:
+        inside = df.select("tx_id", "start", "end").join(inner, "tx_id", "left").groupBy("tx_id", "start", "end").agg(F.coalesce(F.bool_or(F.expr("_xs <= start AND end <= _xe")), F.lit(False)).alias("ok"))
+        return inside.filter("NOT ok")
+
+    bad = bad.unionByName(rows(outside(cds), "cds_outside_exon", "a coding segment lies in no exon")).unionByName(rows(outside(utr), "utr_outside_exon", "an untranslated region lies in no exon"))
+    places = part.groupBy("tx_id").agg(F.count_distinct("seqid").alias("_c"), F.count_distinct("strand").alias("_s"))
+    bad = bad.unionByName(rows(places.filter("_c > 1"), "seqid", "parts of a transcript lie on several sequences")).unionByName(rows(places.filter("_s > 1"), "strand", "parts of a transcript lie on both strands"))
+    parts = exon.withColumn("type", F.lit("exon")).withColumn("phase", F.lit(None).cast("bigint")).unionByName(cds.withColumn("type", F.lit("CDS"))).unionByName(utr.drop("_cs", "_ce", "_given").withColumn("phase", F.lit(None).cast("bigint")))
     t = exon.groupBy(*key).agg(F.min("start").alias("start"), F.max("end").alias("end")).join(span, "tx_id", "left")
     t = t.withColumn("type", F.when(F.col("_cs").isNotNull(), "mRNA").otherwise("transcript")).withColumn("coding", F.col("_cs").isNotNull())
     g = t.groupBy("gene_id", "seqid", "strand").agg(F.min("start").alias("start"), F.max("end").alias("end"), F.bool_or("coding").alias("coding"))
     g = g.withColumn("type", F.lit("gene")).withColumn("tx_id", F.lit(None).cast(f.schema["tx_id"].dataType))
-    biotype = F.when(F.col("coding"), "protein_coding").otherwise("ncRNA")
-    out = g.withColumn("biotype", biotype).drop("coding").unionByName(t.withColumn("biotype", biotype).drop("coding", "_cs", "_ce"), allowMissingColumns=True).unionByName(parts, allowMissingColumns=True)
+    biotype = F.when(F.col("coding"), "protein_coding")
+    out = g.withColumn("biotype", biotype).drop("coding").unionByName(t.drop("coding", "_cs", "_ce"), allowMissingColumns=True).unionByName(parts, allowMissingColumns=True)
     number = F.row_number().over(Window.partitionBy("tx_id", "type").orderBy("start", "end"))
-    name = F.when(F.col("type") == "gene", F.col("gene_id")).when(F.col("type").isin("mRNA", "transcript"), F.col("tx_id")).otherwise(F.concat_ws(".", "tx_id", F.lower("type"), number.cast("string")))
+    tag = F.element_at(F.create_map(*[F.lit(x) for kv in PART_TAGS.items() for x in kv]), F.col("type"))
+    name = F.when(F.col("type") == "gene", F.col("gene_id")).when(F.col("type").isin("mRNA", "transcript"), F.col("tx_id")).when(F.col("type") == "CDS", F.concat("tx_id", F.lit(".cds"))).otherwise(F.concat("tx_id", F.lit("."), tag, number.cast("string")))
     parent = F.when(F.col("type").isin("mRNA", "transcript"), F.col("gene_id")).when(F.col("type") != "gene", F.col("tx_id"))
     return out.withColumn("id", name).withColumn("parent", parent), bad
 
 
+def merged_features(tx: DataFrame) -> DataFrame:
+    """seqid, source, type, start, end, strand, phase, id, parent, biotype of the genes of merge_annotations (gene, isoform, seqid, strand, exons, cds): gene_NNNNNN, its transcripts .tN, and their parts exonN and cdsN by place. A coding transcript is an mRNA and makes its gene protein_coding."""
+    t = tx.withColumn("gene_id", F.format_string("gene_%06d", "gene")).withColumn("tx_id", F.concat("gene_id", F.lit(".t"), "isoform")).withColumn("coding", F.size("cds") > 0)
+    t = t.withColumns({"start": F.get("exons", F.lit(0))["start"], "end": F.try_element_at("exons", F.lit(-1))["end"]})
+    none = F.lit(None).cast("string")
+    g = t.groupBy("seqid", "strand", F.col("gene_id").alias("id")).agg(F.min("start").alias("start"), F.max("end").alias("end"), F.max(F.when(F.col("coding"), "protein_coding")).alias("biotype"))
+    g = g.withColumns({"type": F.lit("gene"), "parent": none, "phase": F.lit(None).cast("bigint")})
+    m = t.select("seqid", "strand", F.col("tx_id").alias("id"), "start", "end", none.alias("biotype"), F.when(F.col("coding"), "mRNA").otherwise("transcript").alias("type"), F.col("gene_id").alias("parent"), F.lit(None).cast("bigint").alias("phase"))
+    kids = lambda c, kind: t.select("seqid", "strand", "tx_id", F.posexplode(c).alias("i", "x")).select("seqid", "strand", "tx_id", F.concat("tx_id", F.lit(f".{kind.lower()}"), F.col("i") + 1).alias("id"), "x.start", "x.end", none.alias("biotype"), F.lit(kind).alias("type"), F.col("tx_id").alias("parent"))
+    x = kids("exons", "exon").withColumn("phase", F.lit(None).cast("bigint")).unionByName(cds_phases(kids("cds", "CDS"), ["tx_id"])).drop("tx_id")
+    return g.unionByName(m).unionByName(x).withColumn("source", F.lit("merge"))
+
+
 def transcript_filter(tx: DataFrame, min_length=300, min_cov=3.0, min_tpm=1.0, long_length=3000, min_tpm_long=0.5, drop_unstranded=False) -> DataFrame:
     """tx (length, cov, tpm, strand) with reason: the first rule it fails (length, cov, tpm or tpm_long, unstranded), or pass, or pass_long_relaxed for a long one, and keep. A number that is not there fails its rule."""
     long = F.col("length") >= long_length

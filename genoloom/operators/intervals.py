@@ -89,14 +89,18 @@ def gaps(df: DataFrame, keys: list[str], at_least: int = 1) -> DataFrame:
 
 
 def depth_segments(df: DataFrame, keys: list[str], depth: str = "depth", how: str = "max", bin_size: int | None = None) -> DataFrame:
-    """keys, start, end, depth: elementary segments of the intervals with the largest (how max) or summed (how sum) depth over them; neighbours of equal depth are joined, segments without an interval dropped."""
-    edge = df.select(*keys, F.col("start").alias("p")).unionByName(df.select(*keys, (F.col("end") + 1).alias("p"))).distinct()
-    w = Window.partitionBy(*keys).orderBy("p")
-    parts = edge.withColumn("end", F.lead("p").over(w) - 1).filter(F.col("end").isNotNull()).withColumnRenamed("p", "start")
-    total = {"max": F.max, "sum": F.sum}[how]
-    got = interval_join(parts, df.select(*keys, "start", "end", depth), keys, "inner", bin_size)
-    got = got.groupBy(*keys, "start", "end").agg(total(f"r_{depth}").alias("depth")).filter("depth > 0")
+    """keys, start, end, depth: elementary segments of the intervals with the largest (how max) or summed (how sum) depth over them; neighbours of equal depth are joined, segments without an interval dropped. Sums are running sums of what begins and ends; for the largest, intervals of one depth are united first, so that a segment meets each depth once however many intervals lie over it."""
     w = Window.partitionBy(*keys).orderBy("start")
+    if how == "sum":
+        ends = df.select(*keys, F.inline(F.array(F.struct(F.col("start").alias("start"), F.col(depth).alias("d"), F.lit(1).alias("n")), F.struct((F.col("end") + 1).alias("start"), (-F.col(depth)).alias("d"), F.lit(-1).alias("n")))))
+        ends = ends.groupBy(*keys, "start").agg(F.sum("d").alias("d"), F.sum("n").alias("n"))
+        run = w.rowsBetween(Window.unboundedPreceding, 0)
+        got = ends.select(*keys, "start", (F.lead("start").over(w) - 1).alias("end"), F.sum("d").over(run).alias("depth"), F.sum("n").over(run).alias("_n")).filter("_n > 0 AND depth > 0").drop("_n")
+    else:
+        flat = merge_intervals(df.select(*keys, F.col(depth).alias("depth"), "start", "end"), [*keys, "depth"]).select(*keys, "depth", "start", "end")
+        edge = flat.select(*keys, F.explode(F.array(F.col("start"), F.col("end") + 1)).alias("start")).distinct()
+        parts = edge.withColumn("end", F.lead("start").over(w) - 1).filter(F.col("end").isNotNull())
+        got = interval_join(parts, flat, keys, "inner", bin_size).groupBy(*keys, "start", "end").agg(F.max("r_depth").alias("depth")).filter("depth > 0")
     new = F.coalesce((F.lag("end").over(w) + 1 != F.col("start")) | (F.lag("depth").over(w) != F.col("depth")), F.lit(True))
     got = got.withColumn("_new", new.cast("int")).withColumn("_g", F.sum("_new").over(w))
     return got.groupBy(*keys, "_g", "depth").agg(F.min("start").alias("start"), F.max("end").alias("end")).select(*keys, "start", "end", "depth")

@@ -71,19 +71,18 @@ def assembly_stats(sequences: DataFrame) -> DataFrame:
 
 
 def accuracy_levels(query: DataFrame, reference: DataFrame) -> DataFrame:
-    """level, n_query, n_reference, n_both: exons, introns and chains (tx, seqid, strand, start, end of exons) that agree exactly, each counted once."""
-
-    def counts(level: str, a: DataFrame, b: DataFrame) -> DataFrame:
-        a, b = a.distinct(), b.distinct()
-        both = a.join(b, a.columns, "left_semi").agg(F.count("*").alias("n_both"))
-        return a.agg(F.count("*").alias("n_query")).crossJoin(b.agg(F.count("*").alias("n_reference"))).crossJoin(both).withColumn("level", F.lit(level))
-
+    """level, n_query, n_reference, n_both: exons, introns and chains (tx, seqid, strand, start, end of exons) that agree exactly, each counted once. Both sets go through the levels together, told apart by a flag; a level is one grouping by place."""
+    both = query.withColumn("_q", F.lit(1)).unionByName(reference.withColumn("_q", F.lit(0)))
     place = ["seqid", "strand", "start", "end"]
-    introns = lambda x: gaps(x, ["tx", "seqid", "strand"]).select(*place)
-    chain = lambda x: x.groupBy("tx", "seqid", "strand").agg(F.array_sort(F.collect_list(F.struct("start", "end"))).alias("chain")).select("seqid", "strand", "chain")
-    out = counts("exon", query.select(*place), reference.select(*place))
-    out = out.unionByName(counts("intron", introns(query), introns(reference)))
-    return out.unionByName(counts("chain", chain(query), chain(reference)))
+    exons = both.select("_q", *place).withColumn("level", F.lit("exon"))
+    introns = gaps(both, ["_q", "tx", "seqid", "strand"]).select("_q", *place).withColumn("level", F.lit("intron"))
+    flat = exons.unionByName(introns).select("_q", "level", F.struct(*place).alias("at"))
+    chain = both.groupBy("_q", "tx", "seqid", "strand").agg(F.array_sort(F.collect_list(F.struct("start", "end"))).alias("chain"))
+    tally = lambda df: df.groupBy("level", "at").agg(F.max("_q").alias("q"), F.max(1 - F.col("_q")).alias("r")).select("level", "q", "r")
+    seen = tally(flat).unionByName(tally(chain.select("_q", F.lit("chain").alias("level"), F.struct("seqid", "strand", "chain").alias("at"))))
+    levels = seen.sparkSession.createDataFrame([("exon",), ("intron",), ("chain",)], "level string")
+    n = lambda cond, name: F.count(F.when(cond, 1)).alias(name)
+    return levels.join(F.broadcast(seen.groupBy("level").agg(n(F.col("q") == 1, "n_query"), n(F.col("r") == 1, "n_reference"), n((F.col("q") == 1) & (F.col("r") == 1), "n_both"))), "level", "left").fillna(0)
 
 
 def positive_share(df: DataFrame, columns: list[str]) -> DataFrame:

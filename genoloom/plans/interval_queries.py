@@ -40,10 +40,11 @@ def coverage_overlap(spark, d):
     return iv.covered_bases(ad.exons(spark, d).withColumnRenamed("seqid", "contig"), ["contig"], ad.coverage(spark, d), ["tx"], BIN)
 
 
-@query("interval_pairs", f"WITH {ad.EXONS} SELECT a.tx, b.tx AS other, a.s AS start_, b.s AS other_start, LEAST(a.e, b.e) - GREATEST(a.s, b.s) + 1 AS shared FROM exons a JOIN exons b ON a.seqid = b.seqid AND a.strand = b.strand AND a.s <= b.e AND b.s <= a.e WHERE a.tx % 7 = 0 AND b.tx % 5 = 0")
+@query("interval_pairs", f"WITH {ad.EXONS} SELECT a.tx, b.tx AS other, a.s AS start_, b.s AS other_start, LEAST(a.e, b.e) - GREATEST(a.s, b.s) + 1 AS shared FROM exons a JOIN exons b ON a.seqid = b.seqid AND a.strand = b.strand AND a.s <= b.e AND b.s <= a.e WHERE a.tx < b.tx")
 def interval_pairs(spark, d):
+    """All exons with all exons of later transcripts."""
     x = ad.exons(spark, d)
-    p = iv.interval_join(x.filter("tx % 7 = 0"), x.filter("tx % 5 = 0"), ["seqid", "strand"], "inner", BIN)
+    p = iv.interval_join(x, x, ["seqid", "strand"], "inner", BIN).filter("tx < r_tx")
     return p.select("tx", F.col("r_tx").alias("other"), F.col("start").alias("start_"), F.col("r_start").alias("other_start"), (F.least("end", "r_end") - F.greatest("start", "r_start") + 1).alias("shared"))
 
 
@@ -65,10 +66,11 @@ def interval_anti(spark, d):
     return _semi(spark, d, "left_anti")
 
 
-@query("interval_left", f"""WITH {ad.EXONS} SELECT a.tx, a.s AS start_, COUNT(b.tx) AS hits FROM exons a LEFT JOIN exons b ON b.tx // 20 % 4 = 0 AND a.seqid = b.seqid AND a.strand = b.strand AND a.s <= b.e AND b.s <= a.e WHERE a.tx % 9 = 1 GROUP BY ALL""")
+@query("interval_left", f"""WITH {ad.EXONS} SELECT a.tx, a.s AS start_, COUNT(b.tx) AS hits FROM exons a LEFT JOIN exons b ON b.tx // 20 % 4 = 0 AND a.seqid = b.seqid AND a.strand = b.strand AND a.s <= b.e AND b.s <= a.e WHERE a.tx // 20 % 4 <> 0 GROUP BY ALL""")
 def interval_left(spark, d):
+    """Every exon is on one of the two sides."""
     x = ad.exons(spark, d)
-    p = iv.interval_join(x.filter("tx % 9 = 1"), x.filter("(tx div 20) % 4 = 0"), ["seqid", "strand"], "left", BIN)
+    p = iv.interval_join(x.filter("(tx div 20) % 4 <> 0"), x.filter("(tx div 20) % 4 = 0"), ["seqid", "strand"], "left", BIN)
     return p.groupBy("tx", F.col("start").alias("start_")).agg(F.count("r_tx").alias("hits"))
 
 
@@ -107,16 +109,20 @@ def nearest_neighbour(spark, d):
     return iv.nearest(x, x.select("contig", "gene", "start", "end"), ["contig"], "gene").select("tx", "left_end", "right_start")
 
 
-@query("relational_division", f"""WITH {ad.INTRONS}, cand AS (SELECT tx, seqid, strand, s, e FROM introns WHERE tx // 20 % 4 = 2), st AS (SELECT tx, seqid, strand, s, e FROM introns WHERE tx // 20 % 4 = 0),
-need AS (SELECT tx, COUNT(*) AS n FROM cand GROUP BY tx),
-got AS (SELECT c.tx, s.tx AS st, COUNT(DISTINCT c.s) AS n FROM cand c JOIN st s ON c.seqid = s.seqid AND c.strand = s.strand AND c.s = s.s AND c.e = s.e GROUP BY ALL)
+@query("relational_division", f"""WITH {ad.INTRONS}, own AS (SELECT *, ROW_NUMBER() OVER (PARTITION BY tx ORDER BY s) AS i FROM introns), st AS (SELECT tx * 2 AS st, seqid, strand, s, e FROM own UNION ALL SELECT tx * 2 + 1, seqid, strand, s, e FROM own WHERE i > 1),
+need AS (SELECT tx, COUNT(*) AS n FROM introns GROUP BY tx),
+got AS (SELECT c.tx, s.st, COUNT(DISTINCT c.s) AS n FROM introns c JOIN st s ON c.seqid = s.seqid AND c.strand = s.strand AND c.s = s.s AND c.e = s.e GROUP BY ALL)
 SELECT got.tx, got.st AS transcript, got.n AS n_introns FROM got JOIN need ON got.tx = need.tx AND got.n = need.n""")
 def relational_division(spark, d):
+    """Each transcript against all, and against all without their first intron."""
+    from ..operators.annotate import holds_all
+
     i = ad.tx_introns(spark, d)
-    cand, st = i.filter("(tx div 20) % 4 = 2"), i.filter("(tx div 20) % 4 = 0").withColumnRenamed("tx", "transcript")
-    need = cand.groupBy("tx").agg(F.count("*").alias("n"))
-    got = cand.join(st, ["contig", "strand", "start", "end"]).groupBy("tx", "transcript").agg(F.count_distinct("start").alias("n_introns"))
-    return got.join(need, "tx").filter("n_introns = n").select("tx", "transcript", "n_introns")
+    number = F.row_number().over(Window.partitionBy("tx").orderBy("start"))
+    own = i.withColumn("i", number)
+    place = ["contig", "strand", "start", "end"]
+    st = own.select(F.expr("tx * 2").alias("transcript"), *place).unionByName(own.filter("i > 1").select(F.expr("tx * 2 + 1").alias("transcript"), *place))
+    return holds_all(i, st, place, "tx", "transcript").select("tx", "transcript", F.col("n").alias("n_introns"))
 
 
 @query("overlap_lag", f"WITH {ad.RAW} SELECT tx, COUNT(*) AS overlapping FROM (SELECT tx, s, LAG(e) OVER (PARTITION BY tx ORDER BY s, e) AS pe FROM raw) WHERE pe >= s GROUP BY tx")

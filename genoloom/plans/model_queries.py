@@ -158,17 +158,21 @@ def alignment_introns_scored(spark, d):
     return hi.alignment_introns(x, "gth", 41, 2000, 10.0).select(F.col("parent").alias("tx"), F.col("start").alias("start_"), F.col("end").alias("end_"), (F.col("score") * 2).cast("int").alias("half"))
 
 
-@query("utr_matches", f"""WITH {ad.INTRONS}, c AS (SELECT tx, COUNT(*) AS n FROM introns WHERE tx % 2 = 1 GROUP BY tx),
-st AS (SELECT tx, CAST(SUM(e - s + 1) AS BIGINT) AS len FROM exons WHERE tx % 2 = 0 GROUP BY tx),
-p AS (SELECT a.tx, b.tx AS st, COUNT(*) AS k FROM introns a JOIN introns b ON a.seqid = b.seqid AND a.strand = b.strand AND a.s = b.s AND a.e = b.e WHERE a.tx % 2 = 1 AND b.tx % 2 = 0 GROUP BY ALL),
-one AS (SELECT tx, ANY_VALUE(seqid) AS seqid, ANY_VALUE(strand) AS strand, MIN(s) AS s, MAX(e) AS e FROM exons WHERE tx % 2 = 1 GROUP BY tx HAVING COUNT(*) = 1),
-q AS (SELECT DISTINCT o.tx, x.tx AS st FROM one o JOIN exons x ON x.tx % 2 = 0 AND o.seqid = x.seqid AND o.strand = x.strand AND x.s <= o.e AND o.s <= x.e WHERE NOT EXISTS (SELECT 1 FROM introns i WHERE i.tx = x.tx AND i.s <= o.e AND o.s <= i.e)),
+@query("utr_matches", f"""WITH {ad.INTRONS}, n AS (SELECT *, ROW_NUMBER() OVER (PARTITION BY tx ORDER BY s) AS i, COUNT(*) OVER (PARTITION BY tx) AS k FROM exons), sx AS (SELECT tx * 2 AS st, seqid, strand, s, e FROM n UNION ALL SELECT tx * 2 + 1, seqid, strand, s, CASE WHEN i = k THEN e + 40 ELSE e END FROM n WHERE i > 1),
+si AS (SELECT * FROM (SELECT st, seqid, strand, e + 1 AS s, LEAD(s) OVER (PARTITION BY st ORDER BY s) - 1 AS e FROM sx) WHERE e >= s), len AS (SELECT st, CAST(SUM(e - s + 1) AS BIGINT) AS len FROM sx GROUP BY st), c AS (SELECT tx, COUNT(*) AS n FROM introns GROUP BY tx),
+p AS (SELECT a.tx, b.st, COUNT(*) AS k FROM introns a JOIN si b ON a.seqid = b.seqid AND a.strand = b.strand AND a.s = b.s AND a.e = b.e GROUP BY ALL),
+one AS (SELECT tx, ANY_VALUE(seqid) AS seqid, ANY_VALUE(strand) AS strand, MIN(s) AS s, MAX(e) AS e FROM exons GROUP BY tx HAVING COUNT(*) = 1),
+q AS (SELECT DISTINCT o.tx, x.st FROM one o JOIN sx x ON o.seqid = x.seqid AND o.strand = x.strand AND x.s <= o.e AND o.s <= x.e WHERE NOT EXISTS (SELECT 1 FROM si WHERE si.st = x.st AND si.s <= o.e AND o.s <= si.e)),
 m AS (SELECT p.tx, p.st FROM p JOIN c ON c.tx = p.tx AND c.n = p.k UNION ALL SELECT tx, st FROM q)
-SELECT m.tx, arg_max(m.st, (CASE WHEN m.st % 4 = 0 THEN 1 ELSE 0 END) * 100000000000 + st.len * 1000000 - m.st) AS st FROM m JOIN st ON st.tx = m.st GROUP BY m.tx""")
+SELECT m.tx, arg_max(m.st, (CASE WHEN m.st % 5 = 0 THEN 1 ELSE 0 END) * 100000000000000 + len.len * 1000000000 - m.st) AS st FROM m JOIN len ON len.st = m.st GROUP BY m.tx""")
 def utr_matches(spark, d):
-    c = ad.chains(spark, d).withColumnRenamed("contig", "seqid").withColumn("introns", co.introns(F.col("segs")))
-    cand = c.filter("tx % 2 = 1").select(F.col("tx").alias("tx_id"), "seqid", "strand", F.col("segs").alias("cds"), "introns")
-    st = c.filter("tx % 2 = 0").select(F.col("tx").alias("st_ord"), "seqid", "strand", F.expr("tx % 4 = 0").alias("is_long"), F.expr("aggregate(segs, 0L, (a, x) -> a + x.end - x.start + 1)").alias("length"), F.col("segs").alias("exons"), "introns")
+    """Every transcript against two of each: itself, and itself without the first exon and with a longer last one."""
+    c = ad.chains(spark, d).withColumnRenamed("contig", "seqid")
+    cand = c.select(F.col("tx").alias("tx_id"), "seqid", "strand", F.col("segs").alias("cds"), co.introns(F.col("segs")).alias("introns"))
+    n = F.size("segs")
+    later = F.transform(F.slice("segs", 2, n - 1), lambda x, i: F.struct(x["start"].alias("start"), F.when(i == n - 2, x["end"] + 40).otherwise(x["end"]).alias("end")))
+    st = c.select(F.expr("tx * 2").alias("st_ord"), "seqid", "strand", "segs").unionByName(c.filter(n > 1).select(F.expr("tx * 2 + 1").alias("st_ord"), "seqid", "strand", later.alias("segs")))
+    st = st.select("st_ord", "seqid", "strand", F.expr("st_ord % 5 = 0").alias("is_long"), F.expr("aggregate(segs, 0L, (a, x) -> a + x.end - x.start + 1)").alias("length"), F.col("segs").alias("exons"), co.introns(F.col("segs")).alias("introns"))
     return an.match_transcripts(cand, st, BIN).select(F.col("tx_id").alias("tx"), F.col("st.st_ord").alias("st"))
 
 

@@ -223,7 +223,7 @@ def tsv(spark: SparkSession, path: str, header: list[str] | None = None) -> tupl
 
 def term_table(spark: SparkSession, paths: list[str] | str) -> DataFrame:
     """accession, term, score, description, category of functional terms from CSV with a header; a score that is no number is 0."""
-    df = spark.read.option("header", True).csv(paths)
+    df = spark.read.option("header", True).option("escape", "\"").csv(paths)
     col = lambda *names: F.coalesce(*[F.col(n) for n in names if n in df.columns], F.lit(None).cast("string"))
     return df.select(
         col("query_accession", "accession").alias("accession"), col("go_id", "term").alias("term"), F.coalesce(col("reliability_index", "score").try_cast("double"), F.lit(0.0)).alias("score"),
