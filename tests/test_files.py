@@ -180,3 +180,24 @@ def test_chain_support_cases(spark):
     tx = spark.createDataFrame([("t0", str(i), i, "c", "+", s) for i, (s, _) in enumerate(cases)], f"tool string, tx_id string, tx_ord bigint, contig string, strand string, segs {S}")
     got = {r["rep"]["tx_id"]: r["chain_support"] for r in co.add_chains(co.build_structures(tx, ["t0"]), t, 64).collect()}
     assert [got[str(i)] for i in range(len(cases))] == [w for _, w in cases]
+
+
+def test_each_file_of_a_pattern_is_its_own(spark, tmp_path):
+    line = "c\ts\tgene\t{}\t{}\t.\t+\t.\tID={}"
+    (tmp_path / "a.gff3").write_text("##gff-version 3\n" + line.format(1, 9, "g1") + "\n##FASTA\n>c\nACGT\n" + line.format(1, 9, "none") + "\n")
+    (tmp_path / "b.gff3").write_text(line.format(20, 30, "g2") + "\n" + line.format(40, 50, "g3") + "\n")
+    got = sc.gff3(spark, str(tmp_path / "*.gff3")).orderBy("file_ord", "line_no").select("id", "file_ord", "line_no").collect()
+    assert [(r["id"], r["line_no"]) for r in got] == [("g1", 1), ("g2", 0), ("g3", 1)] and got[0]["file_ord"] < got[1]["file_ord"] == got[2]["file_ord"]
+    assert {r["id"] for r in sc.gff3(spark, str(tmp_path / "{a,b}.gff3")).collect()} == {"g1", "g2", "g3"}
+    assert sc.dialect(spark, str(tmp_path / "a.gff3")) == "gff3"
+    (tmp_path / "none.txt").write_text("# nothing\n")
+    assert sc.dialect(spark, str(tmp_path / "none.txt")) == "gtf"
+    many = [f"l{i}" for i in range(5000)]
+    (tmp_path / "long.txt").write_text("\n".join(many) + "\n")
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "4096")
+    try:
+        rows = sc.lines(spark, str(tmp_path / "long.txt")).collect()
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+    assert {r["line_no"]: r["value"] for r in rows} == dict(enumerate(many))
