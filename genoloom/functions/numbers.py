@@ -24,9 +24,9 @@ def rounded(x: Column, digits: int) -> Column:
     return fixed(x, digits).cast("double")
 
 
-def upper_median(x: Column) -> Column:
-    """Aggregate: the element at n // 2 in order."""
-    return F.element_at(F.array_sort(F.collect_list(x)), (F.floor(F.count(x) / 2) + 1).cast("int"))
+def upper_median(x: str) -> Column:
+    """Aggregate: the element at n // 2 in the order of a whole number x (an SQL expression); the lower median from the other end. It holds each different value with its count, not the rows."""
+    return F.expr(f"cast(percentile_disc(0.5) WITHIN GROUP (ORDER BY {x} DESC) AS bigint)")
 
 
 def percent(n: Column, total: Column) -> Column:

@@ -12,24 +12,41 @@ from pyspark.sql import functions as F
 
 #: Bins are a power of two between these widths when they are chosen from the data.
 LEAST_BIN, MOST_BIN = 1 << 10, 1 << 20
+#: Bases of a tile, inside which intervals are united before tiles are.
+TILE = 1 << 18
 
 
-def islands(df: DataFrame, keys: list[str], touching: bool = True, start: str = "start", end: str = "end", name: str = "island") -> DataFrame:
-    """df with the number of the island (within its keys) each interval belongs to: a running maximum of ends, then a running sum of gaps."""
+def _runs(df: DataFrame, keys: list[str], touching: bool, start: str, end: str, name: str) -> DataFrame:
+    """df with the number of the island of its keys: a running maximum of ends, then a running sum of gaps."""
     w = Window.partitionBy(*keys).orderBy(start, end)
     before = F.max(end).over(w.rowsBetween(Window.unboundedPreceding, -1))
     opens = F.when(before.isNull() | (F.col(start) > before + (1 if touching else 0)), 1).otherwise(0)
     return df.withColumn("_opens", opens).withColumn(name, F.sum("_opens").over(w.rowsBetween(Window.unboundedPreceding, 0))).drop("_opens")
 
 
-def merge_intervals(df: DataFrame, keys: list[str], touching: bool = True, start: str = "start", end: str = "end") -> DataFrame:
-    """keys, start, end, n: union of the intervals of each key."""
-    return (
-        islands(df.select(*keys, start, end), keys, touching, start, end)
-        .groupBy(*keys, "island")
-        .agg(F.min(start).alias(start), F.max(end).alias(end), F.count("*").alias("n"))
-        .drop("island")
-    )
+def _tiled(df: DataFrame, keys: list[str], touching: bool, start: str, end: str, tile: int) -> DataFrame:
+    """df with _tile and the number _run of its run among the intervals of its keys that start in one tile, so that a long or crowded contig is many tasks."""
+    return _runs(df.withColumn("_tile", F.floor(F.col(start) / tile)), [*keys, "_tile"], touching, start, end, "_run")
+
+
+def islands(df: DataFrame, keys: list[str], touching: bool = True, start: str = "start", end: str = "end", name: str = "island", tile: int = TILE) -> DataFrame:
+    """df with the number of the island (within its keys) each interval belongs to. Runs are found tile by tile; only they, whose number a contig's length bounds and not its rows, meet in one window per key, and give their rows the number."""
+    rows = _tiled(df, keys, touching, start, end, tile)
+    own = [*keys, "_tile", "_run"]
+    runs = rows.groupBy(*own).agg(F.min(start).alias("_s"), F.max(end).alias("_e"))
+    runs = _runs(runs, keys, touching, "_s", "_e", name).select(*[F.col(c).alias(f"_of_{i}") for i, c in enumerate(own)], name)
+    same = [F.col(c).eqNullSafe(F.col(f"_of_{i}")) for i, c in enumerate(own)]
+    return rows.join(runs, same).select(*df.columns, name)
+
+
+def merge_intervals(df: DataFrame, keys: list[str], touching: bool = True, start: str = "start", end: str = "end", tile: int | None = TILE) -> DataFrame:
+    """keys, start, end, n: union of the intervals of each key, first inside tiles, then of what is left. tile None: in one pass, for keys with few intervals each, such as transcripts."""
+    union = lambda rows, of, n: rows.groupBy(*of).agg(F.min(start).alias(start), F.max(end).alias(end), n.alias("n"))
+    rows = df.select(*keys, start, end)
+    if tile is None:
+        return union(_runs(rows, keys, touching, start, end, "_run"), [*keys, "_run"], F.count("*")).drop("_run")
+    runs = union(_tiled(rows, keys, touching, start, end, tile), [*keys, "_tile", "_run"], F.count("*")).drop("_tile", "_run")
+    return union(_runs(runs, keys, touching, start, end, "_run"), [*keys, "_run"], F.sum("n")).drop("_run")
 
 
 def bin_width(*frames: DataFrame, start: str = "start", end: str = "end") -> int:

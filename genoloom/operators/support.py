@@ -53,8 +53,8 @@ def gene_set_statistics(cds: DataFrame) -> DataFrame:
     """One row of numbers of a gene set: cds (gene, tx, start, end)."""
     t = cds.groupBy("gene", "tx").agg(F.count("*").alias("exons"), F.sum(F.col("end") - F.col("start") + 1).alias("length"), F.min("start").alias("s"), F.max("end").alias("e"))
     g = t.groupBy("gene").agg(F.count("*").alias("tx"), F.floor(F.sum(F.col("exons") - 1) / F.count("*")).cast("bigint").alias("introns"), (F.max("e") - F.min("s") + 1).alias("span"))
-    one = t.agg(F.count("*").alias("transcripts"), F.sum("exons").cast("bigint").alias("exons"), F.count(F.when(F.col("exons") == 1, 1)).alias("single_exon"), F.sum("length").cast("bigint").alias("cds_bases"), upper_median(F.col("length")).alias("median_cds"), F.max("exons").alias("most_exons"))
-    two = g.agg(F.count("*").alias("genes"), F.max("tx").alias("most_tx"), upper_median(F.col("span")).alias("median_span"), F.sum("introns").cast("bigint").alias("introns_per_gene"))
+    one = t.agg(F.count("*").alias("transcripts"), F.sum("exons").cast("bigint").alias("exons"), F.count(F.when(F.col("exons") == 1, 1)).alias("single_exon"), F.sum("length").cast("bigint").alias("cds_bases"), upper_median("length").alias("median_cds"), F.max("exons").alias("most_exons"))
+    two = g.agg(F.count("*").alias("genes"), F.max("tx").alias("most_tx"), upper_median("span").alias("median_span"), F.sum("introns").cast("bigint").alias("introns_per_gene"))
     return one.crossJoin(two)
 
 

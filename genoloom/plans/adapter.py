@@ -28,7 +28,7 @@ def raw_exons(spark: SparkSession, d: str) -> DataFrame:
 
 def exons(spark: SparkSession, d: str) -> DataFrame:
     """tx, seqid, strand, start, end: merged exons."""
-    return merge_intervals(raw_exons(spark, d), TX).select(*TX, "start", "end")
+    return merge_intervals(raw_exons(spark, d), TX, tile=None).select(*TX, "start", "end")
 
 
 RAW = """raw AS (SELECT DISTINCT tx, seqid, strand, s, s + n AS e FROM (SELECT l_orderkey AS tx, 'c' || (l_orderkey % 20) AS seqid,

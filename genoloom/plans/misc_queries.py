@@ -118,6 +118,19 @@ def go_rollup(spark, d):
     return an.go_rollup(tx, terms).select("gene", F.array_join("terms", ",").alias("terms"))
 
 
+@query("term_totals", "SELECT COUNT(*) AS rows, COUNT(*) FILTER (COALESCE(value, 0) >= 50) AS confident_rows, COUNT(DISTINCT user_id) FILTER (user_id % 7 > 0) AS proteins, COUNT(DISTINCT user_id) FILTER (user_id % 7 > 0 AND COALESCE(value, 0) >= 50) AS confident_proteins FROM events")
+def term_totals(spark, d):
+    """Every seventh accession is blank."""
+    e = ad.table(spark, d, "events")
+    return an.term_totals(e.select(F.expr("CASE WHEN user_id % 7 > 0 THEN cast(user_id as string) ELSE ' ' END").alias("accession"), F.col("value").cast("string").alias("score")), 50.0)
+
+
+@query("namespace_counts", "SELECT event_type AS namespace, COUNT(*) AS n, COUNT(*) FILTER (COALESCE(value, 0) >= 50) AS confident FROM events WHERE event_type <> 'error' GROUP BY event_type")
+def namespace_counts(spark, d):
+    e = ad.table(spark, d, "events")
+    return an.namespace_counts(e.select(F.expr("CASE WHEN event_type = 'error' THEN ' ' ELSE event_type END").alias("namespace"), F.col("value").alias("score")), 50.0)
+
+
 @query("category_membership", """WITH r(category, term) AS (VALUES ('use', 'view'), ('use', 'click'), ('trade', 'purchase'), ('localisation', 'signup')), p AS (SELECT DISTINCT user_id, event_type FROM events WHERE value > 60),
 h AS (SELECT DISTINCT user_id, category FROM p JOIN r ON term = event_type), m AS (SELECT * FROM h WHERE category <> 'localisation')
 SELECT user_id AS accession, category FROM m UNION ALL SELECT user_id, category FROM h WHERE category = 'localisation' AND user_id NOT IN (SELECT user_id FROM m) UNION ALL SELECT DISTINCT user_id, 'other' FROM p WHERE user_id NOT IN (SELECT user_id FROM h)""")

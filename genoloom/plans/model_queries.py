@@ -13,6 +13,7 @@ from ..operators import genemodel as gm
 from ..operators import hints as hi
 from ..operators import intervals as iv
 from ..operators import support as su
+from ..sinks import writers as wr
 from . import adapter as ad
 from .registry import query
 
@@ -85,6 +86,35 @@ def stop_codon_cut(spark, d):
     return c.select("tx", co.chain_text(gm.without_stop(F.col("segs"), F.col("strand"))).alias("chain")).filter("chain <> ''")
 
 
+@query("combined_features", f"""WITH {ad.EXONS}, {ad.merged_sql('exons', 'mx', 'tx')}, o AS (SELECT *, e - s + 1 AS size, COALESCE(SUM(e - s + 1) OVER (PARTITION BY tx ORDER BY CASE WHEN strand = '-' THEN s ELSE -e END ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS behind,
+  SUM(e - s + 1) OVER (PARTITION BY tx) AS total FROM exons), c AS (SELECT *, LEAST(size, GREATEST(3 - behind, 0)) AS cut FROM o), t AS (SELECT tx, ANY_VALUE(strand) AS strand, MIN(s) AS s, MAX(e) AS e FROM exons GROUP BY tx)
+SELECT tx, type, CAST(s AS BIGINT) AS start_, CAST(e AS BIGINT) AS end_, CAST(phase AS BIGINT) AS phase FROM (
+SELECT tx, 'transcript' AS type, s, e, NULL AS phase FROM t UNION ALL SELECT tx, 'exon', s, e, NULL FROM mx
+UNION ALL SELECT tx, 'CDS', CASE WHEN strand = '-' THEN s + cut ELSE s END, CASE WHEN strand = '-' THEN e ELSE e - cut END, (3 - (total - behind - size) % 3) % 3 FROM c WHERE cut < size
+UNION ALL SELECT tx, 'start_codon', CASE WHEN strand = '-' THEN e - 2 ELSE s END, CASE WHEN strand = '-' THEN e ELSE s + 2 END, 0 FROM t
+UNION ALL SELECT tx, 'stop_codon', CASE WHEN strand = '-' THEN s ELSE e - 2 END, CASE WHEN strand = '-' THEN s + 2 ELSE e END, 0 FROM t)""")
+def combined_features(spark, d):
+    c = ad.chains(spark, d).withColumns({"gene_id": F.lit("g"), "tx_id": F.col("tx").cast("string"), "exons": F.lit(None)})
+    return wr.combined_features(c).select("tx", "type", F.col("start").alias("start_"), F.col("end").alias("end_"), "phase")
+
+
+@query("utr_report", f"""WITH {ad.EXONS}, n AS (SELECT *, ROW_NUMBER() OVER (PARTITION BY tx ORDER BY s) AS i, COUNT(*) OVER (PARTITION BY tx) AS k FROM exons)
+SELECT tx, CASE tx % 4 WHEN 0 THEN 'has_utr' WHEN 1 THEN 'short' WHEN 2 THEN 'long' ELSE 'none' END AS matched_by, CAST(SUM(CASE WHEN i = 1 AND tx % 4 <> 3 THEN e - s + 1 ELSE 0 END) AS BIGINT) AS five, CAST(SUM(CASE WHEN i = k AND i > 1 AND tx % 4 <> 3 THEN e - s + 1 ELSE 0 END) AS BIGINT) AS three FROM n GROUP BY tx""")
+def utr_report(spark, d):
+    """First and last exons stand for untranslated regions."""
+    c = ad.chains(spark, d)
+    u = c.filter("tx % 4 <> 3").select(F.col("tx").alias("tx_id"), F.posexplode("segs").alias("i", "x"), F.size("segs").alias("k"))
+    u = u.select("tx_id", F.expr("CASE WHEN i = 0 THEN 'five_prime_UTR' WHEN i = k - 1 THEN '3UTR' ELSE 'exon' END").alias("type"), "x.start", "x.end")
+    t = c.select(F.col("tx").alias("tx_id"), F.expr("element_at(array('has_utr', 'short', 'long', 'none'), cast(tx % 4 as int) + 1)").alias("matched_by"))
+    return an.utr_report(t, u).select(F.col("tx_id").alias("tx"), "matched_by", F.col("five_prime_utr_bp").alias("five"), F.col("three_prime_utr_bp").alias("three"))
+
+
+@query("utr_tally", f"WITH {ad.CHAINS} SELECT COUNT(*) AS coding, COUNT(*) FILTER (tx % 4 = 0) AS has_utr, COUNT(*) FILTER (tx % 4 = 1) AS short, COUNT(*) FILTER (tx % 4 = 2) AS long, COUNT(*) FILTER (tx % 4 = 3) AS none, COUNT(*) FILTER (tx % 4 IN (1, 2) AND tx % 5 > 0) AS utr_added, COUNT(*) FILTER (tx % 10 = 1) AS stopped FROM chains")
+def utr_tally(spark, d):
+    by = F.expr("element_at(array('has_utr', 'short', 'long', 'none'), cast(tx % 4 as int) + 1)")
+    return an.utr_tally(ad.chains(spark, d).select(F.col("tx").alias("tx_id"), by.alias("matched_by"), F.expr("tx % 4 IN (1, 2) AND tx % 5 > 0").alias("utr_added"), F.expr("tx % 10 = 1").alias("stopped")))
+
+
 @query("structure_checks", f"WITH {ad.CHAINS} SELECT tx, CASE WHEN len % 3 <> 0 THEN 'cds_length_mod3' END AS reason FROM chains")
 def structure_checks(spark, d):
     c = ad.chains(spark, d).withColumn("cds", F.col("segs")).withColumn("exons", F.col("segs")).withColumn("first_phase", F.lit(0))
@@ -217,7 +247,7 @@ def report_rounding(spark, d):
 
 @query("upper_medians", "SELECT l_suppkey AS supp, list_sort(list(CAST(l_quantity AS BIGINT)))[COUNT(*) // 2 + 1] AS upper, MEDIAN(l_quantity) AS middle FROM lineitem GROUP BY l_suppkey")
 def upper_medians(spark, d):
-    return ad.table(spark, d, "lineitem").groupBy(F.col("l_suppkey").alias("supp")).agg(upper_median(F.col("l_quantity").cast("bigint")).alias("upper"), F.median("l_quantity").alias("middle"))
+    return ad.table(spark, d, "lineitem").groupBy(F.col("l_suppkey").alias("supp")).agg(upper_median("cast(l_quantity as bigint)").alias("upper"), F.median("l_quantity").alias("middle"))
 
 
 @query("assembly_stats", f"""WITH {ad.SEQS}, l AS (SELECT length(seq) AS n FROM seqs), r AS (SELECT n, SUM(n) OVER (ORDER BY n DESC ROWS UNBOUNDED PRECEDING) AS c, ROW_NUMBER() OVER (ORDER BY n DESC) AS i, SUM(n) OVER () AS t FROM l)

@@ -201,3 +201,20 @@ def test_each_file_of_a_pattern_is_its_own(spark, tmp_path):
     finally:
         spark.conf.set("spark.sql.files.maxPartitionBytes", old)
     assert {r["line_no"]: r["value"] for r in rows} == dict(enumerate(many))
+
+
+def test_combined_models_as_text(spark, tmp_path):
+    rows = [("g1", "t1", "c", "+", [(11, 20), (31, 32)], [(1, 22), (31, 40)], ["b", "a"], "x", "s1"), ("g2", "t2", "c", "-", [(101, 102), (111, 122)], None, ["a"], "y", "s2")]
+    span = "array<struct<start:bigint,end:bigint>>"
+    df = spark.createDataFrame(rows, f"gene_id string, tx_id string, contig string, strand string, segs {span}, exons {span}, tools array<string>, tier string, source_id string")
+    wr.write_combined(df, f"file://{tmp_path}/gtf")
+    got = [r["value"].split("\t") for r in spark.read.text(f"file://{tmp_path}/gtf").collect()]
+    assert [(g[2], int(g[3]), int(g[4]), g[7]) for g in got] == [
+        ("transcript", 1, 40, "."), ("exon", 1, 22, "."), ("exon", 31, 40, "."), ("CDS", 11, 19, "0"), ("start_codon", 11, 13, "0"), ("stop_codon", 30, 32, "0"),
+        ("transcript", 101, 122, "."), ("exon", 101, 102, "."), ("exon", 111, 122, "."), ("CDS", 112, 122, "0"), ("start_codon", 120, 122, "0"), ("stop_codon", 101, 103, "0"),
+    ]
+    assert got[0][8] == 'gene_id "g1"; transcript_id "t1"; tools "a,b"; tier "x"; source_id "s1";'
+    assert got[1][8] == 'gene_id "g1"; transcript_id "t1";'
+    wr.write_combined(df, f"file://{tmp_path}/gff", gff3=True)
+    got = [r["value"].split("\t") for r in spark.read.text(f"file://{tmp_path}/gff").collect()]
+    assert [(g[2], g[8]) for g in got[:5]] == [("gene", "ID=g1"), ("mRNA", "ID=t1;Parent=g1;tools=a,b;tier=x;source_id=s1"), ("exon", "ID=t1.exon1;Parent=t1"), ("exon", "ID=t1.exon2;Parent=t1"), ("CDS", "ID=t1.cds1;Parent=t1")]

@@ -2,12 +2,14 @@
 
 import random
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from genoloom.operators import annotate
 from genoloom.operators import intervals as iv
 from genoloom.operators.annotate import greedy_accept
-from genoloom.operators.components import exon_components
+from genoloom.operators.components import components, exon_components
 
 R = random.Random(5)
 ROWS = [(i, R.choice("ab"), s, s + R.randint(0, 40)) for i in range(120) for s in [R.randint(1, 900)]]
@@ -112,3 +114,45 @@ def test_greedy_fold_equals_counting_by_base(spark):
             want.add(g)
             taken |= own
     assert got == want
+
+
+@pytest.mark.parametrize("touching", [True, False])
+def test_islands_over_tile_edges_equal_one_pass(spark, touching):
+    df = spark.createDataFrame([(i, R.choice(["a", None]), s, s + R.randint(0, 25)) for i in range(300) for s in [R.randint(1, 1500)]], "id bigint, k string, start bigint, end bigint")
+    one = {tuple(r) for r in iv.merge_intervals(df, ["k"], touching, tile=None).collect()}
+    assert {tuple(r) for r in iv.merge_intervals(df, ["k"], touching, tile=16).collect()} == one
+    got = iv.islands(df, ["k"], touching, tile=16).collect()
+    assert len(got) == 300
+    spans: dict = {}
+    for r in got:
+        lo, hi, n = spans.get((r["k"], r["island"]), (r["start"], r["end"], 0))
+        spans[r["k"], r["island"]] = (min(lo, r["start"]), max(hi, r["end"]), n + 1)
+    assert {(k, *v) for (k, _), v in spans.items()} == one
+
+
+def test_components_of_a_long_path_and_a_star(spark):
+    rows = [(i, i + 1) for i in range(10, 400)] + [(1000, 1000 + i) for i in range(50)] + [(5, None)]
+    got = {r["id"]: r["component"] for r in components(spark.createDataFrame(rows, "a bigint, b bigint").repartition(7)).collect()}
+    assert got == {**{i: 10 for i in range(10, 401)}, **{1000 + i: 1000 for i in range(50)}}
+    assert components(spark.createDataFrame([], "a bigint, b bigint")).count() == 0
+
+
+@pytest.mark.parametrize("distance", ["euclidean", "cosine"])
+def test_nearest_vectors_in_blocks(spark, monkeypatch, distance):
+    monkeypatch.setattr(annotate, "QUERY_BLOCK", 7)
+    monkeypatch.setattr(annotate, "BASE_BLOCK", 11)
+    vec = {i: [R.randint(-3, 3) + 0.5 for _ in range(4)] for i in range(60)}
+    df = spark.createDataFrame([*vec.items(), (100, None), (101, [float("nan")] * 4), (102, [1.0, None, 1.0, 1.0])], "id bigint, vec array<double>")
+    got = {(r["query"], r["rank"]): r["neighbour"] for r in annotate.nearest_vectors(df.filter("id % 5 = 0"), df, 3, distance).collect()}
+
+    def far(a, b):
+        x, y = np.array(vec[a]), np.array(vec[b])
+        if distance == "cosine":
+            x, y = x / np.sqrt((x * x).sum()), y / np.sqrt((y * y).sum())
+            return round(1 - x @ y, 9)
+        return round(float(((x - y) ** 2).sum()), 9)
+
+    assert set(got) == {(q, r) for q in range(0, 60, 5) for r in (1, 2, 3)}
+    for q in range(0, 60, 5):
+        want = sorted(far(q, b) for b in vec if b != q)[:3]
+        assert [far(q, got[q, r]) for r in (1, 2, 3)] == want
