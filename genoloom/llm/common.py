@@ -2,13 +2,12 @@
 
 from __future__ import annotations
 
-import tempfile
-import uuid
-
 import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..operators.components import cut  # noqa: F401
+
 #: Small sides up to this many estimated bytes may be broadcast; larger ones are shuffled.
 BROADCAST_BYTES = 24 << 20
 
@@ -23,23 +22,6 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share: spark.checkpoint.dir, or one of our own where that is unset (tests)."""
-    found = spark.conf.get("spark.checkpoint.dir", None)
-    if not found:
-        found = f"file://{tempfile.mkdtemp(prefix='genoloom-')}"
-        spark.conf.set("spark.checkpoint.dir", found)
-    return found.rstrip("/")
-
-
-def cut(df: DataFrame, label: str = "t") -> DataFrame:
-    """Write df to the shared folder and read it back: the plan starts anew there and outlives lost executors."""
-    spark = df.sparkSession
-    path = f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
-
-
 def key_of(docs: DataFrame):
     """A row's own key from doc_id and text: rows that share a doc_id but not a text stay apart, rows that are equal in both have one key."""
     id_, text = docs["doc_id"].cast("bigint"), docs["text"].cast("string")

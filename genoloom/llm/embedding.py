@@ -24,8 +24,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..operators.components import components, roots
 from .common import cut, group_starts, pairs_in_groups, splitmix, table, whole_groups
-from .graph import components, roots
 
 LEAST = 0.98
 TABLES = 10

@@ -32,8 +32,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from ..operators.components import components
 from .common import batches, buffer_of, capped_groups, cut, group_starts, heavy_join, pairs_in_groups, row_key, splitmix, table, whole_groups, words_of
-from .graph import components
 
 CAP = 8
 BINS = 256

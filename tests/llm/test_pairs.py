@@ -7,7 +7,8 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from genoloom.llm import embedding, graph, jaccard, lines
+from genoloom.llm import embedding, jaccard, lines
+from genoloom.operators import components as graph
 
 R = random.Random(11)
 
