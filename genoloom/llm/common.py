@@ -53,6 +53,17 @@ def heavy_join(left: DataFrame, right: DataFrame, on: list[str], count: str, row
     return left.join(F.broadcast(heavy), on).unionByName(light)
 
 
+def discard(spark: SparkSession, path: str) -> None:
+    """Delete a folder that an operator wrote and no longer reads."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
+
+
+def matrix(col, width: int, kind=np.float64) -> np.ndarray:
+    """The rows of an Arrow list column, all of this length, as a matrix."""
+    return np.asarray(col.flatten(), dtype=kind).reshape(-1, width)
+
+
 def free_name(df: DataFrame, name: str) -> str:
     """name, with underscores that make it no column of df."""
     return next(n for n in (f"{name}{'_' * i}" for i in range(1, len(df.columns) + 2)) if n.lower() not in {c.lower() for c in df.columns})
