@@ -15,6 +15,9 @@ _WHERE = {
     "op8_secret_scan": "secrets",
     "op9_pivotal_mixing": "mixing",
     "op10_chained_passages": "chains",
+    "op11_sort_means": "centroids",
+    "op12_word_table_bpe": "tokens",
+    "op13_ball_tree_negatives": "negatives",
 }
 
 
@@ -23,6 +26,26 @@ def queries() -> dict:
 
 
 _LOW = "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+_WHOLE = "embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0"
+
+
+def _sort_means(rounds: int = 10) -> str:
+    """Lloyd's rounds, one after the other; centroids are floors of means."""
+    apart = "list_sum(list_transform(list_zip(v.e, c.e), lambda z: (z[1] - z[2]) * (z[1] - z[2])))"
+    near = "SELECT v.vec_id, v.e, c.c, CAST({d} AS BIGINT) AS d FROM v, c{r} c QUALIFY row_number() OVER (PARTITION BY v.vec_id ORDER BY d, c.c) = 1"
+    parts = [
+        f"v AS MATERIALIZED (SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(1024 * CAST(x AS DOUBLE)) AS BIGINT)) AS e FROM embeddings WHERE len(embedding) = 64 AND {_WHOLE})",
+        "c0 AS MATERIALIZED (SELECT CAST(row_number() OVER (ORDER BY sha256('3:' || vec_id)) - 1 AS INTEGER) AS c, e FROM v ORDER BY sha256('3:' || vec_id) LIMIT 8)",
+    ]
+    for r in range(rounds + 1):
+        parts.append(f"a{r} AS MATERIALIZED ({near.format(d=apart, r=r)})")
+        if r < rounds:
+            parts.append(f"s{r} AS MATERIALIZED (SELECT c, j, CAST(SUM(e[j]) AS BIGINT) AS s, COUNT(*) AS n FROM a{r}, range(1, 65) t(j) GROUP BY c, j)")
+            parts.append(f"c{r + 1} AS MATERIALIZED (SELECT o.c, COALESCE(k.e, o.e) AS e FROM c{r} o LEFT JOIN (SELECT c, list((s - (s % n + n) % n) // n ORDER BY j) AS e FROM s{r} GROUP BY c) k ON k.c = o.c)")
+    return f"""WITH {", ".join(parts)}
+SELECT vec_id, c AS cluster, d AS distance, CAST(SUM(d) OVER (PARTITION BY c) AS BIGINT) AS cluster_inertia, CAST(SUM(d) OVER () AS BIGINT) AS inertia, sha256(array_to_string(o.e, ',')) AS centroid_sha256 FROM a{rounds} a JOIN c{rounds} o USING (c)"""
+
+
 SQL = {
     "op1_jaccard_join": f"""WITH RECURSIVE w AS (SELECT doc_id, regexp_extract_all({_LOW}, '[^\\x20\\x09-\\x0D]+') AS ws FROM documents),
 s AS (SELECT DISTINCT doc_id, UNNEST(CASE WHEN len(ws) >= 4 THEN list_transform(range(1, len(ws) - 2), lambda i: array_to_string(ws[i : i + 3], ' ')) WHEN len(ws) > 0 THEN ['= ' || array_to_string(ws, ' ')] ELSE [] END) AS g FROM w),
@@ -51,6 +74,12 @@ sp AS (SELECT doc_id, MIN(p) AS lo, MAX(p) + 100 AS hi FROM g GROUP BY doc_id, g
 c AS (SELECT doc_id, lo, hi, LEAD(lo) OVER (PARTITION BY doc_id ORDER BY lo) AS nx, ROW_NUMBER() OVER (PARTITION BY doc_id ORDER BY lo) AS r FROM sp),
 k AS (SELECT c.doc_id, COUNT(*) AS n_spans, CAST(SUM(hi - lo) AS BIGINT) AS n_removed, string_agg(CASE WHEN r = 1 THEN substr(h, 1, 2 * lo) ELSE '' END || substr(h, 2 * hi + 1, 2 * (COALESCE(nx, n) - hi)), '' ORDER BY lo) AS rest FROM c JOIN h USING (doc_id) GROUP BY c.doc_id)
 SELECT h.doc_id, n AS n_bytes, COALESCE(n_removed, 0) AS n_removed, COALESCE(n_spans, 0) AS n_spans, sha256(unhex(COALESCE(rest, h))) AS kept_sha256 FROM h LEFT JOIN k ON k.doc_id = h.doc_id""",
+    "op11_sort_means": _sort_means(),
+    "op13_ball_tree_negatives": f"""WITH v AS MATERIALIZED (SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label, list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS e FROM embeddings WHERE label IS NOT NULL AND {_WHOLE}),
+s AS MATERIALIZED (SELECT a.vec_id AS a, b.vec_id AS b, a.label = b.label AS same, CAST(list_sum(list_transform(list_zip(a.e, b.e), lambda z: z[1] * z[2])) AS BIGINT) AS s FROM v a JOIN v b ON a.vec_id % 100 = 0 AND a.vec_id <> b.vec_id),
+p AS (SELECT a, b, s FROM s WHERE same QUALIFY row_number() OVER (PARTITION BY a ORDER BY s DESC, b) <= 5),
+n AS (SELECT p.a, p.b, p.s, n.b AS nb, n.s AS ns, CAST(row_number() OVER (PARTITION BY p.a, p.b ORDER BY n.s DESC, n.b) AS INTEGER) AS r FROM p JOIN s n ON n.a = p.a AND NOT n.same AND 30 * p.s <= 100 * n.s AND 100 * n.s <= 90 * p.s)
+SELECT a AS anchor_id, b AS positive_id, r AS rank, nb AS negative_id, s AS positive_score, ns AS negative_score FROM n WHERE r <= 10""",
 }
 
 
