@@ -29,22 +29,35 @@ def piece(seq: Column, start: Column, end: Column) -> Column:
 TILE = 8192
 
 
-def tiles(sequences: DataFrame, most: int) -> DataFrame:
-    """id, tile, bases: pieces of TILE bases of sequences (id, seq), each with the first most - 1 bases of the next, so that `most` bases from any place on lie in one row."""
+def tiles(sequences: DataFrame) -> DataFrame:
+    """id, tile, bases: pieces of TILE bases of sequences (id, seq), or sequences as they are if they are tiles already (fasta_tiles)."""
+    if "tile" in sequences.columns:
+        return sequences.select("id", "tile", "bases")
     n = F.ceil(F.length("seq") / F.lit(TILE)).cast("int")
     t = sequences.filter("length(seq) > 0").select("id", "seq", F.explode(F.sequence(F.lit(0), n - 1)).alias("tile"))
-    return t.select("id", "tile", F.substring("seq", F.col("tile") * TILE + 1, F.lit(TILE + most - 1)).alias("bases"))
+    return t.select("id", "tile", F.substring("seq", F.col("tile") * TILE + 1, F.lit(TILE)).alias("bases"))
+
+
+def spliced_at(parts: DataFrame, sequences: DataFrame, keys: list[str]) -> DataFrame:
+    """keys, text: the bases start..end of the parts (keys, seqid, start, end) of each key, put together by place, read from sequences (id, seq, or id, tile, bases). Parts meet the tiles they lie on and no whole sequence; places outside a sequence give nothing, keys none of whose places exist are missing."""
+    low, high = F.greatest(F.col("start"), F.lit(1)), F.col("end")
+    cover = F.sequence(F.floor((low - 1) / TILE), F.floor((high - 1) / TILE))
+    p = parts.filter(high >= low).select(*keys, "seqid", low.alias("_s"), high.alias("_e"), F.explode(cover.cast("array<int>")).alias("_tile"))
+    t = tiles(sequences).select(F.col("id").alias("seqid"), F.col("tile").alias("_tile"), F.col("bases").alias("_bases"))
+    zero = F.col("_tile") * TILE
+    at = F.greatest(F.col("_s") - zero, F.lit(1))
+    own = F.substring("_bases", at.cast("int"), F.least(F.col("_e") - zero - at + 1, F.lit(TILE)).cast("int"))
+    found = p.join(t, ["seqid", "_tile"]).select(*keys, F.struct("_s", "_e", "_tile", own.alias("b")).alias("_p"))
+    return found.groupBy(*keys).agg(F.array_join(F.transform(F.array_sort(F.collect_list("_p")), lambda x: x["b"]), "").alias("text"))
 
 
 def bases_at(places: DataFrame, sequences: DataFrame, at: str, n: int) -> DataFrame:
     """places (seqid, at ...) with bases: the n bases of their sequence (id, seq) from `at` on, empty where `at` lies below 1, fewer at the end. Places meet tiles and not whole contigs; those on unknown sequences are left out."""
-    zero = F.greatest(F.col(at) - 1, F.lit(0))
-    p = places.withColumn("_tile", F.floor(zero / TILE).cast("int"))
-    t = tiles(sequences, n).select(F.col("id").alias("seqid"), F.col("tile").alias("_tile"), F.col("bases").alias("_bases"))
+    p = places.withColumn("_at", F.col(at).cast("bigint"))
+    asked = p.filter("_at >= 1").select("seqid", "_at").distinct().select("seqid", "_at", F.col("_at").alias("start"), (F.col("_at") + n - 1).alias("end"))
+    text = spliced_at(asked.withColumn("_of", F.col("seqid")), sequences, ["_of", "_at"]).withColumnsRenamed({"_of": "seqid", "text": "bases"})
     known = sequences.select(F.col("id").alias("seqid")).distinct()
-    out = p.join(known, "seqid", "left_semi").join(t, ["seqid", "_tile"], "left")
-    own = F.substring("_bases", (F.pmod(zero, F.lit(TILE)) + 1).cast("int"), F.lit(n))
-    return out.withColumn("bases", F.when((F.col(at) < 1) | F.col("_bases").isNull(), F.lit("")).otherwise(own)).drop("_tile", "_bases")
+    return p.join(known, "seqid", "left_semi").join(text, ["seqid", "_at"], "left").withColumn("bases", F.coalesce("bases", F.lit(""))).drop("_at")
 
 
 @F.arrow_udf(StringType())

@@ -67,43 +67,81 @@ def priority_merge(tx: DataFrame, priority: DataFrame, bin_size: int | None = No
 
 
 def structure_reason() -> Column:
-    """First failing structure check of a transcript: exons, cds (sorted arrays), first_phase; null if it passes."""
+    """First failing structure check of a transcript: strand, exons, cds (sorted arrays), first_phase; null if it passes."""
     length = F.aggregate("cds", F.lit(0).cast("bigint"), lambda a, x: a + x["end"] - x["start"] + 1)
     n = F.size("cds")
     wrong = F.exists("cds", lambda c: c["start"] > c["end"]) | F.exists(F.when(n > 1, F.sequence(F.lit(1), n - 1)).otherwise(F.array().cast("array<int>")), lambda i: F.get("cds", i - 1)["end"] >= F.get("cds", i)["start"])
-    outside = ~F.forall("cds", lambda c: F.exists("exons", lambda x: (x["start"] <= c["start"]) & (c["end"] <= x["end"])))
-    return F.when(n == 0, "no_cds").when((length - F.coalesce("first_phase", F.lit(0))) % 3 != 0, "cds_length_mod3").when(wrong, "cds_structure").when(outside, "cds_outside_exon")
+    wrong = wrong | ~F.coalesce(F.col("strand").isin("+", "-"), F.lit(False))
+    outside = (F.size("exons") > 0) & ~F.forall("cds", lambda c: F.exists("exons", lambda x: (x["start"] <= c["start"]) & (c["end"] <= x["end"])))
+    return F.when(n <= 0, "no_cds").when((length - F.coalesce("first_phase", F.lit(0))) % 3 != 0, "cds_length_mod3").when(wrong, "cds_structure").when(outside, "cds_outside_exon")
+
+
+#: Stop codons of genetic code 1.
+STOPS = ("TAA", "TAG", "TGA")
 
 
 def sequence_checks(tx: DataFrame, sequences: DataFrame, keep: bool = False) -> DataFrame:
-    """tx (tx_id, seqid, strand, exons, cds, first_phase) with reason, action and the stop codon added where the base triplet behind the coding region is one: columns reason, action (removed, flagged, kept), internal_stop, extended_stop, no_stop, non_atg_start, cds, exons."""
-    s = tx.withColumn("reason", structure_reason()).join(sequences.select(F.col("id").alias("seqid"), "seq"), "seqid", "left")
-    coding = sq.spliced(F.col("seq"), F.col("cds"), F.col("strand"), F.coalesce("first_phase", F.lit(0)))
-    s = s.withColumn("_cds", F.when(F.col("reason").isNull(), coding)).withColumn("_aa", sq.translate(F.col("_cds")))
-    s = s.withColumn("internal_stop", F.coalesce(sq.has_internal_stop(F.expr("substring(_aa, 1, greatest(length(_aa) - 1, 0))")), F.lit(False)))
-    ends = F.coalesce(F.substring("_aa", -1, 1) == "*", F.lit(False))
-    plus = F.col("strand") != "-"
+    """tx (tx_id, seqid, strand, exons, cds, first_phase; utrs, an array with start, end and type, may be there) with reason, action (removed, flagged with keep, kept), internal_stop, extended_stop, no_stop and non_atg_start. sequences: id, seq, or tiles (id, tile, bases).
+
+    Coding segments, and the triplets behind them, meet the tiles they lie on; only a transcript's own bases come together. Where the triplet behind a coding region without a stop is one, the last segment and its exon are extended and the untranslated region gives way (not with keep); where another exon follows, the triplet must lie in the exon that holds the end. A transcript on an unknown sequence has the reason no_sequence.
+    """
+    chain = "array<struct<start:bigint,end:bigint>>"
+    key, plus = ["seqid", "tx_id"], F.col("strand") != "-"
+    s = tx.withColumns({"exons": F.col("exons").cast(chain), "cds": F.col("cds").cast(chain)}).withColumn("reason", structure_reason())
+    fine = s.filter("reason IS NULL").select(*key, "strand", "cds")
     last = F.when(plus, F.try_element_at("cds", F.lit(-1))["end"]).otherwise(F.get("cds", F.lit(0))["start"])
-    behind = F.when(plus, sq.piece(F.col("seq"), last + 1, last + 3)).otherwise(sq.reverse_complement(sq.piece(F.col("seq"), last - 3, last - 1)))
-    # The triplet may not reach into an intron, unless the exon is the last one.
-    edge = F.when(plus, F.try_element_at("exons", F.lit(-1))["end"]).otherwise(F.get("exons", F.lit(0))["start"])
-    own = F.filter("exons", lambda x: (x["start"] <= last) & (last <= x["end"]))
-    inside = F.when(plus, F.get(own, F.lit(0))["end"] >= last + 3).otherwise(F.get(own, F.lit(0))["start"] <= last - 3)
-    final = F.when(plus, F.get(own, F.lit(0))["end"] == edge).otherwise(F.get(own, F.lit(0))["start"] == edge)
-    probe = F.upper(behind).isin("TAA", "TAG", "TGA") & (inside | final)
-    s = s.withColumn("extended_stop", F.coalesce(F.col("reason").isNull() & ~F.col("internal_stop") & ~ends & probe, F.lit(False)))
-    s = s.withColumn("no_stop", F.col("reason").isNull() & ~F.col("internal_stop") & ~ends & ~F.col("extended_stop"))
-    s = s.withColumn("non_atg_start", F.coalesce(F.col("reason").isNull() & ~sq.starts_with_atg(F.col("_cds")), F.lit(False)))
+    low = F.when(plus, last + 1).otherwise(last - 3)
+    # One join with the tiles: a row for each segment, one more for the triplet behind the last.
+    parts = F.concat(F.transform("cds", lambda x: F.struct(x["start"].alias("start"), x["end"].alias("end"), F.lit(False).alias("behind"))), F.array(F.struct(low.alias("start"), (low + 2).alias("end"), F.lit(True).alias("behind"))))
+    asked = fine.select(*key, F.inline(parts)).select(*key, F.col("seqid").alias("_on"), "start", "end", "behind").filter("NOT behind OR start >= 1")
+    text = sq.spliced_at(asked.withColumnsRenamed({"seqid": "_key", "_on": "seqid"}), sequences, ["_key", "tx_id", "behind"])
+    got = text.groupBy(F.col("_key").alias("seqid"), "tx_id").agg(F.max(F.when(~F.col("behind"), F.col("text"))).alias("_cds"), F.max(F.when(F.col("behind"), F.col("text"))).alias("_behind"))
+    s = s.join(got, key, "left")
+    turned = lambda c: F.when(plus, F.col(c)).otherwise(sq.reverse_complement(F.col(c)))
+    phase = F.coalesce("first_phase", F.lit(0)).cast("int")
+    s = s.withColumn("reason", F.when(F.col("reason").isNull() & F.col("_cds").isNull(), "no_sequence").otherwise(F.col("reason")))
+    s = s.withColumn("_cds", F.upper(F.substring(turned("_cds"), phase + 1, F.length("_cds")))).withColumn("_aa", sq.translate(F.col("_cds")))
+    passed = F.col("reason").isNull()
+    s = s.withColumn("internal_stop", passed & F.coalesce(F.expr("substring(_aa, 1, greatest(length(_aa) - 1, 0))").contains("*"), F.lit(False)))
+    high = F.when(plus, last + 3).otherwise(last - 3)
+    holds = lambda x: (x["start"] <= last) & (last <= x["end"])
+    followed = F.exists("exons", lambda x: F.when(plus, x["start"] > last).otherwise(x["end"] < last))
+    split = followed & F.exists("exons", lambda x: holds(x) & F.when(plus, x["end"] < high).otherwise(x["start"] > high))
+    stop = F.coalesce(F.upper(turned("_behind")).isin(*STOPS), F.lit(False)) & ~split
+    open_end = passed & ~F.col("internal_stop") & ~F.coalesce(F.substring("_aa", -1, 1) == "*", F.lit(False))
+    s = s.withColumn("extended_stop", F.coalesce(open_end & stop, F.lit(False))).withColumn("no_stop", open_end & ~F.col("extended_stop"))
+    s = s.withColumn("non_atg_start", F.coalesce(passed & ~F.col("internal_stop") & (phase == 0) & ~sq.starts_with_atg(F.col("_cds")), F.lit(False)))
     s = s.withColumn("reason", F.coalesce("reason", F.when(F.col("internal_stop"), "internal_stop")))
     s = s.withColumn("action", F.when(F.col("reason").isNull(), "kept").when(F.lit(keep), "flagged").otherwise("removed"))
-
-    def longer(parts: str) -> Column:
-        n = F.size(parts)
-        up = F.transform(parts, lambda x, i: F.when(F.col("extended_stop") & plus & (i == n - 1), F.struct(x["start"].alias("start"), F.greatest(x["end"], last + 3).alias("end"))).when(F.col("extended_stop") & ~plus & (i == 0), F.struct(F.least(x["start"], last - 3).alias("start"), x["end"].alias("end"))).otherwise(x))
-        return up
-
-    s = s.withColumn("_new_exons", longer("exons")).withColumn("cds", longer("cds")).withColumn("exons", F.col("_new_exons"))
-    return s.drop("seq", "_cds", "_aa", "_new_exons")
+    s = s.drop("_cds", "_behind", "_aa")
+    if keep:
+        return s
+    grow = F.col("extended_stop")
+
+    def longer(part: Column) -> Column:
+        return F.when(plus, F.struct(part["start"].alias("start"), F.greatest(part["end"], high).alias("end"))).otherwise(F.struct(F.least(part["start"], high).alias("start"), part["end"].alias("end")))
+
+    changed = {
+        "exons": F.transform("exons", lambda x: F.when(holds(x), longer(x)).otherwise(x)),
+        "cds": F.transform("cds", lambda x: F.when(F.when(plus, x["end"] == last).otherwise(x["start"] == last), longer(x)).otherwise(x)),
+    }
+    if "utrs" in tx.columns:
+        far = F.when(plus, last + 1).otherwise(last - 1)  # the codon's base next to the coding end
+        meets = lambda u: (u["start"] <= F.greatest(far, high)) & (u["end"] >= F.least(far, high))
+        moved = lambda u: F.struct(F.when(meets(u) & plus, high + 1).otherwise(u["start"]).alias("start"), F.when(meets(u) & ~plus, high - 1).otherwise(u["end"]).alias("end"), *[u[c].alias(c) for c in kept])
+        kept = [c for c in tx.schema["utrs"].dataType.elementType.names if c not in ("start", "end")]
+        changed["utrs"] = F.filter(F.transform("utrs", moved), lambda u: u["start"] <= u["end"]).cast(tx.schema["utrs"].dataType)
+    # The coding segments last: the others are told by their old ends.
+    for c in sorted(changed, key=lambda c: c == "cds"):
+        s = s.withColumn(c, F.when(grow, changed[c]).otherwise(F.col(c)))
+    return s
+
+
+def check_report(checked: DataFrame, keep: bool = False) -> DataFrame:
+    """gene_id, tx_id, action, reason of sequence_checks: a row for each reason to remove and each note on a kept transcript."""
+    note = lambda c, action: F.when(F.col(c) & F.col("reason").isNull(), F.struct(F.lit(action).alias("action"), F.lit(c).alias("reason")))
+    rows = F.array(F.when(F.col("reason").isNotNull(), F.struct(F.col("action").alias("action"), F.col("reason").alias("reason"))), note("extended_stop", "flagged" if keep else "kept"), note("no_stop", "kept"), note("non_atg_start", "kept"))
+    return checked.select("gene_id", "tx_id", F.inline(F.filter(rows, lambda x: x.isNotNull())))
 
 
 def without_stop(segs: Column, strand: Column, n: int = 3) -> Column:

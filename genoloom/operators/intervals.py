@@ -123,22 +123,33 @@ def depth_segments(df: DataFrame, keys: list[str], depth: str = "depth", how: st
     return got.groupBy(*keys, "_g", "depth").agg(F.min("start").alias("start"), F.max("end").alias("end")).select(*keys, "start", "end", "depth")
 
 
-def nearest(df: DataFrame, barriers: DataFrame, keys: list[str], own: str) -> DataFrame:
-    """df with left_end (largest end before its start) and right_start (smallest start behind its end) of barriers of another `own`. Barriers and rows meet in one ordered window; the two nearest barriers of different owners are carried, so that the own one can be skipped."""
+def _before(rows: DataFrame, keys: list[str]) -> DataFrame:
+    """rows (keys, _p, _row, _o: barriers with _row 0, questions with 1) with _best, the barrier of the largest _p strictly before a question, and _alt, the best of another owner than that one's. Equal places: questions come first."""
+    w = Window.partitionBy(*keys).orderBy("_p", F.col("_row").desc(), "_o").rowsBetween(Window.unboundedPreceding, -1)
+    u = rows.withColumn("_best", F.max(F.when(F.col("_row") == 0, F.struct("_p", "_o"))).over(w))
+    # For barriers: the best one before them of another owner than theirs, carried on.
+    u = u.withColumn("_alt", F.when((F.col("_row") == 0) & (F.col("_best._o") != F.col("_o")), F.col("_best")))
+    return u.withColumn("_alt", F.last("_alt", ignorenulls=True).over(w))
+
+
+def nearest(df: DataFrame, barriers: DataFrame, keys: list[str], own: str, tile: int = TILE) -> DataFrame:
+    """df with left_end (largest end before its start) and right_start (smallest start behind its end) of barriers of another `own`. Barriers and rows meet tile by tile; each tile begins with the two nearest barriers of different owners from the tiles before it, so that the own one can be skipped. These come from a scan over two rows a tile, whose number a contig's length bounds and not its rows."""
 
     def side(frame: DataFrame, at: Column, barrier_at: Column, largest: bool, name: str) -> DataFrame:
         sign = 1 if largest else -1
-        b = barriers.select(*keys, F.col(own).alias("_o"), (sign * barrier_at).alias("_p")).distinct()
-        u = frame.withColumn("_p", sign * at).withColumn("_row", F.lit(1)).withColumn("_o", F.lit(None).cast(b.schema["_o"].dataType))
-        u = u.unionByName(b.withColumn("_row", F.lit(0)), allowMissingColumns=True)
-        w = Window.partitionBy(*keys).orderBy("_p", F.col("_row").desc(), "_o").rowsBetween(Window.unboundedPreceding, -1)
-        last = F.max(F.when(F.col("_row") == 0, F.struct("_p", "_o"))).over(w)
-        u = u.withColumn("_best", last)
-        # For barriers: the best one before them of another owner than theirs, carried on by a running maximum.
-        u = u.withColumn("_alt", F.when((F.col("_row") == 0) & (F.col("_best._o") != F.col("_o")), F.col("_best")))
-        u = u.withColumn("_alt", F.last("_alt", ignorenulls=True).over(w))
+        place = F.floor(F.col("_p") / tile)
+        b = barriers.select(*keys, F.col(own).alias("_o"), (sign * barrier_at).alias("_p")).filter("_o IS NOT NULL AND _p IS NOT NULL").distinct().withColumn("_tile", place)
+        u = frame.withColumn("_p", sign * at).withColumn("_tile", place).withColumn("_row", F.lit(1)).withColumn("_o", F.lit(None).cast(b.schema["_o"].dataType))
+        # The two last barriers of each tile that differ in owner.
+        of_owner = b.groupBy(*keys, "_tile", "_o").agg(F.max("_p").alias("_p"))
+        two = of_owner.withColumn("_r", F.row_number().over(Window.partitionBy(*keys, "_tile").orderBy(F.desc("_p"), F.desc("_o")))).filter("_r <= 2").drop("_r")
+        asks = u.select(*keys, "_tile").distinct().select("*", (F.col("_tile") * tile).alias("_p"), F.lit(1).alias("_row"))
+        over = _before(two.withColumn("_row", F.lit(0)).unionByName(asks, allowMissingColumns=True), keys).filter("_row = 1")
+        held = over.select(*keys, "_tile", F.explode(F.array("_best", "_alt")).alias("_b")).filter("_b IS NOT NULL").select(*keys, "_tile", "_b._p", "_b._o")
+        inside = b.unionByName(held).withColumn("_row", F.lit(0))
+        u = _before(u.unionByName(inside, allowMissingColumns=True), [*keys, "_tile"])
         chosen = F.when(F.col("_best._o") != F.col(own), F.col("_best._p")).when(F.col("_best._o").isNotNull(), F.col("_alt._p"))
-        return u.filter("_row = 1").withColumn(name, sign * chosen).drop("_p", "_row", "_o", "_best", "_alt")
+        return u.filter("_row = 1").withColumn(name, sign * chosen).drop("_p", "_tile", "_row", "_o", "_best", "_alt")
 
     out = side(df, F.col("start"), F.col("end"), True, "left_end")
     return side(out, F.col("end"), F.col("start"), False, "right_start")

@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions import attrs as at
+from .fasta import fasta, fasta_tiles  # noqa: F401
 
 
 def lines(spark: SparkSession, paths: list[str] | str) -> DataFrame:
@@ -166,21 +167,6 @@ def tabular_hits(spark: SparkSession, paths: list[str] | str, layout: int | None
     return raw.select("file_ord", "line_no", *cols)
 
 
-def fasta(spark: SparkSession, paths: list[str] | str, wanted: DataFrame | None = None) -> DataFrame:
-    """file_ord, seq_ord, id (first word), description, seq (upper case), length. Records are numbered by a running count of header lines over ordered lines of a file, so a '>' inside a header does no harm."""
-    from pyspark.sql import Window
-
-    raw = lines(spark, paths).filter("trim(value) <> ''")
-    # Headers are few; each line finds its record by the last header before it in its file.
-    w = Window.partitionBy("file_ord").orderBy("line_no").rowsBetween(Window.unboundedPreceding, 0)
-    raw = raw.withColumn("_h", F.last(F.when(F.col("value").startswith(">"), F.col("line_no")), ignorenulls=True).over(w)).filter("_h IS NOT NULL")
-    body = raw.filter("line_no > _h").groupBy("file_ord", "_h").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("line_no", "value"))), lambda x: F.regexp_replace(x["value"], r"\s", "")), "").alias("seq"))
-    head = raw.filter("line_no = _h").select("file_ord", "_h", F.trim(F.regexp_replace(F.expr("substring(value, 2, length(value))"), "\r", "")).alias("_d"))
-    out = head.join(body, ["file_ord", "_h"], "left").select("file_ord", F.col("_h").alias("seq_ord"), F.regexp_extract("_d", r"^(\S*)", 1).alias("id"), F.trim(F.regexp_extract("_d", r"^\S*\s*(.*)$", 1)).alias("description"), F.upper(F.coalesce("seq", F.lit(""))).alias("seq"))
-    out = out.withColumn("length", F.length("seq").cast("bigint"))
-    return out if wanted is None else out.join(wanted.select("id").distinct(), "id", "left_semi")
-
-
 def cmscan(spark: SparkSession, paths: list[str] | str) -> DataFrame:
     """Non-coding hits of format 2 that are included and not overlapped by a better one; coordinates in order."""
     f = F.split(F.trim("value"), r"\s+")
