@@ -4,8 +4,8 @@ Texts are split at blanks ([\\x20\\x09-\\x0D]+), which no token of the vocabular
 after the other. The words of all texts are counted; each distinct word is encoded once and stands with its count in a table. Its
 ids come back to their places in one of two ways: the most frequent words, as many as TABLE_BYTES hold, are broadcast and looked up
 where the text is read; every other word goes with its text's key and its position to the table's shuffle, and the ids
-found there go back to the text by its key. Only texts with such words are moved for that. Both ways are exact; the bound only
-says which is taken. A word of the second way is rarer than every word of the first, so no key of its join is a hot one.
+found there meet the text, compressed for the way, by its key. Both ways are exact; the bound only says which is taken. A word of
+the second way is rarer than every word of the first, so no key of its join is a hot one.
 
 Decoding takes each id's piece from the vocabulary, whose size the tokenizer's file bounds, and joins the pieces by a blank, as
 the library does for a tokenizer without a decoder.
@@ -19,13 +19,16 @@ hold blanks or take blanks beside them, or which has a decoder, is refused.
 from __future__ import annotations
 
 import json
+import sys
+import types
+import uuid
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import cut, small_side, table, tidy
+from .common import cut, group_starts, table, tidy, whole_groups
 
 #: What the broadcast words may take in a worker, counted as WORD_BYTES and their bytes and ids.
 TABLE_BYTES = 96 << 20
@@ -57,55 +60,60 @@ def _tokenizer(made: str):
     return own
 
 
+def _width(own) -> str:
+    """How an id is written: two bytes where the vocabulary allows it."""
+    return "<u2" if own.get_vocab_size() <= 1 << 16 else "<i4"
+
+
 def _encode(made: str):
     def encode(it):
         own = _tokenizer(made)
+        kind = _width(own)
         for batch in it:
             got = own.encode_batch_fast(batch.column("word").to_pylist(), add_special_tokens=False)
-            ids = [np.asarray(e.ids, np.int32) for e in got]
-            ends = np.cumsum([0, *map(len, ids)]).astype(np.int32)
-            flat = np.concatenate([np.zeros(0, np.int32), *ids])
-            yield pa.RecordBatch.from_arrays([batch.column("word"), batch.column("n"), pa.ListArray.from_arrays(pa.array(ends), pa.array(flat))], names=["word", "n", "ids"])
+            yield pa.RecordBatch.from_arrays([batch.column("word"), batch.column("n"), pa.array([np.asarray(e.ids, kind).tobytes() for e in got], pa.binary())], names=["word", "n", "code"])
 
     return encode
 
 
 def word_table(docs: DataFrame, made: str) -> DataFrame:
-    """word, n, ids, level: every distinct word of the texts once; level rises with n."""
+    """word, n, code (the bytes of its ids), level: every distinct word of the texts once; level rises with n."""
     words = docs.select(F.explode(F.split("text", BLANKS)).alias("word")).filter("word <> ''").groupBy("word").agg(F.count("*").alias("n"))
-    return cut(words.mapInArrow(_encode(made), "word string, n bigint, ids array<int>").withColumn("level", F.floor(F.log2("n") * STEPS).cast("int")), "words")
+    return cut(words.mapInArrow(_encode(made), "word string, n bigint, code binary").withColumn("level", F.floor(F.log2("n") * STEPS).cast("int")), "words")
 
 
 def _frequent(words: DataFrame, most: int):
-    """The lowest level of the words that are broadcast together, and these words with their ids in a broadcast."""
-    cost = F.octet_length("word") + F.size("ids") * 4 + WORD_BYTES
+    """The lowest level of the words that are broadcast together, and these words with their ids in a broadcast, under a name."""
+    cost = F.octet_length("word") + F.octet_length("code") + WORD_BYTES
     held, least = 0, 1 << 30
     for r in sorted(words.groupBy("level").agg(F.sum(cost).alias("bytes")).collect(), reverse=True):
         held += r["bytes"]
         if held > most:
             break
         least = r["level"]
-    few = words.filter(F.col("level") >= least).select(F.col("word").cast("binary").alias("word"), "ids").toArrow()
+    few = words.filter(F.col("level") >= least).select(F.col("word").cast("binary").alias("word"), "code").toArrow()
     sink = pa.BufferOutputStream()
     with pa.ipc.new_stream(sink, few.schema) as out:
         out.write_table(few)
-    return least, words.sparkSession.sparkContext.broadcast(sink.getvalue().to_pybytes())
+    return least, (uuid.uuid4().hex, words.sparkSession.sparkContext.broadcast(sink.getvalue().to_pybytes()))
 
 
 def _looked_up(frequent) -> dict[bytes, bytes]:
-    """Word to ids, four bytes each."""
-    known: dict[bytes, bytes] = {}
-    for batch in pa.ipc.open_stream(frequent.value).read_all().to_batches(max_chunksize=50_000):
-        ids = batch.column("ids")
-        flat = np.asarray(ids.flatten(), dtype="<i4").tobytes()
-        ends = (np.concatenate(([0], np.cumsum(np.asarray(ids.value_lengths(), dtype=np.int64)))) * 4).tolist()
-        known.update(zip(batch.column("word").to_pylist(), (flat[a:b] for a, b in zip(ends, ends[1:], strict=False)), strict=True))
-    return known
+    """Word to the bytes of its ids; a worker keeps the last table for its next tasks."""
+    name, table_ = frequent
+    kept = sys.modules.setdefault("_kept_words", types.ModuleType("_kept_words")).__dict__
+    if kept.get("name") != name:
+        known: dict[bytes, bytes] = {}
+        for batch in pa.ipc.open_stream(table_.value).read_all().to_batches(max_chunksize=50_000):
+            known.update(zip(batch.column("word").to_pylist(), batch.column("code").to_pylist(), strict=True))
+        kept.update(name=name, known=known)
+    return kept["known"]
 
 
-def _ids(parts: list[bytes]) -> pa.Array:
-    ends = np.concatenate(([0], np.cumsum([len(p) // 4 for p in parts]))).astype(np.int32)
-    return pa.ListArray.from_arrays(pa.array(ends), pa.array(np.frombuffer(b"".join(parts), "<i4")))
+def _ids(parts: list[bytes], kind: str) -> pa.Array:
+    ids = np.frombuffer(b"".join(parts), kind)
+    ends = np.concatenate(([0], np.cumsum([len(p) for p in parts]))) // ids.itemsize
+    return pa.ListArray.from_arrays(pa.array(ends.astype(np.int32)), pa.array(ids.astype(np.int32)))
 
 
 def _texts(it, most: int = 4 << 20):
@@ -121,24 +129,6 @@ def _texts(it, most: int = 4 << 20):
     tidy()
 
 
-def _whole(frequent):
-    """doc_id and ids of the texts whose words are all frequent."""
-
-    def whole(it):
-        known = _looked_up(frequent)
-        for part, texts in _texts(it):
-            found, rows = [], []
-            for i, t in enumerate(texts):
-                try:
-                    found.append(b"".join(map(known.__getitem__, t.split())))
-                    rows.append(i)
-                except KeyError:
-                    pass
-            yield pa.RecordBatch.from_arrays([part.column("doc_id").take(pa.array(rows, pa.int64())), _ids(found)], names=["doc_id", "ids"])
-
-    return whole
-
-
 def _rest(frequent):
     """row, pos and word of every word that is not frequent."""
 
@@ -158,19 +148,55 @@ def _rest(frequent):
     return rest
 
 
-def _filled(frequent):
-    """doc_id and ids of texts with the ids of their other words beside them."""
+def _gathered(it):
+    """row and rest: positions, lengths and codes of all its words that are not frequent, compressed; the input is sorted by row and pos, and equal texts repeat it."""
+    import zstandard
+
+    small = zstandard.ZstdCompressor(level=1)
+    for t in whole_groups(it, ["row"], 50_000):
+        row, pos = t.column("row").to_numpy(), t.column("pos").to_numpy()
+        once = np.ones(len(row), bool)
+        once[1:] = (row[1:] != row[:-1]) | (pos[1:] != pos[:-1])
+        row, pos, code = row[once], pos[once].astype("<i4"), np.array(t.column("code").to_pylist(), object)[once]
+        size = np.array([len(c) for c in code], "<i4")
+        at = group_starts([row])
+        rest = [small.compress(np.int32(b - a).tobytes() + pos[a:b].tobytes() + size[a:b].tobytes() + b"".join(code[a:b])) for a, b in zip(at[:-1].tolist(), at[1:].tolist(), strict=True)]
+        yield pa.RecordBatch.from_arrays([pa.array(row[at[:-1]]), pa.array(rest, pa.binary())], names=["row", "rest"])
+
+
+def _pack(it):
+    """doc_id, row and text, compressed."""
+    import zstandard
+
+    small = zstandard.ZstdCompressor(level=1)
+    for part, texts in _texts(it):
+        yield pa.RecordBatch.from_arrays([part.column("doc_id"), part.column("row"), pa.array([small.compress(t) for t in texts], pa.binary())], names=["doc_id", "row", "text"])
+
+
+def _filled(frequent, kind: str, packed: bool):
+    """doc_id and ids of texts; what is not frequent stands beside a packed text."""
 
     def filled(it):
-        known = _looked_up(frequent)
+        import zstandard
+
+        known, whole = _looked_up(frequent), zstandard.ZstdDecompressor()
         for part, texts in _texts(it):
+            rest = part.column("rest").to_pylist() if packed else [None] * len(texts)
             found = []
-            for t, own in zip(texts, part.column("rest").to_pylist(), strict=True):
-                ids = [known.get(w, b"") for w in t.split()]
-                for r in own:
-                    ids[r["pos"]] = np.asarray(r["ids"], "<i4").tobytes()
-                found.append(b"".join(ids))
-            yield pa.RecordBatch.from_arrays([part.column("doc_id"), _ids(found)], names=["doc_id", "ids"])
+            for t, own in zip(texts, rest, strict=True):
+                words = (whole.decompress(t) if packed else t).split()
+                if own is None:
+                    found.append(b"".join(map(known.__getitem__, words)))
+                    continue
+                own = whole.decompress(own)
+                n = int(np.frombuffer(own, "<i4", 1)[0])
+                pos, size = np.frombuffer(own, "<i4", n, 4).tolist(), np.frombuffer(own, "<i4", n, 4 + 4 * n).tolist()
+                codes, at = [known.get(w, b"") for w in words], 4 + 8 * n
+                for p, k in zip(pos, size, strict=True):
+                    codes[p] = own[at : at + k]
+                    at += k
+                found.append(b"".join(codes))
+            yield pa.RecordBatch.from_arrays([part.column("doc_id"), _ids(found, kind)], names=["doc_id", "ids"])
 
     return filled
 
@@ -178,27 +204,30 @@ def _filled(frequent):
 def encode(docs: DataFrame, made: str, table_bytes: int | None = None) -> DataFrame:
     """doc_id, ids (array<int>) of every row of docs (doc_id, text), by the tokenizer whose definition is given."""
     docs = docs.select(docs["doc_id"].cast("bigint").alias("doc_id"), docs["text"].cast("string").alias("text"))
-    words = word_table(docs, made)
+    kind, words = _width(_tokenizer(made)), word_table(docs, made)
     least, frequent = _frequent(words, TABLE_BYTES if table_bytes is None else table_bytes)
-    keyed = docs.select("doc_id", F.xxhash64("text", F.octet_length("text")).alias("row"), F.col("text").cast("binary").alias("text"))
-    whole = keyed.select("doc_id", "text").mapInArrow(_whole(frequent), "doc_id bigint, ids array<int>")
-    other = words.filter(F.col("level") < least).select("word", "ids")
+    # A text without words has no partner: any key will do, as long as it is not one for all of them.
+    row = F.when(F.octet_length("text") > 0, F.xxhash64("text", F.octet_length("text"))).otherwise(F.xxhash64(F.monotonically_increasing_id()))
+    keyed = docs.select("doc_id", row.alias("row"), F.col("text").cast("binary").alias("text"))
+    other = words.filter(F.col("level") < least).select("word", "code")
     if other.isEmpty():
-        return whole
-    found = keyed.select("row", "text").mapInArrow(_rest(frequent), "row bigint, pos int, word string").join(other, "word")
-    found = cut(found.groupBy("row").agg(F.collect_set(F.struct("pos", "ids")).alias("rest")), "rest")
-    more = keyed.join(small_side(found, 64, F.expr("aggregate(rest, 0L, (s, r) -> s + 24 + 4 * size(r.ids))")), "row").select("doc_id", "text", "rest")
-    return whole.unionByName(more.mapInArrow(_filled(frequent), "doc_id bigint, ids array<int>"))
+        return keyed.mapInArrow(_filled(frequent, kind, False), "doc_id bigint, ids array<int>")
+    parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    found = keyed.select("row", "text").mapInArrow(_rest(frequent), "row bigint, pos int, word string").join(other, "word").select("row", "pos", "code")
+    found = cut(found.repartition(parts, "row").sortWithinPartitions("row", "pos").mapInArrow(_gathered, "row bigint, rest binary"), "rest")
+    packed = keyed.mapInArrow(_pack, "doc_id bigint, row bigint, text binary")
+    return packed.join(found, "row", "left").select("doc_id", "text", "rest").mapInArrow(_filled(frequent, kind, True), "doc_id bigint, ids array<int>")
 
 
 def decode(encoded: DataFrame, made: str) -> DataFrame:
     """encoded (doc_id, ids) with the text that the ids decode to, special tokens too."""
+    own = _tokenizer(made)
+    vocabulary = [own.id_to_token(i) for i in range(own.get_vocab_size())]
 
     def texts(it):
         import pyarrow.compute as pc
 
-        own = _tokenizer(made)
-        pieces = pa.array([own.id_to_token(i) for i in range(own.get_vocab_size())], pa.string())
+        pieces = pa.array(vocabulary, pa.string())
         for batch in it:
             at = 0
             size = np.cumsum(pc.fill_null(batch.column("ids").value_lengths(), 0).to_numpy(zero_copy_only=False))
