@@ -43,21 +43,22 @@ def malformed(parts: DataFrame, tx: str) -> DataFrame:
 
 
 def merge_annotations(tx: DataFrame) -> DataFrame:
-    """tx (tx BIGINT in file order, seqid, strand, exons, cds: arrays of start/end, utr_bp) without duplicates, with gene (number by contig and start) and isoform number. Transcripts of one coding chain (non-coding: exon chain) are one: most exon bases, then most UTR bases, then the first. Genes are components by shared exon bases."""
-    chain = F.when(F.size("cds") > 0, F.col("cds")).otherwise(F.col("exons"))
+    """tx (tx BIGINT in file order, seqid, strand, exons, cds: arrays of start/end, utr_bp) without duplicates, with gene (number by contig and start) and isoform number. Transcripts of one coding chain (non-coding: exon chain) are one: most exon bases, then most UTR bases, then the first. Genes are components by shared exon bases, numbered by contig, start, strand and end; isoforms by start, then tx."""
+    span = lambda c: F.transform(c, lambda x: F.struct(x["start"].cast("bigint").alias("start"), x["end"].cast("bigint").alias("end")))
+    chain = F.when(F.size("cds") > 0, span("cds")).otherwise(span("exons"))
     bases = F.aggregate("exons", F.lit(0).cast("bigint"), lambda a, x: a + x["end"] - x["start"] + 1)
     same = Window.partitionBy("seqid", "strand", F.size("cds") > 0, "_chain").orderBy(F.col("_bp").desc(), F.col("utr_bp").desc(), "tx")
     kept = tx.withColumn("_chain", chain).withColumn("_bp", bases).withColumn("_r", F.row_number().over(same)).filter("_r = 1").drop("_r", "_chain", "_bp")
     exons = kept.select("tx", "seqid", "strand", F.explode("exons").alias("x")).select("tx", "seqid", "strand", "x.start", "x.end")
     comp = exon_components(exons, ["seqid", "strand"], "tx").select("tx", "component")
     out = kept.join(comp, "tx").withColumn("_s", F.get("exons", F.lit(0))["start"]).withColumn("_e", F.try_element_at("exons", F.lit(-1))["end"])
-    span = out.groupBy("component", "seqid").agg(F.min("_s").alias("gene_start"), F.max("_e").alias("gene_end"))
+    span = out.groupBy("component", "seqid", "strand").agg(F.min("_s").alias("gene_start"), F.max("_e").alias("gene_end"))
     # Genes are numbered inside their contig; the contigs' offsets are sums over few rows.
-    inside = F.row_number().over(Window.partitionBy("seqid").orderBy("gene_start", "gene_end", "component"))
+    inside = F.row_number().over(Window.partitionBy("seqid").orderBy("gene_start", "strand", "gene_end", "component"))
     per = span.groupBy("seqid").agg(F.count("*").alias("_n"))
     base = per.select("seqid", F.coalesce(F.sum("_n").over(Window.orderBy("seqid").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_b"))
     span = span.withColumn("_i", inside).join(base, "seqid").select("component", (F.col("_i") + F.col("_b")).alias("gene"), "gene_start", "gene_end")
-    isoform = F.row_number().over(Window.partitionBy("component").orderBy("_s", "_e", "tx"))
+    isoform = F.row_number().over(Window.partitionBy("component").orderBy("_s", "tx"))
     return out.join(span, "component").withColumn("isoform", isoform.cast("bigint")).withColumn("gene", F.col("gene").cast("bigint")).drop("_s", "_e", "component")
 
 
@@ -96,10 +97,12 @@ def sequence_checks(tx: DataFrame, sequences: DataFrame, keep: bool = False) ->
     asked = fine.select(*key, F.inline(parts)).select(*key, F.col("seqid").alias("_on"), "start", "end", "behind").filter("NOT behind OR start >= 1")
     text = sq.spliced_at(asked.withColumnsRenamed({"seqid": "_key", "_on": "seqid"}), sequences, ["_key", "tx_id", "behind"])
     got = text.groupBy(F.col("_key").alias("seqid"), "tx_id").agg(F.max(F.when(~F.col("behind"), F.col("text"))).alias("_cds"), F.max(F.when(F.col("behind"), F.col("text"))).alias("_behind"))
-    s = s.join(got, key, "left")
+    known = sequences.select(F.col("id").alias("seqid")).distinct().withColumn("_known", F.lit(True))
+    s = s.join(got, key, "left").join(known, "seqid", "left")
     turned = lambda c: F.when(plus, F.col(c)).otherwise(sq.reverse_complement(F.col(c)))
     phase = F.coalesce("first_phase", F.lit(0)).cast("int")
-    s = s.withColumn("reason", F.when(F.col("reason").isNull() & F.col("_cds").isNull(), "no_sequence").otherwise(F.col("reason")))
+    s = s.withColumn("reason", F.when(F.col("reason").isNull() & F.col("_known").isNull(), "no_sequence").otherwise(F.col("reason")))
+    s = s.withColumn("_cds", F.coalesce("_cds", F.lit("")))
     s = s.withColumn("_cds", F.upper(F.substring(turned("_cds"), phase + 1, F.length("_cds")))).withColumn("_aa", sq.translate(F.col("_cds")))
     passed = F.col("reason").isNull()
     s = s.withColumn("internal_stop", passed & F.coalesce(F.expr("substring(_aa, 1, greatest(length(_aa) - 1, 0))").contains("*"), F.lit(False)))
@@ -113,7 +116,7 @@ def sequence_checks(tx: DataFrame, sequences: DataFrame, keep: bool = False) ->
     s = s.withColumn("non_atg_start", F.coalesce(passed & ~F.col("internal_stop") & (phase == 0) & ~sq.starts_with_atg(F.col("_cds")), F.lit(False)))
     s = s.withColumn("reason", F.coalesce("reason", F.when(F.col("internal_stop"), "internal_stop")))
     s = s.withColumn("action", F.when(F.col("reason").isNull(), "kept").when(F.lit(keep), "flagged").otherwise("removed"))
-    s = s.drop("_cds", "_behind", "_aa")
+    s = s.drop("_cds", "_behind", "_aa", "_known")
     if keep:
         return s
     grow = F.col("extended_stop")
@@ -206,16 +209,34 @@ def normalize(features: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 
 def merged_features(tx: DataFrame) -> DataFrame:
-    """seqid, source, type, start, end, strand, phase, id, parent, biotype of the genes of merge_annotations (gene, isoform, seqid, strand, exons, cds): gene_NNNNNN, its transcripts .tN, and their parts exonN and cdsN by place. A coding transcript is an mRNA and makes its gene protein_coding."""
+    """seqid, source, type, start, end, strand, phase, id, parent, biotype, and gene, level, isoform, part, ix, which order them, of the genes of merge_annotations (gene, isoform, seqid, strand, exons, cds; utrs with start, end and type, and source, labels joined by commas, may be there): gene_NNNNNN, its transcripts .tN, and their parts exonN, utrN and cdsN by place. A coding transcript is an mRNA and makes its gene protein_coding. Untranslated regions keep their types and widen transcript and gene; without exons the coding segments stand for them. A phase that a coding segment has stays (null: none); where segments have no such field, phases follow from the lengths. A gene's source lists those of its transcripts; without any it is merge."""
+    chain = "array<struct<start:bigint,end:bigint>>"
+    utr = "array<struct<start:bigint,end:bigint,type:string>>"
     t = tx.withColumn("gene_id", F.format_string("gene_%06d", "gene")).withColumn("tx_id", F.concat("gene_id", F.lit(".t"), "isoform")).withColumn("coding", F.size("cds") > 0)
-    t = t.withColumns({"start": F.get("exons", F.lit(0))["start"], "end": F.try_element_at("exons", F.lit(-1))["end"]})
-    none = F.lit(None).cast("string")
-    g = t.groupBy("seqid", "strand", F.col("gene_id").alias("id")).agg(F.min("start").alias("start"), F.max("end").alias("end"), F.max(F.when(F.col("coding"), "protein_coding")).alias("biotype"))
-    g = g.withColumns({"type": F.lit("gene"), "parent": none, "phase": F.lit(None).cast("bigint")})
-    m = t.select("seqid", "strand", F.col("tx_id").alias("id"), "start", "end", none.alias("biotype"), F.when(F.col("coding"), "mRNA").otherwise("transcript").alias("type"), F.col("gene_id").alias("parent"), F.lit(None).cast("bigint").alias("phase"))
-    kids = lambda c, kind: t.select("seqid", "strand", "tx_id", F.posexplode(c).alias("i", "x")).select("seqid", "strand", "tx_id", F.concat("tx_id", F.lit(f".{kind.lower()}"), F.col("i") + 1).alias("id"), "x.start", "x.end", none.alias("biotype"), F.lit(kind).alias("type"), F.col("tx_id").alias("parent"))
-    x = kids("exons", "exon").withColumn("phase", F.lit(None).cast("bigint")).unionByName(cds_phases(kids("cds", "CDS"), ["tx_id"])).drop("tx_id")
-    return g.unionByName(m).unionByName(x).withColumn("source", F.lit("merge"))
+    plain = F.transform("cds", lambda x: F.struct(x["start"].alias("start"), x["end"].alias("end")))
+    t = t.withColumn("_x", F.array_sort(F.when(F.size("exons") > 0, F.col("exons").cast(chain)).otherwise(plain.cast(chain))))
+    t = t.withColumn("_u", F.array_sort(F.col("utrs").cast(utr)) if "utrs" in tx.columns else F.array().cast(utr)).withColumn("_u", F.coalesce("_u", F.array().cast(utr)))
+    labels = F.filter(F.split(F.coalesce(F.col("source"), F.lit("")), ","), lambda v: v != "") if "source" in tx.columns else F.array().cast("array<string>")
+    joined = lambda v: F.coalesce(F.nullif(F.array_join(F.array_sort(F.array_distinct(v)), ","), F.lit("")), F.lit("merge"))
+    bounds = lambda of, at: of(F.concat(F.transform("_x", lambda x: x[at]), F.transform("_u", lambda x: x[at])))
+    t = t.withColumns({"_labels": labels, "start": bounds(F.array_min, "start"), "end": bounds(F.array_max, "end")}).withColumn("source", joined(F.col("_labels")))
+    t = cut(t, "merged")  # read by each kind of line
+    none, nil = F.lit(None).cast("string"), F.lit(None).cast("bigint")
+    g = t.groupBy("gene", "seqid", "strand", F.col("gene_id").alias("id")).agg(F.min("start").alias("start"), F.max("end").alias("end"), F.max(F.when(F.col("coding"), "protein_coding")).alias("biotype"), joined(F.flatten(F.collect_set("_labels"))).alias("source"))
+    g = g.withColumns({"type": F.lit("gene"), "parent": none, "phase": nil, "level": F.lit(0), "isoform": F.lit(0).cast("bigint"), "part": F.lit(0), "ix": F.lit(0)})
+    own = ["gene", F.col("isoform").cast("bigint").alias("isoform"), "seqid", "strand", "source"]
+    m = t.select(*own, F.col("tx_id").alias("id"), "start", "end", none.alias("biotype"), F.when(F.col("coding"), "mRNA").otherwise("transcript").alias("type"), F.col("gene_id").alias("parent"), nil.alias("phase"), F.lit(1).alias("level"), F.lit(0).alias("part"), F.lit(0).alias("ix"))
+
+    def kids(c: Column, tag: str, part: int, kind: Column, phase: Column) -> DataFrame:
+        x = t.select(*own, "tx_id", F.posexplode(c).alias("ix", "x"))
+        return x.select("gene", "isoform", "seqid", "strand", "source", F.concat("tx_id", F.lit(f".{tag}"), F.col("ix") + 1).alias("id"), F.col("x.start").cast("bigint").alias("start"), F.col("x.end").cast("bigint").alias("end"), none.alias("biotype"), kind.alias("type"), F.col("tx_id").alias("parent"), phase.alias("phase"), F.lit(2).alias("level"), F.lit(part).alias("part"), "ix")
+
+    phased = "phase" in tx.schema["cds"].dataType.elementType.names
+    by_start = F.array_sort("cds", lambda a, b: F.when(a["start"] < b["start"], -1).when(a["start"] > b["start"], 1).otherwise(0))
+    cds = kids(by_start, "cds", 2, F.lit("CDS"), F.col("x.phase").cast("string").try_cast("bigint") if phased else nil)
+    if not phased:
+        cds = cds_phases(cds.drop("phase"), ["parent"])
+    return g.unionByName(m).unionByName(kids(F.col("_x"), "exon", 0, F.lit("exon"), nil)).unionByName(kids(F.col("_u"), "utr", 1, F.col("x.type"), nil)).unionByName(cds)
 
 
 def transcript_filter(tx: DataFrame, min_length=300, min_cov=3.0, min_tpm=1.0, long_length=3000, min_tpm_long=0.5, drop_unstranded=False) -> DataFrame:

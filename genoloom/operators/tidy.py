@@ -2,13 +2,11 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
-import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import attrs as at
+from .components import cut
 
 
 def prefix_ids(attributes: Column, prefix: str, keys: tuple[str, ...] = ("gene_id", "transcript_id")) -> Column:
@@ -106,23 +104,38 @@ def replaced_sequences(full: DataFrame, verdict: DataFrame, short: DataFrame) ->
     return j.select("cds_id", F.when(use, F.col("_short")).otherwise(F.col("seq")).alias("seq"), F.when(use, "shortened").otherwise("full").alias("source"))
 
 
-def residue_batches(proteins: DataFrame, most_rows: int = 8, most_residues: int = 12_000) -> DataFrame:
-    """proteins (id, length ...) with batch: inside each partition, by falling length, groups of at most so many rows and so many residues (padded to the longest)."""
-
-    def group(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        batch, rows, longest = 0, 0, 0
-        for pdf in parts:
-            out = []
-            for n in pdf["length"]:
-                longest_now = max(longest, n)
-                if rows and (rows + 1 > most_rows or longest_now * (rows + 1) > most_residues):
-                    batch, rows, longest_now = batch + 1, 0, n
-                rows, longest = rows + 1, longest_now
-                out.append(batch)
-            yield pdf.assign(batch=out)
-
-    schema = proteins.select("*", F.lit(0).cast("bigint").alias("batch")).schema
-    return proteins.sortWithinPartitions(F.col("length").desc()).mapInPandas(group, schema)
+def residue_batches(proteins: DataFrame, most_rows: int = 8, most_residues: int = 12_000, order: str = "id") -> DataFrame:
+    """proteins (length, and a column that orders equal lengths) with batch: by rising length, groups of at most so many rows and so many residues, padded to the longest; a single longer record is a group of its own.
+
+    Where a batch ends depends on lengths only, so it is worked out for each length from how many rows have it: one row a length reaches the driver. A row's batch then follows from its rank among the rows of its length, which is counted over ranges of the sorted table: batches are the same however many partitions there are.
+    """
+    if most_rows <= 0 or most_residues <= 0:
+        raise ValueError("a batch must have room for a row and a residue")
+    spark = proteins.sparkSession
+    size = F.greatest(F.col("length").cast("bigint"), F.lit(1))
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    rows = proteins.withColumn("_size", size).repartitionByRange(parts, "_size", order).sortWithinPartitions("_size", order)
+    rows = cut(rows.withColumn("_part", F.spark_partition_id()).withColumn("_at", F.monotonically_increasing_id()), "ordered")
+    # A row for each length and range that has it.
+    here = rows.groupBy("_size", "_part").agg(F.min("_at").alias("_low"), F.count("*").alias("_n"))
+    before = Window.partitionBy("_size").orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    here = cut(here.withColumn("_base", F.coalesce(F.sum("_n").over(before), F.lit(0))), "ranges")
+    plan, batch, held, room = [], 0, 0, 0
+    for n, count in sorted((r["_size"], r["n"]) for r in here.groupBy("_size").agg(F.sum("_n").alias("n")).collect()):
+        most = max(1, min(most_rows, most_residues // n))
+        if held >= most:
+            batch, held = batch + 1, 0
+        room = most - held  # rows of this length that the open batch still takes
+        plan.append((n, batch, room, most))
+        if count <= room:
+            held += count
+        else:
+            full, held = divmod(count - room - 1, most)
+            batch, held = batch + 1 + full, held + 1
+    plan = spark.createDataFrame(plan, "_size bigint, _batch bigint, _room bigint, _most bigint")
+    k = F.col("_base") + F.col("_at") - F.col("_low")
+    out = rows.join(here.join(plan, "_size"), ["_size", "_part"])
+    return out.select(*proteins.columns, F.when(k < F.col("_room"), F.col("_batch")).otherwise(F.col("_batch") + 1 + F.floor((k - F.col("_room")) / F.col("_most"))).cast("bigint").alias("batch"))
 
 
 def count_text(n: Column) -> Column:

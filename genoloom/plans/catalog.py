@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import consensus_queries, file_queries, interval_queries, misc_queries, model_queries  # noqa: F401
+from . import annotation_queries, consensus_queries, file_queries, interval_queries, misc_queries, model_queries  # noqa: F401
 from .registry import QUERIES, SQL
 
 

@@ -66,9 +66,9 @@ ex AS (SELECT x.tx, x.seqid, x.strand, x.s, x.e FROM exons x JOIN kept USING (tx
 lnk AS (SELECT DISTINCT tx, seqid, strand, g FROM isl_g),
 reach AS (SELECT DISTINCT tx, tx AS root FROM lnk UNION SELECT b.tx, r.root FROM reach r JOIN lnk a ON a.tx = r.tx JOIN lnk b ON a.seqid = b.seqid AND a.strand = b.strand AND a.g = b.g),
 comp AS (SELECT tx, MIN(root) AS c FROM reach GROUP BY tx),
-spans AS (SELECT c, seqid, MIN(s) AS gs, MAX(e) AS ge FROM kept JOIN comp USING (tx) GROUP BY c, seqid),
-nums AS (SELECT c, ROW_NUMBER() OVER (ORDER BY seqid, gs, ge, c) AS gene FROM spans)
-SELECT tx, gene, ROW_NUMBER() OVER (PARTITION BY c ORDER BY s, e, tx) AS isoform FROM kept JOIN comp USING (tx) JOIN nums USING (c)""")
+spans AS (SELECT c, seqid, strand, MIN(s) AS gs, MAX(e) AS ge FROM kept JOIN comp USING (tx) GROUP BY c, seqid, strand),
+nums AS (SELECT c, ROW_NUMBER() OVER (ORDER BY seqid, gs, strand, ge, c) AS gene FROM spans)
+SELECT tx, gene, ROW_NUMBER() OVER (PARTITION BY c ORDER BY s, tx) AS isoform FROM kept JOIN comp USING (tx) JOIN nums USING (c)""")
 def merge_annotations(spark, d):
     t = ad.chains(spark, d).withColumnRenamed("contig", "seqid").withColumn("exons", F.col("segs")).withColumn("cds", F.col("segs")).withColumn("utr_bp", F.lit(0)).drop("segs")
     return gm.merge_annotations(t).select("tx", "gene", "isoform")
@@ -216,7 +216,12 @@ def ncrna_coverage_filter(spark, d):
     return an.drop_covered(nc.select("gene").distinct(), nc, x.filter("tx % 3 = 0"), 0.1, BIN).select("gene")
 
 
-@query("greedy_overlap_filter")
+@query("greedy_overlap_filter", f"""WITH RECURSIVE {ad.CHAINS}, {ad.merged_sql('chains', 'isl', 'seqid, strand', 0)},
+i AS (SELECT tx, seqid, strand, g, s, e, ROW_NUMBER() OVER (PARTITION BY seqid, strand, g ORDER BY tx % 3, tx) AS n FROM isl_g),
+r AS (SELECT seqid, strand, g, 1::BIGINT AS n, [{{'tx': tx, 's': s, 'e': e}}] AS kept FROM i WHERE n = 1 UNION ALL
+ SELECT r.seqid, r.strand, r.g, i.n, CASE WHEN 2 * len(list_distinct(flatten(list_transform(list_filter(r.kept, lambda k: k.s <= i.e AND i.s <= k.e), lambda k: range(CAST(greatest(k.s, i.s) AS BIGINT), CAST(least(k.e, i.e) + 1 AS BIGINT)))))) <= i.e - i.s + 1 THEN list_append(r.kept, {{'tx': i.tx, 's': i.s, 'e': i.e}}) ELSE r.kept END
+ FROM r JOIN i ON i.seqid = r.seqid AND i.strand = r.strand AND i.g = r.g AND i.n = r.n + 1)
+SELECT k.tx AS gene FROM (SELECT UNNEST(arg_max(kept, n)) AS k FROM r GROUP BY seqid, strand, g)""")
 def greedy_overlap_filter(spark, d):
     c = ad.chains(spark, d).select(F.col("tx").alias("gene"), F.col("contig").alias("seqid"), "strand", F.get("segs", F.lit(0))["start"].alias("start"), F.element_at("segs", -1)["end"].alias("end"), F.expr("tx % 3").alias("file_ord"), F.col("tx").alias("ord"))
     return an.greedy_accept(c).select("gene")

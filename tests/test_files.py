@@ -2,6 +2,7 @@
 
 import gzip
 import json
+import random
 
 import pytest
 from pyspark.sql import functions as F
@@ -160,8 +161,31 @@ def test_utrs(spark):
     assert [(u["start"], u["end"]) for u in got] == [(21, 49), (251, 279)]
 
 
+def packed_one_by_one(lengths, least, most):
+    total = sum(n for _, n in lengths)
+    if total <= least or most <= 1:
+        return [[x for x, _ in lengths]]
+    groups, target = [([], 0)], max(least, -(-total // most))
+    for x, n in lengths:
+        if groups[-1][1] >= target:
+            groups.append(([], 0))
+        groups[-1] = (groups[-1][0] + [x], groups[-1][1] + n)
+    while len(groups) > most:
+        sums = [a[1] + b[1] for a, b in zip(groups, groups[1:], strict=False)]
+        i = sums.index(min(sums))
+        groups[i : i + 2] = [(groups[i][0] + groups[i + 1][0], sums[i])]
+    return [g for g, _ in groups]
+
+
 def test_packing():
-    assert len(an.pack_sequences([(str(i), 50) for i in range(60)], 20, 20)) == 20
+    assert an.pack_sequences([(str(i), 50) for i in range(60)], 20, 20) == [[str(i), str(i + 1), str(i + 2)] for i in range(0, 60, 3)]
+    assert an.pack_sequences([("a", 5), ("b", 6)], 20, 3) == [["a", "b"]] == an.pack_sequences([("a", 50), ("b", 60)], 20, 1)
+    assert an.pack_sequences([], 20, 3) == []
+    rng = random.Random(8)
+    for _ in range(300):
+        least, most = rng.randint(1, 40), rng.randint(1, 6)
+        lengths = [(str(i), rng.choice([0, 1, 5, rng.randint(1, 60)])) for i in range(rng.randint(1, 25))]
+        assert an.pack_sequences(lengths, least, most) == packed_one_by_one(lengths, least, most)
     assert an.pack_sequences([("a", 5), ("b", 30), ("c", 1)], 20) == [["a", "b"], ["c"]]
 
 

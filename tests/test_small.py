@@ -132,14 +132,46 @@ def test_tree_closure_ends_with_cycles(spark):
     assert got == [("a", c) for c in "abcdef"] + [("x", "x"), ("x", "y")]
 
 
-def test_residue_batches_keep_the_limits(spark):
-    p = spark.createDataFrame([(i, 100 * (i % 13 + 1)) for i in range(200)], "id int, length int").repartition(3)
-    rows = ti.residue_batches(p, 8, 3000).withColumn("part", F.spark_partition_id()).collect()
-    assert len(rows) == 200
-    groups: dict = {}
-    for r in rows:
-        groups.setdefault((r["part"], r["batch"]), []).append(r["length"])
-    assert all(len(g) <= 8 and (len(g) == 1 or max(g) * len(g) <= 3000) for g in groups.values())
+def batches_one_by_one(rows, most_rows, most_residues):
+    """Ids of each batch, by going through the sorted records."""
+    out, now, longest = [], [], 0
+    for i, n in sorted(rows, key=lambda r: (max(r[1], 1), r[0])):
+        n = max(n, 1)
+        if now and (len(now) >= most_rows or max(longest, n) * (len(now) + 1) > most_residues):
+            out.append(now)
+            now, longest = [], 0
+        now, longest = [*now, i], max(longest, n)
+    return out + [now] * bool(now)
+
+
+@pytest.mark.parametrize(("most_rows", "most_residues"), [(8, 3000), (3, 100), (50, 1000), (1, 1)])
+def test_residue_batches_do_not_depend_on_partitions(spark, most_rows, most_residues):
+    rows = [(i, 100 * (i % 13)) for i in range(150)] + [(1000 + i, 7) for i in range(60)] + [(5000, 9999)]
+    want = batches_one_by_one(rows, most_rows, most_residues)
+    for parts in (1, 7):
+        got: dict = {}
+        for r in ti.residue_batches(spark.createDataFrame(rows, "id int, length int").repartition(parts), most_rows, most_residues).collect():
+            got.setdefault(r["batch"], set()).add(r["id"])
+        assert [got[b] for b in range(len(got))] == [set(b) for b in want]
+    assert ti.residue_batches(spark.createDataFrame([], "id int, length int"), 8, 100).count() == 0
+
+
+def test_a_failing_batch_is_tried_record_by_record(spark):
+    def model(texts):
+        if any("B" in t for t in texts):
+            raise RuntimeError("CUDA error: out of memory")
+        if any("X" in t for t in texts):
+            raise ValueError("Sequence length 9 is over the maximum")
+        return [[len(t), 1] for t in texts]
+
+    p = spark.createDataFrame([(i, s) for i, s in enumerate(["MA", "MB", "MAA", "MX", "M"] * 4)], "id int, seq string").withColumn("length", F.length("seq")).withColumn("prepared", F.col("seq"))
+    vectors, failures = an.embed(ti.residue_batches(p, 4, 100), model)
+    assert {r["id"]: r["vec"] for r in vectors.collect()} == {i: [float(len(s)), 1.0] for i, s in enumerate(["MA", "MB", "MAA", "MX", "M"] * 4) if "B" not in s and "X" not in s}
+    assert sorted(tuple(r) for r in failures.collect()) == sorted(
+        [(i, "RuntimeError", "cuda_out_of_memory", "CUDA error: out of memory", 2) for i in range(1, 20, 5)] + [(i, "ValueError", "sequence_too_long", "Sequence length 9 is over the maximum", 2) for i in range(3, 20, 5)]
+    )
+    with pytest.raises(Exception, match="no such device"):
+        an.embed(ti.residue_batches(p, 4, 100), lambda texts: (_ for _ in ()).throw(OSError("no such device")))
 
 
 def test_pooling(spark):
