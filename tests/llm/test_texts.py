@@ -147,6 +147,42 @@ def test_passages_whose_first_places_are_split_or_edited(spark):
     assert want <= {(x["doc_id"], x["ref_doc_id"]) for x in got if x["end_word"] - x["start_word"] >= 50}
 
 
+def test_a_passage_is_found_whoever_else_holds_parts_of_it(spark):
+    r = random.Random(59)
+    words = [f"w{i}" for i in range(5000)]
+    say = lambda n: [r.choice(words) for _ in range(n)]
+    rows, want = [], set()
+    for g in range(20):
+        x, at = say(60 if g < 10 else 51), 1000 * g
+        # First and last words, then sixteen that hold thirty words each, between the two that hold all.
+        held = {at + 10: x[:40], at + 11: x[20:], at + 20: x, **{at + 100 + k: x[10 * (k % 4) : 10 * (k % 4) + 30] for k in range(16)}, at + 900: x}
+        rows += [(d, " ".join(say(r.randint(20, 40)) + p + say(r.randint(20, 40)))) for d, p in held.items()]
+        want.add((at + 900, at + 20))
+    docs = spark.createDataFrame(rows, DOCS)
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    results = []
+    for parts in (2, 16):
+        spark.conf.set("spark.sql.shuffle.partitions", str(parts))
+        results.append(sorted(tuple(v) for v in chains.fuzzy_passages(docs.repartition(parts)).collect()))
+    spark.conf.set("spark.sql.shuffle.partitions", before)
+    assert results[0] == results[1]
+    got = {(v[0], v[1]) for v in results[0]}
+    print("recall of verbatim passages:", len(want & got) / len(want))
+    assert want <= got and got <= want
+
+
+def test_holders_over_range_edges(spark, monkeypatch):
+    rows = [(h, d, d % 3, 0, 0, 9) for h in (1, 2) for d in range(0, 400, 3 if h == 1 else 7)]
+    df = spark.createDataFrame(rows, "h bigint, doc_id bigint, pos int, ref bigint, rpos int, n bigint")
+    want = set()
+    for h in (1, 2):
+        docs = [d for x, d, *_ in rows if x == h]
+        want |= {(d, e, d % 3, e % 3) for i, d in enumerate(docs) for e in docs[max(0, i - chains.BACK) : i] if e}
+    for width in (1, 10, 1000):
+        monkeypatch.setattr(chains, "RANGE", width)
+        assert {tuple(r) for r in chains._matches_before(df, 5).collect()} == want
+
+
 def test_fuzzy_passages_down_to_the_least_similarity(spark):
     r = random.Random(53)
     words = [f"w{i}" for i in range(3000)]
