@@ -35,13 +35,14 @@ def hit_summary(hits: DataFrame, top: int = 10) -> DataFrame:
 def hit_features(summary: DataFrame, qlen: Column | None = None) -> DataFrame:
     """Ten features of a query's hits; lengths and ends come from best and top (qlen, slen, qstart, qend, sstart, send, bitscore, pident)."""
     q = F.coalesce(F.col("best.qlen"), qlen) if qlen is not None else F.col("best.qlen")
+    long = lambda r: F.coalesce(r["qlen"], qlen) if qlen is not None else r["qlen"]
     middle = lambda xs: F.get(xs, F.floor((F.size(xs) - 1) / 2).cast("int")) / 2.0 + F.get(xs, F.floor(F.size(xs) / 2).cast("int")) / 2.0
     med = lambda f: middle(F.array_sort(F.filter(F.transform("top", f), lambda x: x.isNotNull())))
     return summary.select(
         "query", F.col("best.bitscore").alias("dmd_bits"), F.try_divide("best.bitscore", q).alias("dmd_bits_per_aa"), F.col("best.pident").alias("dmd_pident"), F.col("n_hits").alias("dmd_n_hits"), F.col("n_taxa").alias("dmd_n_taxa"),
         F.try_divide(F.col("best.qend") - F.col("best.qstart") + 1, q).alias("dmd_qcov"), F.try_divide(F.col("best.send") - F.col("best.sstart") + 1, F.col("best.slen")).alias("dmd_tcov"),
-        med(lambda r: F.try_divide(r["qlen"], r["slen"])).alias("dmd_len_ratio"), med(lambda r: ((r["qstart"] - 1) - (r["sstart"] - 1)).cast("double")).alias("dmd_nterm_offset"),
-        med(lambda r: ((r["qlen"] - r["qend"]) - (r["slen"] - r["send"])).cast("double")).alias("dmd_cterm_offset"),
+        med(lambda r: F.try_divide(long(r), r["slen"])).alias("dmd_len_ratio"), med(lambda r: ((r["qstart"] - 1) - (r["sstart"] - 1)).cast("double")).alias("dmd_nterm_offset"),
+        med(lambda r: ((long(r) - r["qend"]) - (r["slen"] - r["send"])).cast("double")).alias("dmd_cterm_offset"),
     )
 
 

@@ -6,6 +6,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import attrs as at
+from ..functions.numbers import fixed
+from ..functions.sequence import has_internal_stop
 from .components import cut
 
 
@@ -14,6 +16,14 @@ def prefix_ids(attributes: Column, prefix: str, keys: tuple[str, ...] = ("gene_i
     return F.regexp_replace(attributes, rf'\b({"|".join(keys)}) "', rf'$1 "{prefix}')
 
 
+def prefix_line_ids(attributes: Column, prefix: str) -> Column:
+    """A raw GFF3 attribute text with <prefix>- in front of the values of ID and Parent, whatever blanks stand before the keys."""
+    t = F.concat(F.lit(";"), attributes)
+    for key in ("ID", "Parent"):
+        t = F.regexp_replace(t, rf";\s*{key}=", f";{key}={prefix}-")
+    return F.substring(t, F.lit(2), F.length(t))
+
+
 def prefix_gff3_ids(entries: Column, prefix: str) -> Column:
     """ID and Parent values with a prefix."""
     add = lambda e: F.when(e["key"].isin("ID", "Parent"), F.struct(e["key"].alias("key"), F.transform(e["values"], lambda v: F.concat(F.lit(prefix), v)).alias("values"))).otherwise(e)
@@ -141,3 +151,18 @@ def residue_batches(proteins: DataFrame, most_rows: int = 8, most_residues: int
 def count_text(n: Column) -> Column:
     """A number as report text: thousands apart."""
     return F.format_number(n, 0)
+
+
+def size_text(n: Column) -> Column:
+    """Bytes as report text: whole up to 1024, else with one decimal in KB, MB, GB or TB."""
+    units = ["B", "KB", "MB", "GB", "TB"]
+    out = F.concat(fixed(n / float(1024**4), 1), F.lit(" TB"))
+    for k in (3, 2, 1):
+        out = F.when(n < 1024 ** (k + 1), F.concat(fixed(n / float(1024**k), 1), F.lit(f" {units[k]}"))).otherwise(out)
+    return F.when(n < 1024, F.concat(n.cast("bigint").cast("string"), F.lit(" B"))).otherwise(out)
+
+
+def internal_stop_share(proteins: DataFrame, most: float = 5.0) -> DataFrame:
+    """One row: n proteins (seq), with_stop of them with a stop inside, percent, and warn: whether that is more than `most`."""
+    one = proteins.agg(F.count("*").alias("n"), F.count(F.when(has_internal_stop(F.col("seq")), 1)).alias("with_stop"))
+    return one.withColumn("percent", F.coalesce(F.try_divide(100.0 * F.col("with_stop"), F.col("n")), F.lit(0.0))).withColumn("warn", F.col("percent") > most)

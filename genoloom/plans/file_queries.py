@@ -82,6 +82,11 @@ def scan_hints(spark, d):
     return sc.hints(spark, _hint_lines(spark, d)).select("seqid", "strand", F.col("start").alias("start_"), F.col("end").alias("end_"), "type", "src", "mult", "class", "pri")
 
 
+@query("scan_support_hints", f"WITH {HINT_ROWS} SELECT seqid, strand, s AS start_, e AS end_, CASE WHEN type = 'intron' THEN 'intron' ELSE 'exon' END AS kind, CASE WHEN src IN ('E', 'b2h') THEN 'rna' WHEN src IN ('P', 'PH') THEN 'protein' WHEN src = 'C' THEN 'combined' ELSE 'other' END AS class FROM h WHERE type IN ('intron', 'CDSpart')")
+def scan_support_hints(spark, d):
+    return sc.support_hints(spark, _hint_lines(spark, d)).select("seqid", "strand", F.col("start").alias("start_"), F.col("end").alias("end_"), "kind", "class")
+
+
 @query("scan_intron_hints", f"WITH {HINT_ROWS} SELECT seqid AS contig, s AS start_, e AS end_, CAST(SUM(mult) AS BIGINT) AS mult FROM h WHERE type IN ('intron', 'intronpart') GROUP BY ALL")
 def scan_intron_hints(spark, d):
     return sc.intron_hints(spark, _hint_lines(spark, d)).select("contig", F.col("start").alias("start_"), F.col("end").alias("end_"), "mult")

@@ -24,7 +24,7 @@ def lines(spark: SparkSession, paths: list[str] | str) -> DataFrame:
         blocks = df.groupBy("_k", "_file", "_block").agg(F.min("_id").alias("_low"), F.count("*").alias("_n"))
         before = Window.partitionBy("_k", "_file").orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
         blocks = blocks.withColumn("_base", F.coalesce(F.sum("_n").over(before), F.lit(0))).withColumn("_ord", F.dense_rank().over(Window.partitionBy("_k").orderBy("_file")))
-        df = df.join(F.broadcast(blocks), ["_k", "_file", "_block"]).select((F.col("_k") * 1_000_000 + F.col("_ord")).cast("bigint").alias("file_ord"), (F.col("_base") + F.col("_id") - F.col("_low")).alias("line_no"), "value")
+        df = df.join(blocks, ["_k", "_file", "_block"]).select((F.col("_k") * 1_000_000 + F.col("_ord")).cast("bigint").alias("file_ord"), (F.col("_base") + F.col("_id") - F.col("_low")).alias("line_no"), "value")
         out = df if out is None else out.unionByName(df)
     if out is None:
         raise ValueError("no paths")
@@ -34,7 +34,7 @@ def lines(spark: SparkSession, paths: list[str] | str) -> DataFrame:
 def _data(df: DataFrame) -> DataFrame:
     """Without blank and comment lines, and without what follows a ##FASTA line."""
     end = df.filter("value LIKE '##FASTA%'").groupBy("file_ord").agg(F.min("line_no").alias("_end"))
-    df = df.join(F.broadcast(end), "file_ord", "left").filter("_end IS NULL OR line_no < _end").drop("_end")
+    df = df.join(end, "file_ord", "left").filter("_end IS NULL OR line_no < _end").drop("_end")
     return df.filter("trim(value) <> '' AND NOT startswith(value, '#')")
 
 
@@ -94,7 +94,12 @@ def transcripts(features: DataFrame, tx: Column, gene: Column) -> DataFrame:
 
 
 def gtf_transcripts(spark: SparkSession, paths: list[str] | str) -> DataFrame:
-    return transcripts(gtf(spark, paths), F.col("transcript_id"), F.col("gene_id"))
+    """transcripts() of GTF, with cov, fpkm and tpm of their transcript lines (null where there are none)."""
+    f = gtf(spark, paths)
+    own = lambda c: F.max(F.when(F.col("type") == "transcript", F.col(c))).alias(c)
+    key = ["file_ord", "seqid", "strand", "transcript_id"]
+    values = f.filter("transcript_id IS NOT NULL").groupBy(*key).agg(own("cov"), own("fpkm"), own("tpm")).withColumnRenamed("transcript_id", "tx_id")
+    return transcripts(f, F.col("transcript_id"), F.col("gene_id")).join(values, ["file_ord", "seqid", "strand", "tx_id"], "left")
 
 
 def gff3_transcripts(spark: SparkSession, paths: list[str] | str, strict: bool = True) -> DataFrame:
@@ -122,10 +127,21 @@ def hints(spark: SparkSession, paths: list[str] | str) -> DataFrame:
     return c.select(
         "file_ord", "line_no", "seqid", "source", "type", low.alias("start"), high.alias("end"), "score", "strand",
         F.coalesce(at.attribute(a, "mult").try_cast("bigint"), F.lit(1)).alias("mult"), F.coalesce(at.attribute(a, "src"), at.attribute(a, "source")).alias("src"), at.attribute(a, "pri").try_cast("int").alias("pri"),
-        F.coalesce(at.attribute(a, "grp"), at.attribute(a, "group")).alias("grp"),
+        F.coalesce(at.attribute(a, "grp"), at.attribute(a, "group")).alias("grp"), (F.col("n_columns") >= 9).alias("attributes_given"),
     ).withColumn("class", source_class(F.col("src")))
 
 
+# Hint types that stand for exons.
+EXON_HINTS = ("exonpart", "CDSpart", "ep", "exon", "CDS")
+
+
+def support_hints(spark: SparkSession, paths: list[str] | str) -> DataFrame:
+    """seqid, strand ('.' if there is none), start, end (in order), kind (intron or exon), class (rna, protein, combined; other counts as no support) of the hints that can support gene models: introns and exon-like types on lines of nine columns."""
+    h = hints(spark, paths).filter(F.col("type").isin("intron", *EXON_HINTS) & F.col("attributes_given"))
+    strand = F.coalesce(F.nullif(F.trim("strand"), F.lit("")), F.lit("."))
+    return h.select("seqid", strand.alias("strand"), "start", "end", F.when(F.col("type") == "intron", "intron").otherwise("exon").alias("kind"), "class")
+
+
 def intron_hints(spark: SparkSession, paths: list[str] | str) -> DataFrame:
     """contig, start, end, mult: introns summed over files and strands."""
     return hints(spark, paths).filter(F.col("type").isin("intron", "intronpart")).groupBy(F.col("seqid").alias("contig"), "start", "end").agg(F.sum("mult").alias("mult"))
@@ -154,8 +170,13 @@ STD = ["qseqid", "sseqid", "pident", "length", "mismatch", "gapopen", "qstart",
 LAYOUTS = {14: [*STD, "qlen", "slen"], 12: STD, 8: ["qseqid", "sseqid", "pident", "length", "evalue", "bitscore", "qlen", "slen"]}
 
 
-def tabular_hits(spark: SparkSession, paths: list[str] | str, layout: int | None = None) -> DataFrame:
-    """Alignment hits of 14, 12 or 8 columns (found from the first line if not given), with query, subject and line_no; numbers that are none become null."""
+def first_word(subject: Column) -> Column:
+    """A subject's id up to its first blank, which the search program may have written as an escape (backslash with t, n or a backslash)."""
+    return F.get(F.split(subject, r"\\[tn\\]|\s", 2), F.lit(0))
+
+
+def tabular_hits(spark: SparkSession, paths: list[str] | str, layout: int | None = None, cut_subject: bool = False) -> DataFrame:
+    """Alignment hits of 14, 12 or 8 columns (found from the first line if not given), with query, subject (cut_subject: only its first_word) and line_no; numbers that are none become null."""
     raw = lines(spark, paths).filter("trim(value) <> '' AND NOT startswith(value, '#')")
     if layout is None:
         first = raw.orderBy("file_ord", "line_no").first()
@@ -164,7 +185,8 @@ def tabular_hits(spark: SparkSession, paths: list[str] | str, layout: int | None
         raise ValueError(f"hits of {layout} columns are not known")
     f = F.split("value", "\t")
     cols = [F.get(f, F.lit(i)).try_cast(_TYPES.get(n, "bigint")).alias({"qseqid": "query", "sseqid": "subject"}.get(n, n)) for i, n in enumerate(LAYOUTS[layout])]
-    return raw.select("file_ord", "line_no", *cols)
+    out = raw.select("file_ord", "line_no", *cols)
+    return out.withColumn("subject", first_word(F.col("subject"))) if cut_subject else out
 
 
 def cmscan(spark: SparkSession, paths: list[str] | str) -> DataFrame:

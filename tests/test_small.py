@@ -217,3 +217,40 @@ def test_conflict_kinds(spark):
     h = spark.createDataFrame([("c", "+", 201, 300, 5), ("c", ".", 120, 150, 4), ("c", "+", 205, 300, 7), ("c", "+", 50, 120, 2), ("c", "-", 120, 150, 9)], "contig string, strand string, start bigint, end bigint, n bigint")
     r = co.add_conflicts(co.build_structures(tx, ["t0"]), h, 64).first()
     assert [r[c] for c in co.CONFLICTS] == [3, 1, 4, 1, 7, 1, 2]
+
+
+def test_sizes_stops_prefixes_and_subjects(spark):
+    from genoloom.sources import scans as sc
+
+    def plain(n):
+        size = float(n)
+        for unit in ("B", "KB", "MB", "GB", "TB"):
+            if size < 1024 or unit == "TB":
+                return f"{int(size)} B" if unit == "B" else f"{size:.1f} {unit}"
+            size /= 1024
+
+    sizes = [0, 1, 1023, 1024, 1536, 1048575, 1048576, 5 * 1024**3 + 1, 1024**4, 7 * 1024**5]
+    got = spark.createDataFrame([(n,) for n in sizes], "n bigint").select("n", ti.size_text(F.col("n")).alias("t")).collect()
+    assert {r["n"]: r["t"] for r in got} == {n: plain(n) for n in sizes}
+    p = spark.createDataFrame([("MA*",), ("M*A",), ("MA",)], "seq string")
+    assert tuple(ti.internal_stop_share(p).first()) == (3, 1, 100.0 / 3, True)
+    assert tuple(ti.internal_stop_share(p.limit(0)).first()) == (0, 0, 0.0, False)
+    a = spark.createDataFrame([("ID=a; Parent=b;xID=c",), ("note=ID=1",), (" ID=q",)], "a string").select(ti.prefix_line_ids(F.col("a"), "t").alias("a"))
+    assert [r["a"] for r in a.collect()] == ["ID=t-a;Parent=t-b;xID=c", "note=ID=1", "ID=t-q"]
+    s = spark.createDataFrame([("p1\\tmore",), ("p2\\\\x",), ("p3 text",), ("p4",), ("p\\q",)], "s string").select(sc.first_word(F.col("s")).alias("s"))
+    assert [r["s"] for r in s.collect()] == ["p1", "p2", "p3", "p4", "p\\q"]
+
+
+def test_hit_features_fall_back_on_a_given_length(spark):
+    hit = "struct<qlen:bigint,slen:bigint,qstart:bigint,qend:bigint,sstart:bigint,send:bigint,bitscore:double,pident:double>"
+    h = (None, 50, 1, 90, 3, 48, 10.0, 99.0)
+    df = spark.createDataFrame([("q", h, [h], 1, 1, 100)], f"query string, best {hit}, top array<{hit}>, n_hits bigint, n_taxa bigint, own bigint").withColumn("ql", F.col("own"))
+    r = ht.hit_features(df, F.col("ql")).first()
+    assert (r["dmd_len_ratio"], r["dmd_cterm_offset"], r["dmd_bits_per_aa"]) == (2.0, 8.0, 0.1)
+
+
+def test_types_and_biotypes_of_rna_features(spark):
+    rows = [("lncRNA", None, None), ("transcript", None, "lncRNA"), ("transcript", None, None), ("tRNA", "x", "y"), ("snRNA", "", "y"), ("lnc_RNA", None, "")]
+    c = F.col
+    got = spark.createDataFrame(rows, "k string, g string, b string").select(an.locus_rna_type(c("k"), c("b")).alias("t"), an.locus_biotype(c("k"), c("g"), c("b")).alias("b")).collect()
+    assert [tuple(r) for r in got] == [("lnc_RNA", "lncRNA"), ("lnc_RNA", "lncRNA"), ("transcript", "ncRNA"), ("tRNA", "x"), ("snRNA", "y"), ("lnc_RNA", "lncRNA")]
