@@ -153,9 +153,9 @@ def test_a_passage_is_found_whoever_else_holds_parts_of_it(spark):
     say = lambda n: [r.choice(words) for _ in range(n)]
     rows, want = [], set()
     for g in range(20):
-        x, at = say(60 if g < 10 else 51), 1000 * g
+        x, at = say(60 if g < 10 else 75), 1000 * g
         # First and last words, then sixteen that hold thirty words each, between the two that hold all.
-        held = {at + 10: x[:40], at + 11: x[20:], at + 20: x, **{at + 100 + k: x[10 * (k % 4) : 10 * (k % 4) + 30] for k in range(16)}, at + 900: x}
+        held = {at + 10: x[:40], at + 11: x[-40:], at + 20: x, **{at + 100 + k: x[10 * (k % 4) : 10 * (k % 4) + 30] for k in range(16)}, at + 900: x}
         rows += [(d, " ".join(say(r.randint(20, 40)) + p + say(r.randint(20, 40)))) for d, p in held.items()]
         want.add((at + 900, at + 20))
     docs = spark.createDataFrame(rows, DOCS)
@@ -172,8 +172,8 @@ def test_a_passage_is_found_whoever_else_holds_parts_of_it(spark):
 
 
 def test_holders_over_range_edges(spark, monkeypatch):
-    rows = [(h, d, d % 3, 0, 0, 9) for h in (1, 2) for d in range(0, 400, 3 if h == 1 else 7)]
-    df = spark.createDataFrame(rows, "h bigint, doc_id bigint, pos int, ref bigint, rpos int, n bigint")
+    rows = [(h, d, d % 3, 0, 0) for h in (1, 2) for d in range(0, 400, 3 if h == 1 else 7)]
+    df = spark.createDataFrame(rows, "h bigint, doc_id bigint, pos int, ref bigint, rpos int")
     want = set()
     for h in (1, 2):
         docs = [d for x, d, *_ in rows if x == h]
