@@ -46,9 +46,15 @@ def test_stages(spark, tmp_path):
     assert {r["doc_id"] for r in p.run(spark, d).select("doc_id").collect()} == ids["mix"]
 
 
-def test_all_ten_are_registered():
+def test_all_are_registered():
     names = queries.queries()
-    assert {int(n[2:].split("_")[0]) for n in names} == set(range(1, 11))
+    assert {int(n[2:].split("_")[0]) for n in names} == set(range(1, 14))
+
+
+def test_near_copies_of_rows_with_a_map(spark, tmp_path):
+    t = " ".join(f"w{i}" for i in range(30))
+    docs = spark.createDataFrame([(5, t, {"a": 2}, 9), (5, t, {"a": 1}, 4), (5, t, None, 7), (6, t, {}, 1), (7, "other", {}, 1)], "doc_id bigint, text string, m map<string,int>, k int")
+    assert sorted((r["doc_id"], r["k"]) for r in p.near_copies(spark, docs, str(tmp_path)).collect()) == [(5, 4), (7, 1)]
 
 
 def test_rows_that_share_an_id_null_ids_repeats_and_clashing_columns(spark, tmp_path):
