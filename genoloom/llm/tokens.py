@@ -4,8 +4,8 @@ Texts are split at blanks ([\\x20\\x09-\\x0D]+), which no token of the vocabular
 after the other. The words of all texts are counted; each distinct word is encoded once and stands with its count in a table. Its
 ids come back to their places in one of two ways: the most frequent words, as many as TABLE_BYTES hold, are broadcast and looked up
 where the text is read; every other word goes with its text's key and its position to the table's shuffle, and the ids
-found there meet the text, compressed for the way, by its key. Both ways are exact; the bound only says which is taken. A word of
-the second way is rarer than every word of the first, so no key of its join is a hot one.
+found there meet the text, compressed for the way, by its key. Both ways are exact; the bound only says which is taken. In
+the table 64 bits of a hash stand for a word. A word of the second way is rarer than every word of the first, so no key of its join is a hot one.
 
 Decoding takes each id's piece from the vocabulary, whose size the tokenizer's file bounds, and joins the pieces by a blank, as
 the library does for a tokenizer without a decoder.
@@ -19,20 +19,17 @@ hold blanks or take blanks beside them, or which has a decoder, is refused.
 from __future__ import annotations
 
 import json
-import sys
-import types
-import uuid
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import cut, group_starts, table, tidy, whole_groups
+from .common import buffer_of, cut, group_starts, release, table, tidy, whole_groups, words_of
 
-#: What the broadcast words may take in a worker, counted as WORD_BYTES and their bytes and ids.
-TABLE_BYTES = 96 << 20
-WORD_BYTES = 150
+#: What the broadcast words may take in a worker, counted as WORD_BYTES and the bytes of their ids.
+TABLE_BYTES = 16 << 20
+WORD_BYTES = 16
 BLANKS = "[\\x20\\x09-\\x0D]+"
 #: Steps of a doubling of the count, by which the frequent words are told apart.
 STEPS = 8
@@ -82,9 +79,9 @@ def word_table(docs: DataFrame, made: str) -> DataFrame:
     return cut(words.mapInArrow(_encode(made), "word string, n bigint, code binary").withColumn("level", F.floor(F.log2("n") * STEPS).cast("int")), "words")
 
 
-def _frequent(words: DataFrame, most: int):
-    """The lowest level of the words that are broadcast together, and these words with their ids in a broadcast, under a name."""
-    cost = F.octet_length("word") + F.octet_length("code") + WORD_BYTES
+def _frequent(words: DataFrame, most: int, kind: str):
+    """The lowest level of the words that are broadcast together, and in a broadcast these words: their hashes in order, where the ids of each end, and the ids."""
+    cost = F.octet_length("code") + WORD_BYTES
     held, least = 0, 1 << 30
     for r in sorted(words.groupBy("level").agg(F.sum(cost).alias("bytes")).collect(), reverse=True):
         held += r["bytes"]
@@ -92,31 +89,30 @@ def _frequent(words: DataFrame, most: int):
             break
         least = r["level"]
     few = words.filter(F.col("level") >= least).select(F.col("word").cast("binary").alias("word"), "code").toArrow()
-    sink = pa.BufferOutputStream()
-    with pa.ipc.new_stream(sink, few.schema) as out:
-        out.write_table(few)
-    return least, (uuid.uuid4().hex, words.sparkSession.sparkContext.broadcast(sink.getvalue().to_pybytes()))
+    hashes = words_of(*buffer_of(few.column("word").to_pylist()), False)[0]
+    order = np.argsort(hashes)
+    codes = [few.column("code")[i].as_py() for i in order.tolist()]
+    flat = np.frombuffer(b"".join(codes), kind)
+    ends = np.concatenate(([0], np.cumsum([len(c) // flat.itemsize for c in codes]))).astype(np.int64)
+    return least, words.sparkSession.sparkContext.broadcast((hashes[order], ends, flat))
 
 
-def _looked_up(frequent) -> dict[bytes, bytes]:
-    """Word to the bytes of its ids; a worker keeps the last table for its next tasks."""
-    name, table_ = frequent
-    kept = sys.modules.setdefault("_kept_words", types.ModuleType("_kept_words")).__dict__
-    if kept.get("name") != name:
-        known: dict[bytes, bytes] = {}
-        for batch in pa.ipc.open_stream(table_.value).read_all().to_batches(max_chunksize=50_000):
-            known.update(zip(batch.column("word").to_pylist(), batch.column("code").to_pylist(), strict=True))
-        kept.update(name=name, known=known)
-    return kept["known"]
+def _looked_up(table_, texts: list[bytes]):
+    """Of a block of texts: its bytes, where words begin and end, the first word of each text, and the place of each word in the table, -1 where it has none."""
+    buf, starts = buffer_of(texts)
+    h, begin, end, first = words_of(buf, starts, False)
+    if not len(table_[0]) or not len(h):
+        return buf, begin, end, first, np.full(len(h), -1)
+    at = np.minimum(np.searchsorted(table_[0], h), len(table_[0]) - 1)
+    return buf, begin, end, first, np.where(table_[0][at] == h, at, -1)
 
 
-def _ids(parts: list[bytes], kind: str) -> pa.Array:
-    ids = np.frombuffer(b"".join(parts), kind)
-    ends = np.concatenate(([0], np.cumsum([len(p) for p in parts]))) // ids.itemsize
-    return pa.ListArray.from_arrays(pa.array(ends.astype(np.int32)), pa.array(ids.astype(np.int32)))
+def _spread(starts: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """Indices of runs that start there and have that size, one run after the other."""
+    return np.repeat(starts - np.cumsum(size) + size, size) + np.arange(int(size.sum()))
 
 
-def _texts(it, most: int = 4 << 20):
+def _texts(it, most: int = 1 << 20):
     """Runs of rows with about `most` bytes of text (binary; null: empty)."""
     for batch in it:
         size = np.cumsum([len(t) for t in batch.column("text").fill_null(b"").to_pylist()] or [0])
@@ -133,23 +129,20 @@ def _rest(frequent):
     """row, pos and word of every word that is not frequent."""
 
     def rest(it):
-        known = _looked_up(frequent)
         for part, texts in _texts(it):
-            row, pos, word = [], [], []
-            for key, t in zip(part.column("row").to_pylist(), texts, strict=True):
-                own = [(p, w) for p, w in enumerate(t.split()) if w not in known]
-                if own:
-                    row += [key] * len(own)
-                    at, out = zip(*own, strict=True)
-                    pos += at
-                    word += out
-            yield pa.RecordBatch.from_arrays([pa.array(row, pa.int64()), pa.array(pos, pa.int32()), pa.array(word, pa.binary()).cast(pa.string())], names=["row", "pos", "word"])
+            buf, begin, end, first, at = _looked_up(frequent.value, texts)
+            own = np.flatnonzero(at < 0)
+            text = np.searchsorted(first, own, "right") - 1
+            data = buf.tobytes()
+            word = [data[a:b] for a, b in zip(begin[own].tolist(), end[own].tolist(), strict=True)]
+            row = part.column("row").to_numpy()[text]
+            yield pa.RecordBatch.from_arrays([pa.array(row, pa.int64()), pa.array((own - first[text]).astype(np.int32)), pa.array(word, pa.binary()).cast(pa.string())], names=["row", "pos", "word"])
 
     return rest
 
 
 def _gathered(it):
-    """row and rest: positions, lengths and codes of all its words that are not frequent, compressed; the input is sorted by row and pos, and equal texts repeat it."""
+    """row and rest: number, lengths and codes of all its words that are not frequent, in order, compressed; the input is sorted by row and pos, and equal texts repeat it."""
     import zstandard
 
     small = zstandard.ZstdCompressor(level=1)
@@ -157,10 +150,10 @@ def _gathered(it):
         row, pos = t.column("row").to_numpy(), t.column("pos").to_numpy()
         once = np.ones(len(row), bool)
         once[1:] = (row[1:] != row[:-1]) | (pos[1:] != pos[:-1])
-        row, pos, code = row[once], pos[once].astype("<i4"), np.array(t.column("code").to_pylist(), object)[once]
+        row, code = row[once], np.array(t.column("code").to_pylist(), object)[once]
         size = np.array([len(c) for c in code], "<i4")
         at = group_starts([row])
-        rest = [small.compress(np.int32(b - a).tobytes() + pos[a:b].tobytes() + size[a:b].tobytes() + b"".join(code[a:b])) for a, b in zip(at[:-1].tolist(), at[1:].tolist(), strict=True)]
+        rest = [small.compress(np.int32(b - a).tobytes() + size[a:b].tobytes() + b"".join(code[a:b])) for a, b in zip(at[:-1].tolist(), at[1:].tolist(), strict=True)]
         yield pa.RecordBatch.from_arrays([pa.array(row[at[:-1]]), pa.array(rest, pa.binary())], names=["row", "rest"])
 
 
@@ -179,24 +172,28 @@ def _filled(frequent, kind: str, packed: bool):
     def filled(it):
         import zstandard
 
-        known, whole = _looked_up(frequent), zstandard.ZstdDecompressor()
+        whole = zstandard.ZstdDecompressor()
+        _, ends, flat = frequent.value
         for part, texts in _texts(it):
-            rest = part.column("rest").to_pylist() if packed else [None] * len(texts)
-            found = []
-            for t, own in zip(texts, rest, strict=True):
-                words = (whole.decompress(t) if packed else t).split()
-                if own is None:
-                    found.append(b"".join(map(known.__getitem__, words)))
-                    continue
-                own = whole.decompress(own)
-                n = int(np.frombuffer(own, "<i4", 1)[0])
-                pos, size = np.frombuffer(own, "<i4", n, 4).tolist(), np.frombuffer(own, "<i4", n, 4 + 4 * n).tolist()
-                codes, at = [known.get(w, b"") for w in words], 4 + 8 * n
-                for p, k in zip(pos, size, strict=True):
-                    codes[p] = own[at : at + k]
-                    at += k
-                found.append(b"".join(codes))
-            yield pa.RecordBatch.from_arrays([part.column("doc_id"), _ids(found, kind)], names=["doc_id", "ids"])
+            if packed:
+                texts = [whole.decompress(t) for t in texts]
+            _, _, _, first, at = _looked_up(frequent.value, texts)
+            known = at >= 0
+            size = np.zeros(len(at), np.int64)
+            size[known] = ends[at[known] + 1] - ends[at[known]]
+            sizes, codes = [], []
+            for own in part.column("rest").to_pylist() if packed else []:
+                if own is not None:
+                    own = whole.decompress(own)
+                    n = int(np.frombuffer(own, "<i4", 1)[0])
+                    sizes.append(np.frombuffer(own, "<i4", n, 4) // flat.itemsize)
+                    codes.append(own[4 + 4 * n :])
+            size[~known] = np.concatenate([np.zeros(0, np.int64), *sizes])
+            to = np.concatenate(([0], np.cumsum(size)))
+            ids = np.empty(int(to[-1]), kind)
+            ids[_spread(to[:-1][known], size[known])] = flat[_spread(ends[at[known]], size[known])]
+            ids[_spread(to[:-1][~known], size[~known])] = np.frombuffer(b"".join(codes), kind)
+            yield pa.RecordBatch.from_arrays([part.column("doc_id"), pa.ListArray.from_arrays(pa.array(to[first].astype(np.int32)), pa.array(ids.astype(np.int32)))], names=["doc_id", "ids"])
 
     return filled
 
@@ -205,7 +202,8 @@ def encode(docs: DataFrame, made: str, table_bytes: int | None = None) -> DataFr
     """doc_id, ids (array<int>) of every row of docs (doc_id, text), by the tokenizer whose definition is given."""
     docs = docs.select(docs["doc_id"].cast("bigint").alias("doc_id"), docs["text"].cast("string").alias("text"))
     kind, words = _width(_tokenizer(made)), word_table(docs, made)
-    least, frequent = _frequent(words, TABLE_BYTES if table_bytes is None else table_bytes)
+    release(docs.sparkSession)
+    least, frequent = _frequent(words, TABLE_BYTES if table_bytes is None else table_bytes, kind)
     # A text without words has no partner: any key will do, as long as it is not one for all of them.
     row = F.when(F.octet_length("text") > 0, F.xxhash64("text", F.octet_length("text"))).otherwise(F.xxhash64(F.monotonically_increasing_id()))
     keyed = docs.select("doc_id", row.alias("row"), F.col("text").cast("binary").alias("text"))
@@ -215,6 +213,7 @@ def encode(docs: DataFrame, made: str, table_bytes: int | None = None) -> DataFr
     parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     found = keyed.select("row", "text").mapInArrow(_rest(frequent), "row bigint, pos int, word string").join(other, "word").select("row", "pos", "code")
     found = cut(found.repartition(parts, "row").sortWithinPartitions("row", "pos").mapInArrow(_gathered, "row bigint, rest binary"), "rest")
+    release(docs.sparkSession)
     packed = keyed.mapInArrow(_pack, "doc_id bigint, row bigint, text binary")
     return packed.join(found, "row", "left").select("doc_id", "text", "rest").mapInArrow(_filled(frequent, kind, True), "doc_id bigint, ids array<int>")
 
