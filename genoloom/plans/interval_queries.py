@@ -18,7 +18,7 @@ def merge_intervals(spark, d):
     return iv.merge_intervals(ad.raw_exons(spark, d), ad.TX).select(*ad.TX, F.col("start").alias("start_"), F.col("end").alias("end_"), "n")
 
 
-@query("merge_intervals_strict", f"WITH {ad.RAW}, {ad.merged_sql('raw', 'm', 'seqid, strand', 0)} SELECT seqid, strand, s AS start_, e AS end_, n FROM m")
+@query("merge_intervals_strict", f"WITH {ad.RAW}, {ad.merged_sql('raw', 'm', 'seqid, strand', 0, 'RANGE')} SELECT seqid, strand, s AS start_, e AS end_, n FROM m")
 def merge_strict(spark, d):
     return iv.merge_intervals(ad.raw_exons(spark, d), ["seqid", "strand"], touching=False).select("seqid", "strand", F.col("start").alias("start_"), F.col("end").alias("end_"), "n")
 
