@@ -94,7 +94,7 @@ def depth_sum(spark, d):
     return iv.depth_segments(ad.coverage(spark, d), ["contig"], "depth", "sum", BIN).select("contig", F.col("start").alias("start_"), F.col("end").alias("end_"), "depth")
 
 
-@query("exon_components", f"""WITH RECURSIVE {ad.EXONS}, {ad.merged_sql('exons', 'isl0', 'seqid, strand', 0)},
+@query("exon_components", f"""WITH RECURSIVE {ad.EXONS}, {ad.merged_sql('exons', 'isl0', 'seqid, strand', 0, 'RANGE')},
 lnk AS (SELECT DISTINCT tx, seqid, strand, g FROM isl0_g),
 reach AS (SELECT DISTINCT tx, tx AS root FROM lnk UNION SELECT b.tx, r.root FROM reach r JOIN lnk a ON a.tx = r.tx JOIN lnk b ON a.seqid = b.seqid AND a.strand = b.strand AND a.g = b.g)
 SELECT tx, MIN(root) AS component FROM reach GROUP BY tx""")

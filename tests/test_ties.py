@@ -6,7 +6,7 @@ import pytest
 from genoloom.plans import adapter as ad
 from genoloom.plans import catalog
 
-NAMES = ["merge_intervals_strict"]
+NAMES = ["merge_intervals_strict", "exon_components"]
 
 
 @pytest.mark.parametrize("name", NAMES)
