@@ -62,7 +62,7 @@ def transcript_filter(spark, d):
 
 
 @query("merge_annotations", f"""WITH RECURSIVE {ad.CHAINS}, pick AS (SELECT *, ROW_NUMBER() OVER (PARTITION BY seqid, strand, chain ORDER BY len DESC, tx) AS r FROM chains), kept AS (SELECT * FROM pick WHERE r = 1),
-ex AS (SELECT x.tx, x.seqid, x.strand, x.s, x.e FROM exons x JOIN kept USING (tx)), {ad.merged_sql('ex', 'isl', 'seqid, strand', 0)},
+ex AS (SELECT x.tx, x.seqid, x.strand, x.s, x.e FROM exons x JOIN kept USING (tx)), {ad.merged_sql('ex', 'isl', 'seqid, strand', 0, 'RANGE')},
 lnk AS (SELECT DISTINCT tx, seqid, strand, g FROM isl_g),
 reach AS (SELECT DISTINCT tx, tx AS root FROM lnk UNION SELECT b.tx, r.root FROM reach r JOIN lnk a ON a.tx = r.tx JOIN lnk b ON a.seqid = b.seqid AND a.strand = b.strand AND a.g = b.g),
 comp AS (SELECT tx, MIN(root) AS c FROM reach GROUP BY tx),
