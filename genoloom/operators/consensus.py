@@ -12,9 +12,12 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.numbers import rounded
+from .components import cut
 from .intervals import covered_bases, interval_join, islands
 
 KEY = ["contig", "strand", "segs"]
+#: Bases of a bin, at least, where whole spans meet intervals.
+SPAN_BIN = 1 << 13
 
 
 @dataclass(frozen=True)
@@ -170,8 +173,11 @@ def add_conflicts(structures: DataFrame, hints: DataFrame, bin_size: int | None
     """CONFLICTS: protein introns (contig, strand, '.' counts for both, start, end, n) that overlap a structure's span: beyond it, inside one segment (extra), or with other splice sites (shifted)."""
     both = F.when(F.col("strand").isin("+", "-"), F.array("strand")).otherwise(F.array(F.lit("+"), F.lit("-")))
     h = hints.withColumn("strand", F.explode(both)).groupBy("contig", "strand", "start", "end").agg(F.max("n").alias("n"))
-    spans = structures.select("sid", "contig", "strand", "start", "end", "segs", "introns")
-    pair = interval_join(spans, h, ["contig", "strand"], "inner", bin_size)
+    structures = cut(structures, "structures")  # read for the spans, for the chains of the pairs and for the result
+    # A span is long beside a bin for exons: only its ends go through the bins, of at least its size; the chain meets the pairs by sid.
+    spans = structures.select("sid", "contig", "strand", "start", "end")
+    pair = interval_join(spans, h, ["contig", "strand"], "inner", bin_size and max(bin_size, SPAN_BIN))
+    pair = pair.select("sid", "r_start", "r_end", "r_n").join(structures.select("sid", "start", "end", "segs", "introns"), "sid")
     a, b = F.col("r_start"), F.col("r_end")
     beyond = (a < F.col("start")) | (b > F.col("end"))
     exact = F.exists("introns", lambda i: (i["start"] == a) & (i["end"] == b))
