@@ -13,6 +13,7 @@ from ..operators import genemodel as gm
 from ..operators import hints as hi
 from ..operators import intervals as iv
 from ..operators import support as su
+from ..operators.components import cut
 from ..sinks import writers as wr
 from . import adapter as ad
 from .registry import query
@@ -197,7 +198,7 @@ m AS (SELECT p.tx, p.st FROM p JOIN c ON c.tx = p.tx AND c.n = p.k UNION ALL SEL
 SELECT m.tx, arg_max(m.st, (CASE WHEN m.st % 5 = 0 THEN 1 ELSE 0 END) * 100000000000000 + len.len * 1000000000 - m.st) AS st FROM m JOIN len ON len.st = m.st GROUP BY m.tx""")
 def utr_matches(spark, d):
     """Every transcript against two of each: itself, and itself without the first exon and with a longer last one."""
-    c = ad.chains(spark, d).withColumnRenamed("contig", "seqid")
+    c = cut(ad.chains(spark, d), "chains").withColumnRenamed("contig", "seqid")
     cand = c.select(F.col("tx").alias("tx_id"), "seqid", "strand", F.col("segs").alias("cds"), co.introns(F.col("segs")).alias("introns"))
     n = F.size("segs")
     later = F.transform(F.slice("segs", 2, n - 1), lambda x, i: F.struct(x["start"].alias("start"), F.when(i == n - 2, x["end"] + 40).otherwise(x["end"]).alias("end")))

@@ -1,5 +1,8 @@
 """Long spans beside short bins: they must not be copied into a row for each bin with all they carry."""
 
+from pyspark.sql import functions as F
+
+from genoloom.operators import annotate as an
 from genoloom.operators import consensus as co
 from genoloom.operators import intervals as iv
 
@@ -13,3 +16,12 @@ def test_conflicts_bin_only_the_ends_of_spans(spark, monkeypatch):
     r = co.add_conflicts(co.build_structures(tx, ["t0"]), hints, 64).select(*co.CONFLICTS).first()
     assert tuple(r) == (3, 1, 4, 1, 5, 1, 6)
     assert all("segs" not in c and "introns" not in c for c, _ in seen) and max(n for _, n in seen) < 100
+
+
+def test_matches_with_a_very_long_intron(spark):
+    far = 1 << 38
+    chain = "array<struct<start:bigint,end:bigint>>"
+    cand = spark.createDataFrame([(1, "c", "+", [(5, 9)], []), (2, "c", "+", [(500, 600)], [])], f"tx_id int, seqid string, strand string, cds {chain}, introns {chain}")
+    st = spark.createDataFrame([(7, "c", "+", False, 20, [(1, 10), (far, far + 9)], [(11, far - 1)]), (8, "c", "+", True, 220, [(450, 550), (590, 700)], [(551, 589)])], f"st_ord int, seqid string, strand string, is_long boolean, length int, exons {chain}, introns {chain}")
+    got = an.match_transcripts(cand, st, 64).select("tx_id", F.col("st.st_ord")).collect()
+    assert [tuple(r) for r in got] == [(1, 7)]
