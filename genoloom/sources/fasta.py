@@ -16,12 +16,16 @@ from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
 from ..functions.sequence import TILE
+from ..operators.components import cut
 
 #: Bytes of a range, bases of a piece, and how far a range looks back for the start of its line: no header is longer.
 RANGE = 32 << 20
 PIECE = 1 << 20
 HEADER = 1 << 20
 CHUNK = 4 << 20
+#: Short ranges, and short files, are read together by one task, up to so many bytes, once there is work for so many tasks.
+TASK = 32 << 20
+TASKS = 256
 PIECES = "file_ord bigint, range bigint, record bigint, header_at bigint, header string, piece bigint, n bigint, bases string"
 BLANKS = b" \t\r\n\x0b\x0c"
 
@@ -113,9 +117,11 @@ def scan_range(file: _Bytes, start: int, stop: int):
         yield record, header_at, None, piece + 1, held
 
 
-class _Range(InputPartition):
-    def __init__(self, file_ord: int, path: str, number: int, start: int, stop: int):
-        self.file_ord, self.path, self.number, self.start, self.stop = file_ord, path, number, start, stop
+class _Ranges(InputPartition):
+    """Ranges (file_ord, path, number, start, stop) of one task, in order."""
+
+    def __init__(self, ranges: list[tuple[int, str, int, int, int]]):
+        self.ranges = ranges
 
 
 class _Reader(DataSourceReader):
@@ -124,15 +130,20 @@ class _Reader(DataSourceReader):
         self.bases = options.get("bases", "true") == "true"
 
     def partitions(self):
-        out = []
+        out, held, size = [], [], 0
+        most = min(TASK, sum(length for _, _, length in self.files) // TASKS)
         for file_ord, path, length in self.files:
-            if path.endswith(".gz"):
-                out.append(_Range(file_ord, path, 0, 0, 1 << 62))
-            else:
-                out += [_Range(file_ord, path, k, a, min(a + self.range, length)) for k, a in enumerate(range(0, length, self.range))]
-        return out
-
-    def read(self, part: _Range):
+            packed = path.endswith(".gz")
+            for k, a in enumerate([0] if packed else range(0, length, self.range)):
+                n = length if packed else min(self.range, length - a)
+                if held and size + n > most:
+                    out.append(_Ranges(held))
+                    held, size = [], 0
+                held.append((file_ord, path, k, a, 1 << 62 if packed else a + n))
+                size += n
+        return [*out, _Ranges(held)] if held else out
+
+    def read(self, part: _Ranges):
         names = [f.split()[0] for f in PIECES.split(", ")]
         kinds = [pa.string() if f.endswith("string") else pa.int64() for f in PIECES.split(", ")]
         rows, size = [], 0
@@ -140,13 +151,17 @@ class _Reader(DataSourceReader):
         def batch():
             return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows, strict=True), kinds, strict=True)], names=names)
 
-        for record, header_at, header, piece, bases in scan_range(_Bytes(part.path), part.start, part.stop):
-            text = bases.decode("latin-1").upper() if self.bases else None
-            rows.append((part.file_ord, part.number, record, header_at, header, piece, len(bases), text))
-            size += 200 + (len(bases) if self.bases else 0)
-            if size > CHUNK:
-                yield batch()
-                rows, size = [], 0
+        file, opened = None, None
+        for file_ord, path, number, start, stop in part.ranges:
+            if opened != path:
+                file, opened = _Bytes(path), path
+            for record, header_at, header, piece, bases in scan_range(file, start, stop):
+                text = bases.decode("latin-1").upper() if self.bases else None
+                rows.append((file_ord, number, record, header_at, header, piece, len(bases), text))
+                size += 200 + (len(bases) if self.bases else 0)
+                if size > CHUNK:
+                    yield batch()
+                    rows, size = [], 0
         if rows:
             yield batch()
 
@@ -179,8 +194,8 @@ def fasta_pieces(spark: SparkSession, paths: list[str] | str, size: int = RANGE)
     spark.dataSource.register(FastaPieces)
     scan = lambda bases: spark.read.format("fasta_pieces").option("files", files).option("range", size).option("bases", bases).load()
     files = _files(spark, paths)
-    about = scan("false").drop("bases")
-    # A row for each range, and for each piece: lengths, not bases.
+    # A row for each range, and for each piece: lengths, not bases; written, as five tables come from it.
+    about = cut(scan("false").drop("bases"), "fasta")
     ranges = about.groupBy("file_ord", "range").agg(F.max("header_at").alias("_last"))
     before = Window.partitionBy("file_ord").orderBy("range").rowsBetween(Window.unboundedPreceding, -1)
     carry = ranges.select("file_ord", "range", F.last("_last", ignorenulls=True).over(before).alias("_from"))
