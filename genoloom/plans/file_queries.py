@@ -39,7 +39,7 @@ def scan_gtf(spark, d):
 def scan_gtf_transcripts(spark, d):
     path = _path(spark)
     x = ad.exons(spark, d)
-    wr.write_gtf(x.select(F.lit("g").alias("gene_id"), F.concat(F.lit("t"), "tx").alias("tx_id"), "seqid", "strand", F.lit("exon").alias("type"), "start", "end", F.lit(None).cast("string").alias("phase")), path)
+    wr.write_gtf(x.select(F.lit("g").alias("gene_id"), F.concat(F.lit("t"), "tx").alias("tx_id"), "seqid", "strand", F.lit("exon").alias("type"), "start", "end", F.lit(None).cast("string").alias("phase")), path, parts=True)
     t = sc.gtf_transcripts(spark, path)
     return t.select(F.col("tx_id").alias("tx"), "seqid", "strand", F.size("exons").cast("bigint").alias("n"), F.get("exons", F.lit(0))["start"].alias("start_"), F.try_element_at("exons", F.lit(-1))["end"].alias("end_"))
 
