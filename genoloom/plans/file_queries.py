@@ -100,7 +100,7 @@ def scan_protein_hints(spark, d):
 @query("scan_bedgraph", f"WITH {ad.EXONS} SELECT seqid AS contig, CAST(s AS BIGINT) AS start_, CAST(e AS BIGINT) AS end_, (1 + tx % 9) / 8.0 AS depth FROM exons WHERE tx % 9 >= 2")
 def scan_bedgraph(spark, d):
     path = _path(spark)
-    wr.write_bedgraph(ad.exons(spark, d).select(F.col("seqid").alias("contig"), "start", "end", F.expr("(1 + tx % 9) / 8").alias("depth")), path)
+    wr.write_bedgraph(ad.exons(spark, d).select(F.col("seqid").alias("contig"), "start", "end", F.expr("(1 + tx % 9) / 8").alias("depth")), path, parts=True)
     return sc.bedgraph(spark, path, 0.3).select("contig", F.col("start").alias("start_"), F.col("end").alias("end_"), "depth")
 
 

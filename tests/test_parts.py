@@ -5,6 +5,7 @@ import os
 import pytest
 from pyspark.sql import functions as F
 
+from genoloom.plans import file_queries as fq
 from genoloom.sinks import writers as wr
 from genoloom.sources import scans as sc
 
@@ -24,3 +25,13 @@ def test_transcripts_stay_in_one_part(spark, tmp_path):
     assert sum(f.startswith("part-") for f in os.listdir(path)) > 1
     got = {r["tx_id"]: r["n"] for r in sc.gtf_transcripts(spark, path).select("tx_id", F.size("exons").alias("n")).collect()}
     assert got["long"] == 900 and sum(got.values()) == 1000 and len(got) == 8
+
+
+def test_queries_write_parts(spark, monkeypatch):
+    seen = []
+    for name in ("write_gtf", "write_bedgraph"):
+        real = getattr(wr, name)
+        monkeypatch.setattr(wr, name, lambda df, path, *a, real=real, **k: (real(df, path, *a, **k), seen.append(sum(f.startswith("part-") for f in os.listdir(path.removeprefix("file://"))))))
+    fq.scan_gtf_transcripts(spark, "/root/testdata/sf0.001")
+    fq.scan_bedgraph(spark, "/root/testdata/sf0.001")
+    assert len(seen) == 2 and min(seen) > 1
