@@ -6,7 +6,7 @@ import pytest
 from genoloom.plans import adapter as ad
 from genoloom.plans import catalog
 
-NAMES = ["merge_intervals_strict", "exon_components", "merge_annotations"]
+NAMES = ["merge_intervals_strict", "exon_components", "merge_annotations", "merged_lines"]
 
 
 @pytest.mark.parametrize("name", NAMES)
