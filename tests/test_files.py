@@ -242,3 +242,12 @@ def test_combined_models_as_text(spark, tmp_path):
     wr.write_combined(df, f"file://{tmp_path}/gff", gff3=True)
     got = [r["value"].split("\t") for r in spark.read.text(f"file://{tmp_path}/gff").collect()]
     assert [(g[2], g[8]) for g in got[:5]] == [("gene", "ID=g1"), ("mRNA", "ID=t1;Parent=g1;tools=a,b;tier=x;source_id=s1"), ("exon", "ID=t1.exon1;Parent=t1"), ("exon", "ID=t1.exon2;Parent=t1"), ("CDS", "ID=t1.cds1;Parent=t1")]
+
+
+def test_attributes_are_worked_out_once(spark, capsys):
+    """Not once more for each key: a text is split at ; and its values at , in one place of the plan."""
+    d = spark.range(3).select(F.concat_ws(";", *[F.concat(F.lit(f"k{i}="), "id", F.lit(",%3B")) for i in range(5)], F.lit("k1=last")).alias("a"))
+    e = d.select(at.parse_attributes(F.col("a")).alias("e"))
+    e.explain()
+    assert capsys.readouterr().out.count("split(") <= 2
+    assert [r["f"] for r in e.select(at.format_attributes(F.col("e")).alias("f")).collect()] == [f"k0={i},%3B;k1=last;k2={i},%3B;k3={i},%3B;k4={i},%3B" for i in range(3)]
