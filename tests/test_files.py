@@ -251,3 +251,9 @@ def test_attributes_are_worked_out_once(spark, capsys):
     e.explain()
     assert capsys.readouterr().out.count("split(") <= 2
     assert [r["f"] for r in e.select(at.format_attributes(F.col("e")).alias("f")).collect()] == [f"k0={i},%3B;k1=last;k2={i},%3B;k3={i},%3B;k4={i},%3B" for i in range(3)]
+
+
+def test_reading_joins_no_lines_with_their_errors(spark, tmp_path, capsys):
+    path = put(tmp_path / "a.gff3", GFF)
+    sc.gff3(spark, path).explain()
+    assert "SortMergeJoin" not in (out := capsys.readouterr().out) and "LeftAnti" not in out
