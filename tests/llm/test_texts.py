@@ -183,6 +183,25 @@ def test_holders_over_range_edges(spark, monkeypatch):
         assert {tuple(r) for r in chains._matches_before(df, 5).collect()} == want
 
 
+def test_holders_of_large_seeds_by_range(spark, monkeypatch):
+    monkeypatch.setattr(chains, "SEED_ROWS", 20)
+    test_holders_over_range_edges(spark, monkeypatch)
+
+
+def test_equal_words_are_found_once_and_between_changed_ones(spark):
+    r = random.Random(61)
+    say = lambda n, p: [f"{p}{r.randrange(100_000)}" for _ in range(n)]
+    beat, x = say(7, "b"), say(60, "x")
+    # Two of three words are the same on both sides, so that the passage is no longer similar when it goes on there.
+    near = [say(96, "n"), say(96, "m")]
+    far = [[w if j % 3 != 2 else f"z{r.randrange(100_000)}" for j, w in enumerate(v)] for v in near]
+    rows = [(0, " ".join(beat * 200)), (1, " ".join(beat * 300)), (10, " ".join(near[0][::-1] + x + near[1])), (11, " ".join(far[0][::-1] + x + far[1]))]
+    got = chains.fuzzy_passages(spark.createDataFrame(rows, DOCS)).collect()
+    beats = [(v["start_word"], v["end_word"]) for v in got if (v["doc_id"], v["ref_doc_id"]) == (1, 0)]
+    assert len({j for a, b in beats for j in range(a, b)}) == 2100 and len(beats) < 60, len(beats)
+    assert any(v["doc_id"] == 11 and v["ref_doc_id"] == 10 and v["start_word"] <= 96 and v["end_word"] >= 156 for v in got), got
+
+
 def test_fuzzy_passages_down_to_the_least_similarity(spark):
     r = random.Random(53)
     words = [f"w{i}" for i in range(3000)]
