@@ -188,6 +188,19 @@ def test_holders_of_large_seeds_by_range(spark, monkeypatch):
     test_holders_over_range_edges(spark, monkeypatch)
 
 
+def test_first_places_beside_the_holders_before(spark, monkeypatch):
+    rows = [(h, d, d % 3, 0) for h in (1, 2) for d in range(0, 400, 3 if h == 1 else 7)]
+    df = spark.createDataFrame(rows, "h bigint, doc_id bigint, pos int, ref bigint")
+    want = []
+    for h in (1, 2):
+        docs = [d for x, d, *_ in rows if x == h]
+        want += [(d, e, d % 3, e % 3) for i, d in enumerate(docs) for e in {0, *docs[max(0, i - chains.BACK) : i]} if e < d]
+    monkeypatch.setattr(chains, "RANGE", 10)
+    for most in (20, 1000):
+        monkeypatch.setattr(chains, "SEED_ROWS", most)
+        assert sorted(tuple(r) for r in chains._matches_before(df, 5, True).collect()) == sorted(want)
+
+
 def test_equal_words_are_found_once_and_between_changed_ones(spark):
     r = random.Random(61)
     say = lambda n, p: [f"{p}{r.randrange(100_000)}" for _ in range(n)]
