@@ -434,6 +434,28 @@ def test_contaminated_against_brute_force_with_many_items(spark):
     assert len(got) >= 0.9 * len(want)
 
 
+def test_contaminated_in_other_words(spark):
+    """Items whose heavy words are all replaced by others of the same subject: the words' cosine is next to nothing, the latent one is not."""
+    r = random.Random(53)
+    light = [f"l{i}" for i in range(30)]
+    heavy = {s: ([f"a{s}x{i}" for i in range(30)], [f"b{s}x{i}" for i in range(30)]) for s in range(30)}
+    mixed = lambda s, n, own: [r.choice(light) if r.random() < 0.5 else r.choice(own) for _ in range(n)]
+    rows = [(d, " ".join(mixed(d % 30, 80, heavy[d % 30][0] + heavy[d % 30][1]))) for d in range(600)]
+    items = []
+    for i in range(90):
+        s = i % 30
+        kept = set(range(36, 40)) | set(r.sample(range(36), 18))
+        piece = [r.choice(light) if j in kept else r.choice(heavy[s][0]) for j in range(40)]
+        told = [x if j in kept else r.choice(heavy[s][1]) for j, x in enumerate(piece)]
+        items.append((i, " ".join(piece)))
+        rows.append((1000 + i, " ".join(mixed(s, r.randint(0, 30), heavy[s][1]) + told + mixed(s, 20, heavy[s][1]))))
+    want = set(brute_contaminated(rows, items))
+    assert {(1000 + i, i) for i in range(90)} <= want
+    got = {(x["doc_id"], x["item_id"]) for x in decontaminate.contaminated(spark.createDataFrame(rows, DOCS), spark.createDataFrame(items, "item_id bigint, text string")).collect()}
+    assert got <= want
+    assert len(got) >= 0.9 * len(want), (len(got), len(want))
+
+
 # Secrets
 
 PATTERNS = [
