@@ -97,12 +97,11 @@ def explode_segments(structures: DataFrame) -> DataFrame:
 
 def add_loci(structures: DataFrame, by: str = "cluster") -> DataFrame:
     """cluster: number of the locus (structures of one contig and strand whose spans share a base), by contig, strand and start."""
-    w = Window.partitionBy("contig", "strand")
-    out = islands(structures, ["contig", "strand"], touching=False)
+    # What runs, their numbers and those before a contig and strand are told from is worked out once.
+    out = cut(islands(cut(structures, "structures"), ["contig", "strand"], touching=False), "loci")
     # Loci before a contig and strand are few numbers per key; they are summed over the keys, not over the rows.
     per = out.groupBy("contig", "strand").agg(F.max("island").alias("_n"))
     base = per.withColumn("_base", F.coalesce(F.sum("_n").over(Window.orderBy("contig", "strand").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))).drop("_n")
-    del w
     return out.join(base, ["contig", "strand"]).withColumn(by, (F.col("_base") + F.col("island") - 1).cast("bigint")).drop("island", "_base")
 
 
@@ -126,6 +125,7 @@ def add_rna(structures: DataFrame, hints: DataFrame | None, coverage: DataFrame
 
 def add_agreement(structures: DataFrame) -> DataFrame:
     """agreed (introns that a tool outside the structure's own set predicts too) and tool_intron_frac."""
+    structures = cut(structures, "agreement")
     long = explode_introns(structures)
     where = ["contig", "strand", "start", "end"]
     tools = long.select(*where, F.explode("tools").alias("t")).groupBy(*where).agg(F.collect_set("t").alias("all_tools"))
