@@ -169,13 +169,14 @@ def normalize(features: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Contract form of features (gene_id, tx_id, seqid, strand, type, start, end, and phase where there is one), and the violations (rule, feature, message). Exons are the union of children where there are none; UTRs get their side; phases follow from that of the first coding segment; genes and transcripts get spans; parts are named <tx>.exonN, <tx>.cds, <tx>.utr5pN and <tx>.utr3pN by place; genes with a coding transcript have the biotype protein_coding."""
     f = features.filter(~F.col("type").isin(*DROPPED))
     key = ["gene_id", "tx_id", "seqid", "strand"]
-    part = f.filter(F.col("type").isin("exon", "CDS", "UTR", "five_prime_UTR", "three_prime_UTR"))
+    # Parts, exons and coding segments are used many times below; each is worked out once.
+    part = cut(f.filter(F.col("type").isin("exon", "CDS", "UTR", "five_prime_UTR", "three_prime_UTR")), "parts")
     given = part.filter("type = 'exon'").select(*key, "start", "end")
     need = part.join(given.select("tx_id").distinct(), "tx_id", "left_anti")
-    exon = given.unionByName(merge_intervals(need, key).select(*key, "start", "end"))
+    exon = cut(given.unionByName(merge_intervals(need, key).select(*key, "start", "end")), "exons")
     phase = F.col("phase").cast("string").try_cast("bigint") if "phase" in f.columns else F.lit(None).cast("bigint")
     cds = part.filter("type = 'CDS'").withColumn("_first", phase).groupBy(*key, "start", "end").agg(F.min("_first").alias("_first"))
-    cds = cds_phases(cds, ["tx_id"], "_first").drop("_first")
+    cds = cut(cds_phases(cds, ["tx_id"], "_first").drop("_first"), "cds")
     span = cds.groupBy("tx_id").agg(F.min("start").alias("_cs"), F.max("end").alias("_ce"))
     utr = part.filter(F.col("type").contains("UTR")).select(*key, "start", "end", F.col("type").alias("_given")).join(span, "tx_id", "left")
     left = F.col("end") < F.col("_cs")

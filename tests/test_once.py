@@ -3,6 +3,7 @@
 from pyspark.sql import functions as F
 
 from genoloom.operators import consensus as co
+from genoloom.operators import genemodel as gm
 
 
 def test_loci_and_agreement_read_structures_once(spark):
@@ -27,3 +28,18 @@ def test_loci_and_agreement_read_structures_once(spark):
     for r in got:
         others = {t for o in got if (o["contig"], o["strand"], o["introns"]) == (r["contig"], r["strand"], r["introns"]) for t in o["tools"]}
         assert r["agreed"] == bool(others - set(r["tools"]))
+
+
+def test_normal_form_reads_features_once(spark):
+    seen = spark.sparkContext.accumulator(0)
+
+    @F.udf("string")
+    def told(kind):
+        seen.add(1)
+        return kind
+
+    rows = [(f"g{i // 4}", f"t{i // 4}", "c", "+", "CDS" if i % 8 < 4 else "exon", 100 * (i % 4) + 1, 100 * (i % 4) + 30) for i in range(40)]
+    f = spark.createDataFrame(rows, "gene_id string, tx_id string, seqid string, strand string, type string, start long, end long")
+    out, bad = gm.normalize(f.withColumn("type", told.asNondeterministic()("type")))
+    assert out.count() == 80 and bad.count() == 0  # 10 genes, 10 transcripts, 40 exons, 20 coding segments
+    assert seen.value == 40
