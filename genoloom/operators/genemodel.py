@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import sequence as sq
-from .components import cut, exon_components
+from .components import cut, exon_components, release
 from .intervals import interval_join, merge_intervals
 
 #: Feature types outside the contract, dropped on reading.
@@ -49,9 +49,13 @@ def merge_annotations(tx: DataFrame) -> DataFrame:
     bases = F.aggregate("exons", F.lit(0).cast("bigint"), lambda a, x: a + x["end"] - x["start"] + 1)
     same = Window.partitionBy("seqid", "strand", F.size("cds") > 0, "_chain").orderBy(F.col("_bp").desc(), F.col("utr_bp").desc(), "tx")
     kept = tx.withColumn("_chain", chain).withColumn("_bp", bases).withColumn("_r", F.row_number().over(same)).filter("_r = 1").drop("_r", "_chain", "_bp")
+    kept = cut(kept, "kept", "zstd")
+    release(kept.sparkSession)
     exons = kept.select("tx", "seqid", "strand", F.explode("exons").alias("x")).select("tx", "seqid", "strand", "x.start", "x.end")
     comp = exon_components(exons, ["seqid", "strand"], "tx").select("tx", "component")
-    out = kept.join(comp, "tx").withColumn("_s", F.get("exons", F.lit(0))["start"]).withColumn("_e", F.try_element_at("exons", F.lit(-1))["end"])
+    release(kept.sparkSession)
+    # Genes and isoforms are numbered by ends alone; whole transcripts meet their numbers once.
+    out = kept.select("tx", "seqid", "strand", F.get("exons", F.lit(0))["start"].alias("_s"), F.try_element_at("exons", F.lit(-1))["end"].alias("_e")).join(comp, "tx")
     span = out.groupBy("component", "seqid", "strand").agg(F.min("_s").alias("gene_start"), F.max("_e").alias("gene_end"))
     # Genes are numbered inside their contig; the contigs' offsets are sums over few rows.
     inside = F.row_number().over(Window.partitionBy("seqid").orderBy("gene_start", "strand", "gene_end", "component"))
@@ -59,7 +63,8 @@ def merge_annotations(tx: DataFrame) -> DataFrame:
     base = per.select("seqid", F.coalesce(F.sum("_n").over(Window.orderBy("seqid").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_b"))
     span = span.withColumn("_i", inside).join(base, "seqid").select("component", (F.col("_i") + F.col("_b")).alias("gene"), "gene_start", "gene_end")
     isoform = F.row_number().over(Window.partitionBy("component").orderBy("_s", "tx"))
-    return out.join(span, "component").withColumn("isoform", isoform.cast("bigint")).withColumn("gene", F.col("gene").cast("bigint")).drop("_s", "_e", "component")
+    places = out.join(span, "component").select("tx", F.col("gene").cast("bigint").alias("gene"), "gene_start", "gene_end", isoform.cast("bigint").alias("isoform"))
+    return kept.join(places, "tx")
 
 
 def priority_merge(tx: DataFrame, priority: DataFrame, bin_size: int | None = None) -> DataFrame:
@@ -221,7 +226,10 @@ def merged_features(tx: DataFrame) -> DataFrame:
     joined = lambda v: F.coalesce(F.nullif(F.array_join(F.array_sort(F.array_distinct(v)), ","), F.lit("")), F.lit("merge"))
     bounds = lambda of, at: of(F.concat(F.transform("_x", lambda x: x[at]), F.transform("_u", lambda x: x[at])))
     t = t.withColumns({"_labels": labels, "start": bounds(F.array_min, "start"), "end": bounds(F.array_max, "end")}).withColumn("source", joined(F.col("_labels")))
-    t = cut(t, "merged")  # read by each kind of line
+    # Read by each kind of line; raw forms and what follows from numbers are not stored.
+    held = cut(t.select("gene", "isoform", "seqid", "strand", "source", "start", "end", "coding", "_labels", "_x", "_u", "cds"), "merged", "zstd")
+    release(held.sparkSession)
+    t = held.withColumn("gene_id", F.format_string("gene_%06d", "gene")).withColumn("tx_id", F.concat("gene_id", F.lit(".t"), "isoform"))
     none, nil = F.lit(None).cast("string"), F.lit(None).cast("bigint")
     g = t.groupBy("gene", "seqid", "strand", F.col("gene_id").alias("id")).agg(F.min("start").alias("start"), F.max("end").alias("end"), F.max(F.when(F.col("coding"), "protein_coding")).alias("biotype"), joined(F.flatten(F.collect_set("_labels"))).alias("source"))
     g = g.withColumns({"type": F.lit("gene"), "parent": none, "phase": nil, "level": F.lit(0), "isoform": F.lit(0).cast("bigint"), "part": F.lit(0), "ix": F.lit(0)})
