@@ -171,6 +171,27 @@ def test_a_passage_is_found_whoever_else_holds_parts_of_it(spark):
     assert want <= got and got <= want
 
 
+def test_a_changed_passage_is_found_behind_many_holders_of_its_parts(spark, monkeypatch):
+    r = random.Random(61)
+    words = [f"w{i}" for i in range(5000)]
+    say = lambda n: [r.choice(words) for _ in range(n)]
+    rows, want = [], set()
+    for g in range(10):
+        x, at = say(72), 1000 * g
+        changed = [r.choice(words) if j % 14 == 13 else w for j, w in enumerate(x)]  # no 50 words stay the same
+        held = {at + 10: x[:40], at + 11: x[-40:], at + 20: x, **{at + 100 + k: x[14 * (k % 4) : 14 * (k % 4) + 28] for k in range(24)}, at + 900: changed}
+        rows += [(d, " ".join(say(r.randint(20, 40)) + p + say(r.randint(20, 40)))) for d, p in held.items()]
+        want.add((at + 900, at + 20))
+    docs = spark.createDataFrame(rows, DOCS)
+    results = []
+    for matches, cell in ((2_000_000, 1_000_000), (40, 50)):
+        monkeypatch.setattr(chains, "CELL_MATCHES", matches)
+        monkeypatch.setattr(chains, "CELL_ROWS", cell)
+        results.append(sorted(tuple(v) for v in chains.fuzzy_passages(docs).collect()))
+    assert results[0] == results[1]
+    assert {(v[0], v[1]) for v in results[0]} == want
+
+
 def test_holders_over_range_edges(spark, monkeypatch):
     rows = [(h, d, d % 3, 0, 0) for h in (1, 2) for d in range(0, 400, 3 if h == 1 else 7)]
     df = spark.createDataFrame(rows, "h bigint, doc_id bigint, pos int, ref bigint, rpos int")
